@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date, split_date_parts, us_week_of_year, year_month_key
-from ..operators import climate, generic, kpi, quality, stats
+from ..operators import climate, generic, kpi, ml, quality, stats
 from ..session import scratch_path
 from ..sources.lines import parse_lines
 from ..sources.sinks import legacy_text_lines
@@ -195,6 +195,45 @@ def q_low_et0_conditions_actual(spark, d):
     return stats.mean_conditions(rows, "et0", "avg_et0")
 
 
+# ---- Spark ML (rows-only checks: fitted models have no SQL equivalent) ----------------
+_FITS: dict = {}
+
+
+def _fitted(spark, d, which=("lr", "rf", "gbt")):
+    """Fit once per (session, tables, model set); later queries reuse the fitted models."""
+    key = (id(spark), d, which)
+    if key not in _FITS:
+        _FITS[key] = ml.fit_models(_model_rows(spark, d, keep_split_key=True), which)
+    return _FITS[key]
+
+
+def q_linear_regression_eval(spark, d):
+    f = _fitted(spark, d, ("lr",))
+    rmse, r2 = f.metrics["lr"]
+    return spark.createDataFrame([(ml.MODEL_TITLES["lr"], float(rmse), float(r2))],
+                                 "Model string, RMSE double, R2 double")
+
+
+def q_model_comparison(spark, d):
+    return ml.comparison_table(spark, _fitted(spark, d))
+
+
+def q_feature_importance(spark, d):
+    return ml.feature_importances(spark, _fitted(spark, d).models["gbt"])
+
+
+def q_scenario_scoring(spark, d):
+    o = climate.with_obs_date(_obs(spark, d)).where(F.month("obs_date") == 5)
+    month_rows = o.select("location_id", *[F.col(src).cast("double").alias(dst)
+                                           for src, dst in stats.MODEL_FEATURES.items()])
+    scenarios = ml.location_scenarios(month_rows)
+    return ml.score(_fitted(spark, d).models["gbt"], scenarios)
+
+
+def q_low_et0_conditions(spark, d):
+    return ml.low_et0_conditions(_fitted(spark, d).predictions["gbt"])
+
+
 # ---- dashboard KPIs --------------------------------------------------------------------
 def q_extreme_weather_days(spark, d):
     return kpi.extreme_weather_days(_obs(spark, d))
@@ -296,6 +335,11 @@ def queries() -> dict[str, Query]:
         "deterministic_split": q_deterministic_split,
         "global_means": q_global_means,
         "low_et0_conditions_actual": q_low_et0_conditions_actual,
+        "linear_regression_eval": q_linear_regression_eval,
+        "model_comparison": q_model_comparison,
+        "feature_importance": q_feature_importance,
+        "scenario_scoring": q_scenario_scoring,
+        "low_et0_conditions": q_low_et0_conditions,
         "extreme_weather_days": q_extreme_weather_days,
         "hot_share": q_hot_share,
         "top_districts_precipitation": q_top_districts_precipitation,
