@@ -20,12 +20,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import FACT_COLUMNS
+from .partitioning import spread_small_input
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact scan for per-row heavy work (text building and parsing), spread over all
+    cores when the file has too few splits."""
+    return spread_small_input(table(spark, sf_dir, "lineitem"))
+
+
 def _fact_exprs() -> dict[str, Column]:
     q = F.col("l_quantity") / 2
     okey, pkey = F.col("l_orderkey"), F.col("l_partkey")
@@ -56,10 +63,14 @@ def _fact_exprs() -> dict[str, Column]:
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed fact frame in file column order. Unused columns are pruned by Catalyst."""
+    """Typed fact frame in file column order plus the parsed ``obs_date``. Unused columns
+    are pruned by Catalyst."""
     exprs = _fact_exprs()
     li = table(spark, sf_dir, "lineitem")
-    return li.select(*[exprs[n].cast(t).alias(n) for n, t in FACT_COLUMNS])
+    # ``obs_date`` is the typed date an ingest job writes next to the raw text (the text
+    # itself stays for the analyses defined on it); analyses then skip re-parsing
+    return li.select(*[exprs[n].cast(t).alias(n) for n, t in FACT_COLUMNS],
+                     F.to_date("l_shipdate").alias("obs_date"))
 
 
 # Columns of the binding that only ever hold whole numbers; they are written without a
@@ -77,7 +88,7 @@ def observation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         c = exprs[name]
         text = c.cast("bigint").cast("string") if name in _WHOLE else c.cast("string")
         fields.append(F.coalesce(text, F.lit("")))
-    li = table(spark, sf_dir, "lineitem")
+    li = fact_table(spark, sf_dir)
     return li.select(F.concat_ws(",", *fields).alias("value"))
 
 

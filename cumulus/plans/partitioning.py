@@ -1,0 +1,21 @@
+"""Input parallelism guard.
+
+A Parquet row group is read by a single task, so a file written as one row group scans
+on one core however large the cluster. When a scan yields fewer partitions than the
+cluster's default parallelism, the rows are spread round-robin once (only the pruned
+columns cross the exchange) and all later per-row work runs on every core. A real
+large input has far more splits than cores, and then this is a no-op: no extra shuffle.
+Round-robin repartitioning sorts locally first, so a retried task reproduces the same
+assignment after an executor loss.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
