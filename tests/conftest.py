@@ -17,6 +17,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="cumulus-test-warehouse-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     # tests set their own shared folder only when the session names none
