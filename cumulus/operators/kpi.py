@@ -35,14 +35,27 @@ def extreme_weather_days(facts: DataFrame, rain_mm: float = 50.0, gust_kmh: floa
 
 
 def hot_share(facts: DataFrame, threshold: float = 30.0, year: int | None = None,
-              temperature: str = "temperature_2m_max", date_mode: str = "lenient") -> DataFrame:
-    """Share (percent, 2 dp) of location-days above ``threshold`` and not above, per year."""
+              grain: str = "day", temperature: str = "temperature_2m_max",
+              date_mode: str = "lenient") -> DataFrame:
+    """Share (percent, 2 dp) above ``threshold`` and not above, per year.
+
+    ``grain="day"``: of location-days; ``grain="month"``: of location-months, judged by
+    the month's mean temperature (partial aggregate per location-month first)."""
     t = F.col(temperature)
     d = _scoped(facts, year, date_mode).where(t.isNotNull())
+    if grain == "month":
+        d = (d.groupBy("location_id", F.year("obs_date").alias("year"), F.month("obs_date").alias("_m"))
+             .agg(F.avg(t).alias("_t")))
+        t, year_col = F.col("_t"), F.col("year")
+    elif grain == "day":
+        year_col = F.year("obs_date").alias("year")
+    else:
+        raise ValueError(f"unknown grain {grain!r}")
     frac = F.avg(F.when(t > threshold, F.lit(1.0)).otherwise(F.lit(0.0))) * 100
-    return (d.groupBy(F.year("obs_date").alias("year"))
+    n_name = "n_days" if grain == "day" else "n_months"
+    return (d.groupBy(year_col)
             .agg(F.round(frac, 2).alias("hot_pct"), F.round(100 - frac, 2).alias("not_hot_pct"),
-                 F.count(F.lit(1)).alias("n_days")))
+                 F.count(F.lit(1)).alias(n_name)))
 
 
 def top_districts_precipitation(facts: DataFrame, locations: DataFrame, n: int = 5,

@@ -17,6 +17,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
 from .stats import MODEL_FEATURES, MODEL_LABEL, deterministic_split, mean_conditions
 
 FEATURE_NAMES = list(MODEL_FEATURES.values())
@@ -33,13 +34,13 @@ def linear_regression(**kw) -> LinearRegression:
 
 def random_forest(num_trees: int = 50, seed: int = SEED, **kw) -> RandomForestRegressor:
     return RandomForestRegressor(labelCol=MODEL_LABEL, featuresCol="features",
-                                 numTrees=num_trees, seed=seed, **kw)
+                                 numTrees=num_trees, seed=seed, checkpointInterval=10, **kw)
 
 
 def gradient_boosted_trees(max_iter: int = 100, max_depth: int = 5, seed: int = SEED,
                            **kw) -> GBTRegressor:
     return GBTRegressor(labelCol=MODEL_LABEL, featuresCol="features", maxIter=max_iter,
-                        maxDepth=max_depth, seed=seed, **kw)
+                        maxDepth=max_depth, seed=seed, checkpointInterval=10, **kw)
 
 
 def evaluate(predictions: DataFrame) -> tuple[float, float]:
@@ -59,6 +60,9 @@ def fit_models(modelling: DataFrame, which: tuple[str, ...] = ("lr", "rf", "gbt"
                rf_trees: int = 50, gbt_iter: int = 100, gbt_depth: int = 5,
                train_pct: int = 80) -> FittedModels:
     """Fit the requested models on the deterministic training split, score the test split."""
+    # tree ensembles checkpoint their per-iteration state every 10 iterations into the
+    # shared folder, so a long boosting run does not rebuild a 100-step lineage after a loss
+    shared_dir(modelling.sparkSession)
     train, test = deterministic_split(assemble(modelling), train_pct)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     estimators = {

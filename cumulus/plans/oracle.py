@@ -161,10 +161,15 @@ CORR_FEATURES = [
 ]
 
 
-def _correlations() -> str:
+def _correlations(exact_types: bool = False, nulls_as_zero: bool = False) -> str:
     parts = []
     for name, expr in CORR_FEATURES:
-        c = f"CORR({expr}, et0_fao_evapotranspiration)"
+        if exact_types and name == "location_id":  # bigint: not double/int
+            continue
+        if nulls_as_zero:
+            c = f"CORR(COALESCE(CAST({expr} AS DOUBLE), 0), COALESCE(et0_fao_evapotranspiration, 0))"
+        else:
+            c = f"CORR({expr}, et0_fao_evapotranspiration)"
         parts.append(f"SELECT '{name}' AS feature, "
                      f"CASE WHEN isnan({c}) THEN NULL ELSE {_r(c, 6)} END AS correlation_with_et0 FROM obs")
     return _with(OBS, body="\nUNION ALL\n".join(parts))
@@ -262,6 +267,8 @@ SELECT CAST(COUNT(*) AS BIGINT) AS lines_total,
 FROM obs""")
     # ---- statistics --------------------------------------------------------------------
     q["et0_correlations"] = _correlations()
+    q["et0_correlations_exact_types"] = _correlations(exact_types=True)
+    q["et0_correlations_nulls_as_zero"] = _correlations(nulls_as_zero=True)
     q["feature_projection"] = _with(OBS, MODELLING, body="""
 SELECT precipitation_hours, sunshine_duration, wind_speed, et0 FROM model_rows""")
     q["feature_summary"] = _with(OBS, MODELLING, body=_feature_stats())
@@ -300,6 +307,17 @@ SELECT CAST(year(obs_date) AS INTEGER) AS year,
        {_r('100 - AVG(CASE WHEN temperature_2m_max > 30 THEN 1.0 ELSE 0.0 END) * 100', 2)} AS not_hot_pct,
        CAST(COUNT(*) AS BIGINT) AS n_days
 FROM obs WHERE temperature_2m_max IS NOT NULL GROUP BY 1""")
+    q["hot_share_months"] = _with(OBS, """per_month AS (
+  SELECT location_id, year(obs_date) AS y, month(obs_date) AS m, AVG(temperature_2m_max) AS t
+  FROM obs WHERE temperature_2m_max IS NOT NULL GROUP BY 1, 2, 3)""", body=f"""
+SELECT CAST(y AS INTEGER) AS year,
+       {_r('AVG(CASE WHEN t > 20 THEN 1.0 ELSE 0.0 END) * 100', 2)} AS hot_pct,
+       {_r('100 - AVG(CASE WHEN t > 20 THEN 1.0 ELSE 0.0 END) * 100', 2)} AS not_hot_pct,
+       CAST(COUNT(*) AS BIGINT) AS n_months
+FROM per_month GROUP BY 1""")
+    q["extreme_location_days"] = _with(OBS, body="""
+SELECT CAST(year(obs_date) AS INTEGER) AS year, CAST(COUNT(*) AS BIGINT) AS extreme_days
+FROM obs WHERE precipitation_sum > 50 AND wind_gusts_10m_max > 40 GROUP BY 1""")
     q["top_districts_precipitation"] = _with(OBS, LOC, body=f"""
 SELECT l.city_name, {_r('SUM(o.precipitation_sum)', 2)} AS total_precipitation_mm
 FROM obs o JOIN loc l ON o.location_id = l.location_id

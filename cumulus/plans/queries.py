@@ -162,6 +162,14 @@ def q_et0_correlations(spark, d):
     return stats.et0_correlations(_obs(spark, d))
 
 
+def q_et0_correlations_exact_types(spark, d):
+    return stats.et0_correlations(_obs(spark, d), exact_types=True)
+
+
+def q_et0_correlations_nulls_as_zero(spark, d):
+    return stats.et0_correlations(_obs(spark, d), nulls="zero")
+
+
 def q_feature_projection(spark, d):
     return _model_rows(spark, d)
 
@@ -243,6 +251,14 @@ def q_hot_share(spark, d):
     return kpi.hot_share(_obs(spark, d))
 
 
+def q_hot_share_months(spark, d):
+    return kpi.hot_share(_obs(spark, d), threshold=20.0, grain="month")
+
+
+def q_extreme_location_days(spark, d):
+    return kpi.extreme_weather_days(_obs(spark, d), grain="location_day")
+
+
 def q_top_districts_precipitation(spark, d):
     return kpi.top_districts_precipitation(_obs(spark, d), locations(spark, d))
 
@@ -328,6 +344,8 @@ def queries() -> dict[str, Query]:
         "safe_numeric_parse": q_safe_numeric_parse,
         "quality_counters": q_quality_counters,
         "et0_correlations": q_et0_correlations,
+        "et0_correlations_exact_types": q_et0_correlations_exact_types,
+        "et0_correlations_nulls_as_zero": q_et0_correlations_nulls_as_zero,
         "feature_projection": q_feature_projection,
         "feature_summary": q_feature_summary,
         "simple_regression": q_simple_regression,
@@ -342,6 +360,8 @@ def queries() -> dict[str, Query]:
         "low_et0_conditions": q_low_et0_conditions,
         "extreme_weather_days": q_extreme_weather_days,
         "hot_share": q_hot_share,
+        "hot_share_months": q_hot_share_months,
+        "extreme_location_days": q_extreme_location_days,
         "top_districts_precipitation": q_top_districts_precipitation,
         "wettest_month_by_district": q_wettest_month_by_district,
         "project_arith": q_project_arith,
