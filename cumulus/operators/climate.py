@@ -49,6 +49,8 @@ def monthly_district_weather(facts: DataFrame, locations: DataFrame, min_year: i
         F.col("location_id").isNotNull()
         & F.col(measure).isNotNull() & F.col(temperature).isNotNull()
         & (F.col("obs_date") >= _min_date(min_year)))  # NULL date fails the comparison
+    if "year" in f.columns:  # a table partitioned by year: skip whole folders too
+        f = f.where(F.col("year") >= min_year)
     agg = (f.groupBy("location_id", year_month_key("obs_date").alias("year_month"))
            .agg(F.sum(measure).alias("_total"), F.avg(temperature).alias("_mean")))
     named = attach_names(agg, locations, how="left", default=default_name)

@@ -19,6 +19,8 @@ def _scoped(facts: DataFrame, year: int | None, date_mode: str) -> DataFrame:
         # a date range, not year(), so the bound can reach a typed date column's statistics
         d = d.where((F.col("obs_date") >= F.make_date(F.lit(year), F.lit(1), F.lit(1)))
                     & (F.col("obs_date") < F.make_date(F.lit(year + 1), F.lit(1), F.lit(1))))
+        if "year" in d.columns:  # partition column of an ingested table: prune folders
+            d = d.where(F.col("year") == year)
     return d
 
 

@@ -104,3 +104,22 @@ def test_streaming_ingest_available_now(spark, tmp_dir):
     q.awaitTermination(120)
     out = spark.read.parquet(f"{tmp_dir}/typed").collect()
     assert [(r.location_id, str(r.obs_date), r.year) for r in out] == [(1, "2014-01-05", 2014)]
+
+
+def test_ingest_writes_typed_table_partitioned_by_year(spark, tmp_dir):
+    from cumulus.operators import climate
+    from cumulus.plans.observations import locations, observations
+
+    sf = "/root/testdata/sf0.001"
+    raw = observations(spark, sf).drop("obs_date")  # text dates only, as in the raw file
+    typed = readers.ingest_observations(spark, raw, f"{tmp_dir}/facts")
+    assert typed.count() == raw.count()
+    assert {"obs_date", "year", "month"} <= set(typed.columns)
+    q = climate.monthly_district_weather(typed, locations(spark, sf), min_year=1998)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert q.count() > 0
+    # the year bound prunes whole year folders before any file is opened
+    assert "PartitionFilters: [isnotnull(year" in plan and ">= 1998)]" in plan
+    from cumulus.operators import kpi
+    k = kpi.hot_share(typed, year=1998)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in k
