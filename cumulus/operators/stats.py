@@ -74,7 +74,14 @@ def modelling_set(facts: DataFrame, month: int = 5, date_mode: str = "lenient",
     return d.select(*cols).na.drop(subset=list(MODEL_FEATURES.values()) + [MODEL_LABEL])
 
 
-def deterministic_split(df: DataFrame, train_pct: int = 80) -> tuple[DataFrame, DataFrame]:
+def deterministic_split(df: DataFrame, train_pct: int = 80, method: str = "keyed",
+                        seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Train/test split. ``keyed`` (default) uses ``split_bucket`` and is the same on any
+    layout or retry; ``random`` is ``randomSplit`` with a seed, which depends on how the
+    input is partitioned."""
+    if method == "random":
+        train, test = df.randomSplit([train_pct / 100, 1 - train_pct / 100], seed)
+        return train, test
     train = df.where(F.col("split_bucket") < train_pct)
     test = df.where(F.col("split_bucket") >= train_pct)
     return train, test

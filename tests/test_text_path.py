@@ -55,3 +55,24 @@ def test_quality_counters(spark):
     r = quality_counters(df, min_year=2014).first().asDict()
     assert r == {"lines_total": 6, "header_lines": 1, "short_lines": 1, "invalid_date": 1,
                  "missing_et0": 1, "before_min_year": 1, "rows_kept": 2, "months_processed": 3}
+
+
+def test_observed_counters_fill_in_after_one_action(spark):
+    from cumulus.operators.quality import observe_lines
+
+    lines = [HEADER, _line("1", "1/5/2014"), _line("2", "1/5/2014", n=3), HEADER]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    observed, obs = observe_lines(df)
+    assert parse_lines(observed).valid.count() == 1
+    assert obs.get == {"lines_total": 4, "header_lines": 2, "short_lines": 1}
+
+
+def test_keyed_split_is_layout_independent(spark):
+    from cumulus.operators.stats import deterministic_split
+
+    df = spark.range(0, 1000).selectExpr("id", "CAST(id % 100 AS INT) AS split_bucket")
+    a, _ = deterministic_split(df.repartition(3))
+    b, _ = deterministic_split(df.repartition(7))
+    assert sorted(r.id for r in a.collect()) == sorted(r.id for r in b.collect())
+    r_train, r_test = deterministic_split(df, method="random")
+    assert r_train.count() + r_test.count() == 1000
