@@ -55,6 +55,14 @@ def quality_counters(lines: DataFrame, min_year: int = 2014, date_mode: str = "l
     )
 
 
+def valid_text_counts(lines: DataFrame, fields: dict[str, int]) -> DataFrame:
+    """Count of valid text values per named field position (one row, one column per
+    field); the split runs once per line."""
+    once = compute_once(lines, {"_f": F.split(F.col("value"), ",", -1)}, keep=[])
+    return once.agg(*[F.count_if(is_valid_text(F.get(F.col("_f"), i))).alias(f"valid_{n}")
+                      for n, i in fields.items()])
+
+
 def observe_lines(lines: DataFrame, name: str = "line_quality") -> tuple[DataFrame, Observation]:
     """Attach cheap counters (no distinct) to a line frame; they fill in when an action runs
     over the returned frame, without a second pass."""

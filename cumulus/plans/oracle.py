@@ -233,6 +233,17 @@ SELECT location_id, obs_date, shortwave_radiation_sum,
 SELECT location_id, obs_date, CAST(year_val AS INTEGER) AS year_val,
        CAST(month_val AS INTEGER) AS month_val, CAST(week_val AS INTEGER) AS week_val,
        is_high_radiation, temp_max FROM clean""")
+    q["calendar_parts"] = _with(OBS, body=f"""
+SELECT location_id, obs_date, CAST(year(obs_date) AS INTEGER) AS year_val,
+       CAST(month(obs_date) AS INTEGER) AS month_val, CAST({US_WEEK} AS INTEGER) AS week_val
+FROM obs""")
+    q["valid_text"] = _with(OBS, body="""
+SELECT CAST(COUNT(location_id) AS BIGINT) AS valid_location_id,
+       CAST(COUNT(obs_date) AS BIGINT) AS valid_weather_date,
+       CAST(COUNT(temperature_2m_mean) AS BIGINT) AS valid_temperature_2m_mean,
+       CAST(COUNT(precipitation_hours) AS BIGINT) AS valid_precipitation_hours,
+       CAST(COUNT(et0_fao_evapotranspiration) AS BIGINT) AS valid_et0_fao_evapotranspiration
+FROM obs""")
     q["hottest_month_per_year"] = _with(OBS, _CLEAN, _HOTTEST, body=f"""
 SELECT CAST(year_val AS INTEGER) AS year_val, CAST(month_val AS INTEGER) AS month_val,
        {_r('avg_monthly_temp', 2)} AS avg_monthly_temp FROM hottest""")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import parse_date, split_date_parts, us_week_of_year, year_month_key
+from ..functions.dates import calendar_parts, parse_date, split_date_parts, us_week_of_year, year_month_key
 from ..operators import climate, generic, kpi, ml, quality, stats
 from ..session import scratch_path
 from ..sources.lines import parse_lines
@@ -105,6 +105,22 @@ def q_clean_observations(spark, d):
         "location_id", "obs_date", "year_val", "month_val", "week_val", "is_high_radiation", "temp_max")
 
 
+def q_calendar_parts(spark, d):
+    """Date parsed from the text once, then year / month / US week in one projection."""
+    o = _obs(spark, d).select("location_id", "weather_date")
+    parsed = climate.with_obs_date(o)
+    parts = calendar_parts("obs_date")
+    return parsed.withColumns({"year_val": parts["year"], "month_val": parts["month"],
+                               "week_val": parts["week"]}).drop("weather_date")
+
+
+def q_valid_text(spark, d):
+    """Valid (not blank, not 'null') text values per field of the raw lines."""
+    return quality.valid_text_counts(observation_lines(spark, d), {
+        "location_id": 0, "weather_date": 1, "temperature_2m_mean": 5,
+        "precipitation_hours": 13, "et0_fao_evapotranspiration": 18})
+
+
 def q_hottest_month_per_year(spark, d):
     return climate.hottest_month_per_year(_obs(spark, d))
 
@@ -334,6 +350,8 @@ def queries() -> dict[str, Query]:
         "top_radiation_months": q_top_radiation_months,
         "high_radiation_flag": q_high_radiation_flag,
         "clean_observations": q_clean_observations,
+        "calendar_parts": q_calendar_parts,
+        "valid_text": q_valid_text,
         "hottest_month_per_year": q_hottest_month_per_year,
         "hottest_month_weekly_max": q_hottest_month_weekly_max,
         "us_week_of_year": q_us_week_of_year,
