@@ -49,6 +49,11 @@ def year_month_key(date: Column | str) -> Column:
     return F.date_format(_c(date), "yyyy-MM")
 
 
+def year_month_text(year: Column | str, month: Column | str) -> Column:
+    """Zero-padded ``yyyy-MM`` from integer parts (same text as :func:`year_month_key`)."""
+    return F.format_string("%04d-%02d", _c(year), _c(month))
+
+
 def year_month_label(year: Column | str, month: Column | str) -> Column:
     """``<year>-<MM>``: year as-is, month zero-padded."""
     return F.concat(_c(year).cast("string"), F.lit("-"), F.format_string("%02d", _c(month)))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.dates import (calendar_parts, parse_date, split_date_parts,
-                               us_week_of_year, year_month_key, year_month_label)
+                               us_week_of_year, year_month_label, year_month_text)
 from ..functions.stats import share_pct
 from ..plans.compute_once import compute_once
 from ..plans.joins import attach_names, bounded_broadcast
@@ -51,8 +51,10 @@ def monthly_district_weather(facts: DataFrame, locations: DataFrame, min_year: i
         & (F.col("obs_date") >= _min_date(min_year)))  # NULL date fails the comparison
     if "year" in f.columns:  # a table partitioned by year: skip whole folders too
         f = f.where(F.col("year") >= min_year)
-    agg = (f.groupBy("location_id", year_month_key("obs_date").alias("year_month"))
-           .agg(F.sum(measure).alias("_total"), F.avg(temperature).alias("_mean")))
+    # integer month key per row; the text key is formatted once per aggregated row
+    agg = (f.groupBy("location_id", F.year("obs_date").alias("_y"), F.month("obs_date").alias("_m"))
+           .agg(F.sum(measure).alias("_total"), F.avg(temperature).alias("_mean"))
+           .withColumn("year_month", year_month_text("_y", "_m")))
     named = attach_names(agg, locations, how="left", default=default_name)
     return named.select(
         "location_id",
@@ -71,8 +73,9 @@ def precipitation_by_month(facts: DataFrame, measure: str = "precipitation_hours
                            date_mode: str = "lenient") -> DataFrame:
     f = with_obs_date(facts, date_mode).where(
         F.col("obs_date").isNotNull() & F.col(measure).isNotNull())
-    return (f.groupBy(year_month_key("obs_date").alias("year_month"))
-            .agg(F.sum(measure).alias("total_precipitation_hours")))
+    return (f.groupBy(F.year("obs_date").alias("_y"), F.month("obs_date").alias("_m"))
+            .agg(F.sum(measure).alias("total_precipitation_hours"))
+            .select(year_month_text("_y", "_m").alias("year_month"), "total_precipitation_hours"))
 
 
 def peak_precipitation_month(facts: DataFrame, measure: str = "precipitation_hours",
