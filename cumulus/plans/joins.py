@@ -19,8 +19,9 @@ from pyspark.sql.window import Window
 MAX_BROADCAST_ROWS = 2_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged."""
+    max_rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
