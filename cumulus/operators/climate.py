@@ -252,12 +252,19 @@ def hottest_month_per_year(facts: DataFrame, date_mode: str = "lenient") -> Data
 def hottest_month_weekly_max(facts: DataFrame, date_mode: str = "lenient") -> DataFrame:
     """Weekly max temperature (US weeks) inside each year's hottest month, ordered.
 
-    One scan: the fact rows are aggregated once to (year, month, week) with max, sum and
-    count; the monthly means, the per-year ranking and the join back all run on those few
-    aggregated rows."""
+    One scan, no self-join: the fact rows are aggregated once to (year, month, week) with
+    max, sum and count; a window over (year, month) turns the sums into the monthly mean
+    on every weekly row, and ``dense_rank`` over (mean desc, month asc) within the year
+    keeps exactly the weeks of the hottest month (earliest month on a tie). Both windows
+    run on those few aggregated rows."""
     weekly = _weekly(facts, date_mode)
-    hottest = _hottest(weekly).select("year_val", "month_val")
-    return (weekly.join(hottest, ["year_val", "month_val"])
+    month_w = Window.partitionBy("year_val", "month_val")
+    with_mean = weekly.withColumn(
+        "_avg", F.try_divide(F.sum("_s").over(month_w), F.sum("_n").over(month_w)))
+    year_w = Window.partitionBy("year_val").orderBy(F.col("_avg").desc_nulls_last(),
+                                                    F.col("month_val").asc())
+    return (with_mean.withColumn("_rank", F.dense_rank().over(year_w))
+            .where(F.col("_rank") == 1)
             .select("year_val", "month_val", "week_val", "weekly_max_temp")
             .orderBy("year_val", "month_val", "week_val"))
 

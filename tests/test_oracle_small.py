@@ -99,3 +99,9 @@ def test_pruning_and_pushdown_reach_scan(spark):
     p = _plan(E.queries()["prefix_label"](spark, SF))
     assert "GreaterThanOrEqual(s_acctbal,0.0)" in p
     assert "ReadSchema: struct<s_name:string,s_acctbal:double>" in p
+
+
+def test_hottest_month_weeks_scan_facts_once(spark):
+    p = _plan(E.queries()["hottest_month_weekly_max"](spark, SF))
+    assert p.count("FileScan parquet") == 1
+    assert "Window" in p
