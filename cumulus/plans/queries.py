@@ -13,7 +13,9 @@ from ..functions.dates import calendar_parts, parse_date, split_date_parts, us_w
 from ..operators import climate, generic, kpi, ml, quality, stats
 from ..schema import FACT_COLUMNS
 from ..session import scratch_path
+from ..sources import readers
 from ..sources.lines import parse_lines
+from ..streaming import incremental
 from ..sources.sinks import legacy_text_lines
 from .joins import known_locations
 from .observations import locations, observation_lines, observations, table
@@ -40,6 +42,25 @@ def q_monthly_district_weather_text(spark, d):
     return climate.monthly_district_weather(_text_facts(spark, d), locations(spark, d), min_year=MIN_YEAR)
 
 
+def q_monthly_district_weather_ingested(spark, d):
+    """Production path: the raw facts are ingested once into typed Parquet partitioned by
+    year (in the shared folder), then analysed; the year bound prunes whole folders."""
+    raw = _obs(spark, d).drop("obs_date")
+    typed = readers.ingest_observations(spark, raw, scratch_path(spark, "facts"))
+    return climate.monthly_district_weather(typed, locations(spark, d), min_year=MIN_YEAR)
+
+
+def q_streaming_ingest(spark, d):
+    """The raw lines land as text files; an availableNow stream parses and appends them to
+    a typed table (exactly-once through its checkpoint), which is then read back."""
+    root = scratch_path(spark, "stream")
+    observation_lines(spark, d).write.mode("overwrite").text(f"{root}/landing")
+    q = incremental.start_ingest(spark, f"{root}/landing", f"{root}/typed", f"{root}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/typed").select(
+        "location_id", "obs_date", "precipitation_hours", "et0_fao_evapotranspiration")
+
+
 def q_district_lookup_default(spark, d):
     return climate.monthly_district_weather(_text_facts(spark, d),
                                             locations(spark, d, registered_only=True),
@@ -337,6 +358,8 @@ def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "monthly_district_weather": q_monthly_district_weather,
         "monthly_district_weather_text": q_monthly_district_weather_text,
+        "monthly_district_weather_ingested": q_monthly_district_weather_ingested,
+        "streaming_ingest": q_streaming_ingest,
         "district_lookup_default": q_district_lookup_default,
         "legacy_text_output": q_legacy_text_output,
         "peak_precipitation_month": q_peak_precipitation_month,
