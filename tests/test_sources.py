@@ -84,7 +84,7 @@ def test_fact_and_location_csv(spark, tmp_dir):
 
 
 def test_catalog_and_legacy_sink(spark, tmp_dir):
-    catalog.use_database(spark, "weather_analytics_test")
+    catalog.use_database(spark, "observations_test")
     df = spark.createDataFrame([(1, "x")], "location_id bigint, city_name string")
     catalog.save_table(df, "location_data")
     catalog.set_table_properties(spark, "location_data", {"skip.header.line.count": "1"})
