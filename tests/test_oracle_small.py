@@ -73,12 +73,12 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["monthly_district_weather", "coolest_cities", "seasonal_et0",
-                                  "monthly_radiation", "hottest_month_weekly_max", "et0_correlations",
-                                  "wettest_month_by_district", "monthly_district_weather_text"])
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_no_python_in_plans(spark, name):
     p = _plan(E.queries()[name](spark, SF))
-    assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+                 "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in p, f"{name}: {node}"
 
 
 def test_dimension_joins_are_broadcast_after_aggregation(spark):
