@@ -1,6 +1,7 @@
-"""Delimited-text path for the observation file: header drop, field-count check, positional
-field pick, text validity and safe numeric parse - all as one projection over
-``spark.read.text`` output (a ``value`` column)."""
+"""Delimited-text path for the observation file over ``spark.read.text`` output (a
+``value`` column): header drop, field-count check, positional field pick, text validity
+and safe numeric parse. The split runs once per line (see ``plans/compute_once``); every
+typed field is a cheap pick from it."""
 
 from __future__ import annotations
 
