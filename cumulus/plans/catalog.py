@@ -35,4 +35,4 @@ def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
 
 def schema_tree(df: DataFrame) -> str:
     """The ``printSchema`` tree as text."""
-    return df._jdf.schema().treeString()
+    return df.schema.treeString()

@@ -246,7 +246,8 @@ _FITS: dict = {}
 
 def _fitted(spark, d, which=("lr", "rf", "gbt")):
     """Fit once per (session, tables, model set); later queries reuse the fitted models."""
-    key = (spark.sparkContext.applicationId, d, which)  # a new session never reuses a fit
+    app = spark.conf.get("spark.app.id", None) or str(id(spark))
+    key = (app, d, which)  # a new application never reuses a fit
     if key not in _FITS:
         _FITS[key] = ml.fit_models(_model_rows(spark, d, keep_split_key=True), which)
     return _FITS[key]
