@@ -7,6 +7,10 @@ columns cross the exchange) and all later per-row work runs on every core. A rea
 large input has far more splits than cores, and then this is a no-op: no extra shuffle.
 Round-robin repartitioning sorts locally first, so a retried task reproduces the same
 assignment after an executor loss.
+
+Measured on the one-row-group sf0.1 fact file: the text-path queries dropped from 4-5 s to
+1.5-2 s with the spread; light typed aggregations got slower by the extra exchange, so
+they do not use it.
 """
 
 from __future__ import annotations
