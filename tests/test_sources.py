@@ -123,3 +123,15 @@ def test_ingest_writes_typed_table_partitioned_by_year(spark, tmp_dir):
     from cumulus.operators import kpi
     k = kpi.hot_share(typed, year=1998)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in k
+
+
+def test_streaming_ingest_resumes_from_checkpoint(spark, tmp_dir):
+    src, out, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/typed", f"{tmp_dir}/ckpt"
+    row = "{loc},{date},1,30,20,25,31,21,25,1,1,1,1,2,1,1,1,1,1,,"
+    _write(f"{src}/day1.csv", [row.format(loc=1, date="1/5/2014"), row.format(loc=2, date="1/6/2014")])
+    start_ingest(spark, src, out, ckpt).awaitTermination(120)
+    assert spark.read.parquet(out).count() == 2
+    _write(f"{src}/day2.csv", [row.format(loc=3, date="2/7/2015")])
+    start_ingest(spark, src, out, ckpt).awaitTermination(120)
+    got = sorted((r.location_id, r.year) for r in spark.read.parquet(out).collect())
+    assert got == [(1, 2014), (2, 2014), (3, 2015)]  # day1 not re-ingested
