@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 # Broadcast bound: 2M narrow dimension rows is well under the executor-side hash limit.
 MAX_BROADCAST_ROWS = 2_000_000
@@ -29,13 +28,17 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
 def dedup_locations(locations: DataFrame, key: str = "location_id",
                     order_col: str | None = None) -> DataFrame:
     """One row per id. With ``order_col`` the row with the highest value wins (a file line
-    number gives 'last duplicate wins'); without it any one row is kept."""
+    number gives 'last duplicate wins'); without it any one row is kept.
+
+    Written as an aggregate (``max_by``), not a window: map-side partial aggregation keeps
+    one candidate per id per task, so an id with a huge run of copies never lands whole in
+    one task."""
     locations = locations.where(F.col(key).isNotNull())
     if order_col is None:
         return locations.dropDuplicates([key])
-    w = Window.partitionBy(key).orderBy(F.col(order_col).desc())
-    return (locations.withColumn("_rn", F.row_number().over(w))
-            .where(F.col("_rn") == 1).drop("_rn", order_col))
+    others = [c for c in locations.columns if c not in (key, order_col)]
+    best = F.max_by(F.struct(*[F.col(c) for c in others]), F.col(order_col)).alias("_best")
+    return locations.groupBy(key).agg(best).select(key, *[F.col(f"_best.{c}").alias(c) for c in others])
 
 
 def attach_names(agg: DataFrame, locations: DataFrame, how: str = "inner",
