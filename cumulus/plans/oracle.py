@@ -188,6 +188,9 @@ def oracle_sql() -> dict[str, str]:
     q["monthly_district_weather_ingested"] = _monthly_district(LOC)
     q["streaming_ingest"] = _with(OBS, body="""
 SELECT location_id, obs_date, precipitation_hours, et0_fao_evapotranspiration FROM obs""")
+    q["fact_csv_scan"] = _with(OBS, body="""
+SELECT location_id, obs_date, temperature_2m_max, precipitation_hours, et0_fao_evapotranspiration
+FROM obs""")
     q["district_lookup_default"] = _monthly_district(LOC_REGISTERED)
     q["legacy_text_output"] = _with(OBS, LOC, f"""agg AS (
   SELECT location_id, {_ym()} AS year_month, SUM(precipitation_hours) AS t,

@@ -61,6 +61,17 @@ def q_streaming_ingest(spark, d):
         "location_id", "obs_date", "precipitation_hours", "et0_fao_evapotranspiration")
 
 
+def q_fact_csv_scan(spark, d):
+    """The facts written as headered CSV (NULL as the literal ``null``), read back through
+    the fixed-schema reader: header skipped, columns by position, ``null`` -> NULL."""
+    path = scratch_path(spark, "facts-csv")
+    (_obs(spark, d).drop("obs_date").write.mode("overwrite")
+     .option("header", True).option("nullValue", "null").csv(path))
+    facts = readers.read_fact_csv(spark, path)
+    return facts.select("location_id", parse_date("weather_date").alias("obs_date"),
+                        "temperature_2m_max", "precipitation_hours", "et0_fao_evapotranspiration")
+
+
 def q_district_lookup_default(spark, d):
     return climate.monthly_district_weather(_text_facts(spark, d),
                                             locations(spark, d, registered_only=True),
@@ -361,6 +372,7 @@ def queries() -> dict[str, Query]:
         "monthly_district_weather_text": q_monthly_district_weather_text,
         "monthly_district_weather_ingested": q_monthly_district_weather_ingested,
         "streaming_ingest": q_streaming_ingest,
+        "fact_csv_scan": q_fact_csv_scan,
         "district_lookup_default": q_district_lookup_default,
         "legacy_text_output": q_legacy_text_output,
         "peak_precipitation_month": q_peak_precipitation_month,
