@@ -191,6 +191,9 @@ SELECT location_id, obs_date, precipitation_hours, et0_fao_evapotranspiration FR
     q["fact_csv_scan"] = _with(OBS, body="""
 SELECT location_id, obs_date, temperature_2m_max, precipitation_hours, et0_fao_evapotranspiration
 FROM obs""")
+    q["json_scan"] = _with(OBS, body="""
+SELECT location_id, obs_date, precipitation_hours, et0_fao_evapotranspiration FROM obs""")
+    q["text_rows_scan"] = "SELECT s_name AS name, s_nationkey AS nation FROM supplier"
     q["district_lookup_default"] = _monthly_district(LOC_REGISTERED)
     q["legacy_text_output"] = _with(OBS, LOC, f"""agg AS (
   SELECT location_id, {_ym()} AS year_month, SUM(precipitation_hours) AS t,

@@ -72,6 +72,25 @@ def q_fact_csv_scan(spark, d):
                         "temperature_2m_max", "precipitation_hours", "et0_fao_evapotranspiration")
 
 
+def q_json_scan(spark, d):
+    """Facts written as JSON lines and read back with an inferred schema (format-named load)."""
+    path = scratch_path(spark, "facts-json")
+    (_obs(spark, d).select("location_id", "weather_date", "precipitation_hours",
+                           "et0_fao_evapotranspiration").write.mode("overwrite").json(path))
+    facts = readers.read_format(spark, path, "json")
+    return facts.select("location_id", parse_date("weather_date").alias("obs_date"),
+                        "precipitation_hours", "et0_fao_evapotranspiration")
+
+
+def q_text_rows_scan(spark, d):
+    """``name, value`` text lines turned into rows under a schema given as a string."""
+    path = scratch_path(spark, "names-txt")
+    sup = table(spark, d, "supplier")
+    (sup.select(F.concat_ws(", ", "s_name", F.col("s_nationkey").cast("string")).alias("value"))
+     .write.mode("overwrite").text(path))
+    return readers.text_to_rows(spark, path, "name nation", {"nation": "int"})
+
+
 def q_district_lookup_default(spark, d):
     return climate.monthly_district_weather(_text_facts(spark, d),
                                             locations(spark, d, registered_only=True),
@@ -373,6 +392,8 @@ def queries() -> dict[str, Query]:
         "monthly_district_weather_ingested": q_monthly_district_weather_ingested,
         "streaming_ingest": q_streaming_ingest,
         "fact_csv_scan": q_fact_csv_scan,
+        "json_scan": q_json_scan,
+        "text_rows_scan": q_text_rows_scan,
         "district_lookup_default": q_district_lookup_default,
         "legacy_text_output": q_legacy_text_output,
         "peak_precipitation_month": q_peak_precipitation_month,
