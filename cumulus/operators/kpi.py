@@ -102,3 +102,17 @@ def wettest_month_by_district(facts: DataFrame, locations: DataFrame, year: int
         F.date_format(F.make_date(F.lit(2000), F.col("m"), F.lit(1)), "MMMM").alias("month_name"),
         monsoon_season(F.col("m")).alias("season"),
         F.round("_a", 2).alias("avg_monthly_rainfall_mm"))
+
+
+def dashboard(facts: DataFrame, locations: DataFrame, year: int | None = None,
+              date_mode: str = "lenient") -> dict[str, DataFrame]:
+    """The four dashboard panels for one year (or all years): lazily built DataFrames, one
+    action each when displayed."""
+    return {
+        "extreme_weather_days": extreme_weather_days(facts, year=year, date_mode=date_mode),
+        "hot_share": hot_share(facts, year=year, date_mode=date_mode),
+        "top_districts_precipitation": top_districts_precipitation(facts, locations, year=year,
+                                                                   date_mode=date_mode),
+        "wettest_month_by_district": wettest_month_by_district(facts, locations, year=year,
+                                                               date_mode=date_mode),
+    }

@@ -114,3 +114,16 @@ def test_kpis(spark):
     assert [(r[0], r[1]) for r in top] == [("Galle", 160.0)]
     wet = {r[0]: tuple(r)[1:] for r in kpi.wettest_month_by_district(f, names).collect()}
     assert wet["Galle"] == (5, "May", "Southwest Monsoon", 75.0)
+
+
+def test_dashboard_for_one_year(spark):
+    rows = [dict(location_id=1, weather_date="5/1/2014", precipitation_sum=60.0, wind_gusts_10m_max=50.0,
+                 temperature_2m_max=31.0),
+            dict(location_id=1, weather_date="5/1/2015", precipitation_sum=90.0, wind_gusts_10m_max=50.0,
+                 temperature_2m_max=20.0)]
+    panels = kpi.dashboard(facts(spark, rows), locs(spark, [(1, "Colombo")]), year=2015)
+    assert set(panels) == {"extreme_weather_days", "hot_share", "top_districts_precipitation",
+                           "wettest_month_by_district"}
+    assert [tuple(r) for r in panels["extreme_weather_days"].collect()] == [(2015, 1)]
+    assert panels["hot_share"].first()["hot_pct"] == 0.0
+    assert panels["top_districts_precipitation"].first()["total_precipitation_mm"] == 90.0
