@@ -64,3 +64,22 @@ def test_year_month_keys(spark):
 def test_null_date_gives_null_parts(spark):
     df = spark.createDataFrame([(None,)], "d date")
     assert df.select(F.year("d"), us_week_of_year("d")).first() == (None, None)
+
+
+def _lenient_model(m: int, d: int, y: int) -> dt.date:
+    # lenient calendar: months beyond 12 (or 0) roll the year, days roll the month
+    months = y * 12 + (m - 1)
+    first = dt.date(months // 12, months % 12 + 1, 1)
+    return first + dt.timedelta(days=d - 1)
+
+
+def test_lenient_parse_matches_calendar_model_on_random_triples(spark):
+    import random
+
+    rnd = random.Random(7)
+    triples = [(rnd.randint(0, 40), rnd.randint(0, 120), rnd.randint(1901, 2090)) for _ in range(2000)]
+    texts = [f"{m}/{d}/{y}" for m, d, y in triples]
+    got = _parse(spark, texts, "lenient")
+    expected = [_lenient_model(m, d, y) for m, d, y in triples]
+    bad = [(t, g, e) for t, g, e in zip(texts, got, expected) if g != e]
+    assert bad == []
