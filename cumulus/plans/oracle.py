@@ -353,6 +353,11 @@ GROUP BY 1 ORDER BY SUM(o.precipitation_sum) DESC, 1 LIMIT 5""")
 SELECT city_name, CAST(m AS INTEGER) AS peak_month, monthname(make_date(2000, m, 1)) AS month_name,
        {_SEASON_MAP} AS season, {_r('a', 2)} AS avg_monthly_rainfall_mm
 FROM best WHERE rk = 1""")
+    # the single-scan dashboard must equal the four separate KPI queries
+    q["dashboard_extreme_days"] = q["extreme_weather_days"]
+    q["dashboard_hot_share"] = q["hot_share"]
+    q["dashboard_top_districts"] = q["top_districts_precipitation"]
+    q["dashboard_wettest_month"] = q["wettest_month_by_district"]
     # ---- generic DataFrame / SQL surface -----------------------------------------------
     q["project_arith"] = _with(OBS, body="""
 SELECT location_id, obs_date, et0_fao_evapotranspiration + 1 AS et0_plus_one FROM obs""")

@@ -335,6 +335,33 @@ def q_wettest_month_by_district(spark, d):
     return kpi.wettest_month_by_district(_obs(spark, d), locations(spark, d))
 
 
+_DASHBOARDS: dict = {}
+
+
+def _dashboard(spark, d):
+    """One single-scan dashboard per (application, tables), shared by its four panels."""
+    key = (spark.conf.get("spark.app.id", None) or str(id(spark)), d)
+    if key not in _DASHBOARDS:
+        _DASHBOARDS[key] = kpi.dashboard(_obs(spark, d), locations(spark, d))
+    return _DASHBOARDS[key]
+
+
+def q_dashboard_extreme_days(spark, d):
+    return _dashboard(spark, d)["extreme_weather_days"]
+
+
+def q_dashboard_hot_share(spark, d):
+    return _dashboard(spark, d)["hot_share"]
+
+
+def q_dashboard_top_districts(spark, d):
+    return _dashboard(spark, d)["top_districts_precipitation"]
+
+
+def q_dashboard_wettest_month(spark, d):
+    return _dashboard(spark, d)["wettest_month_by_district"]
+
+
 # ---- generic DataFrame / SQL surface ---------------------------------------------------
 def q_project_arith(spark, d):
     o = climate.with_obs_date(_obs(spark, d))
@@ -439,6 +466,10 @@ def queries() -> dict[str, Query]:
         "extreme_location_days": q_extreme_location_days,
         "top_districts_precipitation": q_top_districts_precipitation,
         "wettest_month_by_district": q_wettest_month_by_district,
+        "dashboard_extreme_days": q_dashboard_extreme_days,
+        "dashboard_hot_share": q_dashboard_hot_share,
+        "dashboard_top_districts": q_dashboard_top_districts,
+        "dashboard_wettest_month": q_dashboard_wettest_month,
         "project_arith": q_project_arith,
         "range_filter": q_range_filter,
         "prefix_label": q_prefix_label,

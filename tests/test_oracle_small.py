@@ -105,3 +105,10 @@ def test_hottest_month_weeks_scan_facts_once(spark):
     p = _plan(E.queries()["hottest_month_weekly_max"](spark, SF))
     assert p.count("FileScan parquet") == 1
     assert "Window" in p
+
+
+def test_dashboard_panels_read_the_checkpoint_not_the_facts(spark):
+    for name in ("dashboard_extreme_days", "dashboard_hot_share", "dashboard_top_districts",
+                 "dashboard_wettest_month"):
+        p = _plan(E.queries()[name](spark, SF))
+        assert "lineitem" not in p, name
