@@ -143,14 +143,14 @@ def city_temperature_ranking(facts: DataFrame, locations: DataFrame, direction:
 # A5: seasonal ET0
 # ---------------------------------------------------------------------------------------
 # --- fixed values: agricultural season labels ---------------------------------------------
-SEASON_DRY, SEASON_WET = "Sep-Mar", "Apr-Aug"
+SEASON_SEP_MAR, SEASON_APR_AUG = "Sep-Mar", "Apr-Aug"
 
 
 def agricultural_season(month: Column) -> Column:
     """'Sep-Mar' for month >= 9 or <= 3, 'Apr-Aug' for any other known month, NULL for a
     missing month (dropped by the analysis)."""
-    return (F.when((month >= 9) | (month <= 3), F.lit(SEASON_DRY))
-            .when(month.isNotNull(), F.lit(SEASON_WET)))
+    return (F.when((month >= 9) | (month <= 3), F.lit(SEASON_SEP_MAR))
+            .when(month.isNotNull(), F.lit(SEASON_APR_AUG)))
 
 
 def seasonal_et0(facts: DataFrame, locations: DataFrame, min_records: int = 30,
