@@ -65,3 +65,20 @@ def test_hot_key_is_pre_aggregated_before_the_exchange(spark):
     first_exchange = plan.rfind("Exchange hashpartitioning(location_id")
     assert first_exchange > 0
     assert "HashAggregate(keys=[location_id" in plan[first_exchange:]
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    from cumulus.plans import catalog
+
+    facts, locs = _skewed_facts(spark), _locs(spark)
+    catalog.save_bucketed(facts.select("location_id", "weather_date", "temperature_2m_max"), "facts_b", 8)
+    catalog.save_bucketed(locs, "locations_b", 8)
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("facts_b").join(spark.table("locations_b"), "location_id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == facts.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
