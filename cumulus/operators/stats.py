@@ -129,12 +129,21 @@ def regression_metrics(df: DataFrame, label: str = MODEL_LABEL, prediction: str
     return df.agg(rmse.alias("rmse"), r2.alias("r2"), n.alias("n"))
 
 
-def fitted_line_metrics(df: DataFrame, y: str = MODEL_LABEL, x: str = "sunshine_duration") -> DataFrame:
-    """Evaluate the least-squares line of ``y`` on ``x``. The two coefficients come back to
-    the driver as scalars (a bounded result), then the evaluation is one more pass."""
-    coef = df.agg(F.regr_slope(y, x).alias("b"), F.regr_intercept(y, x).alias("a")).first()
-    pred = df.withColumn("prediction", F.lit(coef["a"]) + F.lit(coef["b"]) * F.col(x))
-    return regression_metrics(pred, y, "prediction")
+def fitted_line_metrics(df: DataFrame, y: str = MODEL_LABEL, x: str = "sunshine_duration",
+                        digits: int = 6) -> DataFrame:
+    """RMSE and R^2 of the least-squares line of ``y`` on ``x`` in ONE aggregate pass.
+
+    For the OLS line the residual sum of squares is ``Syy - Sxy^2 / Sxx``, so with
+    population moments RMSE = sqrt(var(y) - cov(x, y)^2 / var(x)) and R^2 = cov^2 / (var(x)
+    var(y)); no coefficients travel to the driver and the data is read once. Pairs with a
+    NULL side are skipped, as by the regression aggregates."""
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    xx, yy = F.when(both, F.col(x)).cast("double"), F.when(both, F.col(y)).cast("double")
+    cov, vx, vy = F.covar_pop(xx, yy), F.var_pop(xx), F.var_pop(yy)
+    rmse = F.sqrt(F.greatest(vy - F.try_divide(cov * cov, vx), F.lit(0.0)))
+    r2 = F.try_divide(cov * cov, vx * vy)
+    return df.agg(F.round(rmse, digits).alias("rmse"), F.round(r2, digits).alias("r2"),
+                  F.count_if(both).alias("n"))
 
 
 def mean_conditions(df: DataFrame, value_col: str = "prediction",
