@@ -120,10 +120,10 @@ def regression_metrics(df: DataFrame, label: str = MODEL_LABEL, prediction: str
     """RMSE and R^2 (1 - SSres/SStot) of a prediction column, in one aggregate."""
     y, p = F.col(label), F.col(prediction)
     n = F.count(F.lit(1))
-    ss_res = F.sum((y - p) * (y - p))
-    ss_tot = F.sum(y * y) - F.sum(y) * F.sum(y) / n
-    rmse = F.sqrt(F.try_divide(ss_res, n))
-    r2 = 1 - F.try_divide(ss_res, ss_tot)
+    mse = F.avg((y - p) * (y - p))
+    # 1 - SSres/SStot with both divided by n; var_pop merges stably across partitions
+    rmse = F.sqrt(mse)
+    r2 = 1 - F.try_divide(mse, F.var_pop(y))
     if digits is not None:
         rmse, r2 = F.round(rmse, digits), F.round(r2, digits)
     return df.agg(rmse.alias("rmse"), r2.alias("r2"), n.alias("n"))
