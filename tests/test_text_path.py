@@ -76,3 +76,26 @@ def test_keyed_split_is_layout_independent(spark):
     assert sorted(r.id for r in a.collect()) == sorted(r.id for r in b.collect())
     r_train, r_test = deterministic_split(df, method="random")
     assert r_train.count() + r_test.count() == 1000
+
+
+def _java_split_len(s: str) -> int:
+    # String.split(","): split on every comma, then drop trailing empty strings
+    parts = s.split(",")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return len(parts) if s else 1
+
+
+def test_reject_decision_matches_java_split_on_random_lines(spark):
+    import random
+
+    from cumulus.schema import MIN_FIELDS
+    from cumulus.sources.lines import field_count
+
+    rnd = random.Random(11)
+    lines = ["".join(rnd.choice([",", ",", "a", "7", " ", ""]) for _ in range(rnd.randint(0, 40)))
+             for _ in range(3000)]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = [r[0] for r in df.select(field_count(F.col("value")) >= MIN_FIELDS).collect()]
+    expected = [_java_split_len(x) >= MIN_FIELDS for x in lines]
+    assert got == expected
