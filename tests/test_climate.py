@@ -27,10 +27,10 @@ def test_monthly_district_default_name_and_rounding(spark):
         dict(location_id=1, weather_date="bad", precipitation_hours=5.0, temperature_2m_mean=5.0),
         dict(location_id=None, weather_date="1/5/2014", precipitation_hours=5.0, temperature_2m_mean=5.0),
     ])
-    out = {r["label"]: r for r in climate.monthly_district_weather(f, locs(spark, [(1, "Colombo")])).collect()}
-    assert set(out) == {"Colombo|2014-01", "Unknown|2014-02"}
-    assert out["Colombo|2014-01"]["total_precipitation_hours"] == 6.0
-    assert out["Colombo|2014-01"]["mean_temperature"] == pytest.approx(20.67)
+    out = {r["label"]: r for r in climate.monthly_district_weather(f, locs(spark, [(1, "Alphaville")])).collect()}
+    assert set(out) == {"Alphaville|2014-01", "Unknown|2014-02"}
+    assert out["Alphaville|2014-01"]["total_precipitation_hours"] == 6.0
+    assert out["Alphaville|2014-01"]["mean_temperature"] == pytest.approx(20.67)
 
 
 def test_peak_month_tie_goes_to_earliest_and_empty_gives_nothing(spark):
@@ -105,15 +105,15 @@ def test_kpis(spark):
             dict(location_id=2, weather_date="5/1/2015", precipitation_sum=80.0, wind_gusts_10m_max=41.0,
                  temperature_2m_max=35.0)]
     f = facts(spark, rows)
-    names = locs(spark, [(1, "Colombo"), (2, "Galle")])
+    names = locs(spark, [(1, "Alphaville"), (2, "Betaport")])
     assert {r[0]: r[1] for r in kpi.extreme_weather_days(f).collect()} == {2014: 1, 2015: 1}
     assert kpi.extreme_weather_days(f, year=2014, grain="location_day").first()[1] == 2
     hs = {r[0]: (r[1], r[2]) for r in kpi.hot_share(f).collect()}
     assert hs[2014] == (pytest.approx(33.33), pytest.approx(66.67))
     top = kpi.top_districts_precipitation(f, names, n=1).collect()
-    assert [(r[0], r[1]) for r in top] == [("Galle", 160.0)]
+    assert [(r[0], r[1]) for r in top] == [("Betaport", 160.0)]
     wet = {r[0]: tuple(r)[1:] for r in kpi.wettest_month_by_district(f, names).collect()}
-    assert wet["Galle"] == (5, "May", "Southwest Monsoon", 75.0)
+    assert wet["Betaport"] == (5, "May", "Southwest Monsoon", 75.0)
 
 
 def test_dashboard_for_one_year(spark):
@@ -121,7 +121,7 @@ def test_dashboard_for_one_year(spark):
                  temperature_2m_max=31.0),
             dict(location_id=1, weather_date="5/1/2015", precipitation_sum=90.0, wind_gusts_10m_max=50.0,
                  temperature_2m_max=20.0)]
-    panels = kpi.dashboard(facts(spark, rows), locs(spark, [(1, "Colombo")]), year=2015)
+    panels = kpi.dashboard(facts(spark, rows), locs(spark, [(1, "Alphaville")]), year=2015)
     assert set(panels) == {"extreme_weather_days", "hot_share", "top_districts_precipitation",
                            "wettest_month_by_district"}
     assert [tuple(r) for r in panels["extreme_weather_days"].collect()] == [(2015, 1)]
