@@ -14,7 +14,7 @@ from ..operators import climate, generic, kpi, ml, quality, stats
 from ..schema import FACT_COLUMNS
 from ..session import scratch_path
 from ..sources import readers
-from ..sources.lines import parse_lines
+from ..sources.lines import parse_lines, read_observation_files
 from ..streaming import incremental
 from ..sources.sinks import legacy_text_lines
 from .joins import known_locations
@@ -42,6 +42,15 @@ def q_monthly_district_weather_text(spark, d):
     return climate.monthly_district_weather(_text_facts(spark, d), locations(spark, d), min_year=MIN_YEAR)
 
 
+def q_monthly_district_weather_files(spark, d):
+    """The raw lines as text files, read through the native CSV tokenizer (the fast form of
+    the text path for files), then the monthly district analysis."""
+    path = scratch_path(spark, "lines")
+    observation_lines(spark, d).write.mode("overwrite").text(path)
+    facts = read_observation_files(spark, path).valid
+    return climate.monthly_district_weather(facts, locations(spark, d), min_year=MIN_YEAR)
+
+
 def q_monthly_district_weather_ingested(spark, d):
     """Production path: the raw facts are ingested once into typed Parquet partitioned by
     year (in the shared folder), then analysed; the year bound prunes whole folders."""
@@ -416,6 +425,7 @@ def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "monthly_district_weather": q_monthly_district_weather,
         "monthly_district_weather_text": q_monthly_district_weather_text,
+        "monthly_district_weather_files": q_monthly_district_weather_files,
         "monthly_district_weather_ingested": q_monthly_district_weather_ingested,
         "streaming_ingest": q_streaming_ingest,
         "fact_csv_scan": q_fact_csv_scan,

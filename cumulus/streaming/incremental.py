@@ -14,13 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.dates import parse_date
-from ..sources.lines import parse_lines
+from ..sources.lines import read_observation_files
 
 
 def start_ingest(spark: SparkSession, source_dir: str, target_dir: str, checkpoint_dir: str,
                  available_now: bool = True, date_mode: str = "lenient") -> StreamingQuery:
-    lines = spark.readStream.format("text").load(source_dir)
-    facts = parse_lines(lines).valid
+    facts = read_observation_files(spark, source_dir, stream=True).valid
     typed = (facts.withColumn("obs_date", parse_date("weather_date", date_mode))
              .where(F.col("obs_date").isNotNull())
              .withColumn("year", F.year("obs_date")))

@@ -99,3 +99,22 @@ def test_reject_decision_matches_java_split_on_random_lines(spark):
     got = [r[0] for r in df.select(field_count(F.col("value")) >= MIN_FIELDS).collect()]
     expected = [_java_split_len(x) >= MIN_FIELDS for x in lines]
     assert got == expected
+
+
+def test_file_reader_matches_line_parser(spark, tmp_dir):
+    from cumulus.sources.lines import read_lines, read_observation_files
+
+    lines = [HEADER, _line("1", "1/5/2014"), HEADER, _line("2", "1/6/2014", t_mean="null"),
+             _line("3", "1/7/2014", hours=""), _line("4", "1/8/2014", et0="abc"),
+             _line("5", "1/9/2014", n=10), _line(" 6 ", " 1/10/2014 "),
+             "7,1/5/2014,1,2,3,4,5,6,7,8,9,10,11,,,,,,,,", "8,1/5/2014,1,2,3,4,5,6,7,8,9,10,11,,,,,,x,,", ""]
+    import os
+    os.makedirs(f"{tmp_dir}/in", exist_ok=True)
+    with open(f"{tmp_dir}/in/a.csv", "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    by_lines = parse_lines(read_lines(spark, f"{tmp_dir}/in"))
+    by_files = read_observation_files(spark, f"{tmp_dir}/in")
+    a = sorted(map(tuple, by_lines.valid.collect()), key=str)
+    b = sorted(map(tuple, by_files.valid.collect()), key=str)
+    assert a == b and len(a) == 6
+    assert by_files.rejected.count() == 2  # the 10-field line and the 13-field line
