@@ -87,7 +87,7 @@ def read_observation_files(spark: SparkSession, path: str, min_fields: int = MIN
     reader = spark.readStream if stream else spark.read
     raw = reader.schema(text_schema).option("header", False).option("mode", "PERMISSIVE").csv(path)
     first = F.col(columns[0][0])
-    is_header = F.coalesce(F.trim(first).startswith(HEADER_TOKEN), F.lit(False))
+    is_header = F.coalesce(first.startswith(HEADER_TOKEN), F.lit(False))  # raw text, as for lines
     tail = [F.coalesce(F.trim(F.col(n)), F.lit("")) == F.lit("") for n, _ in columns[min_fields - 1:]]
     short = tail[0]
     for t in tail[1:]:
