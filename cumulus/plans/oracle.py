@@ -318,6 +318,39 @@ SELECT {_r('AVG(precipitation_hours)', 2)} AS avg_required_precip,
        {_r('AVG(sunshine_duration)', 2)} AS avg_required_sunshine,
        {_r('AVG(wind_speed)', 2)} AS avg_required_wind, {_r('AVG(et0)', 2)} AS avg_et0
 FROM model_rows WHERE et0 < 1.5""")
+    # ordinary least squares on the training split (3 features + intercept): covariances,
+    # then Cramer's rule for the 3x3 normal equations; metrics on the test split
+    ols = """ols_m AS (
+  SELECT COVAR_POP(precipitation_hours, precipitation_hours) AS s11,
+         COVAR_POP(precipitation_hours, sunshine_duration) AS s12,
+         COVAR_POP(precipitation_hours, wind_speed) AS s13,
+         COVAR_POP(sunshine_duration, sunshine_duration) AS s22,
+         COVAR_POP(sunshine_duration, wind_speed) AS s23,
+         COVAR_POP(wind_speed, wind_speed) AS s33,
+         COVAR_POP(precipitation_hours, et0) AS c1, COVAR_POP(sunshine_duration, et0) AS c2,
+         COVAR_POP(wind_speed, et0) AS c3,
+         AVG(precipitation_hours) AS m1, AVG(sunshine_duration) AS m2, AVG(wind_speed) AS m3,
+         AVG(et0) AS my
+  FROM model_rows WHERE split_bucket < 80),
+ols_d AS (
+  SELECT *, s11 * (s22 * s33 - s23 * s23) - s12 * (s12 * s33 - s23 * s13)
+            + s13 * (s12 * s23 - s22 * s13) AS det FROM ols_m),
+ols_b AS (
+  SELECT *,
+    (c1 * (s22 * s33 - s23 * s23) - s12 * (c2 * s33 - s23 * c3) + s13 * (c2 * s23 - s22 * c3)) / det AS b1,
+    (s11 * (c2 * s33 - c3 * s23) - c1 * (s12 * s33 - s23 * s13) + s13 * (s12 * c3 - c2 * s13)) / det AS b2,
+    (s11 * (s22 * c3 - s23 * c2) - s12 * (s12 * c3 - c2 * s13) + c1 * (s12 * s23 - s22 * s13)) / det AS b3
+  FROM ols_d),
+ols_fit AS (SELECT b1, b2, b3, my - b1 * m1 - b2 * m2 - b3 * m3 AS b0 FROM ols_b),
+test_rows AS (
+  SELECT t.et0, f.b0 + f.b1 * t.precipitation_hours + f.b2 * t.sunshine_duration + f.b3 * t.wind_speed AS p,
+         AVG(t.et0) OVER () AS ybar
+  FROM model_rows t, ols_fit f WHERE t.split_bucket >= 80)"""
+    q["linear_regression_eval"] = _with(OBS, MODELLING, ols, body=f"""
+SELECT 'Linear Regression' AS Model,
+       {_r('SQRT(AVG(POWER(et0 - p, 2)))', 6)} AS RMSE,
+       {_r('1 - SUM(POWER(et0 - p, 2)) / SUM(POWER(et0 - ybar, 2))', 6)} AS R2
+FROM test_rows""")
     # ---- dashboard KPIs ----------------------------------------------------------------
     q["extreme_weather_days"] = _with(OBS, body="""
 SELECT CAST(year(obs_date) AS INTEGER) AS year, CAST(COUNT(DISTINCT obs_date) AS BIGINT) AS extreme_days

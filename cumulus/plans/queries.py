@@ -295,8 +295,10 @@ def _fitted(spark, d, which=("lr", "rf", "gbt")):
 def q_linear_regression_eval(spark, d):
     f = _fitted(spark, d, ("lr",))
     rmse, r2 = f.metrics["lr"]
-    return spark.createDataFrame([(ml.MODEL_TITLES["lr"], float(rmse), float(r2))],
-                                 "Model string, RMSE double, R2 double")
+    # 6 dp: the least-squares solution is unique, so any exact solver agrees to this precision
+    row = spark.createDataFrame([(ml.MODEL_TITLES["lr"], float(rmse), float(r2))],
+                                "Model string, RMSE double, R2 double")
+    return row.select("Model", F.round("RMSE", 6).alias("RMSE"), F.round("R2", 6).alias("R2"))
 
 
 def q_model_comparison(spark, d):
