@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.dates import parse_date, year_month_key
+from ..functions.dates import parse_date
 from ..functions.text import is_valid_text
 from ..plans.compute_once import compute_once
 from ..sources.lines import field_count
@@ -35,7 +35,7 @@ def line_flags(lines: DataFrame, min_year: int = 2014, date_mode: str = "lenient
         (body & F.trim(raw_et0).try_cast("double").isNull()).alias("missing_et0"),
         (body & (d < start)).alias("before_min_year"),
         (body & (d >= start)).alias("kept"),
-        F.when(body, year_month_key(d)).alias("year_month"),
+        F.when(body, F.year(d) * 100 + F.month(d)).alias("year_month"),  # int key: no string per row
     )
 
 
