@@ -33,7 +33,7 @@ def main() -> None:
     if not os.path.exists(os.path.join(dst, "lineitem.parquet")):
         spark = build_session(app_name="cumulus-scale-copy")
         li = spark.read.parquet(f"{a.src}/lineitem.parquet")
-        step = 10 ** 9  # keeps order keys distinct across copies
+        step = 10_000_000  # above every order key of the source: copies stay distinct
         copies = [li.withColumn("l_orderkey", F.col("l_orderkey") + F.lit(i * step)) for i in range(a.copies)]
         reduce(lambda x, y: x.unionByName(y), copies).repartition(a.files) \
             .write.mode("overwrite").parquet(f"{dst}/lineitem.parquet")
