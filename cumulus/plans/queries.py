@@ -332,7 +332,7 @@ def q_hot_share(spark, d):
 
 def q_hot_share_months(spark, d):
     # monthly means of the bound temperatures centre near 22.75 (82% above 20 at sf0.01), so 20
-    # (not 30, which almost none reach) keeps both classes and the check covers both branches
+    # (not 30, which about 1% reach) keeps both classes well populated in the check
     return kpi.hot_share(_obs(spark, d), threshold=20.0, grain="month")
 
 
