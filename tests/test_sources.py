@@ -150,3 +150,26 @@ def test_sinks_roundtrip(spark, tmp_dir):
     assert spark.read.option("header", True).csv(f"{tmp_dir}/c").count() == 3
     sinks.write_text(df.selectExpr("concat_ws('|', location_id, city_name) AS value"), f"{tmp_dir}/t")
     assert sorted(r.value for r in spark.read.text(f"{tmp_dir}/t").collect()) == ["1|a", "2|b", "3"]
+
+
+def test_sql_over_registered_views_matches_operator(spark):
+    """SQL written against the joined view (as a SQL user would) equals the operator."""
+    from cumulus.operators import climate
+    from cumulus.plans.observations import locations, observations
+
+    sf = "/root/testdata/sf0.001"
+    facts, locs = observations(spark, sf), locations(spark, sf)
+    catalog.register_views(spark, facts, locs)
+    sql = """
+      WITH per_city AS (
+        SELECT city_name, AVG(temperature_2m_max) AS avg_t, COUNT(*) AS n
+        FROM combined_weather_data
+        WHERE temperature_2m_max IS NOT NULL AND temperature_2m_max > -50 AND temperature_2m_max < 60
+        GROUP BY city_name HAVING COUNT(*) >= 365)
+      SELECT ROW_NUMBER() OVER (ORDER BY avg_t, city_name) AS temperature_rank, city_name,
+             ROUND(avg_t, 2) AS avg_max_temperature_celsius, n AS record_count
+      FROM per_city ORDER BY temperature_rank LIMIT 10"""
+    via_sql = [tuple(r) for r in spark.sql(sql).collect()]
+    via_op = [tuple(r) for r in climate.city_temperature_ranking(facts, locs).collect()]
+    assert via_sql == via_op and len(via_op) > 0
+    assert {"weather_data", "location_data", "combined_weather_data"} <= set(catalog.list_tables(spark))
