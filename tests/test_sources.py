@@ -173,3 +173,28 @@ def test_sql_over_registered_views_matches_operator(spark):
     via_op = [tuple(r) for r in climate.city_temperature_ranking(facts, locs).collect()]
     assert via_sql == via_op and len(via_op) > 0
     assert {"weather_data", "location_data", "combined_weather_data"} <= set(catalog.list_tables(spark))
+
+
+def test_seasonal_sql_over_views_matches_operator(spark):
+    from cumulus.operators import climate
+    from cumulus.plans.observations import locations, observations
+
+    sf = "/root/testdata/sf0.001"
+    facts, locs = observations(spark, sf), locations(spark, sf)
+    catalog.register_views(spark, facts, locs)
+    sql = """
+      WITH s AS (
+        SELECT city_name, et0_fao_evapotranspiration AS e,
+               CASE WHEN month_val >= 9 OR month_val <= 3 THEN 'Sep-Mar'
+                    WHEN month_val >= 4 OR month_val <= 8 THEN 'Apr-Aug'
+                    ELSE 'Unknown' END AS agricultural_season
+        FROM combined_weather_data
+        WHERE et0_fao_evapotranspiration IS NOT NULL
+          AND et0_fao_evapotranspiration BETWEEN 0 AND 20)
+      SELECT city_name, agricultural_season, ROUND(AVG(e), 3) AS avg_evapotranspiration_mm,
+             COUNT(*) AS record_count
+      FROM s WHERE agricultural_season != 'Unknown'
+      GROUP BY city_name, agricultural_season HAVING COUNT(*) >= 30
+      ORDER BY city_name, agricultural_season"""
+    assert [tuple(r) for r in spark.sql(sql).collect()] == \
+        [tuple(r) for r in climate.seasonal_et0(facts, locs).collect()]
