@@ -81,8 +81,8 @@ def text_to_rows(spark: SparkSession, path: str, schema_text: str | None = None,
 
 def ingest_observations(spark: SparkSession, facts: DataFrame, path: str,
                         date_mode: str = "lenient", partition_by_year: bool = True) -> DataFrame:
-    """Write the typed fact table once: dates parsed, year/month added, rows without a
-    valid date kept apart. Partitioned by year, so a year or date-range filter prunes whole
+    """Write the typed fact table once: dates parsed, year/month added; rows without a
+    valid date are left out (``quality_counters`` counts them). Partitioned by year, so a year or date-range filter prunes whole
     folders and the rest is skipped by Parquet row-group statistics."""
     typed = facts.withColumn("obs_date", parse_date("weather_date", date_mode))
     good = typed.where(F.col("obs_date").isNotNull()).withColumns(
@@ -92,3 +92,18 @@ def ingest_observations(spark: SparkSession, facts: DataFrame, path: str,
         w = w.partitionBy("year")
     w.parquet(path)
     return spark.read.parquet(path)
+
+
+def ingest_files(spark: SparkSession, source: str, target: str, rejects: str | None = None,
+                 date_mode: str = "lenient") -> DataFrame:
+    """Raw observation files -> typed Parquet partitioned by year, in one job per output.
+
+    Lines are tokenized by the native CSV reader with the text-path rules (header lines
+    dropped, short lines rejected, bad values NULL). Short lines go to ``rejects`` (a
+    quarantine folder, kept for inspection) when given."""
+    from .lines import read_observation_files  # local: lines imports nothing from here
+
+    parsed = read_observation_files(spark, source)
+    if rejects:
+        parsed.rejected.write.mode("overwrite").text(rejects)
+    return ingest_observations(spark, parsed.valid, target, date_mode)

@@ -198,3 +198,14 @@ def test_seasonal_sql_over_views_matches_operator(spark):
       ORDER BY city_name, agricultural_season"""
     assert [tuple(r) for r in spark.sql(sql).collect()] == \
         [tuple(r) for r in climate.seasonal_et0(facts, locs).collect()]
+
+
+def test_ingest_files_with_quarantine(spark, tmp_dir):
+    row = "{loc},{date},1,30,20,25,31,21,25,1,1,1,1,2,1,1,1,1,1,,"
+    _write(f"{tmp_dir}/raw/a.csv", ["location_id,date,x", row.format(loc=1, date="1/5/2014"),
+                                    "2,1/6/2014,1,2,3", row.format(loc=3, date="bad"),
+                                    row.format(loc=4, date="3/1/2015")])
+    typed = readers.ingest_files(spark, f"{tmp_dir}/raw", f"{tmp_dir}/facts", rejects=f"{tmp_dir}/rejects")
+    assert sorted((r.location_id, r.year) for r in typed.collect()) == [(1, 2014), (4, 2015)]
+    rejected = [r.value for r in spark.read.text(f"{tmp_dir}/rejects").collect()]
+    assert len(rejected) == 1 and rejected[0].startswith("2,1/6/2014,1,2,3")
