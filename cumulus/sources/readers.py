@@ -80,11 +80,14 @@ def text_to_rows(spark: SparkSession, path: str, schema_text: str | None = None,
 
 
 def ingest_observations(spark: SparkSession, facts: DataFrame, path: str,
-                        date_mode: str = "lenient", partition_by_year: bool = True) -> DataFrame:
+                        date_mode: str = "lenient", partition_by_year: bool = True,
+                        bad_dates: str | None = None) -> DataFrame:
     """Write the typed fact table once: dates parsed, year/month added; rows without a
-    valid date are left out (``quality_counters`` counts them). Partitioned by year, so a year or date-range filter prunes whole
+    valid date are left out, or written to ``bad_dates`` when given. Partitioned by year, so a year or date-range filter prunes whole
     folders and the rest is skipped by Parquet row-group statistics."""
     typed = facts.withColumn("obs_date", parse_date("weather_date", date_mode))
+    if bad_dates:  # quarantine, not loss: rows whose date does not parse
+        typed.where(F.col("obs_date").isNull()).drop("obs_date").write.mode("overwrite").parquet(bad_dates)
     good = typed.where(F.col("obs_date").isNotNull()).withColumns(
         {"year": F.year("obs_date"), "month": F.month("obs_date")})
     w = good.write.mode("overwrite")
@@ -99,11 +102,13 @@ def ingest_files(spark: SparkSession, source: str, target: str, rejects: str | N
     """Raw observation files -> typed Parquet partitioned by year, in one job per output.
 
     Lines are tokenized by the native CSV reader with the text-path rules (header lines
-    dropped, short lines rejected, bad values NULL). Short lines go to ``rejects`` (a
-    quarantine folder, kept for inspection) when given."""
+    dropped, short lines rejected, bad values NULL). With ``rejects`` (a quarantine
+    folder) short lines land in ``rejects/short_lines`` and rows whose date does not parse
+    in ``rejects/bad_dates``, so nothing is lost silently."""
     from .lines import read_observation_files  # local: lines imports nothing from here
 
     parsed = read_observation_files(spark, source)
     if rejects:
-        parsed.rejected.write.mode("overwrite").text(rejects)
-    return ingest_observations(spark, parsed.valid, target, date_mode)
+        parsed.rejected.write.mode("overwrite").text(f"{rejects}/short_lines")
+    return ingest_observations(spark, parsed.valid, target, date_mode,
+                               bad_dates=f"{rejects}/bad_dates" if rejects else None)

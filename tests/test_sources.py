@@ -207,5 +207,7 @@ def test_ingest_files_with_quarantine(spark, tmp_dir):
                                     row.format(loc=4, date="3/1/2015")])
     typed = readers.ingest_files(spark, f"{tmp_dir}/raw", f"{tmp_dir}/facts", rejects=f"{tmp_dir}/rejects")
     assert sorted((r.location_id, r.year) for r in typed.collect()) == [(1, 2014), (4, 2015)]
-    rejected = [r.value for r in spark.read.text(f"{tmp_dir}/rejects").collect()]
+    rejected = [r.value for r in spark.read.text(f"{tmp_dir}/rejects/short_lines").collect()]
     assert len(rejected) == 1 and rejected[0].startswith("2,1/6/2014,1,2,3")
+    bad = spark.read.parquet(f"{tmp_dir}/rejects/bad_dates").collect()
+    assert [(r.location_id, r.weather_date) for r in bad] == [(3, "bad")]
