@@ -185,6 +185,7 @@ def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["monthly_district_weather"] = _monthly_district(LOC)
     q["monthly_district_weather_text"] = _monthly_district(LOC)
+    q["monthly_district_weather_strict"] = _monthly_district(LOC)
     q["monthly_district_weather_files"] = _monthly_district(LOC)
     q["monthly_district_weather_ingested"] = _monthly_district(LOC)
     q["streaming_ingest"] = _with(OBS, body="""

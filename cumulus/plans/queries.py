@@ -42,6 +42,13 @@ def q_monthly_district_weather_text(spark, d):
     return climate.monthly_district_weather(_text_facts(spark, d), locations(spark, d), min_year=MIN_YEAR)
 
 
+def q_monthly_district_weather_strict(spark, d):
+    """The text path with strict dates (month/day/year, then day/month/year, no roll-over);
+    on valid dates it must agree with the lenient default."""
+    return climate.monthly_district_weather(_text_facts(spark, d), locations(spark, d),
+                                            min_year=MIN_YEAR, date_mode="strict")
+
+
 def q_monthly_district_weather_files(spark, d):
     """The raw lines as text files, read through the native CSV tokenizer (the fast form of
     the text path for files), then the monthly district analysis."""
@@ -429,6 +436,7 @@ def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "monthly_district_weather": q_monthly_district_weather,
         "monthly_district_weather_text": q_monthly_district_weather_text,
+        "monthly_district_weather_strict": q_monthly_district_weather_strict,
         "monthly_district_weather_files": q_monthly_district_weather_files,
         "monthly_district_weather_ingested": q_monthly_district_weather_ingested,
         "streaming_ingest": q_streaming_ingest,
