@@ -7,8 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.climate import combined_observations
 
 
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def use_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(name)}")
     spark.catalog.setCurrentDatabase(name)
 
 
@@ -18,8 +26,8 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
 
 
 def set_table_properties(spark: SparkSession, name: str, props: dict[str, str]) -> None:
-    kv = ", ".join(f"'{k}'='{v}'" for k, v in props.items())
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({kv})")
+    kv = ", ".join(f"{_literal(k)}={_literal(v)}" for k, v in props.items())
+    spark.sql(f"ALTER TABLE {_ident(name)} SET TBLPROPERTIES ({kv})")
 
 
 def register_views(spark: SparkSession, facts: DataFrame, locations: DataFrame) -> None:
