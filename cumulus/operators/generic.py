@@ -39,6 +39,8 @@ def sql_over_view(spark: SparkSession, df: DataFrame, view: str, sql: str, args:
 
 def sql_on_file(spark: SparkSession, path: str, fmt: str = "parquet", columns: str = "*") -> DataFrame:
     """SQL straight over a file path (no table registration)."""
+    if not fmt.isidentifier():
+        raise ValueError(f"not a data source name: {fmt!r}")
     quoted = path.replace("`", "``")  # a backtick in the path must not end the identifier
     return spark.sql(f"SELECT {columns} FROM {fmt}.`{quoted}`")
 
