@@ -111,3 +111,15 @@ def test_dashboard_panels_read_the_checkpoint_not_the_facts(spark):
                  "dashboard_wettest_month"):
         p = _plan(E.queries()[name](spark, SF))
         assert "lineitem" not in p, name
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_outputs_are_flat_with_unique_names(spark, name):
+    from pyspark.sql import types as T
+
+    df = E.queries()[name](spark, SF)
+    names = df.columns
+    assert len(names) == len(set(names)), names
+    for f in df.schema.fields:
+        assert not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)), (name, f)
+        assert "vector" not in f.dataType.simpleString(), (name, f)
