@@ -9,7 +9,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import line_quality, packing, piece_codec, piecewise_hash, ppm_language, secret_scan, token_store
+from . import (
+    chosen_path,
+    chunk_dedup,
+    line_quality,
+    packing,
+    piece_codec,
+    piecewise_hash,
+    ppm_language,
+    secret_scan,
+    suffix_dedup,
+    token_store,
+)
 from .common import documents
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,15 +36,28 @@ def op2_piece_codec(spark: SparkSession, d: str) -> DataFrame:
     return piece_codec.digests(documents(spark, d), PIECE_BPE)
 
 
+def op3_chunk_dedup(spark: SparkSession, d: str) -> DataFrame:
+    docs = documents(spark, d).select("doc_id", "text")
+    return chunk_dedup.without_repeats(docs, with_figures=True)
+
+
 def op4_line_quality(spark: SparkSession, d: str) -> DataFrame:
     return line_quality.assess(documents(spark, d))
 
 
+def op5_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, d))
+
+
 def op6_ppm_language(spark: SparkSession, d: str) -> DataFrame:
     docs = documents(spark, d)
     return ppm_language.predict(docs, ppm_language.train(docs))
 
 
+def op7_chosen_path(spark: SparkSession, d: str) -> DataFrame:
+    return chosen_path.report(documents(spark, d))
+
+
 def op8_token_store(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "store")
     token_store.write(documents(spark, d), path, BYTE_BPE, end_id=0)
@@ -49,8 +73,8 @@ def op10_piecewise_hash(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_secret_scan, op2_piece_codec, op4_line_quality, op6_ppm_language, op8_token_store, op9_packing,
-             op10_piecewise_hash]
+    found = [op1_secret_scan, op2_piece_codec, op3_chunk_dedup, op4_line_quality, op5_suffix_dedup, op6_ppm_language,
+             op7_chosen_path, op8_token_store, op9_packing, op10_piecewise_hash]
     return {f.__name__: f for f in found}
 
 
