@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cumulus.llm import line_quality, packing, secret_scan
+from cumulus.llm import chosen_path, chunk_dedup, line_quality, packing, secret_scan
 from cumulus.llm.common import documents, saved
 from cumulus.llm.queries import BYTE_BPE
 
@@ -20,6 +20,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return line_quality.filtered(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each near-duplicate group stays."""
+    return chosen_path.without_copies(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that a smaller document has too leave the text."""
+    return chunk_dedup.without_repeats(docs)
+
+
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked."""
     return secret_scan.redact(docs, secret_scan.train(docs))
@@ -32,6 +42,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
     ("secret_scans", secret_scans),
     ("packing", pack),
 ]
