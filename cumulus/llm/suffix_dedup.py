@@ -42,7 +42,8 @@ from .common import byte_table, mix64, ship_code
 
 LENGTH = 50
 ANCHOR = 24
-BLOCK_BYTES = 12 << 20
+SLICE = 1 << 18
+BLOCK_BYTES = 6 << 20
 BUCKET_BYTES = 24 << 20
 FEW = 12
 NO_ID = -(1 << 63)
@@ -63,62 +64,66 @@ class Block:
         self._anchors()
 
     def _anchors(self) -> None:
-        n = len(self.data)
-        none = np.empty(0, np.int64)
-        self.at = self.first = self.last = self.doc = none
-        self.hash = np.empty(0, np.uint64)
-        if n < LENGTH:
-            return
-        h = byte_table(5)[np.frombuffer(self.data, np.uint8)]
-        # hash of ANCHOR bytes by doubling; factors are odd, so no byte is lost
-        f = np.uint64(0x9E3779B97F4A7C15)
-        size, got, have = 1, None, 0
-        rest = ANCHOR
-        while rest:
-            if rest & 1:
-                if got is None:
-                    got, have = h, size
-                else:
-                    m = min(len(got), len(h) - have)
-                    with np.errstate(over="ignore"):
-                        got = got[:m] * _power(f, size) + h[have:have + m]
-                    have += size
-            rest >>= 1
-            if rest:
-                with np.errstate(over="ignore"):
-                    h = h[:-size] * _power(f, size) + h[size:]
-                size *= 2
-        got = mix64(got)
-        # least (hash, position) over the anchors inside each window
-        least = (got & ~LOW) | np.arange(len(got), dtype=np.uint64)
-        width = LENGTH - ANCHOR + 1
-        size = 1
-        while size * 2 <= width:
-            least = np.minimum(least[:-size], least[size:])
-            size *= 2
-        if size < width:
-            least = np.minimum(least[:size - width], least[width - size:])
-        at = (least & LOW).astype(np.int64)
-        # windows that stay inside one document
-        ok = np.zeros(len(at), bool)
+        """Runs of windows with the same anchor, a slice of windows at a time."""
+        windows = np.zeros(len(self.data), bool)  # windows that stay inside one document
         for s, e in zip(self.starts.tolist(), self.ends.tolist(), strict=True):
             if e - s >= LENGTH:
-                ok[s:e - LENGTH + 1] = True
-        window = np.nonzero(ok)[0]
-        if not len(window):
+                windows[s:e - LENGTH + 1] = True
+        raw = np.frombuffer(self.data, np.uint8)
+        parts = []
+        for s in range(0, len(raw), SLICE):
+            window = np.nonzero(windows[s:s + SLICE])[0]
+            if not len(window):
+                continue
+            hashes = _hash(raw[s:s + SLICE + LENGTH])
+            at = _least(hashes)[window]
+            doc = np.searchsorted(self.ends, window + s, side="right")
+            begin = np.nonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (doc[1:] != doc[:-1])]))[0]
+            last = window[np.concatenate([begin[1:], [len(window)]]) - 1]
+            parts.append((at[begin] + s, window[begin] + s, last + s, doc[begin], hashes[at[begin]]))
+        if not parts:
+            self.at = self.first = self.last = self.doc = np.empty(0, np.int64)
+            self.hash = np.empty(0, np.uint64)
             return
-        at = at[window]
-        doc = np.searchsorted(self.ends, window, side="right")
-        new = np.concatenate([[True], (at[1:] != at[:-1]) | (doc[1:] != doc[:-1])])
-        begin = np.nonzero(new)[0]
-        self.at, self.first, self.doc = at[begin], window[begin], doc[begin]
-        self.last = window[np.concatenate([begin[1:], [len(window)]]) - 1]
-        self.hash = got[self.at]
+        at, first, last, doc, self.hash = (np.concatenate(x) for x in zip(*parts, strict=True))
+        # a run cut by the end of a slice stays two runs with the same anchor: both are matched
+        self.at, self.first, self.last, self.doc = at, first, last, doc
 
     def bucket(self, buckets: int) -> np.ndarray:
         return (self.hash >> np.uint64(32)) % np.uint64(buckets)
 
 
+def _hash(raw: np.ndarray) -> np.ndarray:
+    """Hash of the ANCHOR bytes that start at each place, by doubling. The factors are odd, so no
+    byte is lost."""
+    h, size, got, have, rest = byte_table(5)[raw], 1, None, 0, ANCHOR
+    f = np.uint64(0x9E3779B97F4A7C15)
+    while rest:
+        if rest & 1:
+            if got is None:
+                got, have = h, size
+            else:
+                m = len(h) - have
+                got, have = got[:m] * _power(f, size) + h[have:], have + size
+        rest >>= 1
+        if rest:
+            h = h[:-size] * _power(f, size) + h[size:]
+            size *= 2
+    return mix64(got)
+
+
+def _least(hashes: np.ndarray) -> np.ndarray:
+    """Per window the place of its anchor: the least hash, the first of equals."""
+    least = (hashes & ~LOW) | np.arange(len(hashes), dtype=np.uint64)
+    width, size = LENGTH - ANCHOR + 1, 1
+    while size * 2 <= width:
+        least = np.minimum(least[:-size], least[size:])
+        size *= 2
+    if size < width:
+        least = np.minimum(least[:size - width], least[width - size:])
+    return (least & LOW).astype(np.int64)
+
+
 @lru_cache
 def _power(f: np.uint64, n: int) -> np.uint64:
     return np.uint64(pow(int(f), n, 1 << 64))
