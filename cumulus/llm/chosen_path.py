@@ -10,10 +10,11 @@ documents is compared exhaustively; a larger one branches again. ``TREES`` indep
 the recall.
 
 Work is saved in three exact ways. Equal sets are one representative. A node compares its members
-with one chosen member first; each document's best such pair is confirmed and the confirmed links
-are joined into components. After that only pairs from *different* components are compared, since
-a link inside a component changes nothing; nodes within one component are dropped, whatever their
-size. Nodes still too large after ``DEPTH`` branchings are compared in blocks, without a limit.
+with one chosen member first (the same order in every node, so a group meets around few members);
+one such pair per document is confirmed and the links are joined into components. After that only
+pairs from *different* components are compared, since a link inside a component changes nothing;
+nodes within one component are dropped, whatever their size. Of the pairs between two components
+the likeliest are confirmed first, and the rest only if no link was found. Nodes still too large after ``DEPTH`` branchings are compared in blocks, without a limit.
 
 Pairs are pre-selected by the sizes of their sets and by the share of equal minwise tokens
 (``MAYBE``, four and a half standard deviations below the threshold), and every link is confirmed
@@ -149,44 +150,66 @@ def _compare(table: pa.Table) -> pa.Table:
     k, n, comp = (table.column(c).to_numpy() for c in ("k", "n", "comp"))
     side = table.column("side").to_numpy()
     sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u4").reshape(-1, WIDTH)
-    a, b = [], []
+    a, b, s = [], [], []
     both = np.nonzero(side == 2)[0]
     left, right = (both, both) if len(both) else (np.nonzero(side == 0)[0], np.nonzero(side == 1)[0])
     for i in left:
         j = right[right > i] if len(both) else right
         j = j[(comp[j] != comp[i]) & (4 * np.minimum(n[j], n[i]) >= 3 * np.maximum(n[j], n[i]))]
-        j = j[_alike(sig[j], sig[i]) >= MAYBE] if len(j) else j
+        share = _alike(sig[j], sig[i])
+        j, share = j[share >= MAYBE], share[share >= MAYBE]
         a.append(np.minimum(k[j], k[i]))
         b.append(np.maximum(k[j], k[i]))
-    a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (a, b))
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-
-def _full(batches):
-    for b in batches:
-        yield pa.RecordBatch.from_arrays(
-            [b.column("k"), pa.array([shingles(t or "").tobytes() for t in b.column("text").to_pylist()], pa.binary())], ["k", "full"])
+        s.append(share)
+    a, b, s = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (a, b, s))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "s": pa.array(s, pa.float64())})
 
 
 def _linked(batches):
     for b in batches:
         keep = []
-        for x, y in zip(b.column("full_a").to_pylist(), b.column("full_b").to_pylist(), strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        for x, y in zip(b.column("text_a").to_pylist(), b.column("text_b").to_pylist(), strict=True):
+            x, y = shingles(x or ""), shingles(y or "")
             shared = len(np.intersect1d(x, y, assume_unique=True))
             keep.append(100 * shared >= 75 * (len(x) + len(y) - shared))
         mask = pa.array(keep, pa.bool_())
         yield pa.RecordBatch.from_arrays([b.column("a").filter(mask), b.column("b").filter(mask)], ["a", "b"])
 
 
-def _confirmed(pairs: DataFrame, reps: DataFrame, keyed: DataFrame) -> DataFrame:
-    """The pairs that are linked, on their full sets."""
+def _confirmed(pairs: DataFrame, keyed: DataFrame) -> DataFrame:
+    """The pairs that are linked, on their full sets. Texts travel, not sets: they compress."""
     wanted = pairs.select(F.col("a").alias("k")).union(pairs.select(F.col("b").alias("k"))).distinct()
-    rows = keyed.join(wanted, "k", "left_semi").select("k", "text")
-    full = in_arrow(rows, _full, "k long, full binary").groupBy("k").agg(F.first("full").alias("full"))
-    out = (pairs.select("a", "b").join(full.withColumnsRenamed({"k": "b", "full": "full_b"}), "b")
-           .join(full.withColumnsRenamed({"k": "a", "full": "full_a"}), "a"))
-    return in_arrow(out.select("a", "b", "full_a", "full_b"), _linked, "a long, b long")
+    texts = keyed.join(wanted, "k", "left_semi").select("k", "text")
+    out = (pairs.select("a", "b").join(texts.withColumnsRenamed({"k": "b", "text": "text_b"}), "b")
+           .join(texts.withColumnsRenamed({"k": "a", "text": "text_a"}), "a"))
+    return in_arrow(out.select("a", "b", "text_a", "text_b"), _linked, "a long, b long").distinct()
+
+
+def _across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The pairs (a, b, s) whose ends are in different components, with these."""
+    one = _labelled(pairs.withColumnRenamed("a", "k"), comps).withColumnsRenamed({"k": "a", "comp": "ca", "b": "k"})
+    two = _labelled(one, comps).withColumnsRenamed({"k": "b", "comp": "cb"})
+    return two.where("ca <> cb").select("a", "b", "s", F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb"))
+
+
+def _settled(pairs: DataFrame, comps: DataFrame, keyed: DataFrame) -> DataFrame:
+    """Confirm pairs until none is left between different components: first the likeliest few of
+    every two components, then all that remain. Where a link exists, the first round finds it and
+    the rest need no confirming."""
+    for few in (4, 0):
+        left = _across(pairs, comps)
+        if few:
+            left = (left.groupBy("ca", "cb", F.pmod(F.xxhash64("a", "b"), F.lit(few)).alias("part"))
+                    .agg(F.max(F.struct("s", "a", "b")).alias("p")).select("p.a", "p.b"))
+        left = saved(left.select("a", "b").distinct(), "pairs")
+        if left.isEmpty():
+            break
+        comps = _joined(comps, _confirmed(left, keyed))
+    return comps
+
+
+def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
+    return components(comps.select(F.col("vertex").alias("a"), F.col("root").alias("b")).union(links.select("a", "b")))
 
 
 def _labelled(rows: DataFrame, comps: DataFrame) -> DataFrame:
@@ -204,7 +227,7 @@ def _open(nodes: DataFrame) -> DataFrame:
 
 def _exhaustive(small: DataFrame, sigs: DataFrame) -> DataFrame:
     rows = small.select("node", "k", "n", "comp", F.lit(2).alias("side")).join(sigs, "k")
-    return rows.groupBy("node").applyInArrow(_compare, "a long, b long")
+    return rows.groupBy("node").applyInArrow(_compare, "a long, b long, s double")
 
 
 def _in_blocks(large: DataFrame, sigs: DataFrame) -> DataFrame:
@@ -215,7 +238,7 @@ def _in_blocks(large: DataFrame, sigs: DataFrame) -> DataFrame:
     met = mine.select("node", "k", "n", "comp", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     met = met.select("k", "n", "comp", "node", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
                      F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
-    return met.join(sigs, "k").groupBy("node", "x", "y").applyInArrow(_compare, "a long, b long")
+    return met.join(sigs, "k").groupBy("node", "x", "y").applyInArrow(_compare, "a long, b long, s double")
 
 
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trees: int = TREES) -> DataFrame:
@@ -226,32 +249,30 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trees: i
     some = sets.where("n > 0")
     # one representative per distinct set
     reps = saved(some.groupBy("h1", "h2").agg(F.min("k").alias("k"), F.first("n").alias("n"), F.first("sig").alias("sig")), "reps")
-    sigs = reps.groupBy("k").agg(F.first("sig").alias("sig"))
+    sigs = reps.select("k", "sig")
 
     nodes = in_arrow(reps.select("k", "n", "sig"), _roots, "node long, k long, n long", trees)
-    # the chosen member differs from node to node, so one odd document does not serve a whole group
-    order = F.struct(F.xxhash64("node", "k").alias("o"), F.col("k").alias("k"), F.col("n").alias("n"))
+    # the same order in every node, so that a group meets around few members
+    order = F.struct(F.xxhash64("k").alias("o"), F.col("k").alias("k"), F.col("n").alias("n"))
     lead = (nodes.groupBy("node").agg(F.min(order).alias("lead"), F.count("*").alias("size")).where("size > 1")
             .select("node", F.col("lead.k").alias("lead"), F.col("lead.n").alias("lead_n")))
     stars = (nodes.join(lead, "node").where("k <> lead AND 4 * least(n, lead_n) >= 3 * greatest(n, lead_n)")
-             .select(F.least("k", "lead").alias("a"), F.greatest("k", "lead").alias("b")).distinct())
+             .select(F.col("k").alias("a"), F.col("lead").alias("b")).distinct())
     both = (stars.join(sigs.withColumnsRenamed({"k": "a", "sig": "sig_a"}), "a")
             .join(sigs.withColumnsRenamed({"k": "b", "sig": "sig_b"}), "b").select("a", "b", "sig_a", "sig_b"))
     maybe = saved(in_arrow(both, _maybe, "a long, b long, s double"), "maybe")
 
-    # first each document's likeliest pair, then whatever could still join two components
-    ends = maybe.select(F.col("a").alias("v"), "a", "b", "s").union(maybe.select(F.col("b").alias("v"), "a", "b", "s"))
-    best = ends.groupBy("v").agg(F.max(F.struct("s", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
-    links = saved(_confirmed(best, reps, keyed), "links")
-    comps = components(links)
+    # each member with the first leader in that order that is likely a link
+    first = F.min(F.struct((F.col("s") < F.lit(SIMILARITY + 0.04)).alias("unsure"), F.xxhash64("b").alias("o"), F.col("b").alias("b")))
+    around = maybe.groupBy("a").agg(first.alias("p")).select("a", "p.b")
+    comps = _settled(maybe, components(_confirmed(around, keyed)), keyed)
 
-    rest = _labelled(_labelled(maybe.select(F.col("a").alias("k"), "b"), comps).withColumnsRenamed({"k": "a", "comp": "ca", "b": "k"}), comps)
-    found = rest.where("ca <> comp").select("a", F.col("k").alias("b"))
+    found = None
     level = saved(_open(_labelled(nodes, comps)), "nodes")
     for depth in range(DEPTH + 1):
-        small = level.where(F.col("size") <= LEAF)
+        pairs = _exhaustive(level.where(F.col("size") <= LEAF), sigs)
+        found = pairs if found is None else found.union(pairs)
         large = level.where(F.col("size") > LEAF)
-        found = found.union(_exhaustive(small, sigs))
         if large.isEmpty():
             break
         if depth == DEPTH:
@@ -259,9 +280,7 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trees: i
             break
         below = in_arrow(large.select("node", "k", "n", "comp").join(sigs, "k"), _branch, "node long, k long, n long, comp long")
         level = saved(_open(below.distinct()), "nodes")
-    found = saved(found.distinct(), "pairs")
-    links = links.union(_confirmed(found, reps, keyed))
-    comps = components(links)
+    comps = _settled(saved(found.distinct(), "pairs"), comps, keyed)
 
     roots = _labelled(reps.select("k", "h1", "h2"), comps).select("h1", "h2", F.col("comp").alias("set_root"))
     return (sets.select("k", "n", "h1", "h2").join(roots, ["h1", "h2"], "left")

@@ -7,7 +7,7 @@ storage; only two sums per round come to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import saved
@@ -29,16 +29,17 @@ def _small(edges: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(a, b) links -> (vertex, root): each linked vertex but the roots, with the smallest vertex
     of its component."""
-    edges = saved(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
-
-    def state(e):
-        return e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-
-    seen = state(edges)
+    edges, seen = _kept(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
     while seen[0]:
-        edges = saved(_small(_large(edges)), "links")
-        now = state(edges)
+        edges, now = _kept(_small(_large(edges)))
         if now == seen:
             break
         seen = now
     return edges.select(F.col("a").alias("vertex"), F.col("b").alias("root"))
+
+
+def _kept(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The links on shared storage, and their number and sum of hashes, observed while writing."""
+    sums = Observation()
+    out = saved(edges.observe(sums, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")), "links")
+    return out, (sums.get["n"], sums.get["h"])
