@@ -3,7 +3,8 @@
 The patterns find assignments, access keys and hex runs. Their values are the labelled samples
 of *random strings*; every other run of identifier characters is a sample of *ordinary
 identifiers*. First-order character transitions of both classes are counted over all texts (a
-few thousand counters per task, summed by Spark), smoothed by one, and frozen. A run of 16 or
+few thousand counters per task, summed by Spark), smoothed by the frequencies of single
+characters (these by one), and frozen. A run of 16 or
 more identifier characters that no pattern covers is then reported as ``markov`` when the random
 model explains it better by ``min_bits`` per transition; runs of digits alone are numbers and
 are left out. Without any labelled sample the smoothed models are flat, so nothing is added.
@@ -93,8 +94,10 @@ def train(docs: DataFrame, text: str = "text") -> np.ndarray:
     seen = np.zeros((2, K * K))
     for r in counts.groupBy("kind", "pair").agg(F.sum("n").alias("n")).collect():
         seen[r.kind, r.pair] = r.n
-    seen = seen.reshape(2, K, K)[:, 1:, 1:] + 1.0  # only inside runs
-    bits = np.log2(seen / seen.sum(axis=2, keepdims=True))
+    seen = seen.reshape(2, K, K)[:, 1:, 1:]  # only inside runs
+    plain = seen.sum(axis=1, keepdims=True) + 1.0
+    plain /= plain.sum(axis=2, keepdims=True)
+    bits = np.log2((seen + (K - 1) * plain) / (seen.sum(axis=2, keepdims=True) + K - 1))
     out = np.zeros((K, K))
     out[1:, 1:] = bits[1] - bits[0]
     return out

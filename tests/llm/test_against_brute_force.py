@@ -1,0 +1,338 @@
+"""The operators against plain versions, libraries and exact round trips."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from cumulus.llm import (
+    byte_tokens,
+    chosen_path,
+    chunk_dedup,
+    components,
+    line_quality,
+    packing,
+    piece_codec,
+    piecewise_hash,
+    ppm_language,
+    secret_scan,
+    suffix_dedup,
+    token_store,
+)
+from cumulus.llm.queries import BYTE_BPE, PIECE_BPE
+from cumulus.session import scratch_path
+
+SMALL = "/root/testdata/sf0.001/documents.parquet"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(SMALL)
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r.doc_id: r.text or "" for r in docs.collect()}
+
+
+def _noise(alphabet, n, seed):
+    rnd = random.Random(seed)
+    return ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(0, 40))) for _ in range(n)]
+
+
+def test_secret_patterns_are_the_stated_ones():
+    assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    parts = ["token", "=", " ", ":", "'", "AKIA", "ABCDEFGH12345678", "0123456789abcdef01234567", "api_key", "x", "é", "Secret", "\n"]
+    rnd = random.Random(1)
+    for _ in range(3000):
+        t = "".join(rnd.choice(parts) for _ in range(rnd.randrange(12)))
+        want = [(m.start(), 0, m.end()) for m in assign.finditer(t) if len(m[2]) >= 6]
+        want += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+        want += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", t) if len(m[0]) >= 24]
+        assert secret_scan.pattern_spans(t) == sorted(want)
+
+
+def test_markov_models_separate_random_strings(spark):
+    rnd = random.Random(2)
+    letters = secret_scan.SYMBOLS[:62]
+    rows = [(i, " ".join(rnd.choice(["reading", "writer", "container", "handler", "stream"]) for _ in range(40))
+             + f" token = {''.join(rnd.choice(letters) for _ in range(32))}") for i in range(300)]
+    ratio = secret_scan.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    hidden = ["".join(rnd.choice(letters) for _ in range(24)) for _ in range(200)]
+    found = [bool(secret_scan.markov_spans(f"see {h} there", [], ratio, 1.5)) for h in hidden]
+    assert np.mean(found) > 0.95
+    assert not secret_scan.markov_spans("containerhandlerstream writerreadinghandler", [], ratio, 1.5)
+
+
+def test_redaction_masks_spans_and_keeps_the_rest(spark, docs, texts):
+    out = {r.doc_id: r.text for r in secret_scan.redact(docs, secret_scan.train(docs)).collect()}
+    for i, t in texts.items():
+        spans = secret_scan.pattern_spans(t)
+        if not spans:
+            assert out[i] == t
+        assert not secret_scan.pattern_spans(out[i].replace("[secret]", " "))
+
+
+def test_piece_codec_equals_the_library(spark, docs, texts):
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECE_BPE)
+    c = piece_codec.PieceCodec(PIECE_BPE)
+    for t in [*texts.values(), *_noise("abAB  \n\t▁éß日😀.,'\x00the and", 3000, 3), " " * 300, "a" * 300, "x" + " " * 17]:
+        ids = sp.encode(t, add_bos=True, add_eos=True)
+        assert c.encode(t) == ids
+        assert c.decode(ids) == sp.decode(ids)
+    done = {r.doc_id: r for r in piece_codec.digests(docs, PIECE_BPE).collect()}
+    for i, t in texts.items():
+        ids = sp.encode(t, add_bos=True, add_eos=True)
+        assert done[i].n_tokens == len(ids)
+        assert done[i].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert done[i].decoded_sha256 == hashlib.sha256(sp.decode(ids).encode()).hexdigest()
+    back = piece_codec.decode(piece_codec.encode(docs, PIECE_BPE), PIECE_BPE).collect()
+    assert {r.doc_id: r.text for r in back} == texts
+
+
+def test_byte_tokens_equal_the_library(texts):
+    tok = Tokenizer.from_file(BYTE_BPE)
+    many = [*texts.values(), *_noise("abAB  \n\n\t\r 　éß日😀.,'12\x00\x1c\x85 the's", 6000, 4), "<|endoftext|> x", " a", "\n"]
+    t = byte_tokens.ByteTokens(BYTE_BPE)
+    for text, packed in zip(many, t.packed(many), strict=True):
+        assert np.frombuffer(packed, t.dtype).tolist() == tok.encode(text, add_special_tokens=False).ids
+
+
+def test_store_round_trip_and_single_documents(spark, docs, texts):
+    tok = Tokenizer.from_file(BYTE_BPE)
+    path = scratch_path(spark, "store")
+    token_store.write(docs, path, BYTE_BPE, end_id=0)
+    at = 0
+    for r in token_store.read(spark, path, with_ids=True).orderBy("doc_id").collect():
+        ids = tok.encode(texts[r.doc_id], add_special_tokens=False).ids + [0]
+        assert (r.start, r.n_tokens, list(r.ids)) == (at, len(ids), ids)
+        assert r.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+        at += len(ids)
+    assert sorted(r.doc_id for r in token_store.read(spark, path, doc_ids=[3, 77]).collect()) == [3, 77]
+
+
+def test_packing_places_every_id_once(spark, docs, texts):
+    tok = Tokenizer.from_file(BYTE_BPE)
+    pieces = packing.pack(docs.repartition(5), BYTE_BPE, end_id=1, with_ids=True)
+    by_doc = {}
+    for p in pieces.collect():
+        by_doc.setdefault(p.doc_id, []).append(p)
+        assert p.ids_crc32 == zlib.crc32(np.array(p.ids, "<u4").tobytes()) and len(p.ids) == p.length
+    for i, t in texts.items():
+        own = sorted(by_doc[i], key=lambda p: p.start)
+        assert [x for p in own for x in p.ids] == tok.encode(t, add_special_tokens=False).ids + [1]
+    lengths = sorted(len(r.ids) for r in packing.sequences(pieces).collect())
+    assert lengths[1:] == [2048] * (len(lengths) - 1)
+
+
+def test_quality_equals_sql(docs):
+    got = docs.sparkSession.createDataFrame(line_quality.assess(docs).collect()).toPandas().sort_values("doc_id")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}'")
+    want = con.execute(line_quality.assess_sql()).df().sort_values("doc_id")
+    for c in want.columns:
+        assert got[c].tolist() == want[c].tolist(), c
+
+
+def test_common_lines_go_and_copies_do_not_count(spark):
+    own = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(40)]
+    rows = [(i, f"{own[i]}\nRead  more HERE\n{own[i][::-1]}", "h") for i in range(40)]
+    rows += [(100 + i, "copied " + own[0] + "\nsecond line of the copy\n" + own[1], "h") for i in range(40)]
+    rows += [(200 + i, f"Read more here\nread MORE here\n{' '.join(['tiny' + str(i)] * 1)}", "h") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r.doc_id: r.text for r in line_quality.filtered(docs).collect()}
+    assert set(out) == {*range(40), *range(100, 140)}
+    assert all("more" not in out[i].lower() and own[i] in out[i] for i in range(40))
+    assert all("second line of the copy" in out[i] for i in range(100, 140))
+
+
+def _shingles(t):
+    w = t.encode().lower().split()
+    return frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+
+def test_near_duplicates_equal_all_pairs(spark, monkeypatch):
+    rnd = random.Random(7)
+    vocab = [f"v{i}" for i in range(400)]
+    rows = []
+    for g in range(30):
+        base = [rnd.choice(vocab) for _ in range(rnd.randrange(30, 120))]
+        for _ in range(rnd.randrange(1, 9)):
+            w = list(base)
+            for _ in range(rnd.randrange(0, 4)):
+                w[rnd.randrange(len(w))] = rnd.choice(vocab)
+            rows.append((len(rows) * 3 + 1, " ".join(w)))
+    rows += [(100_001, "One two"), (100_002, "one  TWO"), (100_003, ""), (100_004, None)]
+    monkeypatch.setattr(chosen_path, "LEAF", 3)
+    monkeypatch.setattr(chosen_path, "DEPTH", 1)  # reaches the comparison in blocks
+    sets = {i: _shingles(t or "") for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            x, y = sets[a], sets[b]
+            if a < b and x and 100 * len(x & y) >= 75 * len(x | y):
+                p, q = sorted((find(a), find(b)))
+                root[q] = p
+    got = {r.doc_id: r for r in chosen_path.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i].n_shingles == len(s) for i, s in sets.items())
+    right = sum(got[i].component_id == find(i) for i in sets)
+    assert right >= 0.99 * len(sets)
+    assert all(got[i].kept == (got[i].component_id == i) for i in sets)
+
+
+def test_components_of_chains_stars_and_rings(spark):
+    links = [(i, i + 1) for i in range(50)] + [(200, 200 + i) for i in range(1, 40)] + [(300, 301), (301, 302), (302, 300), (7, 7)]
+    got = {r.vertex: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(1, 51)}, **{i: 200 for i in range(201, 240)}, 301: 300, 302: 300}
+
+
+def test_planted_passages_go_and_clean_documents_stay(spark, texts):
+    rnd = random.Random(9)
+    words = [w for t in list(texts.values())[:60] for w in t.split()]
+    plain = [" ".join(rnd.choice(words) + str(i) for _ in range(150)) for i in range(60)]
+    passage = " ".join(rnd.choice(words) for _ in range(60))
+    rows = [(i, p) for i, p in enumerate(plain)] + [(100 + i, f"{plain[0][:i]}{i} {passage} tail{i}") for i in range(1, 30)]
+    out = {r.doc_id: r for r in chunk_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), with_figures=True).collect()}
+    assert all(out[i].text == p and out[i].n_removed == 0 for i, p in enumerate(plain))
+    assert out[101].n_removed <= len(plain[0]) and passage[:40] in out[101].text
+    assert all(out[100 + i].n_removed >= len(passage) // 2 for i in range(2, 30))
+
+
+def _covered(rows):
+    seen, out = {}, {}
+    for k, t in sorted(rows):
+        b = t.encode()
+        hit = np.zeros(len(b), bool)
+        new = [b[i:i + 50] for i in range(len(b) - 49)]
+        for i, w in enumerate(new):
+            if seen.get(w, k) < k:
+                hit[i:i + 50] = True
+        for w in new:
+            seen.setdefault(w, k)
+        out[k] = (len(b), int(hit.sum()), hashlib.sha256(np.frombuffer(b, np.uint8)[~hit].tobytes()).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("alphabet", ["ab", "abcdefgh é"])
+def test_suffix_removal_is_exact(spark, monkeypatch, alphabet):
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 4000)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 9000)
+    monkeypatch.setattr(suffix_dedup, "SLICE", 700)
+    rnd = random.Random(3)
+    base = ["".join(rnd.choice(alphabet) for _ in range(300)) for _ in range(10)]
+    rows = []
+    for i in range(250):
+        t = "".join(rnd.choice(base)[rnd.randrange(250):][:rnd.randrange(20, 200)] + "x" * rnd.randrange(3) for _ in range(rnd.randrange(6)))
+        rows.append((i, "z" * rnd.randrange(200) + t if rnd.random() < 0.2 else t))
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.kept_sha256) for r in got} == _covered(rows)
+
+
+def test_loser_tree_merges_with_right_prefix_lengths():
+    rnd = random.Random(5)
+    runs = [sorted(bytes(rnd.choices(b"ab", k=rnd.randrange(1, 9))) for _ in range(rnd.randrange(0, 30))) for _ in range(7)]
+
+    def entries(run):
+        before = b""
+        for s in run:
+            yield s, suffix_dedup.common_prefix(before, s, 0)
+            before = s
+
+    out = list(suffix_dedup.merged([entries(r) for r in runs]))
+    assert [e[0] for e, _ in out] == sorted(s for r in runs for s in r)
+    before = b""
+    for e, k in out:
+        assert k == suffix_dedup.common_prefix(before, e[0], 0)
+        before = e[0]
+
+
+def _bits(data, counts, order):
+    """PPM code length byte by byte, straight from the definition."""
+    total = 0.0
+    for i in range(order, len(data)):
+        for size in range(order, -1, -1):
+            seen = {c: n for (x, c), n in counts.items() if x == data[i - size:i] and len(x) == size}
+            if not seen:
+                continue
+            n, d = sum(seen.values()), len(seen)
+            if data[i] in seen:
+                total -= math.log2(seen[data[i]] / (n + d))
+                break
+            total -= math.log2(d / (n + d))
+        else:
+            total += 8.0
+    return total
+
+
+def test_language_code_lengths_are_exact():
+    samples = {"x": "the cat and the hat that sat", "y": "der hund und die katze"}
+    grams, counts = {}, {}
+    for lang, t in samples.items():
+        b = ppm_language.coded(t)
+        g = [{} for _ in range(ppm_language.ORDER + 2)]
+        c = {}
+        for size in range(1, ppm_language.ORDER + 2):
+            for i in range(len(b) - size + 1):
+                k = int.from_bytes(b[i:i + size], "big")
+                g[size][k] = g[size].get(k, 0) + 1
+                c[(b[i:i + size - 1], b[i + size - 1])] = c.get((b[i:i + size - 1], b[i + size - 1]), 0) + 1
+        grams[lang], counts[lang] = g, c
+    model = ppm_language.Model(grams)
+    for t in ("the hat", "die katze und der hut", "that dog"):
+        got = model.bits(t)
+        for k, lang in enumerate(model.langs):
+            assert abs(got[k] - _bits(ppm_language.coded(t), counts[lang], ppm_language.ORDER)) < 1e-3
+
+
+def test_languages_of_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = ppm_language.predict(docs, ppm_language.train(docs)).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    held = [r for r in rows if r.held_out and r.lang is not None and r.lang_pred != "und"]
+    assert np.mean([r.lang == r.lang_pred for r in held]) > 0.98
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_fingerprints_follow_their_definition(docs, texts):
+    ids = sorted(texts)
+    for r in piecewise_hash.compare(docs, rows_per_part=17).collect():
+        t, nxt = texts[r.doc_id], texts[ids[(ids.index(r.doc_id) + 1) % len(ids)]]
+        k = len(t) // 4
+        e = t[:len(t) - k] + nxt[:k]
+        assert r.n_chars == len(t) and r.edited_sha256 == hashlib.sha256(e.encode()).hexdigest()
+        assert (r.fingerprint, r.edited_fingerprint) == (piecewise_hash.fingerprint(t), piecewise_hash.fingerprint(e))
+        assert r.near_next == piecewise_hash.likeness(r.fingerprint, piecewise_hash.fingerprint(nxt))
+    def window(h, i):
+        return h[max(0, i - 6):i + 1]
+    raw = np.random.default_rng(1).integers(0, 256, 400, dtype=np.uint8).tobytes()
+    got = piecewise_hash.rolling(raw)
+    for i in range(400):
+        own = window(raw, i)[::-1]
+        x = 0
+        for age, c in enumerate(own):
+            x ^= c << 5 * age
+        assert got[i] == (sum(c * (8 - age) for age, c in enumerate(own)) + x) % 2 ** 32
+
+
+def test_longest_common_subsequence():
+    rnd = random.Random(8)
+    for _ in range(300):
+        a, b = ("".join(rnd.choice("abcd") for _ in range(rnd.randrange(12))) for _ in range(2))
+        t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                t[i + 1][j + 1] = t[i][j] + 1 if x == y else max(t[i][j + 1], t[i + 1][j])
+        assert piecewise_hash.common_length(a, b) == t[-1][-1]
