@@ -5,7 +5,8 @@ Text dates arrive as month/day/year. Two parse modes:
 * ``lenient`` (default) follows a lenient calendar: the first three slash-separated digit
   runs are read as month, day, year, and out-of-range parts roll over
   (``25/12/2014`` -> 2016-01-12, ``2/30/2014`` -> 2014-03-02, ``1/5/2014x`` -> 2014-01-05,
-  ``01/05/14`` -> year 14). Text without that shape is NULL. Parts are capped at four digits.
+  ``01/05/14`` -> year 14). Text without that shape is NULL, and so is one whose numbers or date
+  go beyond year 9999; digits are never cut off.
 * ``strict`` accepts only real calendar dates: month/day/year first, then day/month/year.
 """
 
@@ -14,7 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_MDY = r"^\d{1,4}/\d{1,4}/\d{1,4}"
+_MDY = r"^\d+/\d+/\d+"
+#: Beyond these a month or day count leaves the range of years whatever the rest says.
+_MAX_MONTHS, _MAX_DAYS, _MAX_YEAR = 120_000, 3_700_000, 9999
 
 
 def _c(c: Column | str) -> Column:
@@ -31,7 +34,10 @@ def parse_date(text: Column | str, mode: str = "lenient") -> Column:
     # one regex pass; the three digit runs then come from a split of the matched prefix
     parts = F.split(F.regexp_extract(t, _MDY, 0), "/")
     m, d, y = (F.get(parts, i).try_cast("int") for i in range(3))
-    return F.date_add(F.add_months(F.make_date(y, F.lit(1), F.lit(1)), m - 1), d - 1)
+    fits = (y <= _MAX_YEAR) & (m <= _MAX_MONTHS) & (d <= _MAX_DAYS)
+    y, m, d = (F.when(fits, p) for p in (y, m, d))
+    date = F.date_add(F.add_months(F.make_date(y, F.lit(1), F.lit(1)), m - 1), d - 1)
+    return F.when(F.year(date).between(0, _MAX_YEAR), date)
 
 
 def split_date_parts(text: Column | str) -> tuple[Column, Column, Column]:

@@ -24,10 +24,6 @@ def safe_double(c: Column | str) -> Column:
     return F.trim(_c(c)).try_cast("double")
 
 
-def safe_long(c: Column | str) -> Column:
-    return F.trim(_c(c)).try_cast("bigint")
-
-
 def prefixed(prefix: str, c: Column | str) -> Column:
     """``prefix + value`` (NULL value stays NULL)."""
     return F.concat(F.lit(prefix), _c(c))

@@ -21,11 +21,15 @@ from ..functions.dates import (calendar_parts, parse_date, split_date_parts,
                                us_week_of_year, year_month_label, year_month_text)
 from ..functions.stats import share_pct
 from ..plans.compute_once import compute_once
-from ..plans.joins import attach_names, bounded_broadcast
+from ..plans.joins import attach_names
 
 
 def with_obs_date(facts: DataFrame, date_mode: str = "lenient") -> DataFrame:
+    """``facts`` with ``obs_date``. A stored date was parsed leniently by the ingest, so another
+    mode is refused rather than ignored."""
     if "obs_date" in facts.columns:
+        if date_mode != "lenient":
+            raise ValueError(f"obs_date is stored; date mode {date_mode!r} needs the text dates (drop obs_date first)")
         return facts
     return compute_once(facts, {"obs_date": parse_date("weather_date", date_mode)})
 
@@ -97,8 +101,7 @@ def combined_observations(facts: DataFrame, locations: DataFrame) -> DataFrame:
     through it but aggregate per location first and join the names afterwards.
     """
     year, month, day = split_date_parts("weather_date")
-    dim = bounded_broadcast(locations.select("location_id", "city_name")
-                            .where(F.col("location_id").isNotNull()))
+    dim = locations.select("location_id", "city_name").where(F.col("location_id").isNotNull())
     return (facts.where(F.col("location_id").isNotNull()).join(dim, "location_id")
             .select("location_id", "city_name", year.alias("year_val"),
                     month.alias("month_val"), day.alias("day_val"),
@@ -210,7 +213,7 @@ def monthly_radiation(facts: DataFrame, locations: DataFrame,
                     F.sum(F.when(F.col("is_high_radiation"), r).otherwise(F.lit(0.0))).alias("_h"),
                     F.count(r).alias("_n")))
     ids = locations.select("location_id").where(F.col("location_id").isNotNull())
-    known = per_loc.join(bounded_broadcast(ids), "location_id", "left_semi")
+    known = per_loc.join(ids, "location_id", "left_semi")
     m = (known.groupBy("year_val", "month_val")
          .agg(F.sum("_t").alias("total_radiation_sum"), F.sum("_h").alias("high_radiation_sum"),
               F.sum("_n").alias("_n")))
@@ -271,8 +274,3 @@ def hottest_month_weekly_max(facts: DataFrame, date_mode: str = "lenient") -> Da
             .where(F.col("_rank") == 1)
             .select("year_val", "month_val", "week_val", "weekly_max_temp")
             .orderBy("year_val", "month_val", "week_val"))
-
-
-def week_of_year(facts: DataFrame, date_mode: str = "lenient") -> DataFrame:
-    d = with_obs_date(facts, date_mode)
-    return d.select("weather_date", "obs_date", us_week_of_year("obs_date").alias("week_val"))

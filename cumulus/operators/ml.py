@@ -14,7 +14,7 @@ from pyspark import StorageLevel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
@@ -28,6 +28,14 @@ def assemble(df: DataFrame, features: list[str] = FEATURE_NAMES) -> DataFrame:
     return VectorAssembler(inputCols=features, outputCol="features").transform(df)
 
 
+def complete(df: DataFrame, features: list[str] = FEATURE_NAMES) -> Column:
+    """Whether a row has all features (a location without readings has none)."""
+    ok = F.lit(True)
+    for f in features:
+        ok = ok & F.col(f).isNotNull() & ~F.isnan(f)
+    return ok
+
+
 def linear_regression(**kw) -> LinearRegression:
     return LinearRegression(labelCol=MODEL_LABEL, featuresCol="features", **kw)
 
@@ -98,8 +106,11 @@ def feature_importances(spark: SparkSession, model, features: list[str] = FEATUR
 
 
 def score(model, scenarios: DataFrame) -> DataFrame:
-    """Predicted ET0 for each scenario row (feature columns by name)."""
-    return model.transform(assemble(scenarios)).drop("features")
+    """Predicted ET0 for each scenario row (feature columns by name); a scenario that lacks a
+    feature stays, with a NULL prediction."""
+    ok = complete(scenarios)
+    scored = model.transform(assemble(scenarios.where(ok))).drop("features")
+    return scored.unionByName(scenarios.where(~ok), allowMissingColumns=True)
 
 
 def location_scenarios(facts_month: DataFrame) -> DataFrame:

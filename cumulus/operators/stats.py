@@ -64,13 +64,13 @@ def modelling_set(facts: DataFrame, month: int = 5, date_mode: str = "lenient",
     """Rows of one calendar month, the three features and the label as doubles, no NULLs.
 
     ``split_bucket`` (0..99) is a pure function of (location, date), so the split does not
-    depend on partition layout or task retries."""
+    depend on partition layout or task retries; a NULL location counts as -1, so every row has one."""
     d = with_obs_date(facts, date_mode).where(F.month("obs_date") == month)
     cols = [F.col(src).cast("double").alias(dst) for src, dst in MODEL_FEATURES.items()]
     cols.append(F.col(ET0).cast("double").alias(MODEL_LABEL))
     if keep_split_key:
         cols.append(F.pmod(F.datediff("obs_date", F.lit("1970-01-01").cast("date")) * 31
-                           + F.col("location_id"), F.lit(100)).alias("split_bucket"))
+                           + F.coalesce(F.col("location_id"), F.lit(-1)), F.lit(100)).alias("split_bucket"))
     return d.select(*cols).na.drop(subset=list(MODEL_FEATURES.values()) + [MODEL_LABEL])
 
 

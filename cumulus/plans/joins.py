@@ -1,12 +1,8 @@
-"""Dimension joins with a checked broadcast.
+"""Dimension joins. No side is counted or forced to be broadcast: the planner, and AQE from
+real sizes at run time, choose between a broadcast and a shuffle join by bytes.
 
-A side is broadcast only after a bounded count proves it small
-(``limit(max_rows + 1).count()`` never reads more than ``max_rows + 1`` rows). Beyond the
-bound the join is left to the planner: a shuffle join, which AQE may still turn into a
-broadcast at runtime from real sizes.
-
-All fact-side inputs here are already aggregated per location, so neither path moves raw
-fact rows for the join.
+Fact-side inputs of :func:`attach_names` are already aggregated per location, so no raw fact
+row moves for it.
 """
 
 from __future__ import annotations
@@ -14,17 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Broadcast bound: 2M narrow dimension rows is well under the executor-side hash limit.
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged."""
-    max_rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def dedup_locations(locations: DataFrame, key: str = "location_id",
                     order_col: str | None = None) -> DataFrame:
     """One row per id. With ``order_col`` the row with the highest value wins (a file line
@@ -49,7 +34,7 @@ def attach_names(agg: DataFrame, locations: DataFrame, how: str = "inner",
     ``how="inner"`` keeps only known locations (NULL ids never match);
     ``how="left"`` keeps all and fills ``default`` for unknown ids.
     """
-    dim = bounded_broadcast(locations.select(key, name_col).where(F.col(key).isNotNull()))
+    dim = locations.select(key, name_col).where(F.col(key).isNotNull())
     out = agg.join(dim, key, how)
     if default is not None:
         out = out.withColumn(name_col, F.coalesce(F.col(name_col), F.lit(default)))
@@ -58,5 +43,5 @@ def attach_names(agg: DataFrame, locations: DataFrame, how: str = "inner",
 
 def known_locations(facts: DataFrame, locations: DataFrame, key: str = "location_id") -> DataFrame:
     """Existence filter: fact rows whose id is in the dimension (dimension ids unique)."""
-    ids = bounded_broadcast(locations.select(key).where(F.col(key).isNotNull()))
+    ids = locations.select(key).where(F.col(key).isNotNull())
     return facts.join(ids, key, "left_semi")

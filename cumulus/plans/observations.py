@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import FACT_COLUMNS
-from .partitioning import spread_small_input
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,9 +27,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact scan for per-row heavy work (text building and parsing), spread over all
-    cores when the file has too few splits."""
-    return spread_small_input(table(spark, sf_dir, "lineitem"))
+    """The fact scan for per-row heavy work (text building and parsing)."""
+    return table(spark, sf_dir, "lineitem")
 
 
 def _fact_exprs() -> dict[str, Column]:

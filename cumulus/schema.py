@@ -81,7 +81,3 @@ def struct(columns: list[tuple[str, T.DataType]]) -> T.StructType:
 FACT_SCHEMA = struct(FACT_COLUMNS)
 LOCATION_SCHEMA = struct(LOCATION_COLUMNS)
 FACT_NAMES = [n for n, _ in FACT_COLUMNS]
-
-
-def field_index(name: str) -> int:
-    return FACT_NAMES.index(name)

@@ -41,12 +41,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared scratch folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when nothing is configured (tests, a laptop) a fresh
-    local folder is created and registered, so ``DataFrame.checkpoint()`` works too.
+    Read from the session. Only a local master may leave it unset (tests, a laptop): then a
+    fresh local folder is created and registered. On a cluster each executor would write to its
+    own disk, so there an unset folder is an error.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="cumulus-ckpt-")
         sc.setCheckpointDir(path)
     elif not sc.getCheckpointDir():

@@ -73,31 +73,9 @@ def parse_lines(lines: DataFrame, min_fields: int = MIN_FIELDS,
 
 def read_observation_files(spark: SparkSession, path: str, min_fields: int = MIN_FIELDS,
                            columns=FACT_COLUMNS, stream: bool = False) -> ParsedLines:
-    """The same text path for files, through Spark's native CSV tokenizer.
-
-    Every field is read as text (no inference, no header handling by the reader) and then
-    typed exactly as :func:`parse_lines` does. The header rule is unchanged (first field
-    starts with the header token). A line has fewer than ``min_fields`` fields (trailing
-    empty fields not counted) exactly when every field from position ``min_fields - 1``
-    on is empty or missing. The native tokenizer is about 3x faster than splitting text
-    lines (6M lines, 8 cores: 0.85 s against 2.5 s). Quoted commas, which a plain split
-    would cut, stay inside their field.
-    """
-    text_schema = ", ".join(f"`{n}` string" for n, _ in columns)
-    reader = spark.readStream if stream else spark.read
-    raw = reader.schema(text_schema).option("header", False).option("mode", "PERMISSIVE").csv(path)
-    first = F.col(columns[0][0])
-    is_header = F.coalesce(first.startswith(HEADER_TOKEN), F.lit(False))  # raw text, as for lines
-    tail = [F.coalesce(F.trim(F.col(n)), F.lit("")) == F.lit("") for n, _ in columns[min_fields - 1:]]
-    short = tail[0]
-    for t in tail[1:]:
-        short = short & t
-    parsed = raw.where(~is_header).select(
-        F.concat_ws(",", *[F.coalesce(F.col(n), F.lit("")) for n, _ in columns]).alias("_line"),
-        short.alias("_short"),
-        *[typed_field(F.col(n), t).alias(n) for n, t in columns])
-    return ParsedLines(
-        valid=parsed.where(~F.col("_short")).drop("_line", "_short"),
-        rejected=parsed.where(F.col("_short")).select("_line"),
-        all_rows=parsed,
-    )
+    """The text path over files: the lines go through :func:`parse_lines`, so files and line
+    frames follow the same rules and a rejected line is kept byte for byte. An empty line in
+    a file holds no record and is passed over."""
+    lines = (spark.readStream if stream else spark.read).text(path).where(F.length("value") > 0)
+    parsed = parse_lines(lines, min_fields, columns)
+    return ParsedLines(valid=parsed.valid, rejected=parsed.rejected.select("_line"), all_rows=parsed.all_rows)

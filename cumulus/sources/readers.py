@@ -41,11 +41,12 @@ def read_fact_csv(spark: SparkSession, path: str, schema: T.StructType = FACT_SC
 
 
 def read_location_csv(spark: SparkSession, path: str, clean_names: bool = False) -> DataFrame:
-    """Location dimension: ids unique (a later duplicate line wins), optional removal of
-    footnote marks in names."""
+    """Location dimension: ids unique (a later duplicate line wins: by file path, then place in
+    the file), optional removal of footnote marks in names."""
     df = (spark.read.schema(LOCATION_SCHEMA).option("header", True)
           .options(**CSV_OPTIONS).csv(path)
-          .withColumn("_order", F.monotonically_increasing_id()))
+          .withColumn("_order", F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
+                                         F.monotonically_increasing_id())))
     if clean_names:
         df = df.withColumn("city_name", clean_city_name("city_name"))
     return dedup_locations(df, order_col="_order")

@@ -83,3 +83,27 @@ def test_lenient_parse_matches_calendar_model_on_random_triples(spark):
     expected = [_lenient_model(m, d, y) for m, d, y in triples]
     bad = [(t, g, e) for t, g, e in zip(texts, got, expected) if g != e]
     assert bad == []
+
+
+def test_no_digit_is_cut_off(spark):
+    """Long and zero-padded runs: the whole number counts, or the text is NULL."""
+    import datetime
+    import random
+
+    rnd = random.Random(6)
+    texts = ["1/5/20145", "1/5/02014", "12345/1/2014", "1/5/00000000000000002014", "99999999999/1/2014", "1/5/2014x"]
+    texts += [f"{'0' * rnd.randrange(5)}{rnd.randrange(1, 40)}/{'0' * rnd.randrange(5)}{rnd.randrange(1, 99)}/"
+              f"{'0' * rnd.randrange(5)}{rnd.randrange(1900, 12000)}" for _ in range(300)]
+
+    def lenient(t):
+        m, d, y = (int("".join(c for c in p if c.isdigit())) for p in t.split("/"))
+        if y > 9999 or m > 120_000:
+            return None
+        y, m = y + (m - 1) // 12, (m - 1) % 12 + 1
+        try:
+            return datetime.date(y, m, 1) + datetime.timedelta(days=d - 1)
+        except (ValueError, OverflowError):
+            return None
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(parse_date("t")).collect()] == [lenient(t) for t in texts]

@@ -152,54 +152,24 @@ def test_sinks_roundtrip(spark, tmp_dir):
     assert sorted(r.value for r in spark.read.text(f"{tmp_dir}/t").collect()) == ["1|a", "2|b", "3"]
 
 
-def test_sql_over_registered_views_matches_operator(spark):
-    """SQL written against the joined view (as a SQL user would) equals the operator."""
-    from cumulus.operators import climate
+def test_sql_over_registered_views(spark):
+    """Warm days per city and year, in SQL over the views and with the DataFrame API."""
     from cumulus.plans.observations import locations, observations
 
     sf = "/root/testdata/sf0.001"
     facts, locs = observations(spark, sf), locations(spark, sf)
     catalog.register_views(spark, facts, locs)
-    sql = """
-      WITH per_city AS (
-        SELECT city_name, AVG(temperature_2m_max) AS avg_t, COUNT(*) AS n
-        FROM combined_weather_data
-        WHERE temperature_2m_max IS NOT NULL AND temperature_2m_max > -50 AND temperature_2m_max < 60
-        GROUP BY city_name HAVING COUNT(*) >= 365)
-      SELECT ROW_NUMBER() OVER (ORDER BY avg_t, city_name) AS temperature_rank, city_name,
-             ROUND(avg_t, 2) AS avg_max_temperature_celsius, n AS record_count
-      FROM per_city ORDER BY temperature_rank LIMIT 10"""
-    via_sql = [tuple(r) for r in spark.sql(sql).collect()]
-    via_op = [tuple(r) for r in climate.city_temperature_ranking(facts, locs).collect()]
-    assert via_sql == via_op and len(via_op) > 0
+    via_sql = spark.sql("""
+        SELECT l.city_name AS city, year(w.obs_date) AS y, count_if(w.temperature_2m_max > 25) AS warm_days
+        FROM weather_data w JOIN location_data l ON w.location_id = l.location_id
+        GROUP BY ALL""")
+    via_api = (facts.join(locs, "location_id").groupBy(F.col("city_name").alias("city"), F.year("obs_date").alias("y"))
+               .agg(F.sum((F.col("temperature_2m_max") > 25).cast("long")).alias("warm_days")))
+    a, b = (sorted((r.city, r.y, r.warm_days or 0) for r in x.collect()) for x in (via_sql, via_api))
+    assert a == b and len(a) > 0
     assert {"weather_data", "location_data", "combined_weather_data"} <= set(catalog.list_tables(spark))
 
 
-def test_seasonal_sql_over_views_matches_operator(spark):
-    from cumulus.operators import climate
-    from cumulus.plans.observations import locations, observations
-
-    sf = "/root/testdata/sf0.001"
-    facts, locs = observations(spark, sf), locations(spark, sf)
-    catalog.register_views(spark, facts, locs)
-    sql = """
-      WITH s AS (
-        SELECT city_name, et0_fao_evapotranspiration AS e,
-               CASE WHEN month_val >= 9 OR month_val <= 3 THEN 'Sep-Mar'
-                    WHEN month_val >= 4 OR month_val <= 8 THEN 'Apr-Aug'
-                    ELSE 'Unknown' END AS agricultural_season
-        FROM combined_weather_data
-        WHERE et0_fao_evapotranspiration IS NOT NULL
-          AND et0_fao_evapotranspiration BETWEEN 0 AND 20)
-      SELECT city_name, agricultural_season, ROUND(AVG(e), 3) AS avg_evapotranspiration_mm,
-             COUNT(*) AS record_count
-      FROM s WHERE agricultural_season != 'Unknown'
-      GROUP BY city_name, agricultural_season HAVING COUNT(*) >= 30
-      ORDER BY city_name, agricultural_season"""
-    assert [tuple(r) for r in spark.sql(sql).collect()] == \
-        [tuple(r) for r in climate.seasonal_et0(facts, locs).collect()]
-
-
 def test_ingest_files_with_quarantine(spark, tmp_dir):
     row = "{loc},{date},1,30,20,25,31,21,25,1,1,1,1,2,1,1,1,1,1,,"
     _write(f"{tmp_dir}/raw/a.csv", ["location_id,date,x", row.format(loc=1, date="1/5/2014"),
