@@ -23,8 +23,10 @@ from tokenizers import Tokenizer  # noqa: E402
 SPACES = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 PARTS = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
 BLANK = frozenset(SPACES)
-MEMO = 500_000
-GROUP = 128
+MEMO = 1_000_000
+GROUP = 256
+MARKS = ",.;:!?"
+MARK_RUNS = 10_000
 
 
 class ByteTokens:
@@ -41,7 +43,7 @@ class ByteTokens:
         self.dtype = {"H": "<u2", "I": "<u4"}[self.code]
         self.memo: dict[str, bytes | int] = {}
         self.raw: dict[str, bytes] = {}
-        self.marks = {c: self._pack(self.tok.encode(c, add_special_tokens=False).ids) for c in ",.;:!?"}
+        self.marks: dict[str, bytes] = {}
 
     def _pack(self, ids: list[int]) -> bytes:
         a = array(self.code, ids)
@@ -55,14 +57,22 @@ class ByteTokens:
         memo, marks = self.memo, self.marks
         if len(memo) + len(words) > MEMO:
             memo.clear()
-        # a mark after a letter is always a token of its own
-        tails = {w for w in words if len(w) > 1 and w[-1] in marks and w[-2].isalpha()}
-        ask = list((words - tails) | {w[:-1] for w in tails if w[:-1] not in memo})
+        # a run of marks after a letter is always cut off from it
+        tails = {}
+        for w in words:
+            base = w.rstrip(MARKS)
+            if base and len(base) < len(w) and base[-1].isalpha():
+                tails[w] = base
+                if w[len(base):] not in marks:
+                    marks[w[len(base):]] = self._pack(self.tok.encode(w[len(base):], add_special_tokens=False).ids)
+        ask = list(words.difference(tails).union(b for b in tails.values() if b not in memo))
         found = self.tok.encode_batch_fast([w if w[:1] == "\n" else " " + w for w in ask], add_special_tokens=False)
         for w, e in zip(ask, found, strict=True):
             memo[w] = 0 if not w or w[-1] in BLANK else self._pack(e.ids)
-        for w in tails:
-            memo[w] = memo[w[:-1]] + marks[w[-1]]
+        for w, base in tails.items():
+            memo[w] = memo[base] + marks[w[len(base):]]
+        if len(marks) > MARK_RUNS:
+            marks.clear()
 
     def _whole(self, text: str) -> bytes:
         """White space in runs: cut before each run instead."""
