@@ -13,8 +13,9 @@ Work is saved in three exact ways. Equal sets are one representative. A node com
 with one chosen member first (the same order in every node, so a group meets around few members);
 one such pair per document is confirmed and the links are joined into components. After that only
 pairs from *different* components are compared, since a link inside a component changes nothing;
-nodes within one component are dropped, whatever their size. Of the pairs between two components
-the likeliest are confirmed first, and the rest only if no link was found. Nodes still too large after ``DEPTH`` branchings are compared in blocks, without a limit.
+nodes within one component are dropped, whatever their size. Each document's likeliest pair is
+confirmed first; the rest, where no link was found, by blocks: documents that ask the same part of
+a component share its texts. Nodes still too large after ``DEPTH`` branchings are compared in blocks, without a limit.
 
 Pairs are pre-selected by the sizes of their sets and by the share of equal minwise tokens
 (``MAYBE``, almost three standard deviations below the threshold: it keeps 99.8 % of the pairs
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_arrow, mix64, saved
+from .common import in_arrow, mix64, saved, ship_code
 from .components import components
 
 WORDS = 5
@@ -44,6 +45,9 @@ TREES = 12
 LEAF = 128
 DEPTH = 6
 MAYBE = 0.64
+HEFT = 100_000  # shingles to a block of a component, and OVER for each document
+OVER = 1_500
+FOUND = "v long, n long, g long, j long, s double, b long, partners array<long>"
 NO_ID = -(1 << 63)
 MEMO = 400_000
 
@@ -128,8 +132,8 @@ def _branch(batches):
                 out.append((i, int(_child(node, p, sig[i, p:p + 1])[0].view(np.int64))))
         if out:
             rows = b.take(pa.array([i for i, _ in out]))
-            yield pa.RecordBatch.from_arrays([pa.array([c for _, c in out], pa.int64()), *[rows.column(c) for c in ("k", "n", "comp")]],
-                                             ["node", "k", "n", "comp"])
+            yield pa.RecordBatch.from_arrays([pa.array([c for _, c in out], pa.int64()), *[rows.column(c) for c in ("k", "n", "comp", "heft")]],
+                                             ["node", "k", "n", "comp", "heft"])
 
 
 def _alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -147,32 +151,60 @@ def _maybe(batches):
 
 
 def _compare(table: pa.Table) -> pa.Table:
-    """One node, or two blocks of one: pairs of different components that may be linked."""
-    k, n, comp = (table.column(c).to_numpy() for c in ("k", "n", "comp"))
+    """One node, or two blocks of one: pairs of different components that may be linked. Of each
+    pair the end in the smaller component is v; its partners are listed by component and block."""
+    k, n, comp, heft = (table.column(c).to_numpy() for c in ("k", "n", "comp", "heft"))
     side = table.column("side").to_numpy()
+    block = _block(k, heft)
     sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u4").reshape(-1, WIDTH)
-    a, b, s = [], [], []
+    found: dict[tuple, list] = {}
     both = np.nonzero(side == 2)[0]
     left, right = (both, both) if len(both) else (np.nonzero(side == 0)[0], np.nonzero(side == 1)[0])
     for i in left:
         j = right[right > i] if len(both) else right
         j = j[(comp[j] != comp[i]) & (4 * np.minimum(n[j], n[i]) >= 3 * np.maximum(n[j], n[i]))]
         share = _alike(sig[j], sig[i])
-        j, share = j[share >= MAYBE], share[share >= MAYBE]
-        a.append(np.minimum(k[j], k[i]))
-        b.append(np.maximum(k[j], k[i]))
-        s.append(share)
-    a, b, s = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (a, b, s))
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "s": pa.array(s, pa.float64())})
+        for x, s in zip(j[share >= MAYBE], share[share >= MAYBE], strict=True):
+            v, b = (i, x) if (heft[i], comp[i]) < (heft[x], comp[x]) else (x, i)
+            found.setdefault((k[v], n[v], comp[b], block[b]), []).append((s, k[b]))
+    cols = list(zip(*found, strict=True)) or [[]] * 4
+    best = [max(x) for x in found.values()]
+    return pa.table({**{c: pa.array(x, pa.int64()) for c, x in zip(("v", "n", "g", "j"), cols, strict=True)},
+                     "s": pa.array([s for s, _ in best], pa.float64()), "b": pa.array([b for _, b in best], pa.int64()),
+                     "partners": pa.array([sorted({b for _, b in x}) for x in found.values()], pa.list_(pa.int64()))})
+
+
+def _block(k: np.ndarray, heft: np.ndarray) -> np.ndarray:
+    """The block of its component that holds each document: about HEFT shingles to a block."""
+    return (mix64(k.view(np.uint64)) % (heft // HEFT + 1).astype(np.uint64)).astype(np.int64)
+
+
+def _first_links(table: pa.Table) -> pa.Table:
+    """Some documents, and the block of one component in which their partners are: one link of
+    each document, if it has any (one is enough, since the component is linked already)."""
+    of: dict[int, list] = {}
+    asking = []
+    for k, partners, text in zip(*(table.column(c).to_pylist() for c in ("k", "partners", "text")), strict=True):
+        s = shingles(text or "")
+        if partners is None:
+            of.setdefault(k, []).append(s)
+        else:
+            asking.append((k, partners, s))
+    links = [next(((k, p) for p in partners for y in of.get(p, []) if _link(s, y)), None) for k, partners, s in asking]
+    a, b = zip(*filter(None, links), strict=True) if any(links) else ([], [])
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _link(x: np.ndarray, y: np.ndarray) -> bool:
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * shared >= 75 * (len(x) + len(y) - shared)
 
 
 def _linked(batches):
     for b in batches:
         keep = []
         for x, y in zip(b.column("text_a").to_pylist(), b.column("text_b").to_pylist(), strict=True):
-            x, y = shingles(x or ""), shingles(y or "")
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * shared >= 75 * (len(x) + len(y) - shared))
+            keep.append(_link(shingles(x or ""), shingles(y or "")))
         mask = pa.array(keep, pa.bool_())
         yield pa.RecordBatch.from_arrays([b.column("a").filter(mask), b.column("b").filter(mask)], ["a", "b"])
 
@@ -194,11 +226,11 @@ def _across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def _settled(pairs: DataFrame, comps: DataFrame, keyed: DataFrame) -> DataFrame:
-    """Confirm pairs until none is left between different components: first (twice) each
+    """Confirm pairs until none is left between different components: first each
     document's likeliest pair into another component, then the likeliest few of every two
     components, then all that remain. Where links exist, the early rounds find one and the rest
     need no confirming."""
-    for turn in ("document", "document", "components", "all"):
+    for turn in ("document", "components", "all"):
         left = _across(pairs, comps)
         top = F.max(F.struct("s", "a", "b")).alias("p")
         if turn == "document":
@@ -213,6 +245,31 @@ def _settled(pairs: DataFrame, comps: DataFrame, keyed: DataFrame) -> DataFrame:
     return comps
 
 
+def _settled_in_blocks(found: DataFrame, comps: DataFrame, keyed: DataFrame) -> DataFrame:
+    """Confirm the pairs that ``_compare`` found: first each document's likeliest, then the rest
+    by blocks. A block's texts come once for all the documents that ask it, so a group of n
+    documents that are almost linked takes n * n / block size texts, not two for each pair. Hot
+    blocks are split by the documents that ask."""
+    ask = saved(found.groupBy("v", "n", "g", "j").agg(F.max(F.struct("s", "b")).alias("top"),
+                                                      F.array_distinct(F.flatten(F.collect_list("partners"))).alias("partners")), "asked")
+    if ask.isEmpty():
+        return comps
+    likeliest = ask.groupBy("v").agg(F.max("top").alias("p")).select(F.col("v").alias("a"), F.col("p.b").alias("b"))
+    comps = _joined(comps, _confirmed(likeliest, keyed))
+    left = _labelled(ask.select("v", "n", "g", "j", "partners", F.col("v").alias("k")), comps).drop("k").withColumnsRenamed({"comp": "cv", "g": "k"})
+    left = _labelled(left, comps).where("comp <> cv").select("v", "n", F.col("k").alias("g"), "j", "partners")
+    parts = left.groupBy("g", "j").agg((F.sum(F.col("n") + OVER) / F.lit(HEFT)).cast("int").alias("parts"))
+    left = left.join(parts, ["g", "j"]).withColumn("i", F.pmod(F.xxhash64("v"), F.col("parts") + 1))
+    left = saved(left.select("g", "j", "i", F.col("v").alias("k"), "partners"), "asked")
+    if left.isEmpty():
+        return comps
+    held = left.groupBy("g", "j", "i").agg(F.array_distinct(F.flatten(F.collect_list("partners"))).alias("held"))
+    rows = left.union(held.select("g", "j", "i", F.explode("held").alias("k"), F.lit(None).cast("array<long>").alias("partners")))
+    texts = rows.join(keyed, "k").groupBy("g", "j", "i")
+    ship_code(keyed.sparkSession)
+    return _joined(comps, texts.applyInArrow(_first_links, "a long, b long"))
+
+
 def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
     return components(comps.select(F.col("vertex").alias("a"), F.col("root").alias("b")).union(links.select("a", "b")))
 
@@ -231,8 +288,8 @@ def _open(nodes: DataFrame) -> DataFrame:
 
 
 def _exhaustive(small: DataFrame, sigs: DataFrame) -> DataFrame:
-    rows = small.select("node", "k", "n", "comp", F.lit(2).alias("side")).join(sigs, "k")
-    return rows.groupBy("node").applyInArrow(_compare, "a long, b long, s double")
+    rows = small.select("node", "k", "n", "comp", "heft", F.lit(2).alias("side")).join(sigs, "k")
+    return rows.groupBy("node").applyInArrow(_compare, FOUND)
 
 
 def _in_blocks(large: DataFrame, sigs: DataFrame) -> DataFrame:
@@ -240,10 +297,10 @@ def _in_blocks(large: DataFrame, sigs: DataFrame) -> DataFrame:
     blocks meet in a group of their own."""
     blocks = F.ceil(F.col("size") / F.lit(LEAF)).cast("int")
     mine = large.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
-    met = mine.select("node", "k", "n", "comp", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    met = met.select("k", "n", "comp", "node", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
+    met = mine.select("node", "k", "n", "comp", "heft", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    met = met.select("k", "n", "comp", "heft", "node", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
                      F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
-    return met.join(sigs, "k").groupBy("node", "x", "y").applyInArrow(_compare, "a long, b long, s double")
+    return met.join(sigs, "k").groupBy("node", "x", "y").applyInArrow(_compare, FOUND)
 
 
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trees: int = TREES) -> DataFrame:
@@ -273,7 +330,9 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trees: i
     comps = _settled(maybe, components(_confirmed(around, keyed)), keyed)
 
     found = None
-    level = saved(_open(_labelled(nodes, comps)), "nodes")
+    mine = _labelled(reps.select("k", "n"), comps)
+    heft = mine.groupBy("comp").agg(F.sum(F.col("n") + OVER).alias("heft"))
+    level = saved(_open(nodes.join(mine.join(heft, "comp").select("k", "comp", "heft").distinct(), "k")), "nodes")
     for depth in range(DEPTH + 1):
         pairs = _exhaustive(level.where(F.col("size") <= LEAF), sigs)
         found = pairs if found is None else found.union(pairs)
@@ -283,9 +342,9 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trees: i
         if depth == DEPTH:
             found = found.union(_in_blocks(large, sigs))
             break
-        below = in_arrow(large.select("node", "k", "n", "comp").join(sigs, "k"), _branch, "node long, k long, n long, comp long")
+        below = in_arrow(large.select("node", "k", "n", "comp", "heft").join(sigs, "k"), _branch, "node long, k long, n long, comp long, heft long")
         level = saved(_open(below.distinct()), "nodes")
-    comps = _settled(saved(found.distinct(), "pairs"), comps, keyed)
+    comps = _settled_in_blocks(found, comps, keyed)
 
     roots = _labelled(reps.select("k", "h1", "h2"), comps).select("h1", "h2", F.col("comp").alias("set_root"))
     return (sets.select("k", "n", "h1", "h2").join(roots, ["h1", "h2"], "left")
