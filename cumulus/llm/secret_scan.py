@@ -110,7 +110,10 @@ def markov_spans(text: str, known: list[Span], ratio: np.ndarray, min_bits: floa
         s, e = m.span()
         while k < len(ends) and ends[k][1] <= s:
             k += 1
-        if any(a < e and b > s for a, b in ends[k:]) or m[0].isdigit():
+        j = k
+        while j < len(ends) and ends[j][0] < e and ends[j][1] <= s:
+            j += 1
+        if j < len(ends) and ends[j][0] < e or m[0].isdigit():
             continue
         codes = CODE[np.frombuffer(m[0].encode("ascii"), dtype=np.uint8)]
         if ratio[codes[:-1], codes[1:]].mean() >= min_bits:
