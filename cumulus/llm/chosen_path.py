@@ -20,7 +20,8 @@ a component share its texts. Nodes still too large after ``DEPTH`` branchings ar
 Pairs are pre-selected by the sizes of their sets and by the share of equal minwise tokens
 (``MAYBE``, almost three standard deviations below the threshold: it keeps 99.8 % of the pairs
 that are exactly at it), and every link is confirmed
-on the full sets.
+on the full sets. Comparing takes only the low 8 bits of each token, which adds a 256th of the
+unequal ones to the share.
 
 Null text, and text without words, has the empty set and is linked with nothing; shorter texts
 have their whole word sequence as one shingle. Rows with the same id share one vertex. A null id
@@ -45,8 +46,8 @@ TREES = 12
 LEAF = 128
 DEPTH = 6
 MAYBE = 0.64
-HEFT = 100_000  # shingles to a block of a component, and OVER for each document
-OVER = 1_500
+HEFT = 200_000  # shingles to a block of a component, and OVER for each document
+OVER = 500
 FOUND = "v long, n long, g long, j long, s double, b long, partners array<long>"
 NO_ID = -(1 << 63)
 MEMO = 400_000
@@ -125,7 +126,7 @@ def _roots(batches, trees):
 
 def _branch(batches):
     for b in batches:
-        sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), "<u4").reshape(-1, WIDTH)
+        sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), "<u2").reshape(-1, WIDTH)
         out: list[tuple] = []
         for i, node in enumerate(b.column("node").to_pylist()):
             for p in _picked(node):
@@ -136,6 +137,14 @@ def _branch(batches):
                                              ["node", "k", "n", "comp", "heft"])
 
 
+def _shortened(batches):
+    """The low bits of the minwise tokens: 16 to branch on below the root, 8 to compare."""
+    for b in batches:
+        sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), "<u4").reshape(-1, WIDTH)
+        parts = [pa.array([x.tobytes() for x in sig.astype(kind)], pa.binary()) for kind in ("<u2", np.uint8)]
+        yield pa.RecordBatch.from_arrays([b.column("k"), *parts], ["k", "branch", "sig"])
+
+
 def _alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (x == y).mean(axis=-1)
 
@@ -143,7 +152,7 @@ def _alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def _maybe(batches):
     """Pairs whose minwise tokens agree often enough, with the share."""
     for b in batches:
-        x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), "<u4").reshape(-1, WIDTH) for c in ("sig_a", "sig_b"))
+        x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, WIDTH) for c in ("sig_a", "sig_b"))
         s = _alike(x, y)
         keep = np.nonzero(s >= MAYBE)[0]
         yield pa.RecordBatch.from_arrays([b.column("a").take(pa.array(keep)), b.column("b").take(pa.array(keep)), pa.array(s[keep])],
@@ -156,7 +165,7 @@ def _compare(table: pa.Table) -> pa.Table:
     k, n, comp, heft = (table.column(c).to_numpy() for c in ("k", "n", "comp", "heft"))
     side = table.column("side").to_numpy()
     block = _block(k, heft)
-    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u4").reshape(-1, WIDTH)
+    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, WIDTH)
     found: dict[tuple, list] = {}
     both = np.nonzero(side == 2)[0]
     left, right = (both, both) if len(both) else (np.nonzero(side == 0)[0], np.nonzero(side == 1)[0])
@@ -311,7 +320,8 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trees: i
     some = sets.where("n > 0")
     # one representative per distinct set
     reps = saved(some.groupBy("h1", "h2").agg(F.min("k").alias("k"), F.first("n").alias("n"), F.first("sig").alias("sig")), "reps")
-    sigs = reps.select("k", "sig")
+    short = saved(in_arrow(reps.select("k", "sig"), _shortened, "k long, branch binary, sig binary"), "short")
+    sigs = short.select("k", "sig")
 
     nodes = in_arrow(reps.select("k", "n", "sig"), _roots, "node long, k long, n long", trees)
     # the same order in every node, so that a group meets around few members
@@ -342,7 +352,7 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trees: i
         if depth == DEPTH:
             found = found.union(_in_blocks(large, sigs))
             break
-        below = in_arrow(large.select("node", "k", "n", "comp", "heft").join(sigs, "k"), _branch, "node long, k long, n long, comp long, heft long")
+        below = in_arrow(large.select("node", "k", "n", "comp", "heft").join(short.select("k", F.col("branch").alias("sig")), "k"), _branch, "node long, k long, n long, comp long, heft long")
         level = saved(_open(below.distinct()), "nodes")
     comps = _settled_in_blocks(found, comps, keyed)
 
