@@ -14,8 +14,9 @@ with one chosen member first (the same order in every node, so a group meets aro
 one such pair per document is confirmed and the links are joined into components. After that only
 pairs from *different* components are compared, since a link inside a component changes nothing;
 nodes within one component are dropped, whatever their size. Each document's likeliest pair is
-confirmed first; the rest, where no link was found, by blocks: documents that ask the same part of
-a component share its texts. Nodes still too large after ``DEPTH`` branchings are compared in blocks, without a limit.
+confirmed first; the rest, where no link was found, by blocks of a *family*, the documents around
+one member: all that ask a block share its texts. Nodes still too large after ``DEPTH`` branchings
+are compared in blocks, without a limit.
 
 Pairs are pre-selected by the sizes of their sets and by the share of equal minwise tokens
 (``MAYBE``, almost three standard deviations below the threshold: it keeps 99.8 % of the pairs
@@ -43,12 +44,13 @@ WORDS = 5
 SIMILARITY = 0.75
 WIDTH = 128
 TREES = 12
-LEAF = 128
+LEAF = 512
 DEPTH = 6
 MAYBE = 0.64
-HEFT = 200_000  # shingles to a block of a component, and OVER for each document
+HEFT = 200_000  # shingles to a block of a family, and OVER for each document
 OVER = 500
-FOUND = "v long, n long, g long, j long, s double, b long, partners array<long>"
+FOUND = "v long, n long, block long, s double, b long, partners array<long>"
+MEMBER = ["k", "n", "comp", "heft", "block"]
 NO_ID = -(1 << 63)
 MEMO = 400_000
 
@@ -133,8 +135,7 @@ def _branch(batches):
                 out.append((i, int(_child(node, p, sig[i, p:p + 1])[0].view(np.int64))))
         if out:
             rows = b.take(pa.array([i for i, _ in out]))
-            yield pa.RecordBatch.from_arrays([pa.array([c for _, c in out], pa.int64()), *[rows.column(c) for c in ("k", "n", "comp", "heft")]],
-                                             ["node", "k", "n", "comp", "heft"])
+            yield pa.RecordBatch.from_arrays([pa.array([c for _, c in out], pa.int64()), *map(rows.column, MEMBER)], ["node", *MEMBER])
 
 
 def _shortened(batches):
@@ -161,10 +162,9 @@ def _maybe(batches):
 
 def _compare(table: pa.Table) -> pa.Table:
     """One node, or two blocks of one: pairs of different components that may be linked. Of each
-    pair the end in the smaller component is v; its partners are listed by component and block."""
-    k, n, comp, heft = (table.column(c).to_numpy() for c in ("k", "n", "comp", "heft"))
+    pair the end in the smaller component is v; its partners are listed by the block they are in."""
+    k, n, comp, heft, block = (table.column(c).to_numpy() for c in MEMBER)
     side = table.column("side").to_numpy()
-    block = _block(k, heft)
     sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, WIDTH)
     found: dict[tuple, list] = {}
     both = np.nonzero(side == 2)[0]
@@ -175,32 +175,41 @@ def _compare(table: pa.Table) -> pa.Table:
         share = _alike(sig[j], sig[i])
         for x, s in zip(j[share >= MAYBE], share[share >= MAYBE], strict=True):
             v, b = (i, x) if (heft[i], comp[i]) < (heft[x], comp[x]) else (x, i)
-            found.setdefault((k[v], n[v], comp[b], block[b]), []).append((s, k[b]))
-    cols = list(zip(*found, strict=True)) or [[]] * 4
+            found.setdefault((k[v], n[v], block[b]), []).append((s, k[b]))
+    cols = list(zip(*found, strict=True)) or [[]] * 3
     best = [max(x) for x in found.values()]
-    return pa.table({**{c: pa.array(x, pa.int64()) for c, x in zip(("v", "n", "g", "j"), cols, strict=True)},
+    return pa.table({**{c: pa.array(x, pa.int64()) for c, x in zip(("v", "n", "block"), cols, strict=True)},
                      "s": pa.array([s for s, _ in best], pa.float64()), "b": pa.array([b for _, b in best], pa.int64()),
                      "partners": pa.array([sorted({b for _, b in x}) for x in found.values()], pa.list_(pa.int64()))})
 
 
-def _block(k: np.ndarray, heft: np.ndarray) -> np.ndarray:
-    """The block of its component that holds each document: about HEFT shingles to a block."""
-    return (mix64(k.view(np.uint64)) % (heft // HEFT + 1).astype(np.uint64)).astype(np.int64)
-
-
 def _first_links(table: pa.Table) -> pa.Table:
-    """Some documents, and the block of one component in which their partners are: one link of
-    each document, if it has any (one is enough, since the component is linked already)."""
-    of: dict[int, list] = {}
+    """Some documents, and a block of those they may be linked with: the links that join
+    components which nothing in this table joined before."""
+    held: dict[int, list] = {}
+    above: dict[int, int] = {}
     asking = []
-    for k, partners, text in zip(*(table.column(c).to_pylist() for c in ("k", "partners", "text")), strict=True):
+    for k, comp, partners, text in zip(*(table.column(c).to_pylist() for c in ("k", "comp", "partners", "text")), strict=True):
         s = shingles(text or "")
         if partners is None:
-            of.setdefault(k, []).append(s)
+            held.setdefault(k, []).append((comp, s))
         else:
-            asking.append((k, partners, s))
-    links = [next(((k, p) for p in partners for y in of.get(p, []) if _link(s, y)), None) for k, partners, s in asking]
-    a, b = zip(*filter(None, links), strict=True) if any(links) else ([], [])
+            asking.append((k, comp, partners, s))
+
+    def top(c):
+        while above.get(c, c) != c:
+            above[c] = c = above.get(above[c], above[c])
+        return c
+
+    links = []
+    for k, comp, partners, s in asking:
+        for p in partners:
+            for other, t in held.get(p, []):
+                x, y = top(comp), top(other)
+                if x != y and _link(s, t):
+                    above[x] = y
+                    links.append((k, p))
+    a, b = zip(*links, strict=True) if links else ([], [])
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
@@ -259,22 +268,21 @@ def _settled_in_blocks(found: DataFrame, comps: DataFrame, keyed: DataFrame) ->
     by blocks. A block's texts come once for all the documents that ask it, so a group of n
     documents that are almost linked takes n * n / block size texts, not two for each pair. Hot
     blocks are split by the documents that ask."""
-    ask = saved(found.groupBy("v", "n", "g", "j").agg(F.max(F.struct("s", "b")).alias("top"),
-                                                      F.array_distinct(F.flatten(F.collect_list("partners"))).alias("partners")), "asked")
+    ask = saved(found.groupBy("v", "n", "block").agg(F.max(F.struct("s", "b")).alias("top"),
+                                                     F.array_distinct(F.flatten(F.collect_list("partners"))).alias("partners")), "asked")
     if ask.isEmpty():
         return comps
     likeliest = ask.groupBy("v").agg(F.max("top").alias("p")).select(F.col("v").alias("a"), F.col("p.b").alias("b"))
     comps = _joined(comps, _confirmed(likeliest, keyed))
-    left = _labelled(ask.select("v", "n", "g", "j", "partners", F.col("v").alias("k")), comps).drop("k").withColumnsRenamed({"comp": "cv", "g": "k"})
-    left = _labelled(left, comps).where("comp <> cv").select("v", "n", F.col("k").alias("g"), "j", "partners")
-    parts = left.groupBy("g", "j").agg((F.sum(F.col("n") + OVER) / F.lit(HEFT)).cast("int").alias("parts"))
-    left = left.join(parts, ["g", "j"]).withColumn("i", F.pmod(F.xxhash64("v"), F.col("parts") + 1))
-    left = saved(left.select("g", "j", "i", F.col("v").alias("k"), "partners"), "asked")
-    if left.isEmpty():
-        return comps
-    held = left.groupBy("g", "j", "i").agg(F.array_distinct(F.flatten(F.collect_list("partners"))).alias("held"))
-    rows = left.union(held.select("g", "j", "i", F.explode("held").alias("k"), F.lit(None).cast("array<long>").alias("partners")))
-    texts = rows.join(keyed, "k").groupBy("g", "j", "i")
+    parts = ask.groupBy("block").agg((F.sum(F.col("n") + OVER) / F.lit(HEFT)).cast("int").alias("parts"))
+    asking = (ask.join(parts, "block").withColumn("i", F.pmod(F.xxhash64("v"), F.col("parts") + 1))
+              .select("block", "i", F.col("v").alias("k"), "partners"))
+    held = asking.groupBy("block", "i").agg(F.array_distinct(F.flatten(F.collect_list("partners"))).alias("held"))
+    rows = asking.union(held.select("block", "i", F.explode("held").alias("k"), F.lit(None).cast("array<long>").alias("partners")))
+    # a part whose documents are all in one component by now has nothing to add
+    rows = saved(_labelled(rows, comps), "asked")
+    spread = rows.groupBy("block", "i").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("block", "i")
+    texts = rows.join(spread, ["block", "i"]).join(keyed, "k").groupBy("block", "i")
     ship_code(keyed.sparkSession)
     return _joined(comps, texts.applyInArrow(_first_links, "a long, b long"))
 
@@ -297,7 +305,7 @@ def _open(nodes: DataFrame) -> DataFrame:
 
 
 def _exhaustive(small: DataFrame, sigs: DataFrame) -> DataFrame:
-    rows = small.select("node", "k", "n", "comp", "heft", F.lit(2).alias("side")).join(sigs, "k")
+    rows = small.select("node", *MEMBER, F.lit(2).alias("side")).join(sigs, "k")
     return rows.groupBy("node").applyInArrow(_compare, FOUND)
 
 
@@ -306,12 +314,23 @@ def _in_blocks(large: DataFrame, sigs: DataFrame) -> DataFrame:
     blocks meet in a group of their own."""
     blocks = F.ceil(F.col("size") / F.lit(LEAF)).cast("int")
     mine = large.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
-    met = mine.select("node", "k", "n", "comp", "heft", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    met = met.select("k", "n", "comp", "heft", "node", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
+    met = mine.select("node", *MEMBER, "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    met = met.select(*MEMBER, "node", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
                      F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
     return met.join(sigs, "k").groupBy("node", "x", "y").applyInArrow(_compare, FOUND)
 
 
+def _members(reps: DataFrame, maybe: DataFrame, comps: DataFrame) -> DataFrame:
+    """Each representative with its component, the heft of that, and its block: a part of about
+    HEFT shingles of its family, the documents that may be linked with the same leader."""
+    leader = maybe.groupBy("a").agg(F.min(F.struct(F.xxhash64("b").alias("o"), F.col("b").alias("b"))).alias("p")).select(F.col("a").alias("k"), "p.b")
+    mine = _labelled(reps.select("k", "n"), comps).join(leader, "k", "left").withColumn("family", F.coalesce("b", "k"))
+    weight = F.sum(F.col("n") + OVER)
+    part = F.pmod(F.xxhash64("k"), (F.col("bulk") / F.lit(HEFT)).cast("long") + 1)
+    return (mine.join(mine.groupBy("comp").agg(weight.alias("heft")), "comp").join(mine.groupBy("family").agg(weight.alias("bulk")), "family")
+            .select("k", "n", "comp", "heft", F.xxhash64("family", part).alias("block")).distinct())
+
+
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trees: int = TREES) -> DataFrame:
     """Per row of ``docs``: its key (the id; null as the smallest number), n_shingles and
     component, the smallest key reachable over links."""
@@ -340,9 +359,8 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trees: i
     comps = _settled(maybe, components(_confirmed(around, keyed)), keyed)
 
     found = None
-    mine = _labelled(reps.select("k", "n"), comps)
-    heft = mine.groupBy("comp").agg(F.sum(F.col("n") + OVER).alias("heft"))
-    level = saved(_open(nodes.join(mine.join(heft, "comp").select("k", "comp", "heft").distinct(), "k")), "nodes")
+    mine = saved(_members(reps, maybe, comps), "members")
+    level = saved(_open(nodes.select("node", "k").join(mine, "k")), "nodes")
     for depth in range(DEPTH + 1):
         pairs = _exhaustive(level.where(F.col("size") <= LEAF), sigs)
         found = pairs if found is None else found.union(pairs)
@@ -352,7 +370,8 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trees: i
         if depth == DEPTH:
             found = found.union(_in_blocks(large, sigs))
             break
-        below = in_arrow(large.select("node", "k", "n", "comp", "heft").join(short.select("k", F.col("branch").alias("sig")), "k"), _branch, "node long, k long, n long, comp long, heft long")
+        below = in_arrow(large.select("node", *MEMBER).join(short.select("k", F.col("branch").alias("sig")), "k"), _branch,
+                         "node long, " + ", ".join(f"{c} long" for c in MEMBER))
         level = saved(_open(below.distinct()), "nodes")
     comps = _settled_in_blocks(found, comps, keyed)
 
