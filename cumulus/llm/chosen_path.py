@@ -11,12 +11,14 @@ the recall.
 
 Work is saved in three exact ways. Equal sets are one representative. A node compares its members
 with one chosen member first (the same order in every node, so a group meets around few members);
-one such pair per document is confirmed and the links are joined into components. After that only
-pairs from *different* components are compared, since a link inside a component changes nothing;
-nodes within one component are dropped, whatever their size. Each document's likeliest pair is
-confirmed first; the rest, where no link was found, by blocks of a *family*, the documents around
-one member: all that ask a block share its texts. Nodes still too large after ``DEPTH`` branchings
-are compared in blocks, without a limit.
+one such pair per document is confirmed, then its likeliest other one, and the links are joined
+into components. After that only pairs from *different* components are compared, since a link
+inside a component changes nothing; nodes within one component are dropped, whatever their size.
+What a node finds is not a list of pairs: it names the documents with such a pair and the blocks
+in which their partners are. A block is a part of a *family*, the documents around one member; all
+that ask a block share its texts, so a group of n documents that are almost linked takes n * n /
+block size texts, not two for each pair. Nodes still too large after ``DEPTH`` branchings are
+compared in blocks, without a limit.
 
 Pairs are pre-selected by the sizes of their sets and by the share of equal minwise tokens
 (``MAYBE``, almost three standard deviations below the threshold: it keeps 99.8 % of the pairs
@@ -49,7 +51,7 @@ DEPTH = 6
 MAYBE = 0.64
 HEFT = 200_000  # shingles to a block of a family, and OVER for each document
 OVER = 500
-FOUND = "v long, n long, block long, s double, b long, partners array<long>"
+FOUND = "k long, n long, block long, asks boolean"
 MEMBER = ["k", "n", "comp", "heft", "block"]
 NO_ID = -(1 << 63)
 MEMO = 400_000
@@ -161,54 +163,61 @@ def _maybe(batches):
 
 
 def _compare(table: pa.Table) -> pa.Table:
-    """One node, or two blocks of one: pairs of different components that may be linked. Of each
-    pair the end in the smaller component is v; its partners are listed by the block they are in."""
+    """One node, or two blocks of one: which documents may be linked into another component. Of
+    each pair the end in the smaller component asks the block of the other, which is held there."""
     k, n, comp, heft, block = (table.column(c).to_numpy() for c in MEMBER)
     side = table.column("side").to_numpy()
     sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, WIDTH)
-    found: dict[tuple, list] = {}
     both = np.nonzero(side == 2)[0]
     left, right = (both, both) if len(both) else (np.nonzero(side == 0)[0], np.nonzero(side == 1)[0])
+    asking: set[tuple] = set()
+    held: set[int] = set()
     for i in left:
         j = right[right > i] if len(both) else right
         j = j[(comp[j] != comp[i]) & (4 * np.minimum(n[j], n[i]) >= 3 * np.maximum(n[j], n[i]))]
-        share = _alike(sig[j], sig[i])
-        for x, s in zip(j[share >= MAYBE], share[share >= MAYBE], strict=True):
-            v, b = (i, x) if (heft[i], comp[i]) < (heft[x], comp[x]) else (x, i)
-            found.setdefault((k[v], n[v], block[b]), []).append((s, k[b]))
-    cols = list(zip(*found, strict=True)) or [[]] * 3
-    best = [max(x) for x in found.values()]
-    return pa.table({**{c: pa.array(x, pa.int64()) for c, x in zip(("v", "n", "block"), cols, strict=True)},
-                     "s": pa.array([s for s, _ in best], pa.float64()), "b": pa.array([b for _, b in best], pa.int64()),
-                     "partners": pa.array([sorted({b for _, b in x}) for x in found.values()], pa.list_(pa.int64()))})
+        j = j[_alike(sig[j], sig[i]) >= MAYBE]
+        mine = (heft[i] < heft[j]) | ((heft[i] == heft[j]) & (comp[i] < comp[j]))
+        asking.update((i, x) for x in np.unique(block[j[mine]]))
+        held.update(j[mine])
+        asking.update((x, block[i]) for x in j[~mine])
+        if not mine.all():
+            held.add(i)
+    rows = [(x, y, True) for x, y in asking] + [(x, block[x], False) for x in held]
+    at, blocks, asks = (np.array(c) for c in zip(*rows, strict=True)) if rows else (np.empty(0, int),) * 3
+    return pa.table({"k": pa.array(k[at], pa.int64()), "n": pa.array(n[at], pa.int64()), "block": pa.array(blocks, pa.int64()),
+                     "asks": pa.array(asks.astype(bool), pa.bool_())})
 
 
 def _first_links(table: pa.Table) -> pa.Table:
     """Some documents, and a block of those they may be linked with: the links that join
-    components which nothing in this table joined before."""
-    held: dict[int, list] = {}
+    components which nothing in this table joined before, the likeliest tried first."""
+    k, comp, asks = (table.column(c).to_numpy() for c in ("k", "comp", "asks"))
+    texts = table.column("text")
+    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, WIDTH)
+    sets: dict[int, np.ndarray] = {}
     above: dict[int, int] = {}
-    asking = []
-    for k, comp, partners, text in zip(*(table.column(c).to_pylist() for c in ("k", "comp", "partners", "text")), strict=True):
-        s = shingles(text or "")
-        if partners is None:
-            held.setdefault(k, []).append((comp, s))
-        else:
-            asking.append((k, comp, partners, s))
+
+    def tokens(i):
+        if i not in sets:
+            sets[i] = shingles(texts[int(i)].as_py() or "")
+        return sets[i]
 
     def top(c):
         while above.get(c, c) != c:
             above[c] = c = above.get(above[c], above[c])
         return c
 
+    held = np.nonzero(~asks)[0]
     links = []
-    for k, comp, partners, s in asking:
-        for p in partners:
-            for other, t in held.get(p, []):
-                x, y = top(comp), top(other)
-                if x != y and _link(s, t):
-                    above[x] = y
-                    links.append((k, p))
+    for i in np.nonzero(asks)[0]:
+        j = held[comp[held] != comp[i]]
+        share = _alike(sig[j], sig[i])
+        near = share >= MAYBE
+        for x in j[near][np.argsort(-share[near], kind="stable")]:
+            one, two = top(comp[i]), top(comp[x])
+            if one != two and _link(tokens(i), tokens(x)):
+                above[one] = two
+                links.append((k[i], k[x]))
     a, b = zip(*links, strict=True) if links else ([], [])
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
@@ -243,46 +252,23 @@ def _across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     return two.where("ca <> cb").select("a", "b", "s", F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb"))
 
 
-def _settled(pairs: DataFrame, comps: DataFrame, keyed: DataFrame) -> DataFrame:
-    """Confirm pairs until none is left between different components: first each
-    document's likeliest pair into another component, then the likeliest few of every two
-    components, then all that remain. Where links exist, the early rounds find one and the rest
-    need no confirming."""
-    for turn in ("document", "components", "all"):
-        left = _across(pairs, comps)
-        top = F.max(F.struct("s", "a", "b")).alias("p")
-        if turn == "document":
-            ends = left.select(F.col("a").alias("v"), "s", "a", "b").union(left.select(F.col("b").alias("v"), "s", "a", "b"))
-            left = ends.groupBy("v").agg(top).select("p.a", "p.b")
-        elif turn == "components":
-            left = left.groupBy("ca", "cb", F.pmod(F.xxhash64("a", "b"), F.lit(4)).alias("part")).agg(top).select("p.a", "p.b")
-        left = saved(left.select("a", "b").distinct(), "pairs")
-        if left.isEmpty():
-            break
-        comps = _joined(comps, _confirmed(left, keyed))
-    return comps
-
-
-def _settled_in_blocks(found: DataFrame, comps: DataFrame, keyed: DataFrame) -> DataFrame:
-    """Confirm the pairs that ``_compare`` found: first each document's likeliest, then the rest
-    by blocks. A block's texts come once for all the documents that ask it, so a group of n
-    documents that are almost linked takes n * n / block size texts, not two for each pair. Hot
-    blocks are split by the documents that ask."""
-    ask = saved(found.groupBy("v", "n", "block").agg(F.max(F.struct("s", "b")).alias("top"),
-                                                     F.array_distinct(F.flatten(F.collect_list("partners"))).alias("partners")), "asked")
-    if ask.isEmpty():
-        return comps
-    likeliest = ask.groupBy("v").agg(F.max("top").alias("p")).select(F.col("v").alias("a"), F.col("p.b").alias("b"))
-    comps = _joined(comps, _confirmed(likeliest, keyed))
-    parts = ask.groupBy("block").agg((F.sum(F.col("n") + OVER) / F.lit(HEFT)).cast("int").alias("parts"))
-    asking = (ask.join(parts, "block").withColumn("i", F.pmod(F.xxhash64("v"), F.col("parts") + 1))
-              .select("block", "i", F.col("v").alias("k"), "partners"))
-    held = asking.groupBy("block", "i").agg(F.array_distinct(F.flatten(F.collect_list("partners"))).alias("held"))
-    rows = asking.union(held.select("block", "i", F.explode("held").alias("k"), F.lit(None).cast("array<long>").alias("partners")))
-    # a part whose documents are all in one component by now has nothing to add
-    rows = saved(_labelled(rows, comps), "asked")
-    spread = rows.groupBy("block", "i").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("block", "i")
-    texts = rows.join(spread, ["block", "i"]).join(keyed, "k").groupBy("block", "i")
+def _likeliest(pairs: DataFrame, comps: DataFrame, keyed: DataFrame) -> DataFrame:
+    """The components after confirming each document's likeliest pair into another one."""
+    left = _across(pairs, comps)
+    ends = left.select(F.col("a").alias("v"), "s", "a", "b").union(left.select(F.col("b").alias("v"), "s", "a", "b"))
+    top = saved(ends.groupBy("v").agg(F.max(F.struct("s", "a", "b")).alias("p")).select("p.a", "p.b").distinct(), "pairs")
+    return comps if top.isEmpty() else _joined(comps, _confirmed(top, keyed))
+
+
+def _settled(found: DataFrame, comps: DataFrame, keyed: DataFrame, sigs: DataFrame) -> DataFrame:
+    """Confirm what was found (k asks a block, or is held in it), block by block. A block with
+    many that ask is split by these."""
+    found = saved(found.distinct(), "found")
+    parts = found.where("asks").groupBy("block").agg((F.sum(F.col("n") + OVER) / F.lit(HEFT)).cast("int").alias("parts"))
+    dealt = found.join(parts, "block").withColumn("own", F.pmod(F.xxhash64("k"), F.col("parts") + 1).cast("int"))
+    part = F.when(F.col("asks"), F.array("own")).otherwise(F.sequence(F.lit(0), F.col("parts")))
+    rows = _labelled(dealt.select("k", "block", "asks", F.explode(part).alias("i")), comps)
+    texts = rows.join(sigs, "k").join(keyed, "k").groupBy("block", "i")
     ship_code(keyed.sparkSession)
     return _joined(comps, texts.applyInArrow(_first_links, "a long, b long"))
 
@@ -356,14 +342,15 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trees: i
     # each member with the first leader in that order that is likely a link
     first = F.min(F.struct((F.col("s") < F.lit(SIMILARITY + 0.04)).alias("unsure"), F.xxhash64("b").alias("o"), F.col("b").alias("b")))
     around = maybe.groupBy("a").agg(first.alias("p")).select("a", "p.b")
-    comps = _settled(maybe, components(_confirmed(around, keyed)), keyed)
+    comps = _likeliest(maybe, components(_confirmed(around, keyed)), keyed)
 
-    found = None
     mine = saved(_members(reps, maybe, comps), "members")
+    rest = _across(maybe, comps).select("a", F.col("b").alias("k")).join(mine, "k").select("a", "k", "block")
+    found = (rest.select(F.col("a").alias("k"), "block").join(mine.select("k", "n"), "k").select("k", "n", "block", F.lit(True).alias("asks"))
+             .union(rest.join(mine.select("k", "n"), "k").select("k", "n", "block", F.lit(False))))
     level = saved(_open(nodes.select("node", "k").join(mine, "k")), "nodes")
     for depth in range(DEPTH + 1):
-        pairs = _exhaustive(level.where(F.col("size") <= LEAF), sigs)
-        found = pairs if found is None else found.union(pairs)
+        found = found.union(_exhaustive(level.where(F.col("size") <= LEAF), sigs))
         large = level.where(F.col("size") > LEAF)
         if large.isEmpty():
             break
@@ -373,7 +360,7 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trees: i
         below = in_arrow(large.select("node", *MEMBER).join(short.select("k", F.col("branch").alias("sig")), "k"), _branch,
                          "node long, " + ", ".join(f"{c} long" for c in MEMBER))
         level = saved(_open(below.distinct()), "nodes")
-    comps = _settled_in_blocks(found, comps, keyed)
+    comps = _settled(found, comps, keyed, sigs)
 
     roots = _labelled(reps.select("k", "h1", "h2"), comps).select("h1", "h2", F.col("comp").alias("set_root"))
     return (sets.select("k", "n", "h1", "h2").join(roots, ["h1", "h2"], "left")
