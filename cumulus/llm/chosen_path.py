@@ -46,7 +46,7 @@ WORDS = 5
 SIMILARITY = 0.75
 WIDTH = 128
 TREES = 12
-LEAF = 512
+LEAF = 2048
 DEPTH = 6
 MAYBE = 0.64
 HEFT = 200_000  # shingles to a block of a family, and OVER for each document
