@@ -89,8 +89,8 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
 def minwise(tokens: np.ndarray) -> np.ndarray:
     """For each position the 32-bit token that is least under the position's hash."""
     least = np.full(WIDTH, np.iinfo(np.uint64).max, np.uint64)
-    for k in range(0, len(tokens), 2048):
-        np.minimum(least, (tokens[k:k + 2048, None] * _MULT + _ADD).min(axis=0), out=least)
+    for k in range(0, len(tokens), 256):
+        np.minimum(least, (tokens[k:k + 256, None] * _MULT + _ADD).min(axis=0), out=least)
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
