@@ -356,6 +356,18 @@ FROM test_rows""")
     q["extreme_weather_days"] = _with(OBS, body="""
 SELECT CAST(year(obs_date) AS INTEGER) AS year, CAST(COUNT(DISTINCT obs_date) AS BIGINT) AS extreme_days
 FROM obs WHERE precipitation_sum > 50 AND wind_gusts_10m_max > 40 GROUP BY 1""")
+    q["extreme_days_one_year"] = _with(OBS, body="""
+SELECT CAST(year(obs_date) AS INTEGER) AS year, CAST(COUNT(*) AS BIGINT) AS extreme_days
+FROM obs WHERE precipitation_sum > 50 AND wind_gusts_10m_max > 40 AND year(obs_date) = 1996 GROUP BY 1""")
+    q["csv_inferred_renamed"] = _with(OBS, body="""
+SELECT location_id, obs_date, temperature_2m_max, precipitation_hours FROM obs""")
+    q["location_side_file"] = _with(LOC, body="""
+SELECT location_id, CASE WHEN location_id % 3 = 0 THEN city_name || ' new' ELSE city_name END AS city_name FROM loc""")
+    q["overwrite_replaces"] = _with(OBS, body="""
+SELECT location_id, obs_date, precipitation_hours FROM obs WHERE precipitation_hours >= 12""")
+    q["sql_over_views"] = _with(OBS, LOC, body="""
+SELECT l.city_name, CAST(year(o.obs_date) AS INTEGER) AS year, CAST(COUNT(*) AS BIGINT) AS warm_days
+FROM obs o JOIN loc l ON o.location_id = l.location_id WHERE o.temperature_2m_max > 30 GROUP BY 1, 2""")
     q["hot_share"] = _with(OBS, body=f"""
 SELECT CAST(year(obs_date) AS INTEGER) AS year,
        {_r('AVG(CASE WHEN temperature_2m_max > 30 THEN 1.0 ELSE 0.0 END) * 100', 2)} AS hot_pct,

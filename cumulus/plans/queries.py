@@ -11,12 +11,13 @@ from pyspark.sql import types as T
 
 from ..functions.dates import calendar_parts, parse_date, split_date_parts, us_week_of_year, year_month_key
 from ..operators import climate, generic, kpi, ml, quality, stats
-from ..schema import FACT_COLUMNS
+from ..schema import FACT_COLUMNS, LOCATION_SCHEMA, RAW_HEADER_NAMES
 from ..session import scratch_path
 from ..sources import readers
 from ..sources.lines import parse_lines, read_observation_files
 from ..streaming import incremental
-from ..sources.sinks import legacy_text_lines
+from ..sources.sinks import legacy_text_lines, write_csv, write_parquet
+from .catalog import register_views
 from .joins import known_locations
 from .observations import locations, observation_lines, observations, table
 from .oracle import MIN_YEAR
@@ -432,6 +433,52 @@ def q_merged_schema(spark, d):
     return generic.read_merged(spark, root).select("p_partkey", "single", "double", "triple", "key")
 
 
+def q_csv_inferred_renamed(spark, d):
+    """Facts written as CSV under the raw, unit-suffixed headers, read back with inferred types
+    and plain names."""
+    path = scratch_path(spark, "facts-raw-csv")
+    raw = {plain: header for header, plain in RAW_HEADER_NAMES.items()}
+    write_csv(_obs(spark, d).select("location_id", "weather_date", "temperature_2m_max", "precipitation_hours")
+              .withColumnsRenamed(raw), path)
+    facts = readers.normalise_headers(readers.read_csv_inferred(spark, path))
+    return facts.select(F.col("location_id").cast("bigint").alias("location_id"), parse_date("weather_date").alias("obs_date"),
+                        F.col("temperature_2m_max").cast("double").alias("temperature_2m_max"),
+                        F.col("precipitation_hours").cast("double").alias("precipitation_hours"))
+
+
+def q_location_side_file(spark, d):
+    """Location side files in which every third id comes twice: the later file wins."""
+    path = scratch_path(spark, "side-file")
+    locs = locations(spark, d)
+    locs = locs.select(*[(F.col(f.name) if f.name in locs.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                         for f in LOCATION_SCHEMA])
+    write_csv(locs, f"{path}/first")
+    write_csv(locs.where("location_id % 3 = 0").withColumn("city_name", F.concat("city_name", F.lit(" new"))), f"{path}/second")
+    return readers.read_location_csv(spark, [f"{path}/first", f"{path}/second"]).select("location_id", "city_name")
+
+
+def q_overwrite_replaces(spark, d):
+    """A second write to the same folder leaves nothing of the first."""
+    path = scratch_path(spark, "replaced")
+    facts = _obs(spark, d).select("location_id", "obs_date", "precipitation_hours")
+    write_parquet(facts.withColumn("precipitation_hours", F.lit(-1.0)), path)
+    write_parquet(facts.where("precipitation_hours >= 12"), path)
+    return spark.read.parquet(path)
+
+
+def q_sql_over_views(spark, d):
+    """SQL text with a CTE over the registered views: warm days of each city and year."""
+    register_views(spark, _obs(spark, d), locations(spark, d))
+    return spark.sql("""
+        WITH warm AS (SELECT location_id, year(obs_date) AS year FROM weather_data WHERE temperature_2m_max > 30),
+             days AS (SELECT location_id, year, count(*) AS warm_days FROM warm GROUP BY location_id, year)
+        SELECT l.city_name, d.year, d.warm_days FROM days d JOIN location_data l ON l.location_id = d.location_id""")
+
+
+def q_extreme_days_one_year(spark, d):
+    return kpi.extreme_weather_days(_obs(spark, d), year=1996, grain="location_day")
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "monthly_district_weather": q_monthly_district_weather,
@@ -441,6 +488,11 @@ def queries() -> dict[str, Query]:
         "monthly_district_weather_ingested": q_monthly_district_weather_ingested,
         "streaming_ingest": q_streaming_ingest,
         "fact_csv_scan": q_fact_csv_scan,
+        "csv_inferred_renamed": q_csv_inferred_renamed,
+        "location_side_file": q_location_side_file,
+        "overwrite_replaces": q_overwrite_replaces,
+        "sql_over_views": q_sql_over_views,
+        "extreme_days_one_year": q_extreme_days_one_year,
         "json_scan": q_json_scan,
         "text_rows_scan": q_text_rows_scan,
         "district_lookup_default": q_district_lookup_default,

@@ -40,7 +40,7 @@ def read_fact_csv(spark: SparkSession, path: str, schema: T.StructType = FACT_SC
             .options(**CSV_OPTIONS).csv(path))
 
 
-def read_location_csv(spark: SparkSession, path: str, clean_names: bool = False) -> DataFrame:
+def read_location_csv(spark: SparkSession, path: str | list[str], clean_names: bool = False) -> DataFrame:
     """Location dimension: ids unique (a later duplicate line wins: by file path, then place in
     the file), optional removal of footnote marks in names."""
     df = (spark.read.schema(LOCATION_SCHEMA).option("header", True)
