@@ -4,10 +4,17 @@ The patterns find assignments, access keys and hex runs. Their values are the la
 of *random strings*; every other run of identifier characters is a sample of *ordinary
 identifiers*. First-order character transitions of both classes are counted over all texts (a
 few thousand counters per task, summed by Spark), smoothed by the frequencies of single
-characters (these by one), and frozen. A run of 16 or
-more identifier characters that no pattern covers is then reported as ``markov`` when the random
-model explains it better by ``min_bits`` per transition; runs of digits alone are numbers and
-are left out. Without any labelled sample the smoothed models are flat, so nothing is added.
+characters (these by one), and frozen. In a run of 16 or more identifier characters, a stretch of
+16 or more that no pattern covers is then reported as ``markov`` when the random model explains it
+better by ``min_bits`` per transition; stretches that overlap or touch are reported as one. So a
+random string is found behind a name or path that '=', '/', '_' or '-' joins to it. Transitions
+from or into such a sign count against a stretch, but not for it: they are too rare in ordinary
+text to tell a joint of two names. Only what stands between patterns and the ends of the run is
+scored as a whole, too, with all its transitions. Where a pattern covers a part of a run, what is left
+on either side is scored by itself; a rest of 4 to 15 characters next to an access key or hex run
+belongs to its key, and is reported when its transitions, the one into the key included, reach
+``min_bits`` on average. Digits alone are numbers and are left out. Without any labelled sample the
+smoothed models are flat, so nothing is added.
 
 Null text is the empty text; an empty text has no spans; repeated rows give repeated results;
 other columns of the input are ignored by the scan and kept by ``redact``.
@@ -31,11 +38,14 @@ ASSIGN = re.compile(
     re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
+#: Characters of a stretch that is scored by itself, and of a rest that is scored with the key next to it.
+LEAST, REST = 16, 4
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 #: Substrings one of which every assignment contains once lower-cased.
 HINTS = ("passw", "secret", "token", "api")
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 K = len(SYMBOLS) + 1  # 0: anything else
+SIGN = 62  # codes above it are the signs
 CODE = np.zeros(256, dtype=np.int64)
 for _i, _c in enumerate(SYMBOLS):
     CODE[ord(_c)] = _i + 1
@@ -103,21 +113,55 @@ def train(docs: DataFrame, text: str = "text") -> np.ndarray:
     return out
 
 
+def _stretches(bits: np.ndarray, min_bits: float) -> list[tuple[int, int]]:
+    """All stretches of ``LEAST`` or more characters whose transitions reach ``min_bits`` on
+    average, joined where they overlap or touch."""
+    level = np.concatenate([[0.0], np.cumsum(bits - min_bits)])
+    # the last character up to which the level is not below that of each start: the greatest level
+    # from a character on never rises
+    ahead = np.maximum.accumulate(level[::-1])
+    far = len(level) - 1 - np.searchsorted(ahead, level)
+    starts = np.nonzero(far - np.arange(len(level)) >= LEAST - 1)[0]
+    if not len(starts):
+        return []
+    ends = np.maximum.accumulate(far[starts]) + 1
+    new = np.nonzero(starts[1:] > ends[:-1])[0] + 1
+    return list(zip(starts[[0, *new]].tolist(), ends[[*(new - 1), -1]].tolist(), strict=True))
+
+
 def markov_spans(text: str, known: list[Span], ratio: np.ndarray, min_bits: float) -> list[Span]:
     out, k = [], 0
-    ends = sorted((s, e) for s, _, e in known)
+    ends = sorted((s, e, kind) for s, kind, e in known)
     for m in RUN.finditer(text):
-        s, e = m.span()
-        while k < len(ends) and ends[k][1] <= s:
+        start, stop = m.span()
+        while k < len(ends) and ends[k][1] <= start:
             k += 1
-        j = k
-        while j < len(ends) and ends[j][0] < e and ends[j][1] <= s:
+        # what the patterns leave of the run, and whether a key is next to it on either side
+        parts, at, key, j = [], start, False, k
+        while j < len(ends) and ends[j][0] < stop:
+            s, e, kind = ends[j]
+            if s > at:
+                parts.append((at, s, key, kind > 0))
+            if e > at:
+                at, key = e, kind > 0
             j += 1
-        if j < len(ends) and ends[j][0] < e or m[0].isdigit():
+        if at < stop:
+            parts.append((at, stop, key, False))
+        if not parts:
             continue
         codes = CODE[np.frombuffer(m[0].encode("ascii"), dtype=np.uint8)]
-        if ratio[codes[:-1], codes[1:]].mean() >= min_bits:
-            out.append((s, 3, e))
+        bits = ratio[codes[:-1], codes[1:]]
+        sure = np.where(np.maximum(codes[:-1], codes[1:]) > SIGN, np.minimum(bits, 0.0), bits)
+        for s, e, before, after in parts:
+            if e - s >= LEAST and bits[s - start:e - start - 1].mean() >= min_bits:
+                found = [(s, e)]
+            elif e - s >= LEAST:
+                found = [(s + x, s + y) for x, y in _stretches(sure[s - start:e - start - 1], min_bits)]
+            elif e - s >= REST and (before or after) and sure[s - start - before:e - start - 1 + after].mean() >= min_bits:
+                found = [(s, e)]
+            else:
+                continue
+            out += [(x, 3, y) for x, y in found if not text[x:y].isdigit()]
     return out
 
 
