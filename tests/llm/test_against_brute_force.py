@@ -210,6 +210,38 @@ def test_common_lines_go_and_copies_do_not_count(spark):
     assert all("second line of the copy" in out[i] for i in range(100, 140))
 
 
+def _filtered(rows, share=0.02, least=5, keep=0.3):
+    """Texts by id after the quality rules, by distinct texts; lines without odd spaces, no repeated words."""
+    texts, holders = {}, {}
+    for _, t, host in rows:
+        texts.setdefault(host, set()).add(t)
+        for line in t.lower().split("\n"):
+            holders.setdefault((host, line), set()).add(t)
+    common = {k for k, v in holders.items() if len(v) >= least and len(v) > share * len(texts[k[0]])}
+    out = {}
+    for i, t, host in rows:
+        kept = [x for x in t.split("\n") if (host, x.lower()) not in common]
+        n = len(" ".join(kept).split())
+        if len(t.split()) >= 50 and n >= keep * len(t.split()):
+            out[i] = "\n".join(kept)
+    return out
+
+
+def test_every_line_of_a_common_block_goes(spark):
+    block = "\n".join(" ".join(f"Licence{k}n{j}" for j in range(8)) for k in range(6))
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(20 if i < 30 else 60)) + ("\n" + block if i < 120 else ""), "h") for i in range(300)]
+    rows += [(1000 + i, rows[290][1] + "\nonly in the copies", "h") for i in range(60)]
+    # as many copies that the block is above the limit of texts, not above that of rows
+    rows += [(2000 + i, f"{' '.join(f'v{i}y{j}' for j in range(60))}\nseldom", "g") for i in range(6)]
+    rows += [(3000 + i, " ".join(f"u{i % 50}z{j}" for j in range(60)), "g") for i in range(400)]
+    out = {r.doc_id: r.text for r in line_quality.filtered(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert out == _filtered(rows)
+    assert not set(range(30)) & set(out)  # depleted: 48 of 68 words are licence
+    assert all("Licence" not in out[i] for i in range(30, 120))
+    assert all("only in the copies" in out[1000 + i] for i in range(60))
+    assert all("seldom" not in out[2000 + i] for i in range(6))
+
+
 def _shingles(t):
     w = t.encode().lower().split()
     return frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
