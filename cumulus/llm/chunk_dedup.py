@@ -2,13 +2,17 @@
 
 A gear rolling hash over the last 16 bytes ends a chunk where its top bits are zero, so chunk
 borders depend only on nearby text: an insertion moves the borders next to it and no others.
-Chunks (16 to 256 bytes, cut only between characters) are known by a 96-bit digest. Per digest
-the smallest document id is kept; a chunk is a repeat where a smaller document has the same
-chunk. A run of consecutive repeats of ``MIN_RUN`` bytes or more is removed; shorter ones stay, as
-ordinary text shares them by chance. So the first document with a passage keeps it.
+Chunks (16 to 256 bytes, cut only between characters) are known by a 96-bit digest. From each
+chunk on, and up to each chunk, the fewest neighbouring chunks of ``MIN_RUN`` bytes together are a
+*window*, known by the digest of its chunks' digests. A window is removed where a smaller document
+has the same one: so whatever is removed lies in passages of ``MIN_RUN`` bytes or more that single
+smaller documents hold as they are, and a run of chunks that one of them holds is covered as a
+whole. Shorter runs stay, as ordinary text shares them by chance. The first document with a passage
+keeps it.
 
 Digests are counted with partial aggregates (a chunk that a third of all documents share costs one
-row per task), and only digests of two or more documents are joined back.
+row per task). Only chunks of two or more documents are joined back, with their places; windows are
+formed of these, and counted and joined in the same way.
 
 Null text stays null and has no chunks; rows with the same id count as one document and take
 nothing from each other; a null id is smaller than all others; other columns are kept.
@@ -75,46 +79,93 @@ def _digests(data: bytes, ends: list[int]) -> list[bytes]:
     return out
 
 
+def _tag(data: bytes) -> int:
+    """Some bits that tell rows with one id apart."""
+    return xxhash.xxh3_64_intdigest(data) >> 42
+
+
+def _places(start, end, tag):
+    """Start, length (below 1024) and tag in one number."""
+    return start << 32 | (end - start) << 22 | tag
+
+
+def _split(places: np.ndarray):
+    """Tag, start and end of places, in this order, without repetitions; and where they were."""
+    p, first = np.unique(places, return_index=True)
+    tag, start = p & (1 << 22) - 1, p >> 32
+    order = np.lexsort((start, tag))
+    return tag[order], start[order], (start + (p >> 22 & (1 << 10) - 1))[order], first[order]
+
+
 def _chunks(batches):
     for batch in batches:
-        keys, found = [], []
+        keys, places, found = [], [], []
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if text:
                 data = text.encode("utf-8", "replace")
-                own = set(_digests(data, borders(data)))
-                keys.append(np.full(len(own), key, np.int64))
-                found += own
+                ends = np.array(borders(data), np.int64)
+                starts = np.concatenate([[0], ends[:-1]])
+                keys.append(np.full(len(ends), key, np.int64))
+                places.append(_places(starts, ends, _tag(data)))
+                found += _digests(data, ends.tolist())
         if found:
             d = np.frombuffer(b"".join(found), DIGEST)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), *[pa.array(np.ascontiguousarray(d[c])) for c in ("h1", "h2")]],
-                                             ["k", "h1", "h2"])
-
-
-def repeated_spans(data: bytes, repeats: set[bytes], min_run: int = MIN_RUN) -> list[tuple[int, int]]:
-    ends = borders(data)
-    spans, start, last = [], None, 0
-    for e, d in zip(ends, _digests(data, ends), strict=True):
-        if d in repeats:
-            start = last if start is None else start
-        elif start is not None:
-            spans.append((start, last))
-            start = None
-        last = e
-    if start is not None:
-        spans.append((start, last))
-    return [(s, e) for s, e in spans if e - s >= min_run]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(places)),
+                                              *[pa.array(np.ascontiguousarray(d[c])) for c in ("h1", "h2")]], ["k", "place", "h1", "h2"])
+
+
+def windows(edges: np.ndarray, min_run: int) -> list[tuple[int, int]]:
+    """From each chunk on, and up to each chunk, the fewest chunks of ``min_run`` bytes; first and
+    behind the last. ``edges``: where the chunks start, and the end of the last."""
+    n = len(edges) - 1
+    after = np.searchsorted(edges, edges[:-1] + min_run)
+    before = np.searchsorted(edges, edges[1:] - min_run, side="right") - 1
+    return sorted({*((i, j) for i, j in enumerate(after.tolist()) if j <= n),
+                   *((i, j + 1) for j, i in enumerate(before.tolist()) if i >= 0)})
 
 
-def _remove(batches, text_col, n_out, with_figures, min_run):
+def _windows(batches, min_run):
+    for batch in batches:
+        keys, places, found = [], [], []
+        at = batch.column(1).offsets.to_numpy()
+        place, h1, h2 = (batch.column(c).values.to_numpy() for c in ("place", "h1", "h2"))
+        for key, s, e in zip(batch.column(0).to_pylist(), at[:-1], at[1:], strict=True):
+            tag, start, end, first = _split(place[s:e])
+            d = np.empty(len(first), DIGEST)
+            d["h1"], d["h2"] = h1[s:e][first], h2[s:e][first]
+            cuts = np.nonzero((tag[1:] != tag[:-1]) | (start[1:] != end[:-1]))[0] + 1
+            for x, y in zip([0, *cuts.tolist()], [*cuts.tolist(), len(first)], strict=True):
+                if end[y - 1] - start[x] >= min_run:
+                    raw, edges = d[x:y].tobytes(), np.append(start[x:y], end[y - 1])
+                    own = np.array(windows(edges, min_run))
+                    keys.append(np.full(len(own), key, np.int64))
+                    places.append(_places(edges[own[:, 0]], edges[own[:, 1]], tag[x]))
+                    found += [xxhash.xxh3_128_digest(raw[12 * i:12 * j])[:12] for i, j in own.tolist()]
+        if found:
+            d = np.frombuffer(b"".join(found), DIGEST)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(places)),
+                                              *[pa.array(np.ascontiguousarray(d[c])) for c in ("h1", "h2")]], ["k", "place", "h1", "h2"])
+
+
+def repeated_spans(data: bytes, places: list[int]) -> list[tuple[int, int]]:
+    """The stretches of this text that windows cover; what overlaps or touches is one."""
+    tag, start, end, _ = _split(np.array(places, np.int64))
+    mine = tag == _tag(data)
+    spans: list[tuple[int, int]] = []
+    for s, e in zip(start[mine].tolist(), end[mine].tolist(), strict=True):
+        if spans and s <= spans[-1][1]:
+            s, e = spans[-1][0], max(e, spans.pop()[1])
+        spans.append((s, e))
+    return spans
+
+
+def _remove(batches, text_col, n_out, with_figures):
     for b in batches:
         k = b.schema.get_field_index(text_col)
         rows = []
         for text, repeats in zip(b.column(k).to_pylist(), b.column(b.schema.get_field_index(REPEATS)).to_pylist(), strict=True):
             data = (text or "").encode("utf-8", "replace")
-            spans = []
-            if repeats:
-                both = np.array([(r["h1"], r["h2"]) for r in repeats], DIGEST).tobytes()
-                spans = repeated_spans(data, {both[i:i + 12] for i in range(0, len(both), 12)}, min_run)
+            spans = repeated_spans(data, repeats) if repeats else []
             if spans:
                 edges = [0, *[x for s in spans for x in s], len(data)]
                 kept = b"".join(data[s:e] for s, e in zip(edges[::2], edges[1::2], strict=True))
@@ -132,19 +183,27 @@ def _remove(batches, text_col, n_out, with_figures, min_run):
         yield pa.RecordBatch.from_arrays(cols, names)
 
 
+def _shared(rows: DataFrame, *digest: str) -> DataFrame:
+    """Digests of two or more documents, with the smallest id."""
+    return (rows.groupBy(*digest).agg(F.min("k").alias("first"), F.max("k").alias("last"))
+            .where("first < last").drop("last"))
+
+
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_figures: bool = False,
                     min_run: int = MIN_RUN) -> DataFrame:
     """All rows and columns of ``docs`` with repeated passages taken out of ``text``;
     ``with_figures`` adds n_bytes, n_removed, n_spans and kept_sha256."""
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))
-    chunks = in_arrow(docs.select(key.alias("k"), F.col(text).alias("t")), _chunks, "k long, h1 long, h2 int")
-    shared = (chunks.groupBy("h1", "h2").agg(F.min("k").alias("first"), F.max("k").alias("last"))
-              .where("first < last").drop("last"))
-    repeats = (chunks.join(shared, ["h1", "h2"]).where("k > first")
-               .groupBy(F.col("k").alias(KEY)).agg(F.collect_list(F.struct("h1", "h2")).alias(REPEATS)))
+    chunks = in_arrow(docs.select(key.alias("k"), F.col(text).alias("t")), _chunks, "k long, place long, h1 long, h2 int")
+    # half of the digest will do to choose chunks: windows are told apart by all of it
+    held = (chunks.join(_shared(chunks, "h1").select("h1"), "h1").groupBy("k")
+            .agg(*[F.collect_list(c).alias(c) for c in ("place", "h1", "h2")]))
+    found = in_arrow(held, _windows, "k long, place long, h1 long, h2 int", min_run)
+    repeats = (found.join(_shared(found, "h1", "h2"), ["h1", "h2"]).where("k > first")
+               .groupBy(F.col("k").alias(KEY)).agg(F.collect_list("place").alias(REPEATS)))
     rows = docs.withColumn(KEY, key).join(repeats, KEY, "left").select(*docs.columns, REPEATS)
     schema = T.StructType(list(docs.schema.fields))
     if with_figures:
         schema = T.StructType([*docs.schema.fields, *[T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")],
                                T.StructField("kept_sha256", T.StringType())])
-    return in_arrow(rows, _remove, schema, text, len(docs.columns), with_figures, min_run)
+    return in_arrow(rows, _remove, schema, text, len(docs.columns), with_figures)

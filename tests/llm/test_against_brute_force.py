@@ -300,6 +300,44 @@ def test_planted_passages_go_and_clean_documents_stay(spark, texts):
     assert all(out[100 + i].n_removed >= len(passage) // 2 for i in range(2, 30))
 
 
+def _without_repeats(rows):
+    """The chunk rule by whole byte strings: id -> text; ids are distinct."""
+    def pieces(b):
+        edges = [0, *chunk_dedup.borders(b)]
+        for i in range(len(edges)):
+            for j in range(i + 1, len(edges)):
+                if edges[j] - edges[i] >= chunk_dedup.MIN_RUN:
+                    yield edges[i], edges[j], tuple(b[x:y] for x, y in zip(edges[i:j], edges[i + 1:j + 1]))
+
+    seen, out = set(), {}
+    for k, t in sorted(rows):
+        b = t.encode()
+        hit = np.zeros(len(b), bool)
+        own = list(pieces(b))
+        for s, e, chunks in own:
+            if chunks in seen:
+                hit[s:e] = True
+        seen.update(chunks for _, _, chunks in own)
+        out[k] = np.frombuffer(b, np.uint8)[~hit].tobytes().decode()
+    return out
+
+
+def test_removed_runs_are_passages_of_one_document(spark):
+    rnd = random.Random(13)
+    units = []
+    while len(units) < 40:  # phrases of one chunk each
+        w = " ".join("".join(rnd.choices("abcdefghij", k=rnd.randrange(2, 8))) for _ in range(12))
+        ends = chunk_dedup.borders(w.encode())
+        units += [w[s:e] for s, e in zip(ends[:-2], ends[1:-1], strict=True) if e - s < 50]
+    rows = [(i, "".join(rnd.choice(units) for _ in range(rnd.randrange(1, 9)))) for i in range(120)]
+    out = {r.doc_id: r.text for r in chunk_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == _without_repeats(rows)
+    both = units[0] + units[1] + units[2]
+    short = [(1, units[0]), (2, units[1]), (3, units[2]), (4, both), (5, both)]
+    out = {r.doc_id: r.text for r in chunk_dedup.without_repeats(spark.createDataFrame(short, "doc_id long, text string")).collect()}
+    assert out[4] == both and out[5] == _without_repeats(short)[5]
+
+
 def _covered(rows):
     seen, out = {}, {}
     for k, t in sorted(rows):
