@@ -12,6 +12,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from cumulus.llm import (
     byte_tokens,
     chosen_path,
@@ -22,6 +23,7 @@ from cumulus.llm import (
     piece_codec,
     piecewise_hash,
     ppm_language,
+    queries,
     secret_scan,
     suffix_dedup,
     token_store,
@@ -282,6 +284,66 @@ def test_near_duplicates_equal_all_pairs(spark, monkeypatch):
     assert all(got[i].kept == (got[i].component_id == i) for i in sets)
 
 
+def test_pipeline_equals_plain_stages(spark, tmp_path):
+    rnd = random.Random(21)
+    letters = secret_scan.SYMBOLS[:62]
+
+    def words(n):
+        return [f"{rnd.choice(['reading', 'writer', 'handler', 'stream', 'paper'])} {rnd.choice('abcdefgh')}{rnd.randrange(10 ** 6)}" for _ in range(n)]
+
+    passage = " ".join(words(30))
+    bases = [words(rnd.randrange(60, 90)) for _ in range(40)]
+    rows = []
+    for g, base in enumerate(bases):
+        for k in range(1 + g % 3):  # near copies: one word in a line of its own less
+            w = base[:len(base) - k]
+            t = " ".join(w[:20]) + "\n" + " ".join(w[20:]) + "\nAll rights RESERVED\nby the publisher"
+            t += f"\n{passage} {g}" if g % 4 == 0 and not k else ""
+            t += f"\npassword = {''.join(rnd.choices(letters, k=30))}{g} tail {g}" if g % 5 == 1 else ""
+            t += f"\nsee client_value={''.join(rnd.choices(letters, k=40))} tail" if g % 5 == 2 else ""
+            rows.append((len(rows) * 2 + 1, t, "h"))
+    rows += [(501, "", "h"), (502, None, "h"), (503, "too short", None)]
+    rnd.shuffle(rows)
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+
+    cut = _without_repeats([(i, t or "") for i, t, _ in rows])
+    got = {r.doc_id: r.kept_sha256 for r in queries.op3_chunk_dedup(spark, str(tmp_path)).collect()}
+    assert got == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in cut.items()}
+
+    texts = _filtered([(i, t or "", h) for i, t, h in rows])
+    assert 40 < len(texts) < len(rows) and not any("reserved" in t.lower() for t in texts.values())
+    sets, root = {i: _shingles(t) for i, t in texts.items()}, {i: i for i in texts}
+    for a in sorted(texts):  # the smallest id of all that are linked with it, over any number of links
+        todo = [a] if root[a] == a else []
+        while todo:
+            x = todo.pop()
+            for b in texts:
+                if root[b] == b and b > a and 100 * len(sets[x] & sets[b]) >= 75 * len(sets[x] | sets[b]):
+                    root[b] = a
+                    todo.append(b)
+    assert any(root[i] != i for i in texts)
+    texts = {i: t for i, t in texts.items() if root[i] == i}
+    cut = _without_repeats(texts.items())
+    assert sum(map(len, cut.values())) < sum(map(len, texts.values())) - 8 * len(passage) // 2
+    kept = spark.createDataFrame(sorted(cut.items()), "doc_id long, text string")
+    bits = secret_scan.train(kept)
+    masked = {i: secret_scan.redacted(t, (p := secret_scan.pattern_spans(t)) + secret_scan.markov_spans(t, p, bits, 1.5)) for i, t in cut.items()}
+    assert sum("[secret]" in t for t in masked.values()) >= 12
+    tok = Tokenizer.from_file(BYTE_BPE)
+    ids = {i: [*tok.encode(t, add_special_tokens=False).ids, 1] for i, t in masked.items()}
+
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    by_doc, at = {}, 0
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        assert p.sequence_id * 2048 + p.offset == at and p.offset + p.length <= 2048
+        at += p.length
+        own = by_doc.setdefault(p.doc_id, [])
+        assert (p.start, p.doc_tokens) == (sum(own), len(ids[p.doc_id]))
+        assert p.ids_crc32 == zlib.crc32(np.array(ids[p.doc_id][p.start:p.start + p.length], "<u4").tobytes())
+        own.append(p.length)
+    assert {i: sum(n) for i, n in by_doc.items()} == {i: len(x) for i, x in ids.items()}
+
+
 def test_components_of_chains_stars_and_rings(spark):
     links = [(i, i + 1) for i in range(50)] + [(200, 200 + i) for i in range(1, 40)] + [(300, 301), (301, 302), (302, 300), (7, 7)]
     got = {r.vertex: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
