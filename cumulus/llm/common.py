@@ -22,6 +22,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
 def ship_code(spark: SparkSession) -> None:
     """Send this package to the executors once per session, so that their Python workers can
     import it whatever their working folder is."""

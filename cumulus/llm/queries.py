@@ -12,16 +12,19 @@ from ..session import scratch_path
 from . import (
     chosen_path,
     chunk_dedup,
+    importance,
     line_quality,
     packing,
     piece_codec,
     piecewise_hash,
     ppm_language,
     secret_scan,
+    suffix_automaton,
     suffix_dedup,
     token_store,
+    variant_trie,
 )
-from .common import documents
+from .common import benchmark, documents
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -72,11 +75,24 @@ def op10_piecewise_hash(spark: SparkSession, d: str) -> DataFrame:
     return piecewise_hash.compare(documents(spark, d))
 
 
+def op11_suffix_automaton(spark: SparkSession, d: str) -> DataFrame:
+    return suffix_automaton.report(documents(spark, d), benchmark(spark, d))
+
+
+def op12_variant_trie(spark: SparkSession, d: str) -> DataFrame:
+    return variant_trie.variants(documents(spark, d))
+
+
+def op13_importance_resampling(spark: SparkSession, d: str) -> DataFrame:
+    return importance.report(documents(spark, d), benchmark(spark, d))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_secret_scan, op2_piece_codec, op3_chunk_dedup, op4_line_quality, op5_suffix_dedup, op6_ppm_language,
-             op7_chosen_path, op8_token_store, op9_packing, op10_piecewise_hash]
+             op7_chosen_path, op8_token_store, op9_packing, op10_piecewise_hash,
+             op11_suffix_automaton, op12_variant_trie, op13_importance_resampling]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_quality": line_quality.assess_sql()}
+    return {"op4_line_quality": line_quality.assess_sql(), "op11_suffix_automaton": suffix_automaton.report_sql()}

@@ -8,14 +8,17 @@ import corpus_pipeline
 from cumulus.llm import (
     chosen_path,
     chunk_dedup,
+    importance,
     line_quality,
     packing,
     piece_codec,
     piecewise_hash,
     ppm_language,
     secret_scan,
+    suffix_automaton,
     suffix_dedup,
     token_store,
+    variant_trie,
 )
 from cumulus.llm.queries import BYTE_BPE, PIECE_BPE
 from cumulus.session import scratch_path
@@ -71,6 +74,8 @@ OPERATORS = {
     "chosen_path": chosen_path.report,
     "token_store": _store,
     "piecewise_hash": piecewise_hash.compare,
+    "suffix_automaton": lambda d: suffix_automaton.report(d, d.select("doc_id", "text"), item_id="doc_id"),
+    "importance": lambda d: importance.report(d, d.select("text")),
 }
 
 
@@ -86,6 +91,18 @@ def test_empty_table_gives_no_rows(empty, name):
     assert OPERATORS[name](empty).collect() == []
 
 
+def test_variants_of_messy_and_empty_tables(messy, empty):
+    assert variant_trie.variants(empty).collect() == []
+    rows = {r.word: r for r in variant_trie.variants(messy).collect()}
+    assert rows["lambda"].n >= 5 and rows["lambda"].n_near == 0 and rows["lambda"].root == "lambda"
+
+
+def test_no_items_and_no_target(messy, empty):
+    assert not any(r.contaminated for r in suffix_automaton.report(messy, empty, item_id="doc_id").collect())
+    assert importance.report(messy, empty).count() == len(ROWS)
+    assert importance.resampled(messy, empty, percent=100).columns == messy.columns
+
+
 def test_packing_covers_messy_rows(messy, empty):
     assert packing.pack(empty, BYTE_BPE).collect() == []
     pieces = packing.pack(messy, BYTE_BPE).collect()
