@@ -305,11 +305,11 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
 
 
 def report(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """Per row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, longest."""
+    """Per row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     n_hit = F.expr("aggregate(zip_with(last, first, (e, s) -> CAST(e - s AS BIGINT)), 0L, (a, n) -> a + n)")
     return matches(docs, items, **options).select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.size("first") > 0).alias("contaminated"), "longest")
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.size("first") > 0).alias("contaminated"))
 
 
 def _cut(batches):
@@ -336,7 +336,7 @@ def cleaned(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str
 
 
 def report_sql(window: int = WINDOW) -> str:
-    """The rows of ``report`` but for ``longest``, in DuckDB SQL over ``documents`` and ``benchmark``
+    """The rows of ``report`` in DuckDB SQL over ``documents`` and ``benchmark``
     whose ids are unique and not null."""
     def split(table, key):
         folded = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
