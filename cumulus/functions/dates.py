@@ -12,32 +12,42 @@ Text dates arrive as month/day/year. Two parse modes:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_MDY = r"^\d+/\d+/\d+"
-#: Beyond these a month or day count leaves the range of years whatever the rest says.
-_MAX_MONTHS, _MAX_DAYS, _MAX_YEAR = 120_000, 3_700_000, 9999
+#: The three digit runs; zeros in front aside, longer ones lead beyond year 9999 whatever the rest says.
+_MDY = r"^0*\d{1,6}/0*\d{1,7}/0*\d{1,4}(?!\d)"
+_MAX_YEAR = 9999
 
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once, however often the body names it: the value is the
+    one element of an array, and the body a function applied to it. Catalyst can't copy the value
+    into its uses there, as it does with a projected column."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _rolled(parts: Column) -> Column:
+    m, d, y = (F.get(parts, i).try_cast("int") for i in range(3))
+    return F.date_add(F.add_months(F.make_date(y, F.lit(1), F.lit(1)), m - 1), d - 1)
+
+
 def parse_date(text: Column | str, mode: str = "lenient") -> Column:
-    """Text -> DATE. NULL, blank and unparseable text give NULL (never an error)."""
+    """Text -> DATE. NULL, blank and unparseable text give NULL (never an error). The text is matched
+    once per evaluation, and the date is computed once from the matched digits."""
     t = F.trim(_c(text))
     if mode == "strict":
         return F.coalesce(F.try_to_date(t, "M/d/yyyy"), F.try_to_date(t, "d/M/yyyy"))
     if mode != "lenient":
         raise ValueError(f"unknown date mode {mode!r}")
-    # one regex pass; the three digit runs then come from a split of the matched prefix
-    parts = F.split(F.regexp_extract(t, _MDY, 0), "/")
-    m, d, y = (F.get(parts, i).try_cast("int") for i in range(3))
-    fits = (y <= _MAX_YEAR) & (m <= _MAX_MONTHS) & (d <= _MAX_DAYS)
-    y, m, d = (F.when(fits, p) for p in (y, m, d))
-    date = F.date_add(F.add_months(F.make_date(y, F.lit(1), F.lit(1)), m - 1), d - 1)
-    return F.when(F.year(date).between(0, _MAX_YEAR), date)
+    date = let(F.split(F.regexp_extract(t, _MDY, 0), "/"), _rolled)
+    return let(date, lambda d: F.when(F.year(d).between(0, _MAX_YEAR), d))
 
 
 def split_date_parts(text: Column | str) -> tuple[Column, Column, Column]:

@@ -6,7 +6,7 @@ parsed ``obs_date`` column, otherwise ``weather_date`` text is parsed once per q
 
 Plan shape used throughout: filter on typed columns -> partial aggregate per location (and
 period) -> exchange on the group key -> final aggregate -> join the dimension on the
-aggregated rows (checked broadcast) -> roll up by name. No raw fact row is shuffled for a
+aggregated rows (broadcast or shuffled, as the planner finds by size) -> roll up by name. No raw fact row is shuffled for a
 join, a hot location costs one partial-aggregate row per map task, and un-partitioned
 ranking only ever sees an already bounded top-k.
 """
@@ -21,7 +21,7 @@ from ..functions.dates import (calendar_parts, parse_date, split_date_parts,
                                us_week_of_year, year_month_label, year_month_text)
 from ..functions.stats import share_pct
 from ..plans.compute_once import compute_once
-from ..plans.joins import attach_names
+from ..plans.joins import attach_names, salted
 
 
 def with_obs_date(facts: DataFrame, date_mode: str = "lenient") -> DataFrame:
@@ -94,15 +94,19 @@ def peak_precipitation_month(facts: DataFrame, measure: str = "precipitation_hou
 # ---------------------------------------------------------------------------------------
 # C1 / J1: the joined view with strict split date parts
 # ---------------------------------------------------------------------------------------
-def combined_observations(facts: DataFrame, locations: DataFrame) -> DataFrame:
+def combined_observations(facts: DataFrame, locations: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """Facts inner-joined to the dimension, with year/month/day split from the text date.
 
     Row-level view (the SQL view of the reference); the aggregations below do not go
-    through it but aggregate per location first and join the names afterwards.
+    through it but aggregate per location first and join the names afterwards. ``hot_rows`` splits
+    ids with more rows than that (see :func:`cumulus.plans.joins.salted`).
     """
     year, month, day = split_date_parts("weather_date")
     dim = locations.select("location_id", "city_name").where(F.col("location_id").isNotNull())
-    return (facts.where(F.col("location_id").isNotNull()).join(dim, "location_id")
+    left, right, on = facts.where(F.col("location_id").isNotNull()), dim, ["location_id"]
+    if hot_rows is not None:
+        left, right, on = salted(left, right, "location_id", hot_rows)
+    return (left.join(right, on)
             .select("location_id", "city_name", year.alias("year_val"),
                     month.alias("month_val"), day.alias("day_val"),
                     "precipitation_hours", "temperature_2m_mean", "temperature_2m_max",

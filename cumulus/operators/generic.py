@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import prefixed
+from ..plans.views import session_views
 
 
 def project_arith(df: DataFrame, keep: list[str], column: str, delta: float = 1,
@@ -32,9 +33,9 @@ def count_by_group(df: DataFrame, column: str) -> DataFrame:
 
 
 def sql_over_view(spark: SparkSession, df: DataFrame, view: str, sql: str, args: dict | None = None) -> DataFrame:
-    """Register ``df`` as a temp view and run parameterised SQL over it."""
-    df.createOrReplaceTempView(view)
-    return spark.sql(sql, args=args or {})
+    """Run parameterised SQL over ``df`` under a view name; the view goes when the query is analysed."""
+    with session_views(spark, {view: df}):
+        return spark.sql(sql, args=args or {})
 
 
 def sql_on_file(spark: SparkSession, path: str, fmt: str = "parquet", columns: str = "*") -> DataFrame:

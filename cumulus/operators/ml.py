@@ -2,8 +2,10 @@
 gradient-boosted trees, evaluation, model comparison, feature importances, scenario
 scoring and the mean conditions of low predicted ET0.
 
-Training is distributed by Spark ML; the training split is persisted (memory and disk, so a
-lost executor recomputes only its blocks) around the fits and released afterwards.
+Training is distributed by Spark ML. The modelling rows (three features, label, split key) are read
+from the facts once and stored as a narrow table; the training split is persisted from there (memory
+and disk, so a lost executor reads only its blocks again) around the fits and released afterwards. All
+models predict the test split side by side, and one aggregate gives every metric.
 """
 
 from __future__ import annotations
@@ -11,13 +13,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import shared_dir, stored
 from .stats import MODEL_FEATURES, MODEL_LABEL, deterministic_split, mean_conditions
 
 FEATURE_NAMES = list(MODEL_FEATURES.values())
@@ -41,53 +42,69 @@ def linear_regression(**kw) -> LinearRegression:
 
 
 def random_forest(num_trees: int = 50, seed: int = SEED, **kw) -> RandomForestRegressor:
-    return RandomForestRegressor(labelCol=MODEL_LABEL, featuresCol="features",
-                                 numTrees=num_trees, seed=seed, checkpointInterval=10, **kw)
+    return RandomForestRegressor(labelCol=MODEL_LABEL, featuresCol="features", numTrees=num_trees, seed=seed, **kw)
 
 
 def gradient_boosted_trees(max_iter: int = 100, max_depth: int = 5, seed: int = SEED,
                            **kw) -> GBTRegressor:
+    # boosting checkpoints what it carries from round to round every 10 rounds into the shared
+    # folder, so a long run does not rebuild a 100-step lineage after a loss
     return GBTRegressor(labelCol=MODEL_LABEL, featuresCol="features", maxIter=max_iter,
                         maxDepth=max_depth, seed=seed, checkpointInterval=10, **kw)
 
 
-def evaluate(predictions: DataFrame) -> tuple[float, float]:
-    ev = RegressionEvaluator(labelCol=MODEL_LABEL, predictionCol="prediction")
-    return (ev.setMetricName("rmse").evaluate(predictions),
-            ev.setMetricName("r2").evaluate(predictions))
+def _column(name: str) -> str:
+    return f"prediction_{name}"
+
+
+def evaluate(predictions: DataFrame, columns: dict[str, str], label: str = MODEL_LABEL) -> dict[str, tuple[float, float]]:
+    """name -> (RMSE, R^2) of several prediction columns, in one aggregate pass."""
+    y, aggs = F.col(label), []
+    for name, c in columns.items():
+        mse = F.avg((y - F.col(c)) * (y - F.col(c)))
+        aggs += [F.sqrt(mse).alias(f"{name}_rmse"), (1 - F.try_divide(mse, F.var_pop(y))).alias(f"{name}_r2")]
+    row = predictions.agg(*aggs).first()
+    return {name: (row[f"{name}_rmse"], row[f"{name}_r2"]) for name in columns}
 
 
 @dataclass
 class FittedModels:
     models: dict            # name -> fitted model
-    predictions: dict       # name -> test-split prediction frame
-    metrics: dict           # name -> (rmse, r2)
+    scored: DataFrame       # test split with one prediction column per model
+
+    @property
+    def metrics(self) -> dict:
+        """name -> (rmse, r2), computed when asked for."""
+        return evaluate(self.scored, {k: _column(k) for k in self.models})
+
+    @property
+    def predictions(self) -> dict:
+        """name -> test split with that model's ``prediction``."""
+        return {k: self.scored.withColumn("prediction", F.col(_column(k))) for k in self.models}
 
 
 def fit_models(modelling: DataFrame, which: tuple[str, ...] = ("lr", "rf", "gbt"),
-               rf_trees: int = 50, gbt_iter: int = 100, gbt_depth: int = 5,
+               forest: dict | None = None, boosting: dict | None = None,
                train_pct: int = 80) -> FittedModels:
-    """Fit the requested models on the deterministic training split, score the test split."""
-    # tree ensembles checkpoint their per-iteration state every 10 iterations into the
-    # shared folder, so a long boosting run does not rebuild a 100-step lineage after a loss
-    shared_dir(modelling.sparkSession)
-    train, test = deterministic_split(assemble(modelling), train_pct)
+    """Fit the requested models on the deterministic training split and score the test split;
+    ``forest`` and ``boosting`` are parameters of these learners."""
+    shared_dir(modelling.sparkSession)  # where boosting checkpoints
+    rows = assemble(stored(modelling, "modelling"))
+    train, test = deterministic_split(rows, train_pct)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     estimators = {
-        "lr": linear_regression(),
-        "rf": random_forest(rf_trees),
-        "gbt": gradient_boosted_trees(gbt_iter, gbt_depth),
+        "lr": linear_regression,
+        "rf": lambda: random_forest(**(forest or {})),
+        "gbt": lambda: gradient_boosted_trees(**(boosting or {})),
     }
-    models, preds, metrics = {}, {}, {}
+    models = {}
     try:
         for name in which:
-            m = estimators[name].fit(train)
-            models[name] = m
-            preds[name] = m.transform(test)
-            metrics[name] = evaluate(preds[name])
+            models[name] = estimators[name]().fit(train).setPredictionCol(_column(name))
+            test = models[name].transform(test)
     finally:
         train.unpersist()
-    return FittedModels(models, preds, metrics)
+    return FittedModels(models, test)
 
 
 # --- fixed values: display names of the compared models ----------------------------------
@@ -110,6 +127,7 @@ def score(model, scenarios: DataFrame) -> DataFrame:
     feature stays, with a NULL prediction."""
     ok = complete(scenarios)
     scored = model.transform(assemble(scenarios.where(ok))).drop("features")
+    scored = scored.withColumnRenamed(model.getPredictionCol(), "prediction")
     return scored.unionByName(scenarios.where(~ok), allowMissingColumns=True)
 
 

@@ -44,12 +44,11 @@ def correlations(df: DataFrame, target: str = ET0, features: list[str] | None =
     """Pearson correlation of every feature with ``target`` in a single aggregate, returned
     long (feature, correlation_with_et0) and ordered by correlation descending."""
     feats = [c for c in (features or numeric_columns(df)) if c != target]
-    # long form: one (feature, x, y) row per input row and feature, then one small
-    # aggregate per feature group - compact generated code instead of 3 x len(feats)
-    # moment aggregates in one method; the partial aggregate keeps one row per feature
-    pairs = (df.select(F.col(target).cast("double").alias("_y"), *[F.col(c).cast("double") for c in feats])
-             .unpivot(["_y"], feats, "feature", "_x"))
-    out = pairs.groupBy("feature").agg(F.round(safe_corr("_x", "_y", nulls), digits).alias("correlation_with_et0"))
+    # one ungrouped aggregate of all features, each row read once and never repeated; only its one
+    # result row is turned into rows
+    y = F.col(target).cast("double")
+    wide = df.agg(*[F.round(safe_corr(F.col(c).cast("double"), y, nulls), digits).alias(c) for c in feats])
+    out = wide.unpivot([], feats, "feature", "correlation_with_et0")
     return out.orderBy(F.col("correlation_with_et0").desc_nulls_last(), F.col("feature"))
 
 
@@ -65,6 +64,8 @@ def modelling_set(facts: DataFrame, month: int = 5, date_mode: str = "lenient",
 
     ``split_bucket`` (0..99) is a pure function of (location, date), so the split does not
     depend on partition layout or task retries; a NULL location counts as -1, so every row has one."""
+    if "month" in facts.columns:  # stored by the ingest, which sorts by it: skips row groups
+        facts = facts.where(F.col("month") == month)
     d = with_obs_date(facts, date_mode).where(F.month("obs_date") == month)
     cols = [F.col(src).cast("double").alias(dst) for src, dst in MODEL_FEATURES.items()]
     cols.append(F.col(ET0).cast("double").alias(MODEL_LABEL))

@@ -80,14 +80,52 @@ _WHOLE = {"location_id", "weather_code", "daylight_duration", "sunshine_duration
 
 def observation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The facts as raw comma-separated lines in a single ``value`` column (NULL -> '')."""
-    exprs = _fact_exprs()
-    fields = []
+    fields = _line_fields()
+    return fact_table(spark, sf_dir).select(F.concat_ws(",", *[fields[n] for n, _ in FACT_COLUMNS]).alias("value"))
+
+
+def _line_fields() -> dict[str, Column]:
+    exprs, out = _fact_exprs(), {}
     for name, _ in FACT_COLUMNS:
         c = exprs[name]
-        text = c.cast("bigint").cast("string") if name in _WHOLE else c.cast("string")
-        fields.append(F.coalesce(text, F.lit("")))
-    li = fact_table(spark, sf_dir)
-    return li.select(F.concat_ws(",", *fields).alias("value"))
+        out[name] = F.coalesce(c.cast("bigint").cast("string") if name in _WHOLE else c.cast("string"), F.lit(""))
+    return out
+
+
+def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts as raw lines with every fault the text path knows, placed by the row's key:
+    repeated headers, short and blank lines, dates that are missing, odd or roll over, blank,
+    ``null``, padded and non-numeric numbers, and readings beyond the plausible ranges."""
+    k = F.col("l_orderkey") * 7 + F.col("l_linenumber")
+    fields, day = _line_fields(), F.col("l_shipdate")
+
+    def by(modulus: int, *texts) -> Column:
+        out = F.when(k % modulus == 0, texts[0])
+        for i, t in enumerate(texts[1:], 1):
+            out = out.when(k % modulus == i, t)
+        return out
+
+    def lit(*texts: str) -> list[Column]:
+        return [F.lit(t) for t in texts]
+
+    padded = {c: F.concat(F.lit("  "), fields[c], F.lit(" ")) for c in ("location_id", "precipitation_hours")}
+    fields |= {
+        "weather_date": by(17, *lit("null", "", "not a date"), F.date_format(day, "yyyy-MM-dd"), F.date_format(day, "d/M/yyyy"),
+                           F.date_format(day, "M/d/yyyy'x'")).otherwise(fields["weather_date"]),
+        "precipitation_hours": by(19, *lit("null", "", "x7"), padded["precipitation_hours"]).otherwise(fields["precipitation_hours"]),
+        "location_id": by(23, *lit("", "null", "abc"), padded["location_id"]).otherwise(fields["location_id"]),
+        "temperature_2m_max": by(29, *lit("99", "-50", "n/a", "60")).otherwise(fields["temperature_2m_max"]),
+        "et0_fao_evapotranspiration": by(31, *lit("25", "-1", "20", "null")).otherwise(fields["et0_fao_evapotranspiration"]),
+        "temperature_2m_mean": by(37, *lit("null", " ")).otherwise(fields["temperature_2m_mean"]),
+        "shortwave_radiation_sum": by(41, *lit("null", "")).otherwise(fields["shortwave_radiation_sum"]),
+    }
+    whole = F.concat_ws(",", *[fields[n] for n, _ in FACT_COLUMNS])
+    header = F.lit(",".join(["location_id", "date", *[n for n, _ in FACT_COLUMNS[2:]]]))
+    # a short line whose missing fields are still counted by their commas, and one without these
+    short = F.concat_ws(",", *[fields[n] for n, _ in FACT_COLUMNS[:5]])
+    line = (F.when(k % 11 == 0, header).when(k % 13 == 0, F.concat(short, F.lit("," * 16))).when(k % 13 == 1, short)
+            .when(k % 43 == 0, F.lit("")).otherwise(whole))
+    return fact_table(spark, sf_dir).select(line.alias("value"))
 
 
 def locations(spark: SparkSession, sf_dir: str, registered_only: bool = False) -> DataFrame:

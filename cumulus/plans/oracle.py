@@ -10,6 +10,8 @@ DECIMAL as well (``_r``); raw double rounding would differ on exact decimal ties
 
 from __future__ import annotations
 
+from . import tree_sql
+
 MIN_YEAR = 1998  # the tables span 1995-01 .. 2001-11
 
 
@@ -66,6 +68,166 @@ MODELLING = """model_rows AS (
     AND et0_fao_evapotranspiration IS NOT NULL)"""
 
 
+# the label of the tree models: sun raises it, rain lowers it, the bound ET0 is noise
+SIGNAL_ROWS = """rows AS MATERIALIZED (
+  SELECT precipitation_hours, sunshine_duration, wind_speed, split_bucket,
+         et0 / 64 + sunshine_duration / 8000 + (24 - precipitation_hours) / 32 AS et0,
+         CASE WHEN split_bucket < 80 THEN 'train' ELSE 'test' END AS kind
+  FROM model_rows)"""
+
+# mean conditions of each location in the month; every seventh location lacks its wind
+SCENARIOS = """scenarios AS (
+  SELECT location_id, AVG(precipitation_hours) AS precipitation_hours, AVG(sunshine_duration) AS sunshine_duration,
+         CASE WHEN location_id % 7 <> 0 THEN AVG(wind_speed_10m_max) END AS wind_speed
+  FROM obs WHERE month(obs_date) = 5 GROUP BY location_id)"""
+
+
+def _least_squares(rows: str, label: str) -> str:
+    """Ordinary least squares on the training split (3 features + intercept): covariances, then
+    Cramer's rule for the 3x3 normal equations; ``test_rows`` are the test rows with prediction."""
+    return f"""ols_m AS (
+  SELECT COVAR_POP(precipitation_hours, precipitation_hours) AS s11,
+         COVAR_POP(precipitation_hours, sunshine_duration) AS s12,
+         COVAR_POP(precipitation_hours, wind_speed) AS s13,
+         COVAR_POP(sunshine_duration, sunshine_duration) AS s22,
+         COVAR_POP(sunshine_duration, wind_speed) AS s23,
+         COVAR_POP(wind_speed, wind_speed) AS s33,
+         COVAR_POP(precipitation_hours, {label}) AS c1, COVAR_POP(sunshine_duration, {label}) AS c2,
+         COVAR_POP(wind_speed, {label}) AS c3,
+         AVG(precipitation_hours) AS m1, AVG(sunshine_duration) AS m2, AVG(wind_speed) AS m3,
+         AVG({label}) AS my
+  FROM {rows} WHERE split_bucket < 80),
+ols_d AS (
+  SELECT *, s11 * (s22 * s33 - s23 * s23) - s12 * (s12 * s33 - s23 * s13)
+            + s13 * (s12 * s23 - s22 * s13) AS det FROM ols_m),
+ols_b AS (
+  SELECT *,
+    (c1 * (s22 * s33 - s23 * s23) - s12 * (c2 * s33 - s23 * c3) + s13 * (c2 * s23 - s22 * c3)) / det AS b1,
+    (s11 * (c2 * s33 - c3 * s23) - c1 * (s12 * s33 - s23 * s13) + s13 * (s12 * c3 - c2 * s13)) / det AS b2,
+    (s11 * (s22 * c3 - s23 * c2) - s12 * (s12 * c3 - c2 * s13) + c1 * (s12 * s23 - s22 * s13)) / det AS b3
+  FROM ols_d),
+ols_fit AS (SELECT b1, b2, b3, my - b1 * m1 - b2 * m2 - b3 * m3 AS b0 FROM ols_b),
+test_rows AS (
+  SELECT t.{label} AS et0, f.b0 + f.b1 * t.precipitation_hours + f.b2 * t.sunshine_duration + f.b3 * t.wind_speed AS p,
+         AVG(t.{label}) OVER () AS ybar
+  FROM {rows} t, ols_fit f WHERE t.split_bucket >= 80)"""
+
+
+def _metrics(title: str, rows: str, prediction: str) -> str:
+    return f"""SELECT '{title}' AS Model, {_r(f'SQRT(AVG(POWER(et0 - {prediction}, 2)))', 6)} AS RMSE,
+       {_r(f'1 - AVG(POWER(et0 - {prediction}, 2)) / VAR_POP(et0)', 6)} AS R2
+FROM {rows}"""
+
+
+# the faults of the dirty lines, as typed values (mirrors plans/observations.dirty_lines)
+DIRTY = f"""dirty0 AS (SELECT *, l_orderkey * 7 + l_linenumber AS k, CAST(l_shipdate AS DATE) AS day FROM lineitem),
+dirty AS (
+  SELECT k, day,
+         CASE WHEN k % 11 = 0 THEN 'header' WHEN k % 13 IN (0, 1) THEN 'short_line' WHEN k % 43 = 0 THEN 'blank' ELSE 'body' END AS shape,
+         CASE WHEN k % 23 NOT IN (0, 1, 2) THEN CAST(l_suppkey AS BIGINT) END AS location_id,
+         CASE WHEN k % 17 IN (0, 1, 2, 3) THEN NULL
+              WHEN k % 17 = 4 THEN CAST(make_date(year(day), 1, 1) + to_months(CAST(day(day) - 1 AS INTEGER)) AS DATE) + CAST(month(day) - 1 AS INTEGER)
+              ELSE day END AS obs_date,
+         CASE WHEN k % 17 IN (0, 1, 2, 3) THEN NULL WHEN k % 17 = 4 THEN day(day) ELSE month(day) END AS split_month,
+         CASE k % 29 WHEN 0 THEN 99 WHEN 1 THEN -50 WHEN 2 THEN NULL WHEN 3 THEN 60 ELSE 10 + l_quantity / 2 END AS temperature_2m_max,
+         CASE WHEN k % 37 NOT IN (0, 1) THEN 5 + l_quantity / 2 END AS temperature_2m_mean,
+         CASE WHEN k % 19 NOT IN (0, 1, 2) THEN CAST(l_orderkey % 25 AS DOUBLE) END AS precipitation_hours,
+         CASE WHEN k % 41 NOT IN (0, 1) THEN l_quantity / 2 END AS shortwave_radiation_sum,
+         CASE k % 31 WHEN 0 THEN 25 WHEN 1 THEN -1 WHEN 2 THEN 20 WHEN 3 THEN NULL
+              ELSE CASE WHEN l_orderkey % 97 <> 0 THEN (l_partkey % 160) / 8 END END AS et0_fao_evapotranspiration
+  FROM dirty0),
+body AS (SELECT * FROM dirty WHERE shape = 'body')"""
+
+
+def _dirty_text(expr: str) -> str:
+    """Count of lines whose text in one field is valid; a header has text everywhere."""
+    return f"CAST(COUNT(*) FILTER (shape = 'header' OR ({expr})) AS BIGINT)"
+
+
+def _dirty_queries() -> dict[str, str]:
+    start = f"DATE '{MIN_YEAR}-01-01'"
+    full = "shape = 'body'"
+    obs = DIRTY.replace("\nbody AS", "\nobs AS")  # the analyses read valid lines under this name
+    ingest = f"""
+SELECT CAST(COUNT(*) AS BIGINT) AS lines_total, CAST(COUNT(*) FILTER (shape = 'header') AS BIGINT) AS header,
+       CAST(COUNT(*) FILTER (shape = 'blank') AS BIGINT) AS blank, CAST(COUNT(*) FILTER (shape = 'short_line') AS BIGINT) AS short_line,
+       CAST(COUNT(*) FILTER ({full} AND obs_date IS NULL) AS BIGINT) AS bad_date,
+       CAST(COUNT(*) FILTER ({full} AND obs_date IS NOT NULL) AS BIGINT) AS valid,
+       CAST(COUNT(*) FILTER ({full} AND obs_date IS NOT NULL) AS BIGINT) AS stored_valid,
+       SUM(precipitation_hours) FILTER ({full} AND obs_date IS NOT NULL) AS sum_hours,
+       CAST(COUNT(*) FILTER (shape = 'short_line') AS BIGINT) AS stored_short_line,
+       CAST(COUNT(*) FILTER ({full} AND obs_date IS NULL) AS BIGINT) AS stored_bad_date
+FROM dirty"""
+    return {
+        "dirty_quality_counters": _with(DIRTY, body=f"""
+SELECT CAST(COUNT(*) AS BIGINT) AS lines_total, CAST(COUNT(*) FILTER (shape = 'header') AS BIGINT) AS header_lines,
+       CAST(COUNT(*) FILTER (shape IN ('short_line', 'blank')) AS BIGINT) AS short_lines,
+       CAST(COUNT(*) FILTER ({full} AND obs_date IS NULL) AS BIGINT) AS invalid_date,
+       CAST(COUNT(*) FILTER ({full} AND et0_fao_evapotranspiration IS NULL) AS BIGINT) AS missing_et0,
+       CAST(COUNT(*) FILTER ({full} AND obs_date < {start}) AS BIGINT) AS before_min_year,
+       CAST(COUNT(*) FILTER ({full} AND obs_date >= {start}) AS BIGINT) AS rows_kept,
+       CAST(COUNT(DISTINCT CASE WHEN {full} THEN year(obs_date) * 100 + month(obs_date) END) AS BIGINT) AS months_processed
+FROM dirty"""),
+        "dirty_valid_text": _with(DIRTY, body=f"""
+SELECT {_dirty_text("shape IN ('body', 'short_line') AND k % 23 NOT IN (0, 1)")} AS valid_location_id,
+       {_dirty_text("shape IN ('body', 'short_line') AND k % 17 NOT IN (0, 1)")} AS valid_weather_date,
+       {_dirty_text(f"{full} AND k % 37 NOT IN (0, 1)")} AS valid_temperature_2m_mean,
+       {_dirty_text(f"{full} AND k % 19 NOT IN (0, 1)")} AS valid_precipitation_hours,
+       {_dirty_text(f"{full} AND et0_fao_evapotranspiration IS NOT NULL")} AS valid_et0_fao_evapotranspiration
+FROM dirty"""),
+        "dirty_safe_numeric": _with(DIRTY, body="""
+SELECT location_id, obs_date, temperature_2m_max, temperature_2m_mean, precipitation_hours, shortwave_radiation_sum,
+       et0_fao_evapotranspiration FROM body"""),
+        "dirty_monthly_district_weather": _monthly_district(LOC).replace(OBS, obs),
+        "dirty_coolest_cities": _city_rank("asc", 300).replace(OBS, obs),
+        "dirty_seasonal_et0": _seasonal("split_month").replace(OBS, obs),
+        "dirty_monthly_radiation": _with(obs, LOC, _CLEAN, _MONTHLY_RADIATION, body=f"""
+SELECT {_RADIATION_COLS} FROM monthly"""),
+        "dirty_ingest": _with(DIRTY, body=ingest),
+        "dirty_streaming_ingest": _with(DIRTY, body=ingest),
+    }
+
+
+_CATALOG_COLUMNS = (("location_data", "loc", [("location_id", "bigint"), ("city_name", "string")], ""),
+                    ("weather_data", "obs", [("location_id", "bigint"), ("obs_date", "date"), ("weather_code", "int"),
+                                             ("precipitation_hours", "double")], "skip.header.line.count=1,note=it''s"))
+
+
+def _catalog() -> str:
+    return _with(OBS, LOC, body="\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, (SELECT COUNT(*) FROM {source}) AS n_rows, {i} AS position, '{c}' AS column_name, "
+        f"'{kind}' AS column_type, '{props}' AS properties" for t, source, columns, props in _CATALOG_COLUMNS for i, (c, kind) in enumerate(columns)))
+
+
+def _tree_queries() -> dict[str, str]:
+    """One tree of two levels, and two boosting rounds of such trees (see tree_sql)."""
+    x = list(FEATURES[:3])
+    forest, boosted = tree_sql.tree("rf", "rows", "et0", 2, x), tree_sql.boosted("gbt", "rows", "et0", 2, x)
+    titles = ("Linear Regression", "Random Forest", "Gradient Boosted Trees")
+    both = """rows2 AS MATERIALIZED (
+  SELECT * FROM (SELECT NULL AS location_id, * FROM rows UNION ALL BY NAME
+                 SELECT *, 'scenario' AS kind FROM scenarios WHERE wind_speed IS NOT NULL))"""
+    scored = tree_sql.boosted("gbt", "rows2", "et0", 2, x)
+    return {
+        "model_comparison_exact": _with(OBS, MODELLING, SIGNAL_ROWS, _least_squares("rows", "et0"), *forest, *boosted, body="\nUNION ALL\n".join([
+            _metrics(titles[0], "test_rows", "p"), _metrics(titles[1], "rf_out WHERE kind = 'test'", "rf"),
+            _metrics(titles[2], "gbt_out WHERE kind = 'test'", "gbt")])),
+        "feature_importance_exact": _with(OBS, MODELLING, SIGNAL_ROWS, *forest, *boosted, body="\nUNION ALL\n".join(
+            f"SELECT '{t}' AS Model, feature, {_r('importance', 6)} AS importance FROM ({tree_sql.importance(p, x)})"
+            for t, p in zip(titles[1:], ("rf", "gbt"), strict=True))),
+        "scenario_scoring_exact": _with(OBS, MODELLING, SIGNAL_ROWS, SCENARIOS, both, *scored, body=f"""
+SELECT s.location_id, {', '.join(f"{_r('s.' + c, 6)} AS {c}" for c in x)}, {_r('g.gbt', 6)} AS prediction
+FROM scenarios s LEFT JOIN (SELECT location_id, gbt FROM gbt_out WHERE kind = 'scenario') g USING (location_id)"""),
+        "low_et0_conditions_exact": _with(OBS, MODELLING, SIGNAL_ROWS, *boosted, body=f"""
+SELECT {_r('AVG(precipitation_hours) FILTER (gbt < 1.5)', 2)} AS avg_required_precip,
+       {_r('AVG(sunshine_duration) FILTER (gbt < 1.5)', 2)} AS avg_required_sunshine,
+       {_r('AVG(wind_speed) FILTER (gbt < 1.5)', 2)} AS avg_required_wind,
+       {_r('AVG(gbt) FILTER (gbt < 1.5)', 2)} AS avg_predicted_et0,
+       CAST(COUNT(*) FILTER (gbt < 1.5) AS BIGINT) AS n_low, CAST(COUNT(*) AS BIGINT) AS n_scored
+FROM gbt_out WHERE kind = 'test'"""),
+    }
+
+
 def _with(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
@@ -104,6 +266,20 @@ SELECT CAST(temperature_rank AS INTEGER) AS temperature_rank, city_name,
 FROM ranked WHERE temperature_rank <= 10 ORDER BY temperature_rank""")
 
 
+def _seasonal(month: str) -> str:
+    return _with(OBS, LOC, f"""seasonal AS (
+  SELECT l.city_name, o.et0_fao_evapotranspiration AS e,
+         CASE WHEN {month} >= 9 OR {month} <= 3 THEN 'Sep-Mar'
+              WHEN {month} IS NOT NULL THEN 'Apr-Aug' END AS agricultural_season
+  FROM obs o JOIN loc l ON o.location_id = l.location_id
+  WHERE o.et0_fao_evapotranspiration IS NOT NULL
+    AND o.et0_fao_evapotranspiration BETWEEN 0 AND 20)""", body=f"""
+SELECT city_name, agricultural_season, {_r('AVG(e)', 3)} AS avg_evapotranspiration_mm,
+       CAST(COUNT(*) AS BIGINT) AS record_count
+FROM seasonal WHERE agricultural_season IS NOT NULL
+GROUP BY 1, 2 HAVING COUNT(*) >= 30 ORDER BY 1, 2""")
+
+
 _CLEAN = f"""clean AS (
   SELECT o.*, year(obs_date) AS year_val, month(obs_date) AS month_val,
          {US_WEEK} AS week_val,
@@ -221,17 +397,7 @@ FROM obs o JOIN loc l ON o.location_id = l.location_id""")
     q["coolest_cities"] = _city_rank("asc", 365)
     q["warmest_cities"] = _city_rank("desc", 365)
     q["coolest_cities_600_records"] = _city_rank("asc", 600)
-    q["seasonal_et0"] = _with(OBS, LOC, """seasonal AS (
-  SELECT l.city_name, o.et0_fao_evapotranspiration AS e,
-         CASE WHEN month(o.obs_date) >= 9 OR month(o.obs_date) <= 3 THEN 'Sep-Mar'
-              WHEN month(o.obs_date) IS NOT NULL THEN 'Apr-Aug' END AS agricultural_season
-  FROM obs o JOIN loc l ON o.location_id = l.location_id
-  WHERE o.et0_fao_evapotranspiration IS NOT NULL
-    AND o.et0_fao_evapotranspiration BETWEEN 0 AND 20)""", body=f"""
-SELECT city_name, agricultural_season, {_r('AVG(e)', 3)} AS avg_evapotranspiration_mm,
-       CAST(COUNT(*) AS BIGINT) AS record_count
-FROM seasonal WHERE agricultural_season IS NOT NULL
-GROUP BY 1, 2 HAVING COUNT(*) >= 30 ORDER BY 1, 2""")
+    q["seasonal_et0"] = _seasonal("month(o.obs_date)")
     q["monthly_radiation"] = _with(OBS, LOC, _CLEAN, _MONTHLY_RADIATION,
                                    body=f"SELECT {_RADIATION_COLS} FROM monthly")
     q["top_radiation_months"] = _with(OBS, LOC, _CLEAN, _MONTHLY_RADIATION, body=f"""
@@ -319,39 +485,18 @@ SELECT {_r('AVG(precipitation_hours)', 2)} AS avg_required_precip,
        {_r('AVG(sunshine_duration)', 2)} AS avg_required_sunshine,
        {_r('AVG(wind_speed)', 2)} AS avg_required_wind, {_r('AVG(et0)', 2)} AS avg_et0
 FROM model_rows WHERE et0 < 1.5""")
-    # ordinary least squares on the training split (3 features + intercept): covariances,
-    # then Cramer's rule for the 3x3 normal equations; metrics on the test split
-    ols = """ols_m AS (
-  SELECT COVAR_POP(precipitation_hours, precipitation_hours) AS s11,
-         COVAR_POP(precipitation_hours, sunshine_duration) AS s12,
-         COVAR_POP(precipitation_hours, wind_speed) AS s13,
-         COVAR_POP(sunshine_duration, sunshine_duration) AS s22,
-         COVAR_POP(sunshine_duration, wind_speed) AS s23,
-         COVAR_POP(wind_speed, wind_speed) AS s33,
-         COVAR_POP(precipitation_hours, et0) AS c1, COVAR_POP(sunshine_duration, et0) AS c2,
-         COVAR_POP(wind_speed, et0) AS c3,
-         AVG(precipitation_hours) AS m1, AVG(sunshine_duration) AS m2, AVG(wind_speed) AS m3,
-         AVG(et0) AS my
-  FROM model_rows WHERE split_bucket < 80),
-ols_d AS (
-  SELECT *, s11 * (s22 * s33 - s23 * s23) - s12 * (s12 * s33 - s23 * s13)
-            + s13 * (s12 * s23 - s22 * s13) AS det FROM ols_m),
-ols_b AS (
-  SELECT *,
-    (c1 * (s22 * s33 - s23 * s23) - s12 * (c2 * s33 - s23 * c3) + s13 * (c2 * s23 - s22 * c3)) / det AS b1,
-    (s11 * (c2 * s33 - c3 * s23) - c1 * (s12 * s33 - s23 * s13) + s13 * (s12 * c3 - c2 * s13)) / det AS b2,
-    (s11 * (s22 * c3 - s23 * c2) - s12 * (s12 * c3 - c2 * s13) + c1 * (s12 * s23 - s22 * s13)) / det AS b3
-  FROM ols_d),
-ols_fit AS (SELECT b1, b2, b3, my - b1 * m1 - b2 * m2 - b3 * m3 AS b0 FROM ols_b),
-test_rows AS (
-  SELECT t.et0, f.b0 + f.b1 * t.precipitation_hours + f.b2 * t.sunshine_duration + f.b3 * t.wind_speed AS p,
-         AVG(t.et0) OVER () AS ybar
-  FROM model_rows t, ols_fit f WHERE t.split_bucket >= 80)"""
+    ols = _least_squares("model_rows", "et0")
     q["linear_regression_eval"] = _with(OBS, MODELLING, ols, body=f"""
 SELECT 'Linear Regression' AS Model,
        {_r('SQRT(AVG(POWER(et0 - p, 2)))', 6)} AS RMSE,
        {_r('1 - SUM(POWER(et0 - p, 2)) / SUM(POWER(et0 - ybar, 2))', 6)} AS R2
 FROM test_rows""")
+    q |= _tree_queries()
+    q |= _dirty_queries()
+    q["catalog_tables"] = _catalog()
+    q["combined_observations_salted"] = q["combined_observations"]
+    q["known_location_filter_salted"] = q["known_location_filter"]
+    q["city_ranking_shown_last_first"] = q["coolest_cities"]
     # ---- dashboard KPIs ----------------------------------------------------------------
     q["extreme_weather_days"] = _with(OBS, body="""
 SELECT CAST(year(obs_date) AS INTEGER) AS year, CAST(COUNT(DISTINCT obs_date) AS BIGINT) AS extreme_days
@@ -411,7 +556,7 @@ SELECT location_id, obs_date, et0_fao_evapotranspiration + 1 AS et0_plus_one FRO
     q["range_filter"] = _with(OBS, body="""
 SELECT location_id, obs_date, precipitation_hours FROM obs
 WHERE precipitation_hours >= 13 AND precipitation_hours <= 19""")
-    q["prefix_label"] = "SELECT 'Name: ' || s_name AS label FROM supplier WHERE s_acctbal >= 0"
+    q["prefix_label"] = "SELECT 'Name: ' || s_name AS label FROM supplier"
     q["count_by_group"] = _with(OBS, body="""
 SELECT et0_fao_evapotranspiration, CAST(COUNT(*) AS BIGINT) AS count FROM obs GROUP BY 1""")
     q["sql_over_view"] = _with(OBS, body="""

@@ -17,10 +17,11 @@ from ..sources import readers
 from ..sources.lines import parse_lines, read_observation_files
 from ..streaming import incremental
 from ..sources.sinks import legacy_text_lines, write_csv, write_parquet
-from .catalog import register_views
+from . import catalog
 from .joins import known_locations
-from .observations import locations, observation_lines, observations, table
+from .observations import dirty_lines, locations, observation_lines, observations, table
 from .oracle import MIN_YEAR
+from .views import session_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,8 +52,8 @@ def q_monthly_district_weather_strict(spark, d):
 
 
 def q_monthly_district_weather_files(spark, d):
-    """The raw lines as text files, read through the native CSV tokenizer (the fast form of
-    the text path for files), then the monthly district analysis."""
+    """The raw lines as text files, read through the text path for files, then the monthly district
+    analysis."""
     path = scratch_path(spark, "lines")
     observation_lines(spark, d).write.mode("overwrite").text(path)
     facts = read_observation_files(spark, path).valid
@@ -287,22 +288,13 @@ def q_low_et0_conditions_actual(spark, d):
     return stats.mean_conditions(rows, "et0", "avg_et0")
 
 
-# ---- Spark ML (rows-only checks: fitted models have no SQL equivalent) ----------------
-_FITS: dict = {}
-
-
-def _fitted(spark, d, which=("lr", "rf", "gbt")):
-    """Fit once per (session, tables, model set); later queries reuse the fitted models."""
-    app = spark.conf.get("spark.app.id", None) or str(id(spark))
-    key = (app, d, which)  # a new application never reuses a fit
-    if key not in _FITS:
-        _FITS[key] = ml.fit_models(_model_rows(spark, d, keep_split_key=True), which)
-    return _FITS[key]
+# ---- Spark ML ------------------------------------------------------------------------
+def _fitted(spark, d, *which):
+    return ml.fit_models(_model_rows(spark, d, keep_split_key=True), which)
 
 
 def q_linear_regression_eval(spark, d):
-    f = _fitted(spark, d, ("lr",))
-    rmse, r2 = f.metrics["lr"]
+    rmse, r2 = _fitted(spark, d, "lr").metrics["lr"]
     # 6 dp: the least-squares solution is unique, so any exact solver agrees to this precision
     row = spark.createDataFrame([(ml.MODEL_TITLES["lr"], float(rmse), float(r2))],
                                 "Model string, RMSE double, R2 double")
@@ -310,23 +302,69 @@ def q_linear_regression_eval(spark, d):
 
 
 def q_model_comparison(spark, d):
-    return ml.comparison_table(spark, _fitted(spark, d))
+    return ml.comparison_table(spark, _fitted(spark, d, "lr", "rf", "gbt"))
 
 
 def q_feature_importance(spark, d):
-    return ml.feature_importances(spark, _fitted(spark, d).models["gbt"])
+    return ml.feature_importances(spark, _fitted(spark, d, "gbt").models["gbt"])
+
+
+def _month_rows(facts):
+    o = climate.with_obs_date(facts).where(F.month("obs_date") == 5)
+    return o.select("location_id", *[F.col(src).cast("double").alias(dst) for src, dst in stats.MODEL_FEATURES.items()])
 
 
 def q_scenario_scoring(spark, d):
-    o = climate.with_obs_date(_obs(spark, d)).where(F.month("obs_date") == 5)
-    month_rows = o.select("location_id", *[F.col(src).cast("double").alias(dst)
-                                           for src, dst in stats.MODEL_FEATURES.items()])
-    scenarios = ml.location_scenarios(month_rows)
-    return ml.score(_fitted(spark, d).models["gbt"], scenarios)
+    return ml.score(_fitted(spark, d, "gbt").models["gbt"], ml.location_scenarios(_month_rows(_obs(spark, d))))
 
 
 def q_low_et0_conditions(spark, d):
-    return ml.low_et0_conditions(_fitted(spark, d).predictions["gbt"])
+    return ml.low_et0_conditions(_fitted(spark, d, "gbt").predictions["gbt"])
+
+
+#: Settings under which SQL grows the very same trees: one tree on all rows, or two rounds, of two
+#: levels, with more bins than a feature has values.
+ONE_TREE = {"num_trees": 1, "maxDepth": 2, "maxBins": 256, "bootstrap": False}
+TWO_ROUNDS = {"max_iter": 2, "max_depth": 2, "maxBins": 256}
+
+
+def _signal(facts):
+    """The facts with an ET0 that sun raises and rain lowers; the bound ET0 remains as noise."""
+    et0 = F.col(stats.ET0) / 64 + F.col("sunshine_duration") / 8000 + (24 - F.col("precipitation_hours")) / 32
+    return facts.withColumn(stats.ET0, et0)
+
+
+def _fitted_exactly(spark, d, *which):
+    rows = stats.modelling_set(_signal(_obs(spark, d)), keep_split_key=True)
+    return ml.fit_models(rows, which, forest=ONE_TREE, boosting=TWO_ROUNDS)
+
+
+def q_model_comparison_exact(spark, d):
+    """Linear model, one tree and two boosting rounds side by side, on settings that SQL can solve."""
+    table = ml.comparison_table(spark, _fitted_exactly(spark, d, "lr", "rf", "gbt"))
+    return table.select("Model", F.round("RMSE", 6).alias("RMSE"), F.round("R2", 6).alias("R2"))
+
+
+def q_feature_importance_exact(spark, d):
+    models = _fitted_exactly(spark, d, "rf", "gbt").models
+    parts = [ml.feature_importances(spark, m).select(F.lit(ml.MODEL_TITLES[k]).alias("Model"), "feature", F.round("importance", 6).alias("importance"))
+             for k, m in models.items()]
+    return parts[0].union(parts[1])
+
+
+def q_scenario_scoring_exact(spark, d):
+    """Each location's mean conditions scored by the boosted trees; every seventh lacks its wind."""
+    scenarios = ml.location_scenarios(_month_rows(_obs(spark, d)))
+    asked = scenarios.withColumn("wind_speed", F.when(F.col("location_id") % 7 != 0, F.col("wind_speed")))
+    out = ml.score(_fitted_exactly(spark, d, "gbt").models["gbt"], asked)
+    return out.select("location_id", *[F.round(c, 6).alias(c) for c in [*ml.FEATURE_NAMES, "prediction"]])
+
+
+def q_low_et0_conditions_exact(spark, d):
+    """Mean conditions of the test rows predicted below the threshold, and how many these are."""
+    scored = _fitted_exactly(spark, d, "gbt").predictions["gbt"]
+    share = scored.agg(F.count_if(F.col("prediction") < 1.5).alias("n_low"), F.count("*").alias("n_scored"))
+    return ml.low_et0_conditions(scored).join(share)
 
 
 # ---- dashboard KPIs --------------------------------------------------------------------
@@ -356,15 +394,8 @@ def q_wettest_month_by_district(spark, d):
     return kpi.wettest_month_by_district(_obs(spark, d), locations(spark, d))
 
 
-_DASHBOARDS: dict = {}
-
-
 def _dashboard(spark, d):
-    """One single-scan dashboard per (application, tables), shared by its four panels."""
-    key = (spark.conf.get("spark.app.id", None) or str(id(spark)), d)
-    if key not in _DASHBOARDS:
-        _DASHBOARDS[key] = kpi.dashboard(_obs(spark, d), locations(spark, d))
-    return _DASHBOARDS[key]
+    return kpi.dashboard(_obs(spark, d), locations(spark, d))
 
 
 def q_dashboard_extreme_days(spark, d):
@@ -397,8 +428,7 @@ def q_range_filter(spark, d):
 
 
 def q_prefix_label(spark, d):
-    registered = table(spark, d, "supplier").where(F.col("s_acctbal") >= 0)
-    return generic.prefix_label(registered, "s_name")
+    return generic.prefix_label(table(spark, d, "supplier"), "s_name")
 
 
 def q_count_by_group(spark, d):
@@ -468,8 +498,8 @@ def q_overwrite_replaces(spark, d):
 
 def q_sql_over_views(spark, d):
     """SQL text with a CTE over the registered views: warm days of each city and year."""
-    register_views(spark, _obs(spark, d), locations(spark, d))
-    return spark.sql("""
+    with session_views(spark, catalog.view_frames(_obs(spark, d), locations(spark, d))):
+        return spark.sql("""
         WITH warm AS (SELECT location_id, year(obs_date) AS year FROM weather_data WHERE temperature_2m_max > 30),
              days AS (SELECT location_id, year, count(*) AS warm_days FROM warm GROUP BY location_id, year)
         SELECT l.city_name, d.year, d.warm_days FROM days d JOIN location_data l ON l.location_id = d.location_id""")
@@ -479,6 +509,99 @@ def q_extreme_days_one_year(spark, d):
     return kpi.extreme_weather_days(_obs(spark, d), year=1996, grain="location_day")
 
 
+# ---- the text path on lines with faults ----------------------------------------------
+def _dirty_facts(spark, d):
+    return parse_lines(dirty_lines(spark, d)).valid
+
+
+def q_dirty_quality_counters(spark, d):
+    return quality.quality_counters(dirty_lines(spark, d), min_year=MIN_YEAR)
+
+
+def q_dirty_valid_text(spark, d):
+    return quality.valid_text_counts(dirty_lines(spark, d), {
+        "location_id": 0, "weather_date": 1, "temperature_2m_mean": 5,
+        "precipitation_hours": 13, "et0_fao_evapotranspiration": 18})
+
+
+def q_dirty_safe_numeric(spark, d):
+    return climate.with_obs_date(_dirty_facts(spark, d)).select(
+        "location_id", "obs_date", "temperature_2m_max", "temperature_2m_mean", "precipitation_hours",
+        "shortwave_radiation_sum", "et0_fao_evapotranspiration")
+
+
+def q_dirty_monthly_district_weather(spark, d):
+    return climate.monthly_district_weather(_dirty_facts(spark, d), locations(spark, d), min_year=MIN_YEAR)
+
+
+def q_dirty_coolest_cities(spark, d):
+    return climate.city_temperature_ranking(_dirty_facts(spark, d), locations(spark, d), min_records=300)
+
+
+def q_dirty_seasonal_et0(spark, d):
+    return climate.seasonal_et0(_dirty_facts(spark, d), locations(spark, d))
+
+
+def q_dirty_monthly_radiation(spark, d):
+    return climate.monthly_radiation(_dirty_facts(spark, d), locations(spark, d))
+
+
+def _stored_by_status():
+    return [F.count_if(F.col("status") == s).alias(f"stored_{s}") for s in ("short_line", "bad_date")]
+
+
+def q_dirty_ingest(spark, d):
+    """All lines ingested in one pass: what was counted on the way, and what lies in the table and in
+    the quarantine afterwards."""
+    done = readers.ingest_lines(dirty_lines(spark, d), scratch_path(spark, "ingest"))
+    counted = spark.createDataFrame([tuple(done.counts[k] for k in ("total", "header", "blank", "short_line", "bad_date", "valid"))],
+                                    "lines_total bigint, header bigint, blank bigint, short_line bigint, bad_date bigint, valid bigint")
+    stored = done.valid.agg(F.count("*").alias("stored_valid"), F.sum("precipitation_hours").alias("sum_hours"))
+    rejected = done.rejected.agg(*_stored_by_status())
+    return counted.join(stored).join(rejected)
+
+
+def q_dirty_streaming_ingest(spark, d):
+    """The same lines as files, ingested by the stream in several batches and two runs."""
+    root = scratch_path(spark, "dirty-stream")
+    lines = dirty_lines(spark, d)
+    for half in (0, 1):
+        part = lines.where(F.pmod(F.xxhash64("value"), F.lit(2)) == half)
+        part.repartition(3).write.mode("append").text(f"{root}/landing")
+        incremental.start_ingest(spark, f"{root}/landing", f"{root}/typed", f"{root}/checkpoint", max_files=2).awaitTermination()
+    counts = spark.read.parquet(f"{root}/typed_counts")
+    names = ["lines_total", "header", "blank", "short_line", "bad_date", "valid"]
+    stored = spark.read.parquet(f"{root}/typed").agg(F.count("*").alias("stored_valid"), F.sum("precipitation_hours").alias("sum_hours"))
+    rejected = spark.read.parquet(f"{root}/typed_rejects")
+    rejected = rejected.agg(*_stored_by_status())
+    return counts.agg(*[F.sum(n).alias(n) for n in names]).join(stored).join(rejected)
+
+
+# ---- joins with split ids, catalog ---------------------------------------------------
+def q_combined_observations_salted(spark, d):
+    """The row-level view with ids of more than 500 rows split; same rows as without."""
+    return climate.combined_observations(_obs(spark, d), locations(spark, d), hot_rows=500)
+
+
+def q_known_location_filter_salted(spark, d):
+    return known_locations(_obs(spark, d), locations(spark, d, registered_only=True), hot_rows=500).select(
+        "location_id", "obs_date", "shortwave_radiation_sum")
+
+
+def q_catalog_tables(spark, d):
+    """Tables, schema and table properties of a database of its own, as rows; it is dropped again."""
+    with catalog.own_database(spark):
+        catalog.save_table(_obs(spark, d).select("location_id", "obs_date", "weather_code", "precipitation_hours"), "weather_data")
+        catalog.save_table(locations(spark, d), "location_data")
+        catalog.set_table_properties(spark, "weather_data", {"skip.header.line.count": "1", "note": "it's"})
+        return catalog.describe_tables(spark, ["skip.header.line.count", "note"])
+
+
+def q_city_ranking_shown_last_first(spark, d):
+    """Coolest cities, the last rank shown first."""
+    return climate.city_temperature_ranking(_obs(spark, d), locations(spark, d), direction="asc", display="desc")
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "monthly_district_weather": q_monthly_district_weather,
@@ -534,6 +657,10 @@ def queries() -> dict[str, Query]:
         "feature_importance": q_feature_importance,
         "scenario_scoring": q_scenario_scoring,
         "low_et0_conditions": q_low_et0_conditions,
+        "model_comparison_exact": q_model_comparison_exact,
+        "feature_importance_exact": q_feature_importance_exact,
+        "scenario_scoring_exact": q_scenario_scoring_exact,
+        "low_et0_conditions_exact": q_low_et0_conditions_exact,
         "extreme_weather_days": q_extreme_weather_days,
         "hot_share": q_hot_share,
         "hot_share_months": q_hot_share_months,
@@ -552,5 +679,18 @@ def queries() -> dict[str, Query]:
         "scan_parquet": q_scan_parquet,
         "sql_on_file": q_sql_on_file,
         "merged_schema": q_merged_schema,
+        "dirty_quality_counters": q_dirty_quality_counters,
+        "dirty_valid_text": q_dirty_valid_text,
+        "dirty_safe_numeric": q_dirty_safe_numeric,
+        "dirty_monthly_district_weather": q_dirty_monthly_district_weather,
+        "dirty_coolest_cities": q_dirty_coolest_cities,
+        "dirty_seasonal_et0": q_dirty_seasonal_et0,
+        "dirty_monthly_radiation": q_dirty_monthly_radiation,
+        "dirty_ingest": q_dirty_ingest,
+        "dirty_streaming_ingest": q_dirty_streaming_ingest,
+        "combined_observations_salted": q_combined_observations_salted,
+        "known_location_filter_salted": q_known_location_filter_salted,
+        "catalog_tables": q_catalog_tables,
+        "city_ranking_shown_last_first": q_city_ranking_shown_last_first,
     }
     return q

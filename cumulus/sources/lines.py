@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import parse_date
 from ..functions.text import is_valid_text
 from ..plans.compute_once import compute_once
 from ..schema import FACT_COLUMNS, HEADER_TOKEN, MIN_FIELDS
@@ -45,6 +46,32 @@ def typed_field(raw: Column, dtype) -> Column:
     return t.try_cast(dtype)
 
 
+# --- fixed values: what a line can be ------------------------------------------------------
+HEADER, BLANK, SHORT, BAD_DATE, VALID = "header", "blank", "short_line", "bad_date", "valid"
+REJECTED = (SHORT, BAD_DATE)
+
+
+def classified(lines: DataFrame, min_fields: int = MIN_FIELDS, columns=FACT_COLUMNS,
+               date_mode: str = "lenient") -> DataFrame:
+    """Every line with its ``status``, its typed fields, ``obs_date``, and the ``line`` itself.
+
+    The line is split once and its date parsed once. A header line, wherever it stands, and a line
+    without any character hold no record; a short line and one without a valid date are rejected;
+    the rest is valid. Typed fields of anything but valid lines are what the text gives."""
+    v = F.col("line")
+    once = compute_once(lines.select(F.col("value").alias("line")), {
+        "_header": F.coalesce(v.startswith(HEADER_TOKEN), F.lit(False)),
+        "_n_fields": field_count(v),
+        "_f": F.split(v, ",", -1),
+    })
+    names = {n: i for i, (n, _) in enumerate(columns)}
+    dated = compute_once(once, {"obs_date": parse_date(F.get(F.col("_f"), names["weather_date"]), date_mode)})
+    status = (F.when(F.col("_header"), HEADER).when(F.coalesce(F.length(v), F.lit(0)) == 0, BLANK)
+              .when(F.col("_n_fields") < min_fields, SHORT).when(F.col("obs_date").isNull(), BAD_DATE).otherwise(VALID))
+    return dated.select(status.alias("status"), "line", "obs_date",
+                        *[typed_field(F.get(F.col("_f"), i), t).alias(n) for i, (n, t) in enumerate(columns)])
+
+
 def parse_lines(lines: DataFrame, min_fields: int = MIN_FIELDS,
                 columns=FACT_COLUMNS) -> ParsedLines:
     """Split comma-separated lines into typed columns by position.

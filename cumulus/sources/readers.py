@@ -4,14 +4,20 @@ table once so every analysis reads Parquet with pushdown."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import parse_date
 from ..functions.text import clean_city_name
+from ..plans.compute_once import compute_once
 from ..plans.joins import dedup_locations
-from ..schema import FACT_SCHEMA, LOCATION_SCHEMA, RAW_HEADER_NAMES
+from ..schema import FACT_COLUMNS, FACT_SCHEMA, LOCATION_SCHEMA, RAW_HEADER_NAMES
+from .lines import BAD_DATE, BLANK, HEADER, REJECTED, SHORT, VALID, classified
 
 # Reader options: blank and the literal "null" mean missing, surrounding blanks are ignored,
 # a bad value nulls only its own field (PERMISSIVE keeps the rest of the row).
@@ -80,36 +86,84 @@ def text_to_rows(spark: SparkSession, path: str, schema_text: str | None = None,
     return spark.read.text(path).where(F.length(F.trim("value")) > 0).select(*cols)
 
 
+@dataclass
+class Ingested:
+    """``valid``: typed rows with year and month; ``rejected``: what was not taken, with its status;
+    ``counts``: lines or rows by status, counted while they were written."""
+
+    valid: DataFrame
+    rejected: DataFrame
+    counts: dict[str, int]
+
+
+def _write_by_status(rows: DataFrame, path: str, by_year: bool) -> tuple[dict[str, int], T.StructType]:
+    """Write ``rows`` (status, obs_date, ...) once, in folders by status and year.
+
+    Rows are first brought together by status and year: the planner merges small partitions and
+    splits large ones by their real size, so the number of files follows from the data and not from
+    the tasks that read it, and a year with a third of all rows is several files. Within a file
+    rows are sorted by month and location, so a filter on either skips row groups."""
+    rows = rows.withColumns({"year": F.year("obs_date"), "month": F.month("obs_date")})
+    seen = Observation()
+    every = [F.count(F.lit(1)).alias("total")] + [F.count_if(F.col("status") == s).alias(s) for s in (HEADER, BLANK, SHORT, BAD_DATE, VALID)]
+    kept = rows.observe(seen, *every).where(F.col("status").isin(VALID, *REJECTED))
+    keys = ["status", "year"] if by_year else ["status"]
+    order = [c for c in (*keys, "month", "location_id") if c in kept.columns]
+    laid = kept.hint("rebalance", *[F.col(c) for c in keys]).sortWithinPartitions(*order)
+    laid.write.mode("overwrite").partitionBy(*keys).parquet(path)
+    try:
+        return dict(seen.get), kept.schema
+    except Py4JJavaError:  # an input that the planner knows to be empty is not even observed
+        return dict.fromkeys(("total", HEADER, BLANK, SHORT, BAD_DATE, VALID), 0), kept.schema
+
+
+def _read_by_status(spark: SparkSession, path: str, schema: T.StructType, status: str) -> DataFrame:
+    """The rows of one status; none if nothing had it."""
+    own = T.StructType([f for f in schema.fields if f.name != "status"])
+    try:
+        return spark.read.schema(own).parquet(f"{path}/status={status}")
+    except AnalysisException:  # no such folder
+        return spark.createDataFrame([], own)
+
+
+def ingest_lines(lines: DataFrame, path: str, date_mode: str = "lenient", by_year: bool = True) -> Ingested:
+    """Raw lines (``value``) -> typed Parquet under ``path``, with the rejected lines beside it, in one
+    pass over the lines."""
+    spark = lines.sparkSession
+    rows = classified(lines, date_mode=date_mode)
+    # the line itself is kept of what is rejected only
+    rows = rows.withColumn("line", F.when(F.col("status") != VALID, F.col("line")))
+    counts, schema = _write_by_status(rows, path, by_year)
+    valid = _read_by_status(spark, path, schema, VALID).drop("line")
+    rejected = [_read_by_status(spark, path, schema, s).select(F.lit(s).alias("status"), "line", *[n for n, _ in FACT_COLUMNS]) for s in REJECTED]
+    return Ingested(valid, rejected[0].union(rejected[1]), counts)
+
+
 def ingest_observations(spark: SparkSession, facts: DataFrame, path: str,
                         date_mode: str = "lenient", partition_by_year: bool = True,
                         bad_dates: str | None = None) -> DataFrame:
-    """Write the typed fact table once: dates parsed, year/month added; rows without a
-    valid date are left out, or written to ``bad_dates`` when given. Partitioned by year, so a year or date-range filter prunes whole
-    folders and the rest is skipped by Parquet row-group statistics."""
-    typed = facts.withColumn("obs_date", parse_date("weather_date", date_mode))
-    if bad_dates:  # quarantine, not loss: rows whose date does not parse
-        typed.where(F.col("obs_date").isNull()).drop("obs_date").write.mode("overwrite").parquet(bad_dates)
-    good = typed.where(F.col("obs_date").isNotNull()).withColumns(
-        {"year": F.year("obs_date"), "month": F.month("obs_date")})
-    w = good.write.mode("overwrite")
-    if partition_by_year:
-        w = w.partitionBy("year")
-    w.parquet(path)
-    return spark.read.parquet(path)
+    """Write the typed fact table once: dates parsed, year and month added. Rows without a valid date
+    go to ``path/status=bad_date``, and to ``bad_dates`` too when given; the others are returned.
+    Partitioned by year, so a year or date-range filter prunes whole folders and the rest is
+    skipped by Parquet row-group statistics."""
+    dated = compute_once(facts, {"obs_date": parse_date("weather_date", date_mode)})
+    rows = dated.withColumn("status", F.when(F.col("obs_date").isNull(), BAD_DATE).otherwise(VALID))
+    _, schema = _write_by_status(rows, path, partition_by_year)
+    if bad_dates:
+        _read_by_status(spark, path, schema, BAD_DATE).select(*facts.columns).write.mode("overwrite").parquet(bad_dates)
+    return _read_by_status(spark, path, schema, VALID)
 
 
 def ingest_files(spark: SparkSession, source: str, target: str, rejects: str | None = None,
                  date_mode: str = "lenient") -> DataFrame:
-    """Raw observation files -> typed Parquet partitioned by year, in one job per output.
-
-    Lines are tokenized by the native CSV reader with the text-path rules (header lines
-    dropped, short lines rejected, bad values NULL). With ``rejects`` (a quarantine
-    folder) short lines land in ``rejects/short_lines`` and rows whose date does not parse
-    in ``rejects/bad_dates``, so nothing is lost silently."""
-    from .lines import read_observation_files  # local: lines imports nothing from here
+    """Raw observation files -> typed Parquet partitioned by year, read once.
 
-    parsed = read_observation_files(spark, source)
+    Lines follow the text-path rules (header lines dropped, short lines and bad dates rejected, bad
+    values NULL). What is rejected always stays, under ``target/status=...``; with ``rejects`` the
+    short lines are also written to ``rejects/short_lines`` as they were, and the rows whose date
+    does not parse to ``rejects/bad_dates``, from there."""
+    done = ingest_lines(spark.read.text(source), target, date_mode)
     if rejects:
-        parsed.rejected.write.mode("overwrite").text(f"{rejects}/short_lines")
-    return ingest_observations(spark, parsed.valid, target, date_mode,
-                               bad_dates=f"{rejects}/bad_dates" if rejects else None)
+        done.rejected.where(F.col("status") == SHORT).select("line").write.mode("overwrite").text(f"{rejects}/short_lines")
+        done.rejected.where(F.col("status") == BAD_DATE).drop("status", "line").write.mode("overwrite").parquet(f"{rejects}/bad_dates")
+    return done.valid

@@ -107,3 +107,31 @@ def test_no_digit_is_cut_off(spark):
 
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert [r[0] for r in df.select(parse_date("t")).collect()] == [lenient(t) for t in texts]
+
+
+def test_a_parse_matches_its_text_once(spark):
+    """In any use: as a column, in filters on it, through the text path and in the counters."""
+    from cumulus.operators import climate, quality
+    from cumulus.plans.observations import locations, observation_lines
+    from cumulus.sources.lines import classified, parse_lines
+
+    sf = "/root/testdata/sf0.001"
+    lines = observation_lines(spark, sf)
+    facts = parse_lines(lines).valid
+    texts = spark.createDataFrame([("1/2/2014",)], "t string")
+    plans = [texts.select(parse_date("t").alias("d")),
+             climate.with_obs_date(facts).where("obs_date IS NOT NULL AND obs_date >= DATE'1998-01-01'").select("obs_date", F.year("obs_date")),
+             climate.monthly_district_weather(facts, locations(spark, sf)),
+             climate.peak_precipitation_month(facts), quality.quality_counters(lines), classified(lines)]
+    for df in plans:
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract(") == 1
+
+
+def test_digits_at_the_limits(spark):
+    want = {"1/1/9999": "9999-01-01", "12/31/9999": "9999-12-31", "1/1/10000": None, "13/1/9999": None, "120000/1/0": "9999-12-01",
+            "120001/1/0": None, "999999/1/0": None, "1000000/1/0": None, "1/3700000/0": None, "1/9999999/1": None,
+            "1/10000000/1": None, "00000000001/0000000000002/0000002014": "2014-01-02", "1/1/0000": "0000-01-01", "0/1/0": None,
+            "1/1/2014.5": "2014-01-01", "1/1/2014/7": "2014-01-01", "1/1/": None, "/1/1": None, "1//1": None}
+    df = spark.createDataFrame([(k,) for k in want], "t string").select("t", parse_date("t").cast("string").alias("d"))
+    got = {r.t: r.d for r in df.collect()}
+    assert got == want

@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as E
 from cumulus.plans import oracle, queries
+from cumulus.plans.observations import locations
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -97,9 +98,12 @@ def test_ranking_uses_distributed_top_k(spark):
 def test_pruning_and_pushdown_reach_scan(spark):
     p = _plan(E.queries()["scan_parquet"](spark, SF))
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double>" in p
+    p = _plan(E.queries()["range_filter"](spark, SF))
+    assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_shipdate:" in p
     p = _plan(E.queries()["prefix_label"](spark, SF))
+    assert "ReadSchema: struct<s_name:string>" in p
+    p = _plan(locations(spark, SF, registered_only=True))
     assert "GreaterThanOrEqual(s_acctbal,0.0)" in p
-    assert "ReadSchema: struct<s_name:string,s_acctbal:double>" in p
 
 
 def test_hottest_month_weeks_scan_facts_once(spark):

@@ -1,5 +1,6 @@
-"""The checked-broadcast fallback and skewed keys: same answers on every join path."""
+"""Joins without a broadcast and skewed keys: same answers on every join path."""
 import pytest
+from pyspark.sql import functions as F
 
 from cumulus.operators import climate, kpi
 from cumulus.plans import joins
@@ -37,34 +38,65 @@ def _all(spark, facts, locs):
     }
 
 
-def test_shuffle_join_fallback_matches_broadcast(spark, monkeypatch):
-    facts, locs = _skewed_facts(spark), _locs(spark)
-    broadcast = _all(spark, facts, locs)
-    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 0)
-    # and the planner's own size-based broadcast off, as for a dimension of unknown size
+@pytest.fixture()
+def no_broadcast(spark):
+    """Joins as with a dimension of unknown size: the planner broadcasts nothing by itself."""
     saved = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",
                                                   "spark.sql.adaptive.autoBroadcastJoinThreshold")}
     for k in saved:
         spark.conf.set(k, "-1")
-    try:
-        plan = climate.monthly_district_weather(facts, locs)._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in plan
-        assert _all(spark, facts, locs) == broadcast
-    finally:
-        for k, v in saved.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    yield
+    for k, v in saved.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shuffle_join_fallback_matches_broadcast(spark, request):
+    facts, locs = _skewed_facts(spark), _locs(spark)
+    broadcast = _all(spark, facts, locs)
+    request.getfixturevalue("no_broadcast")
+    assert "BroadcastHashJoin" not in _plan(climate.monthly_district_weather(facts, locs))
+    assert _all(spark, facts, locs) == broadcast
+
+
+def test_hot_key_is_pre_aggregated_before_the_exchange(spark, no_broadcast):
+    facts, locs = _skewed_facts(spark), _locs(spark)
+    lines = _plan(climate.city_temperature_ranking(facts, locs)).splitlines()
+    # the facts' exchange: the partial aggregate stands right below it, so the hot location leaves
+    # each map task as one row
+    at = next(i for i, x in enumerate(lines) if "Exchange hashpartitioning(location_id" in x and "HashAggregate" in lines[i + 1])
+    assert "partial_sum" in lines[at + 1]
+    below = "\n".join(lines[at + 1:])
+    assert "temperature_2m_max" in below
 
 
-def test_hot_key_is_pre_aggregated_before_the_exchange(spark):
+@pytest.mark.parametrize("how", ["inner", "left_semi"])
+def test_hot_id_is_split_in_a_shuffled_join(spark, no_broadcast, how):
+    """A third of all rows on one id, a dimension that is not broadcast: the id's rows come in parts."""
     facts, locs = _skewed_facts(spark), _locs(spark)
-    plan = climate.city_temperature_ranking(facts, locs)._jdf.queryExecution().executedPlan().toString()
-    # partial aggregate below the first exchange: the hot location leaves each map task as one row
-    first_exchange = plan.rfind("Exchange hashpartitioning(location_id")
-    assert first_exchange > 0
-    assert "HashAggregate(keys=[location_id" in plan[first_exchange:]
+    locs = locs.union(locs.where("location_id = 3")) if how == "inner" else locs  # repeated rows of the dimension count
+    facts = facts.union(facts.where("location_id = 7").withColumn("location_id", F.lit(None).cast("long")))
+    left, right, on = joins.salted(facts, locs, "location_id", hot_rows=50)
+    joined = left.join(right, on, how)
+    plain = facts.join(locs, "location_id", how)
+    assert "SortMergeJoin" in _plan(joined) and "hashpartitioning(location_id" in _plan(joined) and joins.SALT in _plan(joined)
+    cols = plain.columns
+    assert sorted(map(repr, joined.select(*cols).collect())) == sorted(map(repr, plain.collect()))
+    parts = [r["count"] for r in left.where("location_id = 0").groupBy(joins.SALT).count().collect()]
+    assert len(parts) == 6 and max(parts) < 120  # 300 rows
+    assert left.where("location_id <> 0").select(joins.SALT).distinct().count() == 1
+    if how == "inner":
+        got = climate.combined_observations(facts, locs, hot_rows=50)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, climate.combined_observations(facts, locs).collect()))
+    else:
+        got = joins.known_locations(facts, locs, hot_rows=50)
+        assert got.columns == facts.columns and got.count() == joins.known_locations(facts, locs).count()
 
 
 def test_bucketed_tables_join_without_exchange(spark):
