@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.stats import safe_corr
 from .climate import with_obs_date
 
 ET0 = "et0_fao_evapotranspiration"
@@ -42,16 +41,44 @@ def with_calendar(facts: DataFrame, date_mode: str = "lenient") -> DataFrame:
 def correlations(df: DataFrame, target: str = ET0, features: list[str] | None = None,
                  nulls: str = "skip", digits: int = 6) -> DataFrame:
     """Pearson correlation of every feature with ``target`` in a single aggregate, returned
-    long (feature, correlation_with_et0) and ordered by correlation descending."""
+    long (feature, correlation_with_et0) and ordered by correlation descending.
+
+    Pairs with a NULL on either side are left out (``nulls="skip"``) or NULL counts as 0 (``"zero"``);
+    a column that is constant over its pairs gives NULL. Every row is read once and never repeated:
+    rows are grouped by which features they lack, so that within a group all features share the
+    sums of the target, and plain sums are all there is to add up. They are taken of differences from
+    some value of the table, which keeps their digits where a mean is large against the spread."""
     feats = [c for c in (features or numeric_columns(df)) if c != target]
-    # one ungrouped aggregate of all features, each row read once and never repeated; only its one
-    # result row is turned into rows
-    y = F.col(target).cast("double")
-    wide = df.agg(*[F.round(safe_corr(F.col(c).cast("double"), y, nulls), digits).alias(c) for c in feats])
-    out = wide.unpivot([], feats, "feature", "correlation_with_et0")
+    if nulls not in ("skip", "zero"):
+        raise ValueError(f"unknown nulls mode {nulls!r}")
+    names = [f"x{i}" for i in range(len(feats))]
+    quoted = [c.replace("`", "``") for c in (target, *feats)]
+    values = [f"CAST(`{c}` AS DOUBLE)" for c in quoted]
+    if nulls == "zero":
+        values = [f"COALESCE({v}, 0D)" for v in values]
+    pairs = df.selectExpr(*[f"{v} AS {n}" for v, n in zip(values, ["y", *names], strict=True)]).where("y IS NOT NULL")
+    some = pairs.limit(1000).selectExpr("struct(" + ", ".join(f"COALESCE(any_value({n}, true), 0D) AS {n}" for n in ("y", *names)) + ") AS base")
+    masks = {f"mask{i // 60}": " | ".join(f"IF({n} IS NULL, {1 << k}L, 0L)" for k, n in enumerate(names[i:i + 60])) for i in range(0, len(names), 60)}
+    shifted = pairs.withColumn("base", some.scalar()).selectExpr(*[f"{n} - base.{n} AS {n}" for n in ("y", *names)])
+    sums = [f"SUM({e}) AS {n}" for x in names for e, n in ((x, x), (f"{x} * {x}", f"{x}x"), (f"{x} * y", f"{x}y"))]
+    per_mask = shifted.selectExpr("*", *[f"{v} AS {k}" for k, v in masks.items()]).groupBy(*masks).agg(
+        *map(F.expr, ["COUNT(*) AS n", "SUM(y) AS y", "SUM(y * y) AS yy", *sums]))
+    wide = per_mask.agg(*[F.expr(f"{_pearson(x, f'mask{i // 60} & {1 << i % 60}L = 0')} AS {x}") for i, x in enumerate(names)])
+    rows = [F.struct(F.lit(c).alias("feature"), F.round(x, digits).alias("correlation_with_et0")) for c, x in zip(feats, names, strict=True)]
+    out = wide.select(F.inline(F.array(*rows)))
     return out.orderBy(F.col("correlation_with_et0").desc_nulls_last(), F.col("feature"))
 
 
+def _pearson(x: str, has_x: str) -> str:
+    """The coefficient from the sums of the groups of rows that have ``x``. A spread below the
+    rounding error of the sums is none."""
+    n, y, yy = (f"CAST(SUM(IF({has_x}, {c}, NULL)) AS DOUBLE)" for c in ("n", "y", "yy"))
+    sx, sxx, sxy = (f"SUM({c})" for c in (x, f"{x}x", f"{x}y"))
+    vx, vy = f"({n} * {sxx} - {sx} * {sx})", f"({n} * {yy} - {y} * {y})"
+    return (f"IF({vx} > 1e-12D * {n} * {sxx} AND {vy} > 1e-12D * {n} * {yy}, "
+            f"GREATEST(-1D, LEAST(1D, TRY_DIVIDE({n} * {sxy} - {sx} * {y}, SQRT({vx}) * SQRT({vy})))), NULL)")
+
+
 def et0_correlations(facts: DataFrame, date_mode: str = "lenient", exact_types: bool = False,
                      nulls: str = "skip") -> DataFrame:
     df = with_calendar(facts, date_mode)

@@ -129,16 +129,25 @@ def test_dirty_analyses_reject_rows(spark):
 def test_correlations_read_each_row_once(spark):
     df = stats.et0_correlations(observations(spark, SF))
     plan = _plan(df)
-    assert plan.count("FileScan parquet") == 1
-    # nothing below the aggregate repeats rows: the one Expand turns its single row into rows
-    assert "Expand" not in plan[plan.index("partial_"):]
+    # one scan for all features, and a subquery that reads a thousand rows
+    assert plan.count("FileScan parquet") == 1 + plan.count("LocalLimit 1000")
+    assert "Expand" not in plan and plan.count("Exchange hashpartitioning") == 1
 
 
 def test_correlations_of_random_columns_with_nulls(spark):
     rnd = random.Random(3)
     rows = [tuple(None if rnd.random() < 0.2 else float(rnd.randrange(50)) for _ in range(4)) + (7.0,) for _ in range(400)]
     df = spark.createDataFrame(rows, "a double, b double, c double, et0_fao_evapotranspiration double, constant double").repartition(4)
+    df = df.withColumns({"far": F.col("a") + 1e8, "tenth": F.lit(0.1), "none": F.lit(None).cast("double")})
     got = {r.feature: r.correlation_with_et0 for r in stats.correlations(df).collect()}
+    assert got["far"] == pytest.approx(got["a"], abs=2e-6) and got["tenth"] is got["none"] is None and len(got) == 7
+    assert {r.correlation_with_et0 for r in stats.correlations(df.limit(0)).collect()} == {None}
+    many = df.select(df.et0_fao_evapotranspiration, *[(df.a + i * df.b).alias(f"f{i}") for i in range(70)])
+    wide = {r.feature: r.correlation_with_et0 for r in stats.correlations(many).collect()}
+    assert len(wide) == 70 and wide["f69"] == stats.correlations(many, features=["f69"]).first()[1]
+    zero = {r.feature: r.correlation_with_et0 for r in stats.correlations(df, nulls="zero").collect()}
+    filled = {r.feature: r.correlation_with_et0 for r in stats.correlations(df.fillna(0.0)).collect()}
+    assert zero == filled
     for i, name in enumerate("abc"):
         x, y = zip(*[(r[i], r[3]) for r in rows if r[i] is not None and r[3] is not None], strict=True)
         mx, my = sum(x) / len(x), sum(y) / len(y)
