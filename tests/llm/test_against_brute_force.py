@@ -249,7 +249,32 @@ def _shingles(t):
     return frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
 
 
-def test_near_duplicates_equal_all_pairs(spark, monkeypatch):
+def test_links_of_texts_that_share_most_words(spark, monkeypatch):
+    """Every pair lies around the threshold and no node is small: branching three times, then in blocks."""
+    rows = _shared_words(8, 150, range(22, 34))
+    sets = {i: _shingles(t) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                p, q = sorted((find(a), find(b)))
+                root[q] = p
+    assert 1 < len({find(i) for i in sets}) < 140
+    monkeypatch.setattr(chosen_path, "LEAF", 8)
+    monkeypatch.setattr(chosen_path, "DEPTH", 3)
+    got = {r.doc_id: r.component_id for r in chosen_path.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert np.mean([got[i] == find(i) for i in sets]) >= 0.98
+
+
+@pytest.mark.parametrize("bounds", [(3, 1, 2_000_000), (2048, 6, 2_000_000), (3, 0, 3000), (2048, 6, 2000), (3, 3, 2_000_000), (4, 6, 5000)])
+def test_near_duplicates_equal_all_pairs(spark, monkeypatch, bounds):
+    """Nodes that branch and meet in blocks, nodes compared at once, and members dealt into parts."""
     rnd = random.Random(7)
     vocab = [f"v{i}" for i in range(400)]
     rows = []
@@ -261,8 +286,8 @@ def test_near_duplicates_equal_all_pairs(spark, monkeypatch):
                 w[rnd.randrange(len(w))] = rnd.choice(vocab)
             rows.append((len(rows) * 3 + 1, " ".join(w)))
     rows += [(100_001, "One two"), (100_002, "one  TWO"), (100_003, ""), (100_004, None)]
-    monkeypatch.setattr(chosen_path, "LEAF", 3)
-    monkeypatch.setattr(chosen_path, "DEPTH", 1)  # reaches the comparison in blocks
+    for name, v in zip(("LEAF", "DEPTH", "HEFT"), bounds, strict=True):
+        monkeypatch.setattr(chosen_path, name, v)
     sets = {i: _shingles(t or "") for i, t in rows}
     root = {i: i for i in sets}
 
@@ -284,6 +309,87 @@ def test_near_duplicates_equal_all_pairs(spark, monkeypatch):
     assert all(got[i].kept == (got[i].component_id == i) for i in sets)
 
 
+def _shared_words(seed, n, tails=range(22, 28)):
+    """Texts that share a long common part with all others, so that no root is small, and end in words
+    of their own: by the lengths of these every pair lies around the threshold."""
+    rnd = random.Random(seed)
+    common = [f"c{i}" for i in range(150)]
+    return [(i * 2 + 1, " ".join(common + [f"u{rnd.randrange(10 ** 6)}" for _ in range(rnd.choice(tails))])) for i in range(n)]
+
+
+@pytest.mark.parametrize("depth", [0, 3, 4, 6])
+def test_recall_at_every_depth_meets_the_target(depth):
+    """Independent pairs exactly at the threshold that still meet in some node after ``depth`` branchings."""
+    rng = np.random.default_rng(depth)
+    trees = chosen_path.trees_for(chosen_path.TARGET, depth)
+
+    def leaves(sig):
+        at = {int(chosen_path._child(path, p, sig[p:p + 1])[0]) for path, p in chosen_path.root_positions(trees)}
+        for _ in range(depth):
+            at = {int(chosen_path._child(x, p, (sig[p:p + 1] & 0xFFFF).astype(np.uint16))[0]) for x in at for p in chosen_path._picked(x)}
+        return at
+
+    met = []
+    with np.errstate(over="ignore"):
+        for _ in range(600):
+            tokens = rng.integers(0, 1 << 63, 80, dtype=np.uint64)
+            met.append(bool(leaves(chosen_path.minwise(tokens[:70])) & leaves(chosen_path.minwise(tokens[10:]))))
+    assert np.mean(met) >= chosen_path.TARGET - 0.01
+
+
+def test_no_node_is_without_a_branch():
+    assert all(1 <= len(chosen_path._picked(k * 7919)) <= 2 for k in range(3000))
+    share = np.mean([len(chosen_path._picked(k * 7919)) for k in range(3000)])
+    assert abs(share - 1 / chosen_path.SIMILARITY) < 0.03
+    for trees in (1, 10, 27):
+        found = chosen_path.root_positions(trees)
+        assert len({p for _, p in found}) == len(found) and len({t for t, _ in found}) == trees
+    assert chosen_path.trees_for(0.99, 6) == 10 and chosen_path.trees_for(0.99, 0) < chosen_path.trees_for(0.99, 3) < chosen_path.trees_for(0.999, 3)
+
+
+def test_rows_of_the_comparison_grow_with_the_members(spark):
+    """A group of near copies around the threshold: a node names each member once at most, and its links
+    join components, one less than members at most."""
+    import pyarrow as pa
+
+    rows = _shared_words(5, 300)
+    sets = [chosen_path.shingles(t) for _, t in rows]
+    at = [p for _, p in chosen_path.root_positions(10)]
+    sig = [chosen_path.minwise(x) for x in sets]
+    n = len(rows)
+    table = pa.table({"node": [1] * n, "root": pa.array([0] * n, pa.int32()), "x": [0] * n, "y": [0] * n, "side": [2] * n, "k": list(range(n)),
+                      "n": [len(x) for x in sets], "comp": list(range(n)), "large": [(1 << len(at)) - 1] * n,
+                      "sig": [x.astype(np.uint8).tobytes() + x[at].astype("<u4").tobytes() for x in sig], "text": [t for _, t in rows]})
+    assert 0 < chosen_path._compare(table).num_rows <= n
+    links = list(zip(*chosen_path._links(table).to_pydict().values(), strict=True))
+    root = list(range(n))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        assert find(a) != find(b)  # each joins two components
+        root[find(a)] = find(b)
+    for a in range(n):
+        for b in range(a):
+            i = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * i >= 75 * (len(sets[a]) + len(sets[b]) - i) and chosen_path._alike(sig[a].astype(np.uint8), sig[b].astype(np.uint8)) >= chosen_path.MAYBE:
+                assert find(a) == find(b)
+
+
+def test_rows_that_share_an_id_are_linked(spark):
+    """Also where a third of all rows have no id."""
+    rnd = random.Random(31)
+    texts = [" ".join(rnd.choices([f"v{i}" for i in range(500)], k=40)) for _ in range(30)]
+    rows = [(None if i % 3 == 0 else i, t) for i, t in enumerate(texts)] + [(1, texts[4] + " more"), (1, ""), (50, texts[8])]
+    got = chosen_path.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by = {(r.doc_id, r.n_shingles): r.component_id for r in got}
+    assert all(r.component_id is None for r in got if r.doc_id is None) and len(got) == len(rows)
+    assert by[(4, 36)] == 1 and by[(1, 37)] == by[(1, 36)] == 1 and by[(50, 36)] == 8 and by[(2, 36)] == 2 and by[(1, 0)] == 1
+
+
 def test_pipeline_equals_plain_stages(spark, tmp_path):
     rnd = random.Random(21)
     letters = secret_scan.SYMBOLS[:62]
