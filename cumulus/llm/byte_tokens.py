@@ -2,9 +2,13 @@
 
 The pre-tokenizer of such a vocabulary never puts a white-space character after another
 character into one token, so a text may be cut before every white-space run and its parts
-encoded alone. Each distinct part goes to the library once per worker (in batches) and is kept
-as packed integers; a full memo is emptied. A vocabulary with another pre-tokenizer, and a text
-that holds one of the added tokens, goes to the library whole.
+encoded alone. Texts are split at spaces and line feeds a batch at a time; each different word of a
+batch is looked up once, a new one goes to the library, and the ids of all texts are gathered from
+the pool of known words by their places in it. A new word of Latin letters, or of these and ASCII marks
+behind them, goes straight to the library's BPE model: there the pre-tokenizer would cut between
+letters and marks and nowhere else. All other words go through the whole library. A full memo is emptied.
+A vocabulary with another pre-tokenizer, and a text that holds one of the added tokens, goes to the
+library whole; so does, in parts, a text with other runs of white space.
 """
 
 from __future__ import annotations
@@ -15,6 +19,11 @@ import os
 import re
 import sys
 from array import array
+from itertools import repeat
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 from tokenizers import Tokenizer  # noqa: E402
@@ -24,9 +33,57 @@ SPACES = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000,
 PARTS = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
 BLANK = frozenset(SPACES)
 MEMO = 1_000_000
-GROUP = 256
-MARKS = ",.;:!?"
-MARK_RUNS = 10_000
+GROUP_CHARS = 4_000_000
+#: Numbers of words: a new one, one whose end is white space, so that the cut after it would fall inside
+#: a run, and the word without ids.
+NEW, ODD, NONE = -2, -1, 0
+#: A word's number may have a second one above it: that of the marks at its end.
+SECOND = 40
+#: Latin letters (U+00D7 and U+00F7 are none) and ASCII marks but the apostrophe, which may stand in
+#: contractions.
+SIMPLE = re.compile("(\n?)([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
+#: The characters that stand for bytes in the vocabulary: printable ones for themselves, the others
+#: in order from U+0100.
+_PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_OTHERS = [b for b in range(256) if b not in _PRINTED]
+SHOWN = {b: 0x100 + _OTHERS.index(b) for b in _OTHERS}
+
+
+def shown(text: str) -> str:
+    return text if text.isascii() and text.isalpha() else text.encode().decode("latin-1").translate(SHOWN)
+
+
+class _Pool:
+    """The ids of all known words in one array, by the number of the word."""
+
+    def __init__(self, dtype):
+        self.ids, self.used = np.zeros(1 << 16, dtype), 0
+        self.start, self.size, self.words = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), 1
+
+    @staticmethod
+    def _room(a, used, more):
+        return a if used + more <= len(a) else np.concatenate([a, np.zeros(max(len(a), more), a.dtype)])
+
+    def add(self, ids, sizes) -> range:
+        """Words with these ids, one after the other; returns their numbers."""
+        n, k, m = len(sizes), self.words, len(ids)
+        self.ids = self._room(self.ids, self.used, m)
+        self.start, self.size = self._room(self.start, k, n), self._room(self.size, k, n)
+        self.ids[self.used:self.used + m] = ids
+        self.size[k:k + n] = sizes
+        self.start[k:k + n] = self.used + np.cumsum(self.size[k:k + n]) - self.size[k:k + n]
+        self.used += m
+        self.words += n
+        return range(k, k + n)
+
+    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these words in a row, and where each word ends."""
+        both = np.empty(2 * len(numbers), np.int64)
+        both[::2], both[1::2] = numbers & (1 << SECOND) - 1, numbers >> SECOND
+        sizes = self.size[both]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.repeat(self.start[both] - ends + sizes, sizes) + np.arange(total)], ends[1::2]
 
 
 class ByteTokens:
@@ -41,9 +98,13 @@ class ByteTokens:
         self.added = [a["content"] for a in spec.get("added_tokens", [])]
         self.code = "H" if self.tok.get_vocab_size() <= 1 << 16 else "I"
         self.dtype = {"H": "<u2", "I": "<u4"}[self.code]
-        self.memo: dict[str, bytes | int] = {}
+        line_feed = self.tok.encode("\n", add_special_tokens=False).ids
+        self.line_feed, self.space = line_feed[0] if len(line_feed) == 1 else None, chr(SHOWN[32])
         self.raw: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
+        self._empty()
+
+    def _empty(self) -> None:
+        self.pool, self.memo, self.first, self.marks = _Pool(self.dtype), {}, {}, {}
 
     def _pack(self, ids: list[int]) -> bytes:
         a = array(self.code, ids)
@@ -51,28 +112,50 @@ class ByteTokens:
             a.byteswap()
         return a.tobytes()
 
-    def _learn(self, words: set[str]) -> None:
-        """Fill the memo; a word whose end is white space, and the empty one, get 0: the cut after
-        them would fall inside a run of white space."""
-        memo, marks = self.memo, self.marks
-        if len(memo) + len(words) > MEMO:
-            memo.clear()
-        # a run of marks after a letter is always cut off from it
-        tails = {}
+    def _learn(self, words: list[str]) -> None:
+        """Numbers for new words. A word stands for itself behind a space, or for itself if a line feed
+        leads it."""
+        memo, marks, tokenize, match = self.memo, self.marks, self.tok.model.tokenize, SIMPLE.fullmatch
+        ids: list[int] = []
+        sizes: list[int] = []
+        k = self.pool.words
         for w in words:
-            base = w.rstrip(MARKS)
-            if base and len(base) < len(w) and base[-1].isalpha():
-                tails[w] = base
-                if w[len(base):] not in marks:
-                    marks[w[len(base):]] = self._pack(self.tok.encode(w[len(base):], add_special_tokens=False).ids)
-        ask = list(words.difference(tails).union(b for b in tails.values() if b not in memo))
-        found = self.tok.encode_batch_fast([w if w[:1] == "\n" else " " + w for w in ask], add_special_tokens=False)
-        for w, e in zip(ask, found, strict=True):
-            memo[w] = 0 if not w or w[-1] in BLANK else self._pack(e.ids)
-        for w, base in tails.items():
-            memo[w] = memo[base] + marks[w[len(base):]]
-        if len(marks) > MARK_RUNS:
-            marks.clear()
+            m = match(w)
+            if m:
+                lead, letters, tail = m.groups()
+                number = memo.get(lead + letters)
+                if number is None:
+                    own = [t.id for t in tokenize(shown(letters) if lead else self.space + shown(letters))]
+                    if lead:
+                        own.insert(0, self.line_feed)
+                    number = memo[lead + letters] = k + len(sizes)
+                    ids += own
+                    sizes.append(len(own))
+                if tail:
+                    second = marks.get(tail)
+                    if second is None:
+                        own = [t.id for t in tokenize(tail)]
+                        second = marks[tail] = k + len(sizes)
+                        ids += own
+                        sizes.append(len(own))
+                    memo[w] = number | second << SECOND
+            elif not w or w[-1] in BLANK:
+                memo[w] = ODD
+            else:
+                own = self.tok.encode(w if w[0] == "\n" else " " + w, add_special_tokens=False).ids
+                memo[w] = k + len(sizes)
+                ids += own
+                sizes.append(len(own))
+        self.pool.add(ids, sizes)
+
+    def _learn_first(self, words: list[str]) -> None:
+        """Numbers for words at the start of a text."""
+        for w in words:
+            if not w or w[-1] in BLANK:
+                self.first[w] = ODD
+            else:
+                ids = np.frombuffer(self._whole(w), self.dtype)
+                self.first[w] = self.pool.add(ids, np.array([len(ids)]))[0]
 
     def _whole(self, text: str) -> bytes:
         """White space in runs: cut before each run instead."""
@@ -89,29 +172,51 @@ class ByteTokens:
         return b"".join(map(raw.__getitem__, parts))
 
     def _group(self, texts: list[str]) -> list[bytes]:
-        # words after the first stand for " word", or for themselves if a line feed leads them
-        split = [t.replace("\n", " \n").split(" ") if self.by_part and not any(a in t for a in self.added) else []
-                 for t in texts]
-        first = [w.pop(0) if w else "" for w in split]
-        get = self.memo.get
-        ids = [list(map(get, w)) for w in split]
-        new = {w for ws, vs in zip(split, ids, strict=True) if None in vs for w, v in zip(ws, vs, strict=True) if v is None}
-        if new:
-            if len(self.memo) + len(new) > MEMO:
-                new = set().union(*split)
-            self._learn(new)
-            ids = [list(map(get, w)) if None in v or len(new) > MEMO // 2 else v for w, v in zip(split, ids, strict=True)]
-        out = []
-        for t, f, v in zip(texts, first, ids, strict=True):
-            if 0 in v or f[-1:] in BLANK or (not f and t):
-                out.append(self._whole(t))
-            else:
-                out.append((self._whole(f) if f else b"") + b"".join(v))
-        return out
+        column = pa.array([t.replace("\n", " \n") for t in texts], pa.large_string())
+        split = pc.split_pattern(column, " ")
+        at = split.offsets.to_numpy()
+        coded = split.values.dictionary_encode()
+        # no word has a space, so all different ones come as one string
+        all_words = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
+        words, where = pc.binary_join(all_words, pa.scalar(" ", pa.large_string()))[0].as_py().split(" "), coded.indices.to_numpy()
+        lead = [words[k] for k in where[at[:-1]].tolist()]
+        if len(self.memo) + len(self.first) > MEMO:
+            self._empty()
+        numbers = self._numbers(self.memo, words, self._learn)[where]
+        numbers[at[:-1]] = self._numbers(self.first, lead, self._learn_first)
+        odd = np.add.reduceat(numbers == ODD, at[:-1]) > 0
+        numbers[numbers == ODD] = NONE
+        ids, ends = self.pool.gather(numbers)
+        raw, width = ids.tobytes(), ids.itemsize
+        edges = (np.concatenate([[0], ends])[at] * width).tolist()
+        return [self._whole(t) if o and t else raw[s:e] for t, o, s, e in zip(texts, odd.tolist(), edges[:-1], edges[1:], strict=True)]
+
+    @staticmethod
+    def _numbers(memo: dict[str, int], words: list[str], learn) -> np.ndarray:
+        found = np.fromiter(map(memo.get, words, repeat(NEW)), np.int64, len(words))
+        new = np.flatnonzero(found == NEW)
+        if len(new):
+            asked = list(dict.fromkeys(words[k] for k in new.tolist()))
+            learn(asked)
+            found[new] = [memo[words[k]] for k in new.tolist()]
+        return found
 
     def packed(self, texts: list[str]) -> list[bytes]:
         """Per text its ids, packed as ``dtype``."""
-        return [p for k in range(0, len(texts), GROUP) for p in self._group(texts[k:k + GROUP])]
+        out: list[bytes] = []
+        some, chars = [], 0
+        for t in texts:
+            if not self.by_part or self.line_feed is None or any(a in t for a in self.added):
+                out += self._group(some) if some else []
+                some, chars = [], 0
+                out.append(self._whole(t))
+                continue
+            some.append(t)
+            chars += len(t)
+            if chars >= GROUP_CHARS:
+                out += self._group(some)
+                some, chars = [], 0
+        return out + (self._group(some) if some else [])
 
 
 @functools.lru_cache(maxsize=2)

@@ -1,8 +1,8 @@
 """Token-id files: each document compressed alone with one shared zstandard dictionary.
 
 The dictionary is trained on the serialized ids of a bounded sample of documents
-(``SAMPLE_DOCS`` chosen by a hash of their id, up to ``SAMPLE_BYTES`` each); all documents are
-stored. Documents are range partitioned and sorted by id, so a partition's files hold a
+(``SAMPLE_DOCS`` chosen by a hash of their id, of each up to ``SAMPLE_BYTES`` from a place chosen by
+another hash of it); all documents are stored. Documents are range partitioned and sorted by id, so a partition's files hold a
 consecutive stretch. A file row is a *segment*: the dictionary's hash, an index (ids of the
 documents, token counts, end offset of each frame) and the frames. A document is read by its
 offset without touching its neighbours. Spark writes the rows, so a lost task leaves nothing
@@ -22,6 +22,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -40,9 +41,15 @@ SEGMENT = ("part long, start_in_part long, first_doc long, last_doc long, n_toke
 
 def _sample(batches, path, end_id):
     t = byte_tokens(path)
-    for (texts,) in text_lists(batches, "text"):
-        yield pa.RecordBatch.from_arrays([pa.array([(x + t._pack([end_id]))[:SAMPLE_BYTES] for x in t.packed(texts)],
-                                                   pa.binary())], ["ids"])
+    end, width = t._pack([end_id]), np.dtype(t.dtype).itemsize
+    for ids, texts in text_lists(batches, "doc_id", "text"):
+        out = []
+        for i, x in zip(ids, t.packed(texts), strict=True):
+            x += end
+            over = max(0, len(x) - SAMPLE_BYTES) // width
+            at = xxhash.xxh3_64_intdigest(b"%d" % (i or 0)) % (over + 1) * width
+            out.append(x[at:at + SAMPLE_BYTES])
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int = 0, sample_docs: int = SAMPLE_DOCS) -> bytes:
@@ -50,7 +57,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int = 0, sample_do
     if not total:
         return b""
     share = min(1.0, sample_docs / total)
-    picked = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(share * (1 << 20))).select("text")
+    picked = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(share * (1 << 20)))
     samples = [bytes(r.ids) for r in in_arrow(picked, _sample, "ids binary", tokenizer, end_id).collect()]
     try:
         return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes()
