@@ -1,16 +1,13 @@
 """Quality rules from cross-document line frequency, in DataFrame functions only.
 
 Lines are normalised (A-Z lower-cased, white space squeezed) and hashed. Per host a line's
-documents are counted distinct. ``filtered`` counts different texts, both those with the line and
-those of the host: copies of one text do not make its lines boilerplate, however many there are,
-while every line of a footer between different texts counts for each. ``assess`` counts what
-``assess_sql`` states: documents that share the line *and* both lines next to it count once, so
-inner lines of a block that is the same everywhere stay below the limit, and the host's documents
-include copies. A line above the host's limit - more than
-``line_share`` of the host's documents and at least ``min_docs`` - is removed, and a document is
-rejected as depleted when less than ``keep_share`` of its words is left. Documents that fail the
-base rules (under 50 words, or over half of the words in repeated 3-word windows) are rejected
-too.
+documents are counted distinct, where documents with the same text are one: copies of one text do
+not make its lines boilerplate, however many there are, while every line of a footer between
+different texts counts for each. The host's documents are counted in the same way. A line above the
+host's limit - more than ``line_share`` of the host's documents and at least ``min_docs`` - is removed, and
+a document is rejected as depleted when less than ``keep_share`` of its words is left. Documents
+that fail the base rules (under 50 words, or over half of the words in repeated 3-word windows) are
+rejected too.
 
 A removed line leaves the document's text in ``filtered``; line breaks around it go with it.
 
@@ -26,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.compute_once import compute_once
+from .common import saved
 
 LINE_SHARE = 0.02
 MIN_DOCS = 5
@@ -40,8 +38,9 @@ def _words(expr: str) -> str:
     return f"filter(split({expr}, '{_SPACE}'), w -> w != '')"
 
 
-def _base_columns(df: DataFrame) -> DataFrame:
-    """Adds the four base measures; each costly array is computed once per row."""
+def _base_columns(df: DataFrame, with_marks: bool = False) -> DataFrame:
+    """Adds the four base measures; each costly array is computed once per row. ``with_marks`` adds the
+    lines with a word as hashes of their normal form, with their words."""
     text = F.col("text")
     df = compute_once(df, {"words": F.expr(_words("text"))})
     # 3-word windows sorted by content: equal ones are neighbours
@@ -63,7 +62,7 @@ def _base_columns(df: DataFrame) -> DataFrame:
         F.char_length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")).cast("long").alias("word_chars"),
         (F.char_length(text) - F.char_length(F.translate(text, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        covered.alias("n_repeat_words"))
+        covered.alias("n_repeat_words"), *([F.expr(_MARKS).alias("marks")] if with_marks else []))
 
 
 def _keyed(docs: DataFrame, host: str) -> DataFrame:
@@ -73,29 +72,24 @@ def _keyed(docs: DataFrame, host: str) -> DataFrame:
 
 
 _NORM = (f"trim(regexp_replace(translate(l, '{_UPPER}', '{_LOWER}'), '{_SPACE}', ' '))")
+_MARKS = (f"transform(transform(lines, l -> {_NORM}), l -> struct(xxhash64(l) AS line, "
+          "length(l) - length(replace(l, ' ', '')) + 1 AS line_words))")
 
 
 def _line_rows(keyed: DataFrame) -> DataFrame:
-    """One row per line with a word: hash of the normalised line, of the lines around it, its
-    words and its place among such lines."""
+    """One row per line with a word: hash of the normalised line, its words and its place among such
+    lines."""
     df = compute_once(keyed, {"norm": F.expr(
         f"transform(filter(split(text, '\\n', -1), l -> l rlike '[^\\\\x20\\\\x09-\\\\x0D]'), l -> {_NORM})")},
         keep=["doc_id", "text_key", "host"])
     return df.select("doc_id", "text_key", "host", F.expr(
-        "inline(transform(norm, (l, i) -> struct(xxhash64(l) AS line, "
-        "xxhash64(coalesce(try_element_at(norm, i + 2), ''), IF(i > 0, try_element_at(norm, greatest(i, 1)), '')) "
-        "AS around, length(l) - length(replace(l, ' ', '')) + 1 AS line_words, i AS place)))"))
+        "inline(transform(norm, (l, i) -> struct(xxhash64(l) AS line, length(l) - length(replace(l, ' ', '')) + 1 AS line_words, i AS place)))"))
 
 
 def common_lines(keyed: DataFrame, lines: DataFrame, line_share: float, min_docs: int) -> DataFrame:
-    """(host, line) above the host's limit, counted by the lines around. All counts are partial
+    """(host, line) above the host's limit, counted by different texts. All counts are partial
     aggregates first, so a hot host or line costs a row per task; what is joined are counted lines
     and one row per host."""
-    return _above(lines.groupBy("host", "line", "around").agg(F.count("*").alias("n")), keyed, line_share, min_docs)
-
-
-def common_lines_of_texts(keyed: DataFrame, lines: DataFrame, line_share: float, min_docs: int) -> DataFrame:
-    """The same, counted by different texts."""
     return _above(lines.groupBy("host", "line", "text_key").agg(F.count("*").alias("n")),
                   keyed.groupBy("host", "text_key").agg(F.count("*").alias("n")), line_share, min_docs)
 
@@ -129,15 +123,17 @@ def _verdict(keep_share: float):
 
 def assess(docs: DataFrame, host: str = "source", line_share: float = LINE_SHARE, min_docs: int = MIN_DOCS,
            keep_share: float = KEEP_SHARE) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, the base measures, the words in common lines
-    (``n_common_words``), base_failed and kept."""
-    keyed = _keyed(docs, host)
-    lines = _line_rows(keyed)
-    removed = _removed(lines, common_lines(keyed, lines, line_share, min_docs)).drop("common")
-    out = _joined(_base_columns(keyed.drop("host")), removed)
-    out = out.withColumn("n_common_words", F.coalesce("n_common", F.lit(0)).cast("long"))
+    """Per row of ``docs``: doc_id, n_words, the base measures, base_failed, kept, and the words in
+    common lines (``n_common_words``). The texts are read once: measures and line hashes go to shared storage
+    under a number for each row, and everything after that works on these."""
+    keyed = _keyed(docs, host).withColumn("row", F.monotonically_increasing_id())
+    rows = saved(_base_columns(keyed, with_marks=True), "lines")
+    lines = rows.select("row", "text_key", "host", F.inline("marks"))
+    common = common_lines(rows, lines, line_share, min_docs)
+    removed = lines.join(common, ["host", "line"], "left_semi").groupBy("row").agg(F.sum("line_words").alias("n_common"))
+    out = rows.join(removed, "row", "left").withColumn("n_common_words", F.coalesce("n_common", F.lit(0)).cast("long"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                      "n_common_words", *_verdict(keep_share))
+                      *_verdict(keep_share), "n_common_words")
 
 
 def filtered(docs: DataFrame, host: str = "source", line_share: float = LINE_SHARE, min_docs: int = MIN_DOCS,
@@ -145,7 +141,7 @@ def filtered(docs: DataFrame, host: str = "source", line_share: float = LINE_SHA
     """The rows of ``docs`` that are kept, with all their columns; common lines leave ``text``."""
     keyed = _keyed(docs, host)
     lines = _line_rows(keyed)
-    removed = _removed(lines, common_lines_of_texts(keyed, lines, line_share, min_docs))
+    removed = _removed(lines, common_lines(keyed, lines, line_share, min_docs))
     rows = docs.select(F.struct("*").alias("whole"), F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
                        F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit("")).alias("host"))
     rows = rows.withColumn("text_key", F.xxhash64("host", "text")).drop("host")
@@ -163,7 +159,7 @@ def assess_sql(line_share: float = LINE_SHARE, min_docs: int = MIN_DOCS, keep_sh
     space = r"[\x20\x09-\x0D]+"
     norm = f"trim(regexp_replace(translate(l, '{_UPPER}', '{_LOWER}'), '{space}', ' ', 'g'))"
     return f"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce('=' || source, '') AS host FROM documents),
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, md5(coalesce(text, '')) AS key, coalesce('=' || source, '') AS host FROM documents),
 w AS (SELECT doc_id, list_filter(string_split_regex(text, '{space}'), lambda w: w <> '') AS words FROM d),
 p AS (SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM w),
 g AS (SELECT doc_id, i, w || ' ' || lead(w) OVER o || ' ' || lead(w, 2) OVER o AS k FROM p
@@ -171,14 +167,12 @@ g AS (SELECT doc_id, i, w || ' ' || lead(w) OVER o || ' ' || lead(w, 2) OVER o A
 h AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS c FROM g WHERE k IS NOT NULL)
       WHERE c > 1),
 r AS (SELECT doc_id, count(DISTINCT i + s) AS n FROM h, (VALUES (0), (1), (2)) v(s) GROUP BY doc_id),
-s AS (SELECT doc_id, host, list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+s AS (SELECT doc_id, key, host, list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
       FROM d),
-l AS (SELECT doc_id, host, unnest(lines) AS l, generate_subscripts(lines, 1) AS i FROM s),
-n AS (SELECT doc_id, host, i, l, {norm} AS line FROM l),
-c AS (SELECT *, coalesce(lag(line) OVER o, '') AS before, coalesce(lead(line) OVER o, '') AS after FROM n
-      WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
-t AS (SELECT host, count(*) AS host_docs FROM d GROUP BY host),
-b AS (SELECT host, line FROM (SELECT host, line, count(DISTINCT (before, after)) AS n_docs FROM c GROUP BY host, line)
+l AS (SELECT doc_id, key, host, unnest(lines) AS l FROM s),
+n AS (SELECT doc_id, key, host, {norm} AS line FROM l),
+t AS (SELECT host, count(DISTINCT key) AS host_docs FROM d GROUP BY host),
+b AS (SELECT host, line FROM (SELECT host, line, count(DISTINCT key) AS n_docs FROM n GROUP BY host, line)
       JOIN t USING (host) WHERE n_docs >= {min_docs} AND n_docs > {line_share} * host_docs),
 x AS (SELECT doc_id, sum(length(line) - length(replace(line, ' ', '')) + 1) AS n_common
       FROM n SEMI JOIN b USING (host, line) GROUP BY doc_id),

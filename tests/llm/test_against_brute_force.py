@@ -244,6 +244,28 @@ def test_every_line_of_a_common_block_goes(spark):
     assert all("seldom" not in out[2000 + i] for i in range(6))
 
 
+def test_lines_are_counted_by_distinct_documents(spark):
+    """Inner lines of a block of six count for every document that holds it; copies are one document."""
+    block = [" ".join(f"Licence{k}n{j}" for j in range(8)) for k in range(6)]
+    own = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(300)]
+    rows = [(i, own[i] + ("\n" + "\n".join(block) if i < 40 else ""), "h") for i in range(300)]
+    rows += [(1000 + i, own[5] + "\nonly in copies\n\n" + block[2].upper() + "  ", "h") for i in range(50)]
+    rows += [(2000 + i, own[i] + "\nshort  line", None) for i in range(7)] + [(3000, None, "h"), (3001, "", "h"), (1000, rows[300][1], "h")]
+    texts, holders = {}, {}
+    for _, t, host in rows:
+        texts.setdefault(host, set()).add(t or "")
+        for line in (t or "").split("\n"):
+            if line.split():
+                holders.setdefault((host, " ".join(line.lower().split())), set()).add(t)
+    common = {k for k, v in holders.items() if len(v) >= 5 and len(v) > 0.02 * len(texts[k[0]])}
+    assert {("h", x.lower()) for x in block} <= common and ("h", "only in copies") not in common and (None, "short line") in common
+    got = line_quality.assess(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(got) == len(rows)
+    want = {(i, sum(len(x.split()) for x in (t or "").split("\n") if (h, " ".join(x.lower().split())) in common)) for i, t, h in rows}
+    assert {(r.doc_id, r.n_common_words) for r in got} == want
+    assert got[0].__fields__[-3:] == ["base_failed", "kept", "n_common_words"]
+
+
 def _shingles(t):
     w = t.encode().lower().split()
     return frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
