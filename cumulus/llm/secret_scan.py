@@ -179,17 +179,17 @@ def _scan(batches, ratio, min_bits):
             rows.append((*n, hashlib.sha256(_say(base).encode()).hexdigest(), _say(more)))
         cols = list(zip(*rows, strict=True)) or [[]] * 6
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), *[pa.array(c, pa.int64()) for c in cols[:4]],
-             pa.array(cols[4], pa.string()), pa.array(cols[5], pa.string())],
-            ["doc_id", "n_assign", "n_access", "n_hex", "n_markov", "base_sha256", "spans"])
+            [pa.array(ids, pa.int64()), *[pa.array(c, pa.int64()) for c in cols[:3]],
+             pa.array(cols[4], pa.string()), pa.array(cols[5], pa.string()), pa.array(cols[3], pa.int64())],
+            ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_markov"])
 
 
 def scan(docs: DataFrame, ratio: np.ndarray, doc_id: str = "doc_id", text: str = "text",
          min_bits: float = 1.5) -> DataFrame:
-    """Per document: counts by kind, the digest of the pattern spans, and all spans."""
+    """Per document: counts of the patterns' spans, their digest, all spans, and how many the models add."""
     return in_arrow(
         docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), _scan,
-        "doc_id long, n_assign long, n_access long, n_hex long, n_markov long, base_sha256 string, spans string",
+        "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_markov long",
         ratio, min_bits)
 
 
