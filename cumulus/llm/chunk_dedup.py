@@ -15,7 +15,9 @@ row per task). Only chunks of two or more documents are joined back, with their
 formed of these, and counted and joined in the same way.
 
 Null text stays null and has no chunks; rows with the same id count as one document and take
-nothing from each other; a null id is smaller than all others; other columns are kept.
+nothing from each other; a null id is smaller than all others; other columns are kept, whatever their
+names. Rows are told apart by their id and, where an id has several texts, by a 64-bit hash of
+the text; equal rows have equal results.
 """
 
 from __future__ import annotations
@@ -29,13 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_table, in_arrow
+from .common import byte_table, in_arrow, saved
+from .plain_words import in_parts, raw_texts
 
 LEAST, MOST = 16, 256
 TOP_BITS = 4
 MIN_RUN = 64
+#: Of a chunk's digest 64 bits are a column of their own and 22 lie in its place.
 DIGEST = np.dtype([("h1", "<i8"), ("h2", "<i4")])
-KEY, REPEATS = "_cumulus_key", "_cumulus_repeats"
+REST = (1 << 22) - 1
 NO_ID = -(1 << 63)
 
 
@@ -79,39 +83,33 @@ def _digests(data: bytes, ends: list[int]) -> list[bytes]:
     return out
 
 
-def _tag(data: bytes) -> int:
-    """Some bits that tell rows with one id apart."""
-    return xxhash.xxh3_64_intdigest(data) >> 42
-
-
-def _places(start, end, tag):
-    """Start, length (below 1024) and tag in one number."""
-    return start << 32 | (end - start) << 22 | tag
+def _places(start, end, rest=0):
+    """Start, length (below 1024) and 22 bits of a digest in one number."""
+    return start << 32 | (end - start) << 22 | rest
 
 
 def _split(places: np.ndarray):
-    """Tag, start and end of places, in this order, without repetitions; and where they were."""
+    """Start, end and rest of places in order, without repetitions; and where they were."""
     p, first = np.unique(places, return_index=True)
-    tag, start = p & (1 << 22) - 1, p >> 32
-    order = np.lexsort((start, tag))
-    return tag[order], start[order], (start + (p >> 22 & (1 << 10) - 1))[order], first[order]
+    start = p >> 32
+    return start, start + (p >> 22 & (1 << 10) - 1), p & REST, first
 
 
 def _chunks(batches):
-    for batch in batches:
-        keys, places, found = [], [], []
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+    for batch in in_parts(batches):
+        rows, places, found = [], [], []
+        for i, text in enumerate(raw_texts(batch, "text")):
             if text:
-                data = text.encode("utf-8", "replace")
-                ends = np.array(borders(data), np.int64)
-                starts = np.concatenate([[0], ends[:-1]])
-                keys.append(np.full(len(ends), key, np.int64))
-                places.append(_places(starts, ends, _tag(data)))
-                found += _digests(data, ends.tolist())
+                ends = np.array(borders(text), np.int64)
+                rows.append(np.full(len(ends), i, np.int64))
+                places.append(_places(np.concatenate([[0], ends[:-1]]), ends))
+                found += _digests(text, ends.tolist())
         if found:
             d = np.frombuffer(b"".join(found), DIGEST)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(places)),
-                                              *[pa.array(np.ascontiguousarray(d[c])) for c in ("h1", "h2")]], ["k", "place", "h1", "h2"])
+            at = pa.array(np.concatenate(rows))
+            yield pa.RecordBatch.from_arrays([batch.column("k").take(at), batch.column("t").take(at),
+                                              pa.array(np.concatenate(places) | d["h2"] & REST), pa.array(np.ascontiguousarray(d["h1"]))],
+                                             ["k", "t", "place", "h1"])
 
 
 def windows(edges: np.ndarray, min_run: int) -> list[tuple[int, int]]:
@@ -126,61 +124,58 @@ def windows(edges: np.ndarray, min_run: int) -> list[tuple[int, int]]:
 
 def _windows(batches, min_run):
     for batch in batches:
-        keys, places, found = [], [], []
-        at = batch.column(1).offsets.to_numpy()
-        place, h1, h2 = (batch.column(c).values.to_numpy() for c in ("place", "h1", "h2"))
-        for key, s, e in zip(batch.column(0).to_pylist(), at[:-1], at[1:], strict=True):
-            tag, start, end, first = _split(place[s:e])
+        rows, places, found = [], [], []
+        held = batch.column("held")
+        at, place, h1 = held.offsets.to_numpy(), *(held.values.field(c).to_numpy() for c in (0, 1))
+        for i, (s, e) in enumerate(zip(at[:-1], at[1:], strict=True)):
+            start, end, rest, first = _split(place[s:e])
             d = np.empty(len(first), DIGEST)
-            d["h1"], d["h2"] = h1[s:e][first], h2[s:e][first]
-            cuts = np.nonzero((tag[1:] != tag[:-1]) | (start[1:] != end[:-1]))[0] + 1
+            d["h1"], d["h2"] = h1[s:e][first], rest
+            cuts = np.nonzero(start[1:] != end[:-1])[0] + 1
             for x, y in zip([0, *cuts.tolist()], [*cuts.tolist(), len(first)], strict=True):
                 if end[y - 1] - start[x] >= min_run:
                     raw, edges = d[x:y].tobytes(), np.append(start[x:y], end[y - 1])
                     own = np.array(windows(edges, min_run))
-                    keys.append(np.full(len(own), key, np.int64))
-                    places.append(_places(edges[own[:, 0]], edges[own[:, 1]], tag[x]))
+                    rows.append(np.full(len(own), i, np.int64))
+                    places.append(_places(edges[own[:, 0]], edges[own[:, 1]]))
                     found += [xxhash.xxh3_128_digest(raw[12 * i:12 * j])[:12] for i, j in own.tolist()]
         if found:
             d = np.frombuffer(b"".join(found), DIGEST)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(places)),
-                                              *[pa.array(np.ascontiguousarray(d[c])) for c in ("h1", "h2")]], ["k", "place", "h1", "h2"])
+            back = pa.array(np.concatenate(rows))
+            yield pa.RecordBatch.from_arrays([batch.column("k").take(back), batch.column("t").take(back), pa.array(np.concatenate(places)),
+                                              *[pa.array(np.ascontiguousarray(d[c])) for c in ("h1", "h2")]], ["k", "t", "place", "h1", "h2"])
 
 
-def repeated_spans(data: bytes, places: list[int]) -> list[tuple[int, int]]:
-    """The stretches of this text that windows cover; what overlaps or touches is one."""
-    tag, start, end, _ = _split(np.array(places, np.int64))
-    mine = tag == _tag(data)
+def repeated_spans(places: list[int]) -> list[tuple[int, int]]:
+    """The stretches that windows cover; what overlaps or touches is one."""
+    start, end, _, _ = _split(np.array(places, np.int64))
     spans: list[tuple[int, int]] = []
-    for s, e in zip(start[mine].tolist(), end[mine].tolist(), strict=True):
+    for s, e in zip(start.tolist(), end.tolist(), strict=True):
         if spans and s <= spans[-1][1]:
             s, e = spans[-1][0], max(e, spans.pop()[1])
         spans.append((s, e))
     return spans
 
 
-def _remove(batches, text_col, n_out, with_figures):
+FIGURES = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+
+
+def _remove(batches, with_figures):
     for b in batches:
-        k = b.schema.get_field_index(text_col)
         rows = []
-        for text, repeats in zip(b.column(k).to_pylist(), b.column(b.schema.get_field_index(REPEATS)).to_pylist(), strict=True):
+        for text, repeats in zip(b.column("text").to_pylist(), b.column("repeats").to_pylist(), strict=True):
             data = (text or "").encode("utf-8", "replace")
-            spans = repeated_spans(data, repeats) if repeats else []
+            spans, kept = repeated_spans(repeats) if repeats else [], data
             if spans:
                 edges = [0, *[x for s in spans for x in s], len(data)]
                 kept = b"".join(data[s:e] for s, e in zip(edges[::2], edges[1::2], strict=True))
                 text = kept.decode("utf-8", "replace")
-            else:
-                kept = data
             rows.append((text, len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest() if with_figures else ""))
-        cols = b.columns[:n_out]
-        names = b.schema.names[:n_out]
         done = list(zip(*rows, strict=True)) or [[]] * 5
-        cols[k] = pa.array(done[0], b.schema.field(k).type)
+        cols = [b.column("whole"), pa.array(done[0], pa.string())]
         if with_figures:
             cols += [pa.array(done[i], pa.int64()) for i in (1, 2, 3)] + [pa.array(done[4], pa.string())]
-            names = [*names, "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-        yield pa.RecordBatch.from_arrays(cols, names)
+        yield pa.RecordBatch.from_arrays(cols, ["whole", "text", *[c.split()[0] for c in FIGURES.split(", ")]][:len(cols)])
 
 
 def _shared(rows: DataFrame, *digest: str) -> DataFrame:
@@ -189,21 +184,32 @@ def _shared(rows: DataFrame, *digest: str) -> DataFrame:
             .where("first < last").drop("last"))
 
 
+def _told_apart(rows: DataFrame) -> DataFrame:
+    """``rows`` (k, text, ...) with ``t``: a hash of the text for rows of ids that have several, else 0."""
+    t = F.coalesce(F.xxhash64("text"), F.lit(0).cast("long"))
+    texts = rows.select("k", t.alias("t")).groupBy("k").agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
+    several = saved(texts.where("lo <> hi").select("k", F.lit(True).alias("several")), "ids")
+    if several.isEmpty():
+        return rows.withColumn("t", F.lit(0).cast("long"))
+    return rows.join(several, "k", "left").withColumn("t", F.when(F.col("several"), t).otherwise(F.lit(0).cast("long"))).drop("several")
+
+
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_figures: bool = False,
                     min_run: int = MIN_RUN) -> DataFrame:
     """All rows and columns of ``docs`` with repeated passages taken out of ``text``;
     ``with_figures`` adds n_bytes, n_removed, n_spans and kept_sha256."""
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))
-    chunks = in_arrow(docs.select(key.alias("k"), F.col(text).alias("t")), _chunks, "k long, place long, h1 long, h2 int")
-    # half of the digest will do to choose chunks: windows are told apart by all of it
-    held = (chunks.join(_shared(chunks, "h1").select("h1"), "h1").groupBy("k")
-            .agg(*[F.collect_list(c).alias(c) for c in ("place", "h1", "h2")]))
-    found = in_arrow(held, _windows, "k long, place long, h1 long, h2 int", min_run)
+    rows = _told_apart(docs.select(F.struct("*").alias("whole"), key.alias("k"), F.col(text).alias("text")))
+    chunks = in_arrow(rows.select("k", "t", "text"), _chunks, "k long, t long, place long, h1 long")
+    # most of the digest will do to choose chunks: windows are told apart by all of it
+    held = (chunks.join(_shared(chunks, "h1").select("h1"), "h1").groupBy("k", "t")
+            .agg(F.collect_set(F.struct("place", "h1")).alias("held")))
+    found = in_arrow(held, _windows, "k long, t long, place long, h1 long, h2 int", min_run)
     repeats = (found.join(_shared(found, "h1", "h2"), ["h1", "h2"]).where("k > first")
-               .groupBy(F.col("k").alias(KEY)).agg(F.collect_list("place").alias(REPEATS)))
-    rows = docs.withColumn(KEY, key).join(repeats, KEY, "left").select(*docs.columns, REPEATS)
-    schema = T.StructType(list(docs.schema.fields))
-    if with_figures:
-        schema = T.StructType([*docs.schema.fields, *[T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")],
-                               T.StructField("kept_sha256", T.StringType())])
-    return in_arrow(rows, _remove, schema, text, len(docs.columns), with_figures)
+               .groupBy("k", "t").agg(F.collect_set("place").alias("repeats")))
+    joined = rows.join(repeats, ["k", "t"], "left").select("whole", "text", "repeats")
+    schema = T.StructType([rows.schema["whole"], T.StructField("text", rows.schema["text"].dataType),
+                           *(T._parse_datatype_string(FIGURES).fields if with_figures else [])])
+    done = in_arrow(joined, _remove, schema, with_figures)
+    return done.select(*[F.col("text") if c == text else F.col("whole").getField(c).alias(c) for c in docs.columns],
+                       *[c for c in done.columns[2:]])

@@ -528,6 +528,41 @@ def test_removed_runs_are_passages_of_one_document(spark):
     assert out[4] == both and out[5] == _without_repeats(short)[5]
 
 
+def test_rows_of_one_id_never_cut_each_other(spark):
+    """An id with many texts: each keeps what no smaller document holds. The columns may have any names."""
+    rnd = random.Random(17)
+    words = [f"w{i}" for i in range(3000)]
+    passages = [" ".join(rnd.choices(words, k=60)) for _ in range(6)]
+    rows = [(1, passages[0]), (2, passages[1] + " and " + passages[2])]
+    many = [" ".join([" ".join(rnd.choices(words, k=20)), *rnd.sample(passages, 2), " ".join(rnd.choices(words, k=20))]) for _ in range(60)]
+    rows += [(5, t) for t in many] + [(5, many[0])] * 3 + [(7, many[3])]
+    names = "doc_id long, text string, k string, t string, whole string, repeats string, place string, _cumulus_key string"
+    wide = spark.createDataFrame([(i, t, *"abcdef") for i, t in rows], names)
+    out = chunk_dedup.without_repeats(wide)
+    assert out.columns == wide.columns
+    got = out.collect()
+    assert len(got) == len(rows) and all(r[2:] == tuple("abcdef") for r in got)
+    want = []
+    for i, t in rows:  # each row against the rows of smaller ids alone
+        smaller = [(j * 1000 + n, u) for n, (j, u) in enumerate(rows) if j < i]
+        want.append((i, _without_repeats([*smaller, (10 ** 7, t)])[10 ** 7]))
+    assert sorted((r.doc_id, r.text) for r in got) == sorted(want)
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Columns with the names that the code uses come back as they went in."""
+    names = ["_cumulus_key", "k", "t", "id", "whole", "text_key", "row", "marks", "host", "n", "comp", "component"]
+    base = " ".join(f"v{i}" for i in range(80))
+    rows = [(i, base + f" end{i % 2}", "en", f"s{i}", 1, *[f"{c}{i}" for c in names]) for i in range(4)] + [(9, None, None, None, None, *["x"] * len(names))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in names))
+    before = {r.doc_id: r for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns, name
+        for r in out.collect():
+            assert all(r[c] == before[r.doc_id][c] for c in docs.columns if c != "text"), name
+
+
 def _covered(rows):
     seen, out = {}, {}
     for k, t in sorted(rows):
