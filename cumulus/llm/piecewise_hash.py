@@ -21,17 +21,20 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import in_arrow
+from .common import in_arrow, saved
 
 WINDOW = 7
 SMALLEST = 3
 PIECES = 64
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
-#: Documents per partition of the id-ordered pass.
-ROWS = 1024
+RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+          "near_edited double, near_next double")
+#: What a row of the id-ordered pass is: a result, or the first or last row of a partition, with its text.
+DONE, FIRST, LAST = 0, 1, 2
 
 
 def rolling(data: bytes) -> np.ndarray:
@@ -113,73 +116,70 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - k] + following[:k]
 
 
+def _pair(doc_id, text: str, print_: str, following: str, print_next: str) -> tuple:
+    e = edited(text, following)
+    print_e = fingerprint(e)
+    return (doc_id, len(text), hashlib.sha256(e.encode("utf-8", "replace")).hexdigest(), print_, print_e,
+            likeness(print_, print_e), likeness(print_, print_next))
+
+
+_NAMES = [c.split()[0] for c in RESULT.split(", ")]
+_KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+
+
+def _results(rows: list[tuple]) -> list[pa.Array]:
+    return [pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [()] * len(_KINDS), _KINDS, strict=True)]
+
+
 def _digest(batches):
-    """Rows come sorted by (part, doc_id); the last row of a part only lends its text."""
-    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-    last = None
+    """A partition in order: the results of all rows but the last, and the first and last row."""
+    part, last = TaskContext.get().partitionId(), None
     for b in batches:
-        rows = []
-        for part, i, lent, text in zip(*(b.column(c).to_pylist() for c in ("part", "doc_id", "lent", "text")), strict=True):
-            text = text or ""
-            print_ = fingerprint(text)
-            if last is not None and last[0] == part:
-                _, id0, text0, print0 = last
-                e = edited(text0, text)
-                print_e = fingerprint(e)
-                rows.append((id0, len(text0), hashlib.sha256(e.encode("utf-8", "replace")).hexdigest(), print0, print_e,
-                             likeness(print0, print_e), likeness(print0, print_)))
-            last = None if lent else (part, i, text, print_)
-        cols = list(zip(*rows, strict=True)) or [[]] * len(names)
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], names)
-
-
-def _firsts(batches, cuts):
+        for at in range(0, b.num_rows, 500):
+            rows, edges = [], []
+            for i, text in zip(*(b.slice(at, 500).column(c).to_pylist() for c in ("doc_id", "text")), strict=True):
+                print_ = fingerprint(text)
+                if last is None:
+                    edges.append((FIRST, i, text, print_))
+                else:
+                    rows.append(_pair(*last, text, print_))
+                last = (i, text, print_)
+            yield _edged(part, rows, edges)
+    if last is not None:
+        yield _edged(part, [], [(LAST, *last)])
+
+
+def _edged(part: int, rows: list[tuple], edges: list[tuple]) -> pa.RecordBatch:
+    whole = [*rows, *((i, None, None, print_, None, None, None) for _, i, _, print_ in edges)]
+    edge = [DONE] * len(rows) + [e[0] for e in edges]
+    text = [None] * len(rows) + [e[2] for e in edges]
+    return pa.RecordBatch.from_arrays([pa.array([part] * len(whole), pa.int64()), pa.array(edge, pa.int32()), pa.array(text, pa.string()), *_results(whole)],
+                                      ["part", "edge", "text", *_NAMES])
+
+
+def _edges(batches):
     for b in batches:
-        keys = b.column("k").to_numpy()
-        part = np.searchsorted(cuts, keys)
-        for p in np.unique(part):
-            yield pa.RecordBatch.from_arrays([pa.array([p]), pa.array([keys[part == p].min()])], ["part", "k"])
+        rows = [_pair(*r) for r in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "fingerprint", "next_text", "next_fingerprint")), strict=True)]
+        yield pa.RecordBatch.from_arrays(_results(rows), _NAMES)
 
 
-def _deal(batches, cuts, firsts, lenders):
-    """Every row to the part of its key; rows at a part's first key also to the part before."""
-    for b in batches:
-        keys = b.column("k").to_numpy()
-        place = np.searchsorted(firsts, keys)
-        lend = np.nonzero((place < len(firsts)) & (firsts[np.minimum(place, len(firsts) - 1)] == keys))[0]
-        own = np.searchsorted(cuts, keys)
-        for rows, part, lent in ((b, own, False), (b.take(pa.array(lend)), lenders[place[lend]], True)):
-            if len(part):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part, pa.int64()), pa.array(np.full(len(part), lent)), *rows.columns],
-                    ["part", "lent", "k", "doc_id", "text"])
-
-
-def compare(docs: DataFrame, rows_per_part: int = ROWS) -> DataFrame:
+def compare(docs: DataFrame, parts: int | None = None) -> DataFrame:
     """Per document its fingerprint, and its likeness to its edited text and to the next document
     by ascending id (the first follows the last).
 
-    Documents are dealt to parts by ranges of their id; each part also gets the first row of the
-    next one. The ranges' bounds and the parts' first ids are all that comes to the driver: two
-    numbers per ``rows_per_part`` documents. Equal ids follow each other in order of their text; a
-    null id is smaller than all others."""
-    key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("k")
+    Documents are range partitioned by id, into as many parts as the session's shuffles have unless
+    ``parts`` is given, and each part is read in order. Its last row waits for the first one of the
+    next part that has rows: these are brought together by a join on the part's number. Only part
+    numbers, one for each task, are ordered in one place. Equal ids follow each other in order of a
+    hash of their text; a null id is smaller than all others."""
+    parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    keys = docs.select(key)
-    total = keys.count()
-    parts = max(1, -(-total // rows_per_part))
-    cuts = np.array([], np.int64)
-    if parts > 1:
-        share = [k / parts for k in range(1, parts)]
-        cuts = np.unique(np.array(keys.agg(F.percentile_approx("k", share, 20 * parts).alias("c")).first().c, np.int64))
-    found = in_arrow(keys, _firsts, "part long, k long", cuts).groupBy("part").agg(F.min("k").alias("k")).collect()
-    found = sorted((r.part, r.k) for r in found)
-    firsts = np.array([k for _, k in found], np.int64)
-    lenders = np.array([found[n - 1][0] for n in range(len(found))], np.int64)
-    dealt = in_arrow(docs.select(key, "doc_id", "text"), _deal, "part long, lent boolean, k long, doc_id long, text string",
-                     cuts, firsts, lenders)
-    ordered = dealt.repartition("part").sortWithinPartitions("part", "lent", "k", "text")
-    return in_arrow(ordered.select("part", "doc_id", "lent", "text"), _digest,
-                    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-                    "near_edited double, near_next double")
+    keys = [F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k"), F.xxhash64("text").alias("t")]
+    ordered = docs.select("*", *keys).repartitionByRange(parts, "k", "t").sortWithinPartitions("k", "t")
+    done = saved(in_arrow(ordered.select("doc_id", "text"), _digest, "part long, edge int, text string, " + RESULT), "prints")
+    firsts = done.where(F.col("edge") == FIRST).select(F.col("part").alias("next"), F.col("text").alias("next_text"), F.col("fingerprint").alias("next_fingerprint"))
+    lasts = done.where(F.col("edge") == LAST).select("part", "doc_id", "text", "fingerprint")
+    numbers = firsts.select(F.col("next").alias("part"))
+    after = numbers.select("part", F.coalesce(F.lead("part").over(Window.orderBy("part")), F.min("part").over(Window.partitionBy())).alias("next"))
+    met = lasts.join(after, "part").join(firsts, "next").select("doc_id", "text", "fingerprint", "next_text", "next_fingerprint")
+    return done.where(F.col("edge") == DONE).select(*_NAMES).union(in_arrow(met, _edges, RESULT))

@@ -660,7 +660,9 @@ def test_languages_of_held_out_documents(spark):
 
 def test_fingerprints_follow_their_definition(docs, texts):
     ids = sorted(texts)
-    for r in piecewise_hash.compare(docs, rows_per_part=17).collect():
+    got = piecewise_hash.compare(docs, parts=17).collect()
+    assert len(got) == len(ids)
+    for r in got:
         t, nxt = texts[r.doc_id], texts[ids[(ids.index(r.doc_id) + 1) % len(ids)]]
         k = len(t) // 4
         e = t[:len(t) - k] + nxt[:k]
@@ -679,6 +681,18 @@ def test_fingerprints_follow_their_definition(docs, texts):
         assert got[i] == (sum(c * (8 - age) for age, c in enumerate(own)) + x) % 2 ** 32
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 5])
+def test_fingerprints_of_few_rows_in_many_parts(spark, n):
+    """Empty parts lie between the rows; the first follows the last, which may be the same."""
+    rows = [(10 * i - 20, f"text number {i} " * (30 + i)) for i in range(n)]
+    got = {r.doc_id: r for r in piecewise_hash.compare(spark.createDataFrame(rows, "doc_id long, text string"), parts=7).collect()}
+    assert len(got) == n
+    for k, (i, t) in enumerate(rows):
+        e = piecewise_hash.edited(t, rows[(k + 1) % n][1])
+        assert got[i].edited_sha256 == hashlib.sha256(e.encode()).hexdigest()
+        assert got[i].near_next == piecewise_hash.likeness(piecewise_hash.fingerprint(t), piecewise_hash.fingerprint(rows[(k + 1) % n][1]))
+
+
 def test_longest_common_subsequence():
     rnd = random.Random(8)
     for _ in range(300):
