@@ -5,9 +5,11 @@ bytes, a byte seen there ``n`` times among ``N`` (``D`` of them different) costs
 ``-log2(n / (N + D))`` bits; an unseen one costs the escape ``-log2(D / (N + D))`` and is then
 coded in the context shortened by its oldest byte, down to a uniform code over 256 bytes. A
 context never seen costs nothing to leave. Statistics are frozen after training, so the cost of
-every (context, byte) is fixed and is tabulated once; scoring a text is a table lookup per byte
-and language, and its sum is the exact code length. The shortest code wins; the score is the
-winner's posterior under equal priors.
+every (context, byte) is fixed. A language's model is what its sample holds and no more: sorted
+arrays of the strings seen, of one to ``ORDER + 1`` bytes, and how often. A text is counted as
+the different strings of ``ORDER + 1`` bytes in it; the costs of a string in all languages are worked
+out when it is first met and kept in a table of bounded size, and the sum over the strings is the
+exact code length. The shortest code wins; the score is the winner's posterior under equal priors.
 
 Training takes a bounded sample: about ``SAMPLE_DOCS`` labelled documents per language, chosen by
 a hash of the id, whole texts. All documents are predicted. Texts are coded with A-Z lower-cased
@@ -20,6 +22,7 @@ without labels; equal code lengths go to the first language in alphabetical orde
 from __future__ import annotations
 
 import re
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +33,8 @@ from .common import in_arrow, text_lists
 
 ORDER = 3
 SAMPLE_DOCS = 250
+#: Size of the table of costs in each worker.
+TABLE_BYTES = 64 << 20
 #: Bytes that are not letters of ASCII and not part of a longer character.
 GAP = re.compile(rb"[^a-z\x80-\xff]+")
 
@@ -67,81 +72,85 @@ def _grams(batches):
              pa.array(list(c.values()), pa.int64())], ["lang", "size", "gram", "n"])
 
 
-class Model:
-    """Frozen cost tables of all languages.
+class _Tree:
+    """One language: the strings seen, by their length, and of every context how many bytes followed
+    it and how many different ones."""
+
+    def __init__(self, grams: list[dict[int, int]]):
+        self.levels = []
+        for size in range(1, ORDER + 2):
+            gram = np.array(sorted(grams[size]), np.int64)
+            n = np.array([grams[size][g] for g in gram.tolist()], np.float64)
+            context, at = np.unique(gram >> 8, return_inverse=True)
+            total, kinds = (np.bincount(at, w, minlength=len(context)) if len(gram) else np.zeros(0) for w in (n, None))
+            # bits of each string behind its context, and of the escape from each context
+            self.levels.append((gram, (-np.log2(n / (total + kinds)[at])).astype(np.float32) if len(gram) else np.zeros(0, np.float32),
+                                context, (-np.log2(kinds / (total + kinds))).astype(np.float32)))
+
+    def costs(self, strings: np.ndarray) -> np.ndarray:
+        """Bits of the last byte of each string, in its longest context that leads there."""
+        out = np.full(len(strings), 8.0, np.float32)
+        for size, (gram, bits, context, escape) in enumerate(self.levels, 1):
+            if len(gram):
+                own = strings & (1 << 8 * size) - 1
+                before, at = _find(context, own >> 8)
+                out[before] += escape[at[before]]
+                seen, at = _find(gram, own)
+                out[seen] = bits[at[seen]]
+        return out
+
 
-    Bytes are numbered by first appearance in the sample (``code``; 0 stands for all others).
-    ``short[l]`` has the cost of a byte after two, ``deep[l]`` after three, by number of the
-    three-byte context (``ctx``, 0: in no tree)."""
+def _find(known: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+    return known[at] == asked, at
+
+
+class Model:
+    """Frozen context trees of all languages."""
 
     def __init__(self, grams: dict[str, list[dict[int, int]]]):
         self.langs = sorted(grams)
-        used = sorted({g for c in grams.values() for g in c[1]})
-        self.code = np.zeros(256, np.int64)
-        self.code[used] = np.arange(1, len(used) + 1)
-        a = self.a = len(used) + 1
-        threes = sorted({g >> 8 for c in grams.values() for g in c[4]})
-        self.ctx = np.zeros(a ** 3, np.int32)
-        if threes:
-            t = np.array(threes)
-            self.ctx[self._number(t, 3)] = np.arange(1, len(threes) + 1)
-        self.short, self.deep = [], []
-        for lang in self.langs:
-            s, d = self._tables(grams[lang], len(threes))
-            self.short.append(s)
-            self.deep.append(d)
-
-    def _number(self, gram: np.ndarray, size: int) -> np.ndarray:
-        out = np.zeros(len(gram), np.int64)
-        for k in reversed(range(size)):
-            out = out * self.a + self.code[(gram >> (8 * k)) & 255]
-        return out
-
-    def _tables(self, c: list[dict[int, int]], n_threes: int):
-        a = self.a
-
-        def level(size: int, below: np.ndarray, rows: np.ndarray | None) -> np.ndarray:
-            """Costs after ``size - 1`` bytes, from ``below``, the costs in the shorter contexts."""
-            gram = np.array(list(c[size]), np.int64)
-            n = np.array(list(c[size].values()), np.float64)
-            if not len(gram):
-                return below
-            place = self._number(gram >> 8, size - 1) if rows is None else rows[self._number(gram >> 8, size - 1)]
-            total = np.bincount(place, n, minlength=len(below))
-            kinds = np.bincount(place, minlength=len(below)).astype(np.float64)
-            seen = kinds > 0
-            out = below.copy()
-            out[seen] += -np.log2(kinds[seen] / (total[seen] + kinds[seen]))[:, None]
-            out[place, self.code[gram & 255]] = -np.log2(n / (total[place] + kinds[place]))
-            return out
-
-        table = np.full((1, a), 8.0)
-        for size in (1, 2, 3):
-            table = level(size, np.tile(table, (a ** (size - 1) // len(table), 1)), None)
-        # three-byte contexts: only those in some tree have a row; row 0 stands for none
-        tail = np.zeros(n_threes + 1, np.int64)
-        where = np.nonzero(self.ctx)[0]
-        tail[self.ctx[where]] = where % (a * a)
-        deep = level(4, table[tail], self.ctx)
-        return table.astype(np.float32).ravel(), deep.astype(np.float32).ravel()
+        self.trees = [_Tree(grams[lang]) for lang in self.langs]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.row: dict[int, int] = {}
+        self.table = np.zeros((1 << 10, len(self.langs)), np.float32)
+
+    def __getstate__(self):  # the table of costs is filled where it is used
+        return {"langs": self.langs, "trees": self.trees}
+
+    def __setstate__(self, state):
+        self.__dict__ |= state
+        self._forget()
+
+    def _rows(self, strings: np.ndarray) -> np.ndarray:
+        asked = strings.tolist()
+        found = np.fromiter(map(self.row.get, asked, repeat(-1)), np.int64, len(asked))
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            if (len(self.row) + len(new)) * 4 * len(self.langs) > TABLE_BYTES and self.row:
+                self._forget()
+                return self._rows(strings)
+            n, own = len(self.row), strings[new].astype(np.int64)
+            if n + len(new) > len(self.table):
+                self.table = np.concatenate([self.table, np.zeros((max(len(self.table), len(new)), len(self.langs)), np.float32)])
+            self.table[n:n + len(new)] = np.stack([t.costs(own) for t in self.trees], axis=1)
+            found[new] = np.arange(n, n + len(new))
+            self.row.update(zip(own.tolist(), range(n, n + len(new)), strict=True))
+        return found
 
     def bits(self, text: str) -> np.ndarray:
         """Code length of ``text`` in every language."""
-        b = self.code[np.frombuffer(coded(text), np.uint8)]
-        if len(b) < 4:  # too short for the longest context: coded after spaces
-            b = np.concatenate([np.full(3, self.code[32]), b])
-        three = (b[:-3] * self.a + b[1:-2]) * self.a + b[2:-1]
-        nxt = b[3:]
-        ctx = self.ctx[three].astype(np.int64)
-        deep = ctx * self.a + nxt
-        unknown = np.nonzero(ctx == 0)[0]
-        two = (three[unknown] % (self.a * self.a)) * self.a + nxt[unknown]
-        out = np.empty(len(self.langs))
-        for k in range(len(self.langs)):
-            cost = self.deep[k][deep]
-            cost[unknown] = self.short[k][two]
-            out[k] = cost.sum(dtype=np.float64)
-        return out
+        b = np.frombuffer(coded(text), np.uint8).astype(np.uint32)
+        if len(b) <= ORDER:  # too short for the longest context: coded after spaces
+            b = np.concatenate([np.full(ORDER, 32, np.uint32), b])
+        strings = np.zeros(len(b) - ORDER, np.uint32)
+        for k in range(ORDER + 1):
+            strings = strings << np.uint32(8) | b[k:len(b) - ORDER + k]
+        strings, n = np.unique(strings, return_counts=True)
+        rows = self._rows(strings)  # may empty the table
+        return n.astype(np.float64) @ self.table[rows]
 
     def predict(self, text: str) -> tuple[str, float]:
         if not self.langs or not has_letter(text):
@@ -156,8 +165,8 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def train(docs: DataFrame, lang: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Model from the labelled documents that are not held out. What comes to the driver is
-    bounded by the sample: its different four-byte strings per language."""
+    """Model from the labelled documents that are not held out. What comes to the driver, and the size
+    of the model, is bounded by the sample: its different four-byte strings per language, 12 bytes each."""
     seen = docs.where(F.col(lang).isNotNull() & ~held_out()).select("doc_id", F.col(lang).cast("string").alias("lang"), "text")
     sizes = {r.lang: r.n for r in seen.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import pickle
 import random
 import re
 import zlib
@@ -629,7 +630,7 @@ def _bits(data, counts, order):
     return total
 
 
-def test_language_code_lengths_are_exact():
+def test_language_code_lengths_are_exact(monkeypatch):
     samples = {"x": "the cat and the hat that sat", "y": "der hund und die katze"}
     grams, counts = {}, {}
     for lang, t in samples.items():
@@ -642,7 +643,10 @@ def test_language_code_lengths_are_exact():
                 g[size][k] = g[size].get(k, 0) + 1
                 c[(b[i:i + size - 1], b[i + size - 1])] = c.get((b[i:i + size - 1], b[i + size - 1]), 0) + 1
         grams[lang], counts[lang] = g, c
-    model = ppm_language.Model(grams)
+    model = pickle.loads(pickle.dumps(ppm_language.Model(grams)))
+    held = sum(a.nbytes for t in model.trees for level in t.levels for a in level)
+    assert held <= 30 * sum(len(c) for g in grams.values() for c in g)  # grows with what was seen
+    monkeypatch.setattr(ppm_language, "TABLE_BYTES", 200)
     for t in ("the hat", "die katze und der hut", "that dog"):
         got = model.bits(t)
         for k, lang in enumerate(model.langs):
