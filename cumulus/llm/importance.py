@@ -190,7 +190,7 @@ def _median(a, b, c):
     return int(a[k]), int(b[k]), int(c[k])
 
 
-def _sides(batches, low, high, pivot):
+def _sides(batches, low, high, pivot, size):
     """Of the keys from ``low`` to below ``high``: number and median of those up to the pivot, and of
     those beyond it. Blocks bound the memory; a partition's median is the weighted one of its blocks'."""
     medians, sizes = ([], []), ([], [])
@@ -214,7 +214,7 @@ def _sides(batches, low, high, pivot):
         if inside.any():
             held.append((a[inside], b[inside], c[inside]))
             n += len(held[-1][0])
-        if n >= BLOCK:
+        if n >= size:
             block(held)
             held, n = [], 0
     if held:
@@ -240,7 +240,7 @@ def cutoff(keys: DataFrame, k: int, finish: int = FINISH) -> tuple | None:
     low = high = pivot = None
     stored = 0
     while True:
-        found = in_arrow(keys, _sides, "side long, n long, a long, b long, c long", low, high, pivot).collect()
+        found = in_arrow(keys, _sides, "side long, n long, a long, b long, c long", low, high, pivot, BLOCK).collect()
         sides = [[r for r in found if r.side == s] for s in (0, 1)]
         sizes = [sum(r.n for r in s) for s in sides]
         if pivot is None:

@@ -197,13 +197,13 @@ class Items:
         return longest, runs, items
 
 
-def _pieces(batches, window):
+def _pieces(batches, window, size):
     for b in in_parts(batches):
         rows = []
         for item, text in zip(b.column("item").to_pylist(), raw_texts(b, "text"), strict=True):
             w = words(text)
-            starts = range(0, max(1, len(w) - window + 1), PIECE_WORDS) if w else ()
-            rows += [(item, b" ".join(w[s:s + PIECE_WORDS + window - 1]), len(w[s:s + PIECE_WORDS + window - 1])) for s in starts]
+            starts = range(0, max(1, len(w) - window + 1), size) if w else ()
+            rows += [(item, b" ".join(part), len(part)) for part in (w[s:s + size + window - 1] for s in starts)]
         item, text, n = zip(*rows, strict=True) if rows else ((), (), ())
         yield pa.RecordBatch.from_arrays([pa.array(item, pa.string()), pa.array(text, pa.binary()), pa.array(n, pa.int64())],
                                          ["item", "words", "n"])
@@ -212,7 +212,7 @@ def _pieces(batches, window):
 def shards(items: DataFrame, item_id: str, text: str, window: int = WINDOW, shard_words: int = SHARD_WORDS):
     """The items' pieces, shard by shard: at most about ``shard_words`` words at a time."""
     named = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), F.col(text).alias("text"))
-    pieces = saved(in_arrow(named, _pieces, "item string, words binary, n long", window).distinct(), "pieces")
+    pieces = saved(in_arrow(named, _pieces, "item string, words binary, n long", window, PIECE_WORDS).distinct(), "pieces")
     total = pieces.agg(F.sum("n")).first()[0] or 0
     n = -(-total // shard_words)
     dealt = pieces.select("item", "words", F.pmod(F.xxhash64("item", "words"), F.lit(max(1, n))).alias("shard"))

@@ -20,6 +20,11 @@ an anchor of another document.
    together are a repeat of the smaller document. Large groups match window by window instead.
 5. The blocks take the repeats out of their documents.
 
+An anchor with more than ``HOT`` occurrences - a phrase of 24 to 49 bytes that is everywhere, with other
+text around it - would make one such group grow with the corpus. The counts of step 2 find it, and its
+occurrences are not sent as suffixes: every 50-byte window goes by a hash of its own to a bucket of
+windows, once per block and id, and a holder is a repeat where a smaller id holds the same window.
+
 Suffixes are dealt by a hash of their first 24 bytes, so equal strings meet and no range of the
 alphabet becomes hot; a passage that every document shares is sent once per block.
 
@@ -34,6 +39,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +51,7 @@ ANCHOR = 24
 SLICE = 1 << 18
 BLOCK_BYTES = 6 << 20
 BUCKET_BYTES = 24 << 20
+HOT = 300_000
 FEW = 12
 NO_ID = -(1 << 63)
 LOW = np.uint64(0xFFFFFFFF)
@@ -164,27 +171,36 @@ def _hashes(buckets):
             h, k = b.hash[order], np.array(b.keys, np.int64)[b.doc[order]]
             begin = np.nonzero(np.concatenate([[True], h[1:] != h[:-1]]))[0]
             two = np.minimum.reduceat(k, begin) != np.maximum.reduceat(k, begin)
-            h = h[begin]
+            h, n = h[begin], np.diff(np.append(begin, len(h))).astype(np.uint32)
             to = (h >> np.uint64(32)) % np.uint64(buckets)
             for t in np.unique(to).tolist():
                 m = to == t
-                rows.append((t, _packed(h[m], two[m])))
+                rows.append((t, _packed(h[m], two[m], n[m])))
         return pa.table({"bucket": pa.array([r[0] for r in rows], pa.int64()), "g": pa.array([key[0].as_py()] * len(rows), pa.int64()),
                          "data": pa.array([r[1] for r in rows], pa.binary())})
     return run
 
 
-def _shared(key, table):
-    runs = [(g, *_unpacked(d)) for g, d in zip(table.column("g").to_pylist(), table.column("data").to_pylist(), strict=True)]
-    every = np.sort(np.concatenate([h for _, h, _ in runs]))
-    many = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *[h[t] for _, h, t in runs]]))
-    g, out = [], []
-    for at, h, _ in runs:
-        h = h[np.isin(h, many, assume_unique=True)]
-        if len(h):
-            g.append(at)
-            out.append(_packed(h))
-    return pa.table({"g": pa.array(g, pa.int64()), "data": pa.array(out, pa.binary())})
+def _shared(hot):
+    def run(key, table):
+        runs = [(g, *_unpacked(d)) for g, d in zip(table.column("g").to_pylist(), table.column("data").to_pylist(), strict=True)]
+        every = np.concatenate([h for _, h, _, _ in runs])
+        order = np.argsort(every, kind="stable")
+        every = every[order]
+        begin = np.nonzero(np.concatenate([[True], every[1:] != every[:-1]]))[0]
+        blocks = np.diff(np.append(begin, len(every)))
+        inside, n = (np.concatenate([r[k] for r in runs])[order] for k in (2, 3))
+        keep = (blocks > 1) | np.logical_or.reduceat(inside, begin)
+        many, often = every[begin][keep], (np.add.reduceat(n.astype(np.int64), begin) > hot)[keep]
+        g, out = [], []
+        for at, h, _, _ in runs:
+            place = np.minimum(np.searchsorted(many, h), max(0, len(many) - 1))
+            found = many[place] == h if len(many) else np.zeros(len(h), bool)
+            if found.any():
+                g.append(at)
+                out.append(_packed(h[found], often[place[found]]))
+        return pa.table({"g": pa.array(g, pa.int64()), "data": pa.array(out, pa.binary())})
+    return run
 
 
 # ---- 3: front-coded runs -----------------------------------------------------------------
@@ -215,20 +231,32 @@ def _runs(buckets):
         rows: list[tuple[int, int, bytes]] = []
         if right.num_rows and left.num_rows:
             b = _keyed(left)
-            shared = np.sort(np.concatenate([_unpacked(d)[0] for d in right.column("data").to_pylist()]))
+            shared, often = (np.concatenate(x) for x in zip(*(_unpacked(d) for d in right.column("data").to_pylist()), strict=True))
+            order = np.argsort(shared)
+            shared, often = shared[order], often[order]
             place = np.minimum(np.searchsorted(shared, b.hash), len(shared) - 1)
             pick = np.nonzero(shared[place] == b.hash)[0]
-            to = b.bucket(buckets)[pick].tolist()
+            to, hot = b.bucket(buckets)[pick].tolist(), often[place[pick]].tolist()
             data, starts = b.data, b.starts.tolist()
             known: dict[tuple[bytes, int], int] = {}
             sent: dict[int, list] = {}
             done = ([], [], [])
-            for t, a, f, e, d in zip(to, *(x[pick].tolist() for x in (b.at, b.first, b.last, b.doc)), strict=True):
+            held: dict[bytes, int] = {}
+            windows: list[tuple] = []
+            for t, often, a, f, e, d in zip(to, hot, *(x[pick].tolist() for x in (b.at, b.first, b.last, b.doc)), strict=True):
                 # documents come by ascending id, so the first holder of a context is the smallest
                 context, own = (data[f:e + LENGTH], a - f), b.keys[d]
                 if known.setdefault(context, own) < own:
                     for x, v in zip(done, (d, f - starts[d], e + LENGTH - starts[d]), strict=True):
                         x.append(v)
+                elif often:
+                    for w in range(f, e + 1):
+                        window = data[w:w + LENGTH]
+                        if held.setdefault(window, own) < own:
+                            for x, v in zip(done, (d, w - starts[d], w + LENGTH - starts[d]), strict=True):
+                                x.append(v)
+                        else:
+                            windows.append((xxhash.xxh3_128_digest(window), own, d, w - starts[d]))
                 else:
                     sent.setdefault(t, []).append((data[a:e + LENGTH], data[f:a], own, d, a - starts[d]))
             for t, found in sent.items():
@@ -238,6 +266,13 @@ def _runs(buckets):
                 rows.append((0, t, _packed(s, r, np.frombuffer(rest, np.uint8), np.array([len(x) for x in left_parts], np.uint8),
                                            np.frombuffer(b"".join(left_parts), np.uint8), np.array([x[2] for x in found], np.int64),
                                            np.array([x[3] for x in found], np.int32), np.array([x[4] for x in found], np.int64))))
+            if windows:
+                h = np.frombuffer(b"".join(x[0] for x in windows), "<u8").reshape(-1, 2)
+                rest = [np.array(x, np.int64) for x in list(zip(*windows, strict=True))[1:]]
+                to_window = (h[:, 0] % np.uint64(buckets)).astype(np.int64)
+                for t in np.unique(to_window).tolist():
+                    m = to_window == t
+                    rows.append((2, t, _packed(np.ascontiguousarray(h[m, 0]), np.ascontiguousarray(h[m, 1]), *[x[m] for x in rest])))
             if done[0]:
                 rows.append((1, g, _packed(*[np.array(x, np.int64) for x in done])))
         return pa.table({"kind": pa.array([r[0] for r in rows], pa.int64()), "target": pa.array([r[1] for r in rows], pa.int64()),
@@ -366,8 +401,25 @@ def _group(entries: list, shared: list[int], put) -> None:
                 put(e, n, LENGTH - n)
 
 
+def _windows_held(g: list[int], data: list[bytes]) -> pa.Table:
+    """Holders of windows that a smaller id holds too."""
+    parts = [_unpacked(d) for d in data]
+    at = np.repeat(np.array(g, np.int64), [len(x[0]) for x in parts])
+    h1, h2, key, doc, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((h2, h1))
+    at, h1, h2, key, doc, place = (x[order] for x in (at, h1, h2, key, doc, place))
+    begin = np.nonzero(np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]))[0]
+    least = np.repeat(np.minimum.reduceat(key, begin), np.diff(np.append(begin, len(key))))
+    again = key > least
+    blocks = np.unique(at[again])
+    out = [_packed(doc[m], place[m], place[m] + LENGTH) for m in (again & (at == x) for x in blocks)]
+    return pa.table({"g": pa.array(blocks, pa.int64()), "data": pa.array(out, pa.binary())})
+
+
 def _match(key, table):
     g, data = table.column("g").to_pylist(), table.column("data").to_pylist()
+    if key[0].as_py() == 2:
+        return _windows_held(g, data)
     if key[0].as_py() == 1:  # settled inside the block
         return pa.table({"g": pa.array(g, pa.int64()), "data": pa.array(data, pa.binary())})
     found: dict[int, tuple[list, list, list]] = {}
@@ -419,7 +471,7 @@ def _removed(key, left, right):
                      "kept_sha256": pa.array(cols[4], pa.string())})
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     ship_code(docs.sparkSession)
     docs = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -431,7 +483,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     dealt = docs.withColumn("g", F.pmod(F.xxhash64("k"), F.lit(blocks)))
     by_block = dealt.groupBy("g")
     hashes = by_block.applyInArrow(_hashes(buckets), "bucket long, g long, data binary")
-    shared = hashes.groupBy("bucket").applyInArrow(_shared, "g long, data binary")
+    shared = hashes.groupBy("bucket").applyInArrow(_shared(hot), "g long, data binary")
     runs = by_block.cogroup(shared.groupBy("g")).applyInArrow(_runs(buckets), "kind long, target long, g long, data binary")
     spans = runs.groupBy("kind", "target").applyInArrow(_match, "g long, data binary")
     return by_block.cogroup(spans.groupBy("g")).applyInArrow(

@@ -579,8 +579,9 @@ def _covered(rows):
     return out
 
 
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 20, 2])
 @pytest.mark.parametrize("alphabet", ["ab", "abcdefgh é"])
-def test_suffix_removal_is_exact(spark, monkeypatch, alphabet):
+def test_suffix_removal_is_exact(spark, monkeypatch, alphabet, hot):
     monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 4000)
     monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 9000)
     monkeypatch.setattr(suffix_dedup, "SLICE", 700)
@@ -590,10 +591,25 @@ def test_suffix_removal_is_exact(spark, monkeypatch, alphabet):
     for i in range(250):
         t = "".join(rnd.choice(base)[rnd.randrange(250):][:rnd.randrange(20, 200)] + "x" * rnd.randrange(3) for _ in range(rnd.randrange(6)))
         rows.append((i, "z" * rnd.randrange(200) + t if rnd.random() < 0.2 else t))
-    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), hot=hot).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.kept_sha256) for r in got} == _covered(rows)
 
 
+@pytest.mark.parametrize("hot", [100, suffix_dedup.HOT])
+def test_a_phrase_in_every_document_is_split(spark, monkeypatch, hot):
+    """A phrase of 40 bytes, with other text around it almost everywhere."""
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 30_000)
+    rnd = random.Random(23)
+    phrase = "a phrase that every document here shares"
+    around = ["".join(rnd.choices("abcdefghij klmn", k=30)) for _ in range(150)]
+    rows = [(i * 3 % 400, f"{rnd.choice(around)}{phrase}{rnd.choice(around)}{phrase * (i % 50 == 0)}") for i in range(400)]
+    rows = list({i: t for i, t in rows}.items())
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), hot=hot).collect()
+    want = _covered(rows)
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.kept_sha256) for r in got} == want and sum(v[1] > 0 for v in want.values()) > 100
+
+
 def test_loser_tree_merges_with_right_prefix_lengths():
     rnd = random.Random(5)
     runs = [sorted(bytes(rnd.choices(b"ab", k=rnd.randrange(1, 9))) for _ in range(rnd.randrange(0, 30))) for _ in range(7)]
