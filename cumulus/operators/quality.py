@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import parse_date
 from ..functions.text import is_valid_text
 from ..plans.compute_once import compute_once
-from ..sources.lines import field_count
+from ..sources.lines import field_count, has_fields
 from ..schema import HEADER_TOKEN, MIN_FIELDS
 
 
@@ -19,18 +19,18 @@ def line_flags(lines: DataFrame, min_year: int = 2014, date_mode: str = "lenient
     v = F.col("value")
     once = compute_once(lines, {
         "_is_header": F.coalesce(v.startswith(HEADER_TOKEN), F.lit(False)),
-        "_n_fields": field_count(v),
         "_f": F.split(v, ",", -1),
     }, keep=[])
+    full = has_fields(F.col("_f"), MIN_FIELDS)
     raw_date = F.get(F.col("_f"), 1)
     raw_et0 = F.get(F.col("_f"), 18)
     dated = compute_once(once, {"_date": parse_date(raw_date, date_mode)})
-    body = ~F.col("_is_header") & (F.col("_n_fields") >= MIN_FIELDS)
+    body = ~F.col("_is_header") & full
     start = F.make_date(F.lit(min_year), F.lit(1), F.lit(1))
     d = F.col("_date")
     return dated.select(
         F.col("_is_header").alias("is_header"),
-        (~F.col("_is_header") & (F.col("_n_fields") < MIN_FIELDS)).alias("is_short"),
+        (~F.col("_is_header") & ~full).alias("is_short"),
         (body & (~is_valid_text(raw_date) | d.isNull())).alias("bad_date"),
         (body & F.trim(raw_et0).try_cast("double").isNull()).alias("missing_et0"),
         (body & (d < start)).alias("before_min_year"),

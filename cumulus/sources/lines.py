@@ -37,6 +37,14 @@ def field_count(value: Column) -> Column:
     return F.length(body) - F.length(F.replace(body, F.lit(","), F.lit(""))) + 1
 
 
+def has_fields(fields: Column, n: int) -> Column:
+    """Whether a split line has ``n`` fields by :func:`field_count`: some field from the n-th on is not
+    empty. A look at the rest of the split is all it takes; counting would read the line again."""
+    if n <= 1:
+        return F.lit(True)
+    return F.length(F.array_join(F.slice(fields, n, F.size(fields)), "")) > 0
+
+
 def typed_field(raw: Column, dtype) -> Column:
     """Text field -> typed value. Blank, the literal ``null`` and unparseable numbers give
     NULL (a numeric cast rejects both), so one bad value never fails the job."""
@@ -61,13 +69,12 @@ def classified(lines: DataFrame, min_fields: int = MIN_FIELDS, columns=FACT_COLU
     v = F.col("line")
     once = compute_once(lines.select(F.col("value").alias("line")), {
         "_header": F.coalesce(v.startswith(HEADER_TOKEN), F.lit(False)),
-        "_n_fields": field_count(v),
         "_f": F.split(v, ",", -1),
     })
     names = {n: i for i, (n, _) in enumerate(columns)}
     dated = compute_once(once, {"obs_date": parse_date(F.get(F.col("_f"), names["weather_date"]), date_mode)})
     status = (F.when(F.col("_header"), HEADER).when(F.coalesce(F.length(v), F.lit(0)) == 0, BLANK)
-              .when(F.col("_n_fields") < min_fields, SHORT).when(F.col("obs_date").isNull(), BAD_DATE).otherwise(VALID))
+              .when(~F.coalesce(has_fields(F.col("_f"), min_fields), F.lit(False)), SHORT).when(F.col("obs_date").isNull(), BAD_DATE).otherwise(VALID))
     return dated.select(status.alias("status"), "line", "obs_date",
                         *[typed_field(F.get(F.col("_f"), i), t).alias(n) for i, (n, t) in enumerate(columns)])
 
@@ -81,20 +88,19 @@ def parse_lines(lines: DataFrame, min_fields: int = MIN_FIELDS,
     The split runs once per line; each typed field is a cheap pick from it, so fields a
     query does not use are pruned away.
     """
-    v = F.col("_line")
+    v, f = F.col("_line"), F.col("_f")
     unpacked = compute_once(lines.select(F.col("value").alias("_line")), {
         "_is_header": F.coalesce(v.startswith(HEADER_TOKEN), F.lit(False)),
-        "_n_fields": field_count(v),
         "_f": F.split(v, ",", -1),
     }, keep=["_line"])
     parsed = unpacked.where(~F.col("_is_header")).select(
-        "_line", "_n_fields",
-        *[typed_field(F.get(F.col("_f"), i), t).alias(n) for i, (n, t) in enumerate(columns)])
-    ok = F.col("_n_fields") >= min_fields
+        "_line", has_fields(f, min_fields).alias("_full"),
+        *[typed_field(F.get(f, i), t).alias(n) for i, (n, t) in enumerate(columns)])
+    ok = F.coalesce(F.col("_full"), F.lit(False))
     return ParsedLines(
-        valid=parsed.where(ok).drop("_line", "_n_fields"),
-        rejected=parsed.where(~ok).select("_line", "_n_fields"),
-        all_rows=parsed,
+        valid=parsed.where(ok).drop("_line", "_full"),
+        rejected=parsed.where(~ok).select("_line", field_count(v).alias("_n_fields")),
+        all_rows=parsed.withColumn("_n_fields", field_count(v)).drop("_full"),
     )
 
 

@@ -118,3 +118,19 @@ def test_file_reader_matches_line_parser(spark, tmp_dir):
     b = sorted(map(tuple, by_files.valid.collect()), key=str)
     assert a == b and len(a) == 6
     assert by_files.rejected.count() == 2  # the 10-field line and the 13-field line
+
+
+def test_enough_fields_by_either_rule(spark):
+    """The look at the rest of the split says the same as the count of fields."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from cumulus.sources.lines import field_count, has_fields
+
+    rnd = random.Random(4)
+    texts = [",".join(rnd.choice(["", "", " ", "x"]) for _ in range(rnd.randrange(1, 8))) for _ in range(500)] + ["", ",", ",,,,,,,"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for n in range(6):
+        got = df.select(has_fields(F.split("t", ",", -1), n).alias("a"), (field_count(F.col("t")) >= n).alias("b")).collect()
+        assert all(r.a == r.b for r in got)
