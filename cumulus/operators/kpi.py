@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..plans.joins import attach_names
-from ..session import shared_dir
+from ..session import stored
 from .climate import with_obs_date
 
 
@@ -110,33 +110,17 @@ def _wettest_from_monthly(per_loc: DataFrame, locations: DataFrame) -> DataFrame
         F.round("_a", 2).alias("avg_monthly_rainfall_mm"))
 
 
-_DASH_COLS = ["location_id", "year", "month", "obs_date"]
-_DASH_SETS = {
-    "extreme": ["year", "obs_date"],
-    "hot": ["year"],
-    "location": ["location_id"],
-    "location_month": ["location_id", "year", "month"],
-}
-
-
-def _gid(grouped: list[str]) -> int:
-    """``grouping_id()`` of a grouping set: one bit per column, set when it is not grouped,
-    first column most significant."""
-    n = len(_DASH_COLS)
-    return sum(1 << (n - 1 - i) for i, c in enumerate(_DASH_COLS) if c not in grouped)
-
-
 def dashboard(facts: DataFrame, locations: DataFrame, year: int | None = None,
               rain_mm: float = 50.0, gust_kmh: float = 40.0, hot_c: float = 30.0, n_top: int = 5,
               rain_col: str = "precipitation_sum", gust_col: str = "wind_gusts_10m_max",
               temperature: str = "temperature_2m_max", date_mode: str = "lenient") -> dict[str, DataFrame]:
     """The four dashboard panels from ONE scan of the facts.
 
-    A single ``GROUPING SETS`` aggregate computes (year, date) extreme flags, per-year hot
-    counts, per-location totals and per-location-month totals; map-side partial
-    aggregation collapses each set before the one shuffle. The result (bounded by
-    locations x months + dates) is checkpointed into the shared folder, and the panels are
-    derived from it - the same values as the four separate KPI functions, for a quarter
+    A single ``GROUPING SETS`` aggregate has two sets, from which everything else adds up: by date
+    (a day counts once, wherever it was extreme) and by location and month (hot counts and totals).
+    Map-side partial aggregation collapses each set before the one shuffle. The result (bounded by
+    locations x months + dates) is written into the shared folder while the panels are built, and
+    these are derived from it - the same values as the four separate KPI functions, for a quarter
     of the reading."""
     d = with_obs_date(facts, date_mode)
     if year is not None:
@@ -146,26 +130,25 @@ def dashboard(facts: DataFrame, locations: DataFrame, year: int | None = None,
         "location_id", F.year("obs_date").alias("year"), F.month("obs_date").alias("month"), "obs_date",
         F.coalesce((r > rain_mm) & (F.col(gust_col) > gust_kmh), F.lit(False)).alias("_extreme"),
         t.alias("_t"), r.alias("_r"))
-    agg = (base.groupingSets(list(_DASH_SETS.values()), *_DASH_COLS)
-           .agg(F.grouping_id().alias("_gid"), F.max("_extreme").alias("_extreme"),
-                F.count_if(F.col("_t") > hot_c).alias("_hot"), F.count("_t").alias("_n_t"),
-                F.sum("_r").alias("_s"), F.count("_r").alias("_n_r")))
-    shared_dir(facts.sparkSession)
-    agg = agg.checkpoint(eager=True)
-    part = {k: agg.where(F.col("_gid") == _gid(v)) for k, v in _DASH_SETS.items()}
-    extreme = (part["extreme"].where(F.col("year").isNotNull() & F.col("_extreme"))
-               .groupBy("year").agg(F.count(F.lit(1)).alias("extreme_days")))
+    agg = stored(base.groupingSets([["obs_date"], ["location_id", "year", "month"]], "obs_date", "location_id", "year", "month")
+                 .agg((F.grouping("obs_date") == 0).alias("_by_date"), F.max("_extreme").alias("_extreme"),
+                      F.count_if(F.col("_t") > hot_c).alias("_hot"), F.count("_t").alias("_n_t"),
+                      F.sum("_r").alias("_s"), F.count("_r").alias("_n_r")), "dashboard")
+    by_date, by_month = agg.where("_by_date"), agg.where("NOT _by_date")
+    extreme = (by_date.where(F.col("obs_date").isNotNull() & F.col("_extreme"))
+               .groupBy(F.year("obs_date").alias("year")).agg(F.count(F.lit(1)).alias("extreme_days")))
     frac = F.col("_hot") / F.col("_n_t") * 100
-    hot = (part["hot"].where(F.col("year").isNotNull() & (F.col("_n_t") > 0))
+    hot = (by_month.where(F.col("year").isNotNull()).groupBy("year").agg(F.sum("_hot").alias("_hot"), F.sum("_n_t").alias("_n_t"))
+           .where(F.col("_n_t") > 0)
            .select("year", F.round(frac, 2).alias("hot_pct"), F.round(100 - frac, 2).alias("not_hot_pct"),
                    F.col("_n_t").alias("n_days")))
-    per_loc = part["location"].where(F.col("location_id").isNotNull() & (F.col("_n_r") > 0))
+    per_loc = (by_month.where(F.col("location_id").isNotNull() & (F.col("_n_r") > 0))
+               .groupBy("location_id").agg(F.sum("_s").alias("_s")))
     per_city = (attach_names(per_loc.select("location_id", "_s"), locations, how="inner")
                 .groupBy("city_name").agg(F.sum("_s").alias("_s")))
     top = (per_city.orderBy(F.col("_s").desc(), F.col("city_name")).limit(n_top)
            .select("city_name", F.round("_s", 2).alias("total_precipitation_mm")))
-    monthly = (part["location_month"]
-               .where(F.col("location_id").isNotNull() & F.col("year").isNotNull() & (F.col("_n_r") > 0))
+    monthly = (by_month.where(F.col("location_id").isNotNull() & F.col("year").isNotNull() & (F.col("_n_r") > 0))
                .select("location_id", F.col("year").alias("y"), F.col("month").alias("m"), "_s"))
     return {
         "extreme_weather_days": extreme,
