@@ -184,9 +184,9 @@ def _shared(rows: DataFrame, *digest: str) -> DataFrame:
             .where("first < last").drop("last"))
 
 
-def _told_apart(rows: DataFrame) -> DataFrame:
-    """``rows`` (k, text, ...) with ``t``: a hash of the text for rows of ids that have several, else 0."""
-    t = F.coalesce(F.xxhash64("text"), F.lit(0).cast("long"))
+def _told_apart(rows: DataFrame, text: str) -> DataFrame:
+    """``rows`` (whole, k) with ``t``: a hash of the text for rows of ids that have several, else 0."""
+    t = F.xxhash64(F.col("whole").getField(text))
     texts = rows.select("k", t.alias("t")).groupBy("k").agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
     several = saved(texts.where("lo <> hi").select("k", F.lit(True).alias("several")), "ids")
     if several.isEmpty():
@@ -199,16 +199,17 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """All rows and columns of ``docs`` with repeated passages taken out of ``text``;
     ``with_figures`` adds n_bytes, n_removed, n_spans and kept_sha256."""
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))
-    rows = _told_apart(docs.select(F.struct("*").alias("whole"), key.alias("k"), F.col(text).alias("text")))
-    chunks = in_arrow(rows.select("k", "t", "text"), _chunks, "k long, t long, place long, h1 long")
+    rows = _told_apart(docs.select(F.struct("*").alias("whole"), key.alias("k")), text)
+    own = F.col("whole").getField(text).alias("text")
+    chunks = in_arrow(rows.select("k", "t", own), _chunks, "k long, t long, place long, h1 long")
     # most of the digest will do to choose chunks: windows are told apart by all of it
     held = (chunks.join(_shared(chunks, "h1").select("h1"), "h1").groupBy("k", "t")
             .agg(F.collect_set(F.struct("place", "h1")).alias("held")))
     found = in_arrow(held, _windows, "k long, t long, place long, h1 long, h2 int", min_run)
     repeats = (found.join(_shared(found, "h1", "h2"), ["h1", "h2"]).where("k > first")
                .groupBy("k", "t").agg(F.collect_set("place").alias("repeats")))
-    joined = rows.join(repeats, ["k", "t"], "left").select("whole", "text", "repeats")
-    schema = T.StructType([rows.schema["whole"], T.StructField("text", rows.schema["text"].dataType),
+    joined = rows.join(repeats, ["k", "t"], "left").select("whole", own, "repeats")  # the text travels once
+    schema = T.StructType([rows.schema["whole"], T.StructField("text", docs.schema[text].dataType),
                            *(T._parse_datatype_string(FIGURES).fields if with_figures else [])])
     done = in_arrow(joined, _remove, schema, with_figures)
     return done.select(*[F.col("text") if c == text else F.col("whole").getField(c).alias(c) for c in docs.columns],
