@@ -32,8 +32,8 @@ from tokenizers import Tokenizer  # noqa: E402
 SPACES = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 PARTS = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
 BLANK = frozenset(SPACES)
-MEMO = 1_000_000
-GROUP_CHARS = 4_000_000
+MEMO = 400_000
+GROUP_CHARS = 1_000_000
 #: Numbers of words: a new one, one whose end is white space, so that the cut after it would fall inside
 #: a run, and the word without ids.
 NEW, ODD, NONE = -2, -1, 0

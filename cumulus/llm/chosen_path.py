@@ -62,7 +62,7 @@ OVER = 500
 FOUND = "node long, root int, k long"
 MEMBER = ["k", "n", "comp", "large"]
 NO_ID = -(1 << 63)
-MEMO = 400_000
+MEMO = 200_000
 
 
 class _WordHash(dict):
