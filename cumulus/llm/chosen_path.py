@@ -131,7 +131,7 @@ def trees_for(target: float, depth: int) -> int:
 
 
 def _draw(path: int, k: int) -> int:
-    return int(mix64(np.array([path & (1 << 64) - 1], np.uint64) + np.uint64(k) * np.uint64(0x9E3779B97F4A7C15))[0])
+    return int(mix64(np.array([path + k * 0x9E3779B97F4A7C15 & (1 << 64) - 1], np.uint64))[0])
 
 
 def _picks_two(path: int) -> bool:

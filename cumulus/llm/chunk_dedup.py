@@ -122,39 +122,83 @@ def windows(edges: np.ndarray, min_run: int) -> list[tuple[int, int]]:
                    *((i, j + 1) for j, i in enumerate(before.tolist()) if i >= 0)})
 
 
-def _windows(batches, min_run):
-    for batch in batches:
-        rows, places, found = [], [], []
-        held = batch.column("held")
-        at, place, h1 = held.offsets.to_numpy(), *(held.values.field(c).to_numpy() for c in (0, 1))
-        for i, (s, e) in enumerate(zip(at[:-1], at[1:], strict=True)):
-            start, end, rest, first = _split(place[s:e])
-            d = np.empty(len(first), DIGEST)
-            d["h1"], d["h2"] = h1[s:e][first], rest
-            cuts = np.nonzero(start[1:] != end[:-1])[0] + 1
-            for x, y in zip([0, *cuts.tolist()], [*cuts.tolist(), len(first)], strict=True):
-                if end[y - 1] - start[x] >= min_run:
-                    raw, edges = d[x:y].tobytes(), np.append(start[x:y], end[y - 1])
-                    own = np.array(windows(edges, min_run))
-                    rows.append(np.full(len(own), i, np.int64))
-                    places.append(_places(edges[own[:, 0]], edges[own[:, 1]]))
-                    found += [xxhash.xxh3_128_digest(raw[12 * i:12 * j])[:12] for i, j in own.tolist()]
-        if found:
-            d = np.frombuffer(b"".join(found), DIGEST)
-            back = pa.array(np.concatenate(rows))
-            yield pa.RecordBatch.from_arrays([batch.column("k").take(back), batch.column("t").take(back), pa.array(np.concatenate(places)),
-                                              *[pa.array(np.ascontiguousarray(d[c])) for c in ("h1", "h2")]], ["k", "t", "place", "h1", "h2"])
+def _of_rows(batches, *cols: str):
+    """Sorted by row (k, t): each row's numbers in ``cols``, whole, however batches cut them."""
+    held: list[tuple[np.ndarray, ...]] = []
+    own = None
+
+    def whole():
+        return own, tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        k, t = b.column("k").to_numpy(), b.column("t").to_numpy()
+        values = [b.column(c).to_numpy() for c in cols]
+        edges = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (t[1:] != t[:-1])])).tolist()
+        for s, e in zip(edges, [*edges[1:], len(k)], strict=True):
+            row = int(k[s]), int(t[s])
+            if held and row != own:
+                yield whole()
+                held = []
+            own = row
+            held.append(tuple(v[s:e] for v in values))
+    if held:
+        yield whole()
+
+
+SOME = 50_000
 
 
-def repeated_spans(places: list[int]) -> list[tuple[int, int]]:
-    """The stretches that windows cover; what overlaps or touches is one."""
-    start, end, _, _ = _split(np.array(places, np.int64))
-    spans: list[tuple[int, int]] = []
-    for s, e in zip(start.tolist(), end.tolist(), strict=True):
-        if spans and s <= spans[-1][1]:
-            s, e = spans[-1][0], max(e, spans.pop()[1])
-        spans.append((s, e))
-    return spans
+def _windows(batches, min_run):
+    rows: list[tuple] = []
+    places: list[np.ndarray] = []
+    found: list[bytes] = []
+
+    def batch():
+        d = np.frombuffer(b"".join(found), DIGEST)
+        k, t = (np.repeat(np.array([r[i] for r, _ in rows], np.int64), [m for _, m in rows]) for i in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(k), pa.array(t), pa.array(np.concatenate(places)),
+                                           *[pa.array(np.ascontiguousarray(d[c])) for c in ("h1", "h2")]], ["k", "t", "place", "h1", "h2"])
+
+    for row, (place, h1) in _of_rows(batches, "place", "h1"):
+        start, end, rest, first = _split(place)
+        d = np.empty(len(first), DIGEST)
+        d["h1"], d["h2"] = h1[first], rest
+        cuts = np.nonzero(start[1:] != end[:-1])[0] + 1
+        for x, y in zip([0, *cuts.tolist()], [*cuts.tolist(), len(first)], strict=True):
+            if end[y - 1] - start[x] >= min_run:
+                raw, edges = d[x:y].tobytes(), np.append(start[x:y], end[y - 1])
+                own = np.array(windows(edges, min_run))
+                rows.append((row, len(own)))
+                places.append(_places(edges[own[:, 0]], edges[own[:, 1]]))
+                found += [xxhash.xxh3_128_digest(raw[12 * i:12 * j])[:12] for i, j in own.tolist()]
+        if len(found) >= SOME:
+            yield batch()
+            rows, places, found = [], [], []
+    if found:
+        yield batch()
+
+
+def _spans(batches):
+    """Per row the stretches that windows cover; what overlaps or touches is one."""
+    out: list[tuple] = []
+
+    def batch():
+        k, t, first, last = zip(*out, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(t, pa.int64()), pa.array(first, pa.list_(pa.int64())),
+                                           pa.array(last, pa.list_(pa.int64()))], ["k", "t", "first", "last"])
+
+    for row, (place,) in _of_rows(batches, "place"):
+        start, end, _, _ = _split(place)
+        far = np.maximum.accumulate(end)
+        begin = np.flatnonzero(np.concatenate([[True], start[1:] > far[:-1]]))
+        out.append((*row, start[begin], far[np.append(begin[1:], len(far)) - 1]))
+        if len(out) >= 2000:
+            yield batch()
+            out = []
+    if out:
+        yield batch()
 
 
 FIGURES = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -163,9 +207,9 @@ FIGURES = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 def _remove(batches, with_figures):
     for b in batches:
         rows = []
-        for text, repeats in zip(b.column("text").to_pylist(), b.column("repeats").to_pylist(), strict=True):
+        for text, first, last in zip(*(b.column(c).to_pylist() for c in ("text", "first", "last")), strict=True):
             data = (text or "").encode("utf-8", "replace")
-            spans, kept = repeated_spans(repeats) if repeats else [], data
+            spans, kept = list(zip(first or (), last or (), strict=True)), data
             if spans:
                 edges = [0, *[x for s in spans for x in s], len(data)]
                 kept = b"".join(data[s:e] for s, e in zip(edges[::2], edges[1::2], strict=True))
@@ -178,20 +222,22 @@ def _remove(batches, with_figures):
         yield pa.RecordBatch.from_arrays(cols, ["whole", "text", *[c.split()[0] for c in FIGURES.split(", ")]][:len(cols)])
 
 
-def _shared(rows: DataFrame, *digest: str) -> DataFrame:
-    """Digests of two or more documents, with the smallest id."""
-    return (rows.groupBy(*digest).agg(F.min("k").alias("first"), F.max("k").alias("last"))
-            .where("first < last").drop("last"))
+def _told_apart(rows: DataFrame, text: str) -> tuple[DataFrame, bool]:
+    """``rows`` (whole, k) with ``t``: a hash of the text for rows of ids that have several, else 0; and
+    whether ids repeat at all."""
+    t = F.xxhash64(F.col("whole").getField(text))
+    ids = rows.select("k", t.alias("t")).groupBy("k").agg(F.min("t").alias("lo"), F.max("t").alias("hi"), F.count("*").alias("n"))
+    again = saved(ids.where("n > 1").select("k", (F.col("lo") != F.col("hi")).alias("several")), "ids")
+    if again.isEmpty():
+        return rows.withColumn("t", F.lit(0).cast("long")), False
+    t = F.when(F.col("several"), t).otherwise(F.lit(0).cast("long"))
+    return rows.join(again, "k", "left").withColumn("t", t).drop("several"), True
 
 
-def _told_apart(rows: DataFrame, text: str) -> DataFrame:
-    """``rows`` (whole, k) with ``t``: a hash of the text for rows of ids that have several, else 0."""
-    t = F.xxhash64(F.col("whole").getField(text))
-    texts = rows.select("k", t.alias("t")).groupBy("k").agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
-    several = saved(texts.where("lo <> hi").select("k", F.lit(True).alias("several")), "ids")
-    if several.isEmpty():
-        return rows.withColumn("t", F.lit(0).cast("long"))
-    return rows.join(several, "k", "left").withColumn("t", F.when(F.col("several"), t).otherwise(F.lit(0).cast("long"))).drop("several")
+def _in_rows(found: DataFrame) -> DataFrame:
+    """Brought together and sorted by row. Rows travel as they are: lists built before the exchange would
+    hold one or two of them each."""
+    return found.repartition("k", "t").sortWithinPartitions("k", "t")
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_figures: bool = False,
@@ -199,16 +245,19 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """All rows and columns of ``docs`` with repeated passages taken out of ``text``;
     ``with_figures`` adds n_bytes, n_removed, n_spans and kept_sha256."""
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))
-    rows = _told_apart(docs.select(F.struct("*").alias("whole"), key.alias("k")), text)
+    rows, repeated = _told_apart(docs.select(F.struct("*").alias("whole"), key.alias("k")), text)
     own = F.col("whole").getField(text).alias("text")
-    chunks = in_arrow(rows.select("k", "t", own), _chunks, "k long, t long, place long, h1 long")
-    # most of the digest will do to choose chunks: windows are told apart by all of it
-    held = (chunks.join(_shared(chunks, "h1").select("h1"), "h1").groupBy("k", "t")
-            .agg(F.collect_set(F.struct("place", "h1")).alias("held")))
-    found = in_arrow(held, _windows, "k long, t long, place long, h1 long, h2 int", min_run)
-    repeats = (found.join(_shared(found, "h1", "h2"), ["h1", "h2"]).where("k > first")
-               .groupBy("k", "t").agg(F.collect_set("place").alias("repeats")))
-    joined = rows.join(repeats, ["k", "t"], "left").select("whole", own, "repeats")  # the text travels once
+    texts = rows.select("k", "t", own)
+    chunks = in_arrow(texts.dropDuplicates(["k", "t"]) if repeated else texts, _chunks, "k long, t long, place long, h1 long")
+    # chunks are only chosen here: most of the digest will do, and one that a document has twice may come along
+    shared = chunks.groupBy("h1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1")
+    found = in_arrow(_in_rows(chunks.join(shared, "h1")), _windows, "k long, t long, place long, h1 long, h2 int", min_run)
+    # windows of two or more documents, with the smallest id
+    first = (found.groupBy("h1", "h2").agg(F.min("k").alias("least"), F.max("k").alias("most"))
+             .where("least < most").drop("most"))
+    repeats = found.join(first, ["h1", "h2"]).where("k > least").select("k", "t", "place")
+    spans = in_arrow(_in_rows(repeats), _spans, "k long, t long, first array<long>, last array<long>")
+    joined = rows.join(spans, ["k", "t"], "left").select("whole", own, "first", "last")  # the text travels once
     schema = T.StructType([rows.schema["whole"], T.StructField("text", docs.schema[text].dataType),
                            *(T._parse_datatype_string(FIGURES).fields if with_figures else [])])
     done = in_arrow(joined, _remove, schema, with_figures)
