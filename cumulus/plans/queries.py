@@ -4,6 +4,7 @@ given tables. Column names match :func:`cumulus.plans.oracle.oracle_sql`."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,12 @@ def _text_facts(spark, d):
     return parse_lines(observation_lines(spark, d)).valid
 
 
+def _side_by_side(*rows: DataFrame) -> DataFrame:
+    """Frames of one row each, with different columns, as one row."""
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
 # ---- core analyses ---------------------------------------------------------------------
 def q_monthly_district_weather(spark, d):
     return climate.monthly_district_weather(_obs(spark, d), locations(spark, d), min_year=MIN_YEAR)
@@ -364,7 +371,7 @@ def q_low_et0_conditions_exact(spark, d):
     """Mean conditions of the test rows predicted below the threshold, and how many these are."""
     scored = _fitted_exactly(spark, d, "gbt").predictions["gbt"]
     share = scored.agg(F.count_if(F.col("prediction") < 1.5).alias("n_low"), F.count("*").alias("n_scored"))
-    return ml.low_et0_conditions(scored).join(share)
+    return _side_by_side(ml.low_et0_conditions(scored), share)
 
 
 # ---- dashboard KPIs --------------------------------------------------------------------
@@ -551,14 +558,14 @@ def _stored_by_status():
 
 
 def q_dirty_ingest(spark, d):
-    """All lines ingested in one pass: what was counted on the way, and what lies in the table and in
-    the quarantine afterwards."""
+    """All lines ingested in one pass: the counts by status, and what is read back from the table and
+    the quarantine."""
     done = readers.ingest_lines(dirty_lines(spark, d), scratch_path(spark, "ingest"))
     counted = spark.createDataFrame([tuple(done.counts[k] for k in ("total", "header", "blank", "short_line", "bad_date", "valid"))],
                                     "lines_total bigint, header bigint, blank bigint, short_line bigint, bad_date bigint, valid bigint")
     stored = done.valid.agg(F.count("*").alias("stored_valid"), F.sum("precipitation_hours").alias("sum_hours"))
     rejected = done.rejected.agg(*_stored_by_status())
-    return counted.join(stored).join(rejected)
+    return _side_by_side(counted, stored, rejected)
 
 
 def q_dirty_streaming_ingest(spark, d):
@@ -574,7 +581,7 @@ def q_dirty_streaming_ingest(spark, d):
     stored = spark.read.parquet(f"{root}/typed").agg(F.count("*").alias("stored_valid"), F.sum("precipitation_hours").alias("sum_hours"))
     rejected = spark.read.parquet(f"{root}/typed_rejects")
     rejected = rejected.agg(*_stored_by_status())
-    return counts.agg(*[F.sum(n).alias(n) for n in names]).join(stored).join(rejected)
+    return _side_by_side(counts.agg(*[F.sum(n).alias(n) for n in names]), stored, rejected)
 
 
 # ---- joins with split ids, catalog ---------------------------------------------------

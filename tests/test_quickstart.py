@@ -26,7 +26,7 @@ def test_quick_start(spark, tmp_dir):
                climate.seasonal_et0(facts, locs), climate.top_radiation_months(facts, locs),
                climate.hottest_month_weekly_max(facts), stats.et0_correlations(facts)]
     assert all(r.count() > 0 for r in results)
-    fits = ml.fit_models(stats.modelling_set(facts, keep_split_key=True))
+    fits = ml.fit_models(stats.modelling_set(facts, keep_split_key=True), forest={"num_trees": 5}, boosting={"max_iter": 5})
     assert set(fits.metrics) == {"lr", "rf", "gbt"}
     panels = kpi.dashboard(facts, locs, year=1998)
     assert panels["wettest_month_by_district"].count() == sup.count()
