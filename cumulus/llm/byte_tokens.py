@@ -6,7 +6,9 @@ encoded alone. Texts are split at spaces and line feeds a batch at a time; each
 batch is looked up once, a new one goes to the library, and the ids of all texts are gathered from
 the pool of known words by their places in it. A new word of Latin letters, or of these and ASCII marks
 behind them, goes straight to the library's BPE model: there the pre-tokenizer would cut between
-letters and marks and nowhere else. All other words go through the whole library. A full memo is emptied.
+letters and marks and nowhere else. Many such words go at once, joined by a byte that no merge rule
+knows, so that nothing is merged across it. All other words go through the whole library. A full memo
+is emptied.
 A vocabulary with another pre-tokenizer, and a text that holds one of the added tokens, goes to the
 library whole; so does, in parts, a text with other runs of white space.
 """
@@ -32,8 +34,8 @@ from tokenizers import Tokenizer  # noqa: E402
 SPACES = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 PARTS = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
 BLANK = frozenset(SPACES)
-MEMO = 400_000
-GROUP_CHARS = 1_000_000
+MEMO = 500_000
+GROUP_CHARS = 2_000_000
 #: Numbers of words: a new one, one whose end is white space, so that the cut after it would fall inside
 #: a run, and the word without ids.
 NEW, ODD, NONE = -2, -1, 0
@@ -49,8 +51,13 @@ _OTHERS = [b for b in range(256) if b not in _PRINTED]
 SHOWN = {b: 0x100 + _OTHERS.index(b) for b in _OTHERS}
 
 
-def shown(text: str) -> str:
-    return text if text.isascii() and text.isalpha() else text.encode().decode("latin-1").translate(SHOWN)
+#: What Latin letters beyond ASCII look like there.
+_LETTERS = {c: chr(c).encode().decode("latin-1").translate(SHOWN) for c in range(0xC0, 0x250)}
+JOINED = 200
+
+
+def shown(letters: str) -> str:
+    return letters if letters.isascii() else letters.translate(_LETTERS)
 
 
 class _Pool:
@@ -100,6 +107,14 @@ class ByteTokens:
         self.dtype = {"H": "<u2", "I": "<u4"}[self.code]
         line_feed = self.tok.encode("\n", add_special_tokens=False).ids
         self.line_feed, self.space = line_feed[0] if len(line_feed) == 1 else None, chr(SHOWN[32])
+        if self.by_part:
+            rules = "".join(x for m in spec["model"]["merges"] for x in m)
+            vocab = spec["model"]["vocab"]
+            # a byte that UTF-8 has no use for; by itself in the vocabulary, and in no merge rule
+            self.between = next((c for c in map(chr, (0xC0, 0xC1, *range(0xF5, 0x100))) if c in vocab and c not in rules), None)
+            self.between_id = vocab.get(self.between)
+            plain = spec | {"pre_tokenizer": None, "post_processor": None, "decoder": None, "added_tokens": []}
+            self.model = Tokenizer.from_str(json.dumps(plain))
         self.raw: dict[str, bytes] = {}
         self._empty()
 
@@ -112,41 +127,48 @@ class ByteTokens:
             a.byteswap()
         return a.tobytes()
 
+    def _merged(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of the model's characters, in a row, and the number of each word's."""
+        if not parts:
+            return np.zeros(0, self.dtype), np.zeros(0, np.int64)
+        if self.between is None:
+            each = [[t.id for t in self.tok.model.tokenize(p)] for p in parts]
+            return np.array([i for e in each for i in e], self.dtype), np.array([len(e) for e in each])
+        joined = [self.between.join(parts[k:k + JOINED]) + self.between for k in range(0, len(parts), JOINED)]
+        ids = np.concatenate([np.array(e.ids, self.dtype) for e in self.model.encode_batch_fast(joined, add_special_tokens=False)])
+        ends = ids == self.between_id
+        return ids[~ends], np.diff(np.flatnonzero(ends), prepend=-1) - 1
+
     def _learn(self, words: list[str]) -> None:
         """Numbers for new words. A word stands for itself behind a space, or for itself if a line feed
         leads it."""
-        memo, marks, tokenize, match = self.memo, self.marks, self.tok.model.tokenize, SIMPLE.fullmatch
-        ids: list[int] = []
-        sizes: list[int] = []
-        k = self.pool.words
+        memo, marks, match = self.memo, self.marks, SIMPLE.fullmatch
+        spaced: dict[str, None] = {}
+        led: dict[str, None] = {}
+        tailed: list[tuple[str, str, str]] = []
+        others: list[str] = []
         for w in words:
-            m = match(w)
-            if m:
+            if w.isascii() and w.isalpha():
+                spaced[w] = None
+            elif m := match(w):
                 lead, letters, tail = m.groups()
-                number = memo.get(lead + letters)
-                if number is None:
-                    own = [t.id for t in tokenize(shown(letters) if lead else self.space + shown(letters))]
-                    if lead:
-                        own.insert(0, self.line_feed)
-                    number = memo[lead + letters] = k + len(sizes)
-                    ids += own
-                    sizes.append(len(own))
                 if tail:
-                    second = marks.get(tail)
-                    if second is None:
-                        own = [t.id for t in tokenize(tail)]
-                        second = marks[tail] = k + len(sizes)
-                        ids += own
-                        sizes.append(len(own))
-                    memo[w] = number | second << SECOND
+                    tailed.append((w, lead + letters, tail))
+                if lead + letters not in memo:
+                    (led if lead else spaced)[lead + letters] = None
             elif not w or w[-1] in BLANK:
                 memo[w] = ODD
             else:
-                own = self.tok.encode(w if w[0] == "\n" else " " + w, add_special_tokens=False).ids
-                memo[w] = k + len(sizes)
-                ids += own
-                sizes.append(len(own))
-        self.pool.add(ids, sizes)
+                others.append(w)
+        ids, n = self._merged([self.space + shown(w) for w in spaced])
+        memo.update(zip(spaced, self.pool.add(ids, n), strict=True))
+        ids, n = self._merged([shown(w[1:]) for w in led])
+        memo.update(zip(led, self.pool.add(np.insert(ids, np.cumsum(n) - n, self.line_feed), n + 1), strict=True))
+        new = list(dict.fromkeys(t for _, _, t in tailed if t not in marks))
+        marks.update(zip(new, self.pool.add(*self._merged(new)), strict=True))
+        memo.update((w, memo[base] | marks[tail] << SECOND) for w, base, tail in tailed)
+        each = [self.tok.encode(w if w[0] == "\n" else " " + w, add_special_tokens=False).ids for w in others]
+        memo.update(zip(others, self.pool.add([i for e in each for i in e], [len(e) for e in each]), strict=True))
 
     def _learn_first(self, words: list[str]) -> None:
         """Numbers for words at the start of a text."""
