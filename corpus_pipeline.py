@@ -36,8 +36,9 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boundary records of 2048-id training sequences."""
-    return packing.pack(docs, BYTE_BPE, end_id=1)
+    """Boundary records of 2048-id training sequences. The workers keep the other stages' tables too, so
+    they remember fewer words here."""
+    return packing.pack(docs, BYTE_BPE, end_id=1, memo=300_000)
 
 
 STAGES = [

@@ -34,7 +34,8 @@ from tokenizers import Tokenizer  # noqa: E402
 SPACES = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 PARTS = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
 BLANK = frozenset(SPACES)
-MEMO = 500_000
+#: Words that a worker remembers, some 200 bytes each.
+MEMO = 1_000_000
 GROUP_CHARS = 2_000_000
 #: Numbers of words: a new one, one whose end is white space, so that the cut after it would fall inside
 #: a run, and the word without ids.
@@ -94,7 +95,8 @@ class _Pool:
 
 
 class ByteTokens:
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo: int = MEMO):
+        self.most = memo
         self.tok = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -186,7 +188,7 @@ class ByteTokens:
         parts = PARTS.findall(text)
         raw = self.raw
         new = list(set(parts).difference(raw))
-        if len(raw) + len(new) > MEMO // 4:
+        if len(raw) + len(new) > self.most // 4:
             raw.clear()
             new = list(set(parts))
         for p, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
@@ -202,7 +204,7 @@ class ByteTokens:
         all_words = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
         words, where = pc.binary_join(all_words, pa.scalar(" ", pa.large_string()))[0].as_py().split(" "), coded.indices.to_numpy()
         lead = [words[k] for k in where[at[:-1]].tolist()]
-        if len(self.memo) + len(self.first) > MEMO:
+        if len(self.memo) + len(self.first) > self.most:
             self._empty()
         numbers = self._numbers(self.memo, words, self._learn)[where]
         numbers[at[:-1]] = self._numbers(self.first, lead, self._learn_first)
@@ -242,6 +244,6 @@ class ByteTokens:
 
 
 @functools.lru_cache(maxsize=2)
-def byte_tokens(path: str) -> ByteTokens:
+def byte_tokens(path: str, memo: int = MEMO) -> ByteTokens:
     """One per worker process and file."""
-    return ByteTokens(path)
+    return ByteTokens(path, memo)

@@ -21,15 +21,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .byte_tokens import byte_tokens
+from .byte_tokens import MEMO, byte_tokens
 from .common import in_arrow, saved, text_lists
 
 LENGTH = 2048
 PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
-def _encode(batches, path, end_id):
-    t = byte_tokens(path)
+def _encode(batches, path, end_id, memo):
+    t = byte_tokens(path, memo)
     end, width = t._pack([end_id]), np.dtype(t.dtype).itemsize
     part, at = TaskContext.get().partitionId(), 0
     for ids, texts in text_lists(batches, "doc_id", "text"):
@@ -62,11 +62,12 @@ def _cut(batches, length, with_ids):
             names)
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = LENGTH, with_ids: bool = False) -> DataFrame:
-    """Boundary records of all pieces; ``with_ids`` adds each piece's ids."""
+def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = LENGTH, with_ids: bool = False, memo: int = MEMO) -> DataFrame:
+    """Boundary records of all pieces; ``with_ids`` adds each piece's ids. ``memo``: words that a worker
+    remembers."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     stream = saved(in_arrow(docs, _encode, "doc_id long, part long, start_in_part long, n_tokens long, width long, ids binary",
-                            tokenizer, end_id), "ids")
+                            tokenizer, end_id, memo), "ids")
     totals = stream.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     # one row per partition of the first pass, whatever the documents hold: small enough to broadcast
     base = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
