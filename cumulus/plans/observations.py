@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import let
 from ..schema import FACT_COLUMNS
 
 
@@ -92,11 +93,14 @@ def _line_fields() -> dict[str, Column]:
     return out
 
 
-def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dirty_lines(spark: SparkSession, sf_dir: str, rows: Column | None = None) -> DataFrame:
     """The facts as raw lines with every fault the text path knows, placed by the row's key:
     repeated headers, short and blank lines, dates that are missing, odd or roll over, blank,
-    ``null``, padded and non-numeric numbers, and readings beyond the plausible ranges."""
-    k = F.col("l_orderkey") * 7 + F.col("l_linenumber")
+    ``null``, padded and non-numeric numbers, and readings beyond the plausible ranges. ``rows``, a
+    condition on the facts, picks those whose lines are wanted before any is put together."""
+    # with a higher-order function in it Spark splits the projection into small methods; as whole-stage
+    # code it is a single one, longer than the JVM compiles
+    k = let(F.col("l_orderkey") * 7 + F.col("l_linenumber"), lambda key: key)
     fields, day = _line_fields(), F.col("l_shipdate")
 
     def by(modulus: int, *texts) -> Column:
@@ -125,7 +129,8 @@ def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     short = F.concat_ws(",", *[fields[n] for n, _ in FACT_COLUMNS[:5]])
     line = (F.when(k % 11 == 0, header).when(k % 13 == 0, F.concat(short, F.lit("," * 16))).when(k % 13 == 1, short)
             .when(k % 43 == 0, F.lit("")).otherwise(whole))
-    return fact_table(spark, sf_dir).select(line.alias("value"))
+    facts = fact_table(spark, sf_dir)
+    return (facts if rows is None else facts.where(rows)).select(line.alias("value"))
 
 
 def locations(spark: SparkSession, sf_dir: str, registered_only: bool = False) -> DataFrame:

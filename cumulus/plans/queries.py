@@ -20,7 +20,7 @@ from ..streaming import incremental
 from ..sources.sinks import legacy_text_lines, write_csv, write_parquet
 from . import catalog
 from .joins import known_locations
-from .observations import dirty_lines, locations, observation_lines, observations, table
+from .observations import dirty_lines, fact_table, locations, observation_lines, observations, table
 from .oracle import MIN_YEAR
 from .views import session_views
 
@@ -568,14 +568,20 @@ def q_dirty_ingest(spark, d):
     return _side_by_side(counted, stored, rejected)
 
 
+#: About so many lines a landed file holds at most.
+_LINES_A_FILE = 1_000_000
+
+
 def q_dirty_streaming_ingest(spark, d):
-    """The same lines as files, ingested by the stream in several batches and two runs."""
+    """The same lines as files, ingested by the stream in several batches and two runs. Files are
+    counted by threes, more of them where there are more lines; a batch takes two thirds of those that landed."""
     root = scratch_path(spark, "dirty-stream")
-    lines = dirty_lines(spark, d)
+    files = -(-fact_table(spark, d).count() // (2 * 3 * _LINES_A_FILE)) or 1
+    half_of = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(2))
     for half in (0, 1):
-        part = lines.where(F.pmod(F.xxhash64("value"), F.lit(2)) == half)
-        part.repartition(3).write.mode("append").text(f"{root}/landing")
-        incremental.start_ingest(spark, f"{root}/landing", f"{root}/typed", f"{root}/checkpoint", max_files=2).awaitTermination()
+        part = dirty_lines(spark, d, half_of == half)
+        part.repartition(3 * files).write.mode("append").text(f"{root}/landing")
+        incremental.start_ingest(spark, f"{root}/landing", f"{root}/typed", f"{root}/checkpoint", max_files=2 * files).awaitTermination()
     counts = spark.read.parquet(f"{root}/typed_counts")
     names = ["lines_total", "header", "blank", "short_line", "bad_date", "valid"]
     stored = spark.read.parquet(f"{root}/typed").agg(F.count("*").alias("stored_valid"), F.sum("precipitation_hours").alias("sum_hours"))

@@ -45,6 +45,11 @@ def has_fields(fields: Column, n: int) -> Column:
     return F.length(F.array_join(F.slice(fields, n, F.size(fields)), "")) > 0
 
 
+#: How every text begins that casts to a floating number: control characters and blanks, a sign, then a
+#: digit, a point and a digit, ``NaN`` or ``Infinity``.
+NUMBER_START = r"^[\x00-\x20]*[+-]?(?:\.?[0-9]|[nN][aA][nN]|[iI][nN][fF])"
+
+
 def typed_field(raw: Column, dtype) -> Column:
     """Text field -> typed value. Blank, the literal ``null`` and unparseable numbers give
     NULL (a numeric cast rejects both), so one bad value never fails the job."""
@@ -54,6 +59,12 @@ def typed_field(raw: Column, dtype) -> Column:
     return t.try_cast(dtype)
 
 
+def _castable(raw: Column, dtype) -> Column:
+    """The field, NULL where it begins like no number at all (blank, a header's name, ``null``): a failed
+    cast to a floating number is an exception thrown and caught, far dearer than a look."""
+    return F.when(raw.rlike(NUMBER_START), raw) if dtype.typeName() == "double" else raw
+
+
 # --- fixed values: what a line can be ------------------------------------------------------
 HEADER, BLANK, SHORT, BAD_DATE, VALID = "header", "blank", "short_line", "bad_date", "valid"
 REJECTED = (SHORT, BAD_DATE)
@@ -76,7 +87,7 @@ def classified(lines: DataFrame, min_fields: int = MIN_FIELDS, columns=FACT_COLU
     status = (F.when(F.col("_header"), HEADER).when(F.coalesce(F.length(v), F.lit(0)) == 0, BLANK)
               .when(~F.coalesce(has_fields(F.col("_f"), min_fields), F.lit(False)), SHORT).when(F.col("obs_date").isNull(), BAD_DATE).otherwise(VALID))
     return dated.select(status.alias("status"), "line", "obs_date",
-                        *[typed_field(F.get(F.col("_f"), i), t).alias(n) for i, (n, t) in enumerate(columns)])
+                        *[typed_field(_castable(F.get(F.col("_f"), i), t), t).alias(n) for i, (n, t) in enumerate(columns)])
 
 
 def parse_lines(lines: DataFrame, min_fields: int = MIN_FIELDS,

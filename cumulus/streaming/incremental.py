@@ -24,7 +24,9 @@ from ..sources.lines import BAD_DATE, BLANK, HEADER, REJECTED, SHORT, VALID, cla
 def write_batch(lines: DataFrame, batch: int, target_dir: str, rejects_dir: str, counts_dir: str,
                 date_mode: str = "lenient") -> None:
     """One batch of lines into the typed table, the quarantine and the counts."""
-    rows = classified(lines, date_mode=date_mode).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = classified(lines, date_mode=date_mode)
+    # the line itself is kept of what is rejected only
+    rows = rows.withColumn("line", F.when(F.col("status").isin(*REJECTED), F.col("line"))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         (rows.where(F.col("status") == VALID).drop("status", "line").withColumns({"year": F.year("obs_date"), "month": F.month("obs_date")})
          .hint("rebalance", F.col("year")).sortWithinPartitions("year", "month", "location_id")
